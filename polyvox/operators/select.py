@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polyvox.functions.exprs import argument_budget
+from polyvox.operators.skew import per_dataset, per_topic
 
 
 def accepted(comments: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def agreeable_comments(comments: DataFrame, quantile: float | None = 0.1,
     if quantile is None:
         return acc.filter(F.col("agreeability") >= threshold)
     th = acc.groupBy("dataset").agg(_quantile("agreeability", quantile, method).alias("__t"))
-    return acc.join(th, "dataset").filter(F.col("agreeability") >= F.col("__t")).drop("__t")
+    return acc.join(per_dataset(th), "dataset").filter(F.col("agreeability") >= F.col("__t")).drop("__t")
 
 
 def topic_comments(comments: DataFrame, quantile: float | None = None,
@@ -57,7 +58,7 @@ def topic_comments(comments: DataFrame, quantile: float | None = None,
         return acc
     th = acc.groupBy("dataset", "topicId").agg(
         _quantile("agreeability", quantile, method).alias("__t"))
-    return (acc.join(th, ["dataset", "topicId"])
+    return (acc.join(per_topic(th), ["dataset", "topicId"])
             .filter(F.col("agreeability") >= F.col("__t")).drop("__t"))
 
 

@@ -61,3 +61,17 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str],
                                       .otherwise(F.array(F.lit(0)))))
          .drop(_HOT))
     return b.join(s, keys + [_SALT], how).drop(_SALT)
+
+
+def per_dataset(df: DataFrame) -> DataFrame:
+    """Broadcast a table with one small row per dataset (a threshold, a count,
+    a stop-word list). Its size is #datasets x row size, independent of the
+    number of statements or votes; joining it by a shuffle on ``dataset``
+    alone would put a whole dataset into one task."""
+    return F.broadcast(df)
+
+
+def per_topic(df: DataFrame) -> DataFrame:
+    """Broadcast a table with one small row per (dataset, topic): at most
+    MAX_TOPICS (50) topics per dataset by the minimum-cluster-size rule."""
+    return F.broadcast(df)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polyvox.functions.exprs import bigrams, tokens
-from polyvox.operators.skew import salted_join
+from polyvox.operators.skew import per_dataset, per_topic, salted_join
 
 MAX_DF = 0.5
 
@@ -44,7 +44,7 @@ def frequent_words(tok_docs: DataFrame, max_df: float = MAX_DF) -> DataFrame:
     n_docs = tok_docs.groupBy("dataset").agg(F.count("*").alias("__n"))
     df = (tok_docs.select("dataset", F.explode(F.array_distinct("toks")).alias("word"))
           .groupBy("dataset", "word").agg(F.count("*").alias("__df")))
-    return (df.join(n_docs, "dataset")
+    return (df.join(per_dataset(n_docs), "dataset")
             .filter(F.col("__df") >= F.col("__n") * max_df).select("dataset", "word"))
 
 
@@ -68,8 +68,10 @@ def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "comme
         s = stops[0]
         for x in stops[1:]:
             s = s.unionByName(x)
+        # bounded per dataset: title words plus at most 2/max_df x (mean
+        # distinct tokens per document) frequent words
         per_ds = s.distinct().groupBy("dataset").agg(F.collect_list("word").alias("__stop"))
-        tok = (tok.join(per_ds, "dataset", "left")
+        tok = (tok.join(per_dataset(per_ds), "dataset", "left")
                .withColumn("toks", F.filter("toks", lambda w: ~F.array_contains(
                    F.coalesce(F.col("__stop"), F.array().cast("array<string>")), w)))
                .drop("__stop"))
@@ -92,9 +94,9 @@ def ctfidf(tterms: DataFrame, topic: str = "topicId") -> tuple[DataFrame, DataFr
     tot = tterms.groupBy("dataset", topic).agg(F.sum("n").alias("__tot"))
     avg = tot.groupBy("dataset").agg(F.floor(F.avg("__tot")).alias("__A"))
     f = tterms.groupBy("dataset", "term").agg(F.sum("n").alias("__f"))
-    idf = (f.join(avg, "dataset")
+    idf = (f.join(per_dataset(avg), "dataset")
            .select("dataset", "term", F.ln(1 + F.col("__A") / F.col("__f")).alias("idf")))
-    w = (tterms.join(tot, ["dataset", topic]).join(idf, ["dataset", "term"])
+    w = (tterms.join(per_topic(tot), ["dataset", topic]).join(idf, ["dataset", "term"])
          .select("dataset", topic, "term",
                  (F.sqrt(F.col("n") / F.col("__tot")) * F.col("idf")).alias("weight")))
     return w, idf
@@ -133,7 +135,7 @@ def representative_docs(dw: DataFrame, weights: DataFrame, k: int = 3,
            .join(weights, ["dataset", topic, "term"])
            .groupBy("dataset", topic, "commentId")
            .agg(F.sum(F.col("dweight") * F.col("weight")).alias("__dot")))
-    scored = (dot.join(dnorm, ["dataset", "commentId"]).join(tnorm, ["dataset", topic])
+    scored = (dot.join(dnorm, ["dataset", "commentId"]).join(per_topic(tnorm), ["dataset", topic])
               .withColumn("score", F.col("__dot") / (F.col("__dn") * F.col("__tn"))))
     # exact copies score equal up to summation order; compare at 1e-9 so the
     # id tie-break decides

@@ -10,7 +10,7 @@ from polyvox.operators import scoring as S
 from polyvox.operators import select as C
 from polyvox.operators.votes import comment_tally, latest_vote
 from polyvox.plans.catalog import query
-from polyvox.sources.adapters import Fixture
+from polyvox.sources.adapters import VOTE_ORDER, Fixture
 
 
 def fx(spark, sf_dir) -> Fixture:
@@ -20,7 +20,7 @@ def fx(spark, sf_dir) -> Fixture:
 @query("latest_vote", "C1 E1", """
 SELECT * FROM fx_votes""")
 def q_latest_vote(spark, sf_dir):
-    return fx(spark, sf_dir).votes
+    return latest_vote(fx(spark, sf_dir).votes_raw, VOTE_ORDER)
 
 
 @query("latest_vote_events", "C1 E1 (re-vote heavy log)", """

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from polyvox.functions.exprs import agreeability_guarded, argument_budget
 from polyvox.operators.edges import topic_pairs
+from polyvox.operators.skew import per_topic
 from polyvox.operators.votes import comment_tally, latest_vote
+from polyvox.sources.store import materialize
 from polyvox.sources.tables import table
 
 # Name of the one dataset the driver tables hold. Every key also carries it,
@@ -24,14 +26,54 @@ from polyvox.sources.tables import table
 DATASET = "fixture"
 VOTE_ORDER = ["ts", "l_orderkey", "l_linenumber", "l_suppkey"]
 MAX_BUDGET = 64
+OUTLIER_LABEL = 8
 
 
 class Fixture:
-    """Lazily built adapter DataFrames for one ``sf_dir``."""
+    """Adapter DataFrames for one ``sf_dir``.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``stored=True`` (default) the pipeline tables (votes, comments,
+    topics, arguments, edges, assignment) are written once per session to
+    the checkpoint folder and read back, as the reference's tasks persist
+    their tables; ``derive_*`` methods build them from the raw tables.
+    """
+
+    BASE = ("votes", "comments", "topics", "arguments", "edges", "assignment")
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.stored = stored
+
+    def _base(self, name: str) -> DataFrame:
+        build = getattr(self, f"derive_{name}")
+        if not self.stored:
+            return build()
+        return materialize(self.spark, self.sf_dir, name, build)
+
+    @property
+    def votes(self) -> DataFrame:
+        return self._base("votes")
+
+    @property
+    def comments(self) -> DataFrame:
+        return self._base("comments")
+
+    @property
+    def topics(self) -> DataFrame:
+        return self._base("topics")
+
+    @property
+    def arguments(self) -> DataFrame:
+        return self._base("arguments")
+
+    @property
+    def edges(self) -> DataFrame:
+        return self._base("edges")
+
+    @property
+    def assignment(self) -> DataFrame:
+        return self._base("assignment")
 
     def t(self, name: str, *cols: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name, *cols)
@@ -66,14 +108,12 @@ class Fixture:
                          .otherwise(0).cast("int").alias("vote"),
                          F.col("ts"), F.col("event_id"))
 
-    @cached_property
-    def votes(self) -> DataFrame:
+    def derive_votes(self) -> DataFrame:
         """Latest non-pass vote per (comment, voter) (E1 over ``votes_raw``)."""
         return latest_vote(self.votes_raw, VOTE_ORDER)
 
     # -- statements ------------------------------------------------------
-    @cached_property
-    def comments(self) -> DataFrame:
+    def derive_comments(self) -> DataFrame:
         docs = self.t("documents", "doc_id", "text", "source")
         labels = self.t("labels", "doc_id", "quality", "toxic")
         tally = comment_tally(self.votes).drop("agreeability", "dataset")
@@ -94,16 +134,14 @@ class Fixture:
             F.coalesce("disagrees", F.lit(0)).alias("disagrees"),
         ).withColumn("agreeability", agreeability_guarded())
 
-    @cached_property
-    def topics(self) -> DataFrame:
+    def derive_topics(self) -> DataFrame:
         src = self.t("documents", "source").distinct()
         return src.select(F.lit(DATASET).alias("dataset"),
                           F.substring("source", 4, 1 << 20).cast("int").alias("Topic"),
                           F.concat(F.lit("Title of "), "source").alias("Title"),
                           F.col("source").alias("Heading"))
 
-    @cached_property
-    def arguments(self) -> DataFrame:
+    def derive_arguments(self) -> DataFrame:
         """Extractive arguments: the ``ceil(2 ln n)`` most agreeable accepted
         statements of each topic (n = accepted statements of the topic)."""
         acc = self.comments.filter("moderated = 1")
@@ -116,7 +154,7 @@ class Fixture:
         ranked = (acc.select("dataset", "topicId", "commentText",
                              F.row_number().over(w).alias("rk"))
                   .filter(F.col("rk") <= MAX_BUDGET)
-                  .join(n, ["dataset", "topicId"]))
+                  .join(per_topic(n), ["dataset", "topicId"]))
         return (ranked.filter(F.col("rk") <= argument_budget("n"))
                 .select("dataset", "topicId",
                         (F.col("rk") - 1).cast("bigint").alias("argumentId"),
@@ -124,8 +162,7 @@ class Fixture:
                                  (F.col("rk") - 1).cast("string")).alias("argumentTitle"),
                         F.col("commentText").alias("argumentContent")))
 
-    @cached_property
-    def edges(self) -> DataFrame:
+    def derive_edges(self) -> DataFrame:
         """Labelled argument/comment edges of every accepted comment with every
         argument of its topic. Labels are arithmetic here; the correlate
         operator produces real ones."""
@@ -136,6 +173,17 @@ class Fixture:
             F.when(h % 10 < 3, "SUPPORT").when(h % 10 == 9, "REFUTE")
             .otherwise("UNRELATED").alias("relationship"))
 
+    def derive_assignment(self) -> DataFrame:
+        """Topic assignment of the not-rejected statements from ``embeddings``
+        (vec_id = commentId): topic = label, except labels >= OUTLIER_LABEL and
+        statements without a vector, which are outliers (-1)."""
+        c = self.comments.filter("moderated >= 0").select("dataset", "commentId")
+        e = self.t("embeddings", "vec_id", "embedding", "label")
+        return c.join(e, c.commentId == e.vec_id, "left").select(
+            "dataset", "commentId", "embedding",
+            F.when(F.col("label").isNull() | (F.col("label") >= OUTLIER_LABEL), -1)
+            .otherwise(F.col("label")).cast("int").alias("topicId"))
+
     @cached_property
     def summary(self) -> DataFrame:
         """Dataset summary (A1) as (dataset, key, value)."""
