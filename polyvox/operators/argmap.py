@@ -123,11 +123,14 @@ def write_maps(lines: DataFrame, path: str, partitions: int | None = None) -> No
 
     A range-partitioned sort on (dataset, keys) orders the rows across part
     files; reading a dataset's part files in name order gives its document.
-    ``lineSep`` is empty because every text row carries its own newlines."""
+    Every text row ends with a newline; the writer's line separator puts it
+    back after it is cut here."""
     df = lines.repartitionByRange(*(["dataset"] + KEYS)) if partitions is None else \
         lines.repartitionByRange(partitions, *(["dataset"] + KEYS))
-    (df.sortWithinPartitions("dataset", *KEYS).select("dataset", "text")
-     .write.mode("overwrite").option("lineSep", "").partitionBy("dataset").text(path))
+    body = F.expr("substring(text, 1, length(text) - 1)")
+    (df.sortWithinPartitions("dataset", *KEYS)
+     .select("dataset", F.when(F.col("text").endswith("\n"), body).otherwise(F.col("text")).alias("text"))
+     .write.mode("overwrite").option("lineSep", "\n").partitionBy("dataset").text(path))
 
 
 def comment_agreeability(comments: DataFrame) -> DataFrame:
