@@ -2,8 +2,9 @@
 
 Prints one JSON line. ``ingest`` is the time to build the stored pipeline
 tables (votes, comments, topics, arguments, edges, assignment) from the raw
-tables; every other entry is the median of 3 runs (after one warm-up) of a
-query over those stored tables, with its own intermediates rebuilt each run.
+tables; every other entry is the median of $BENCH_RUNS runs (default 1, no
+warm-up) of a query over those stored tables, with its own intermediates
+rebuilt each run.
 Each run executes the whole plan into Spark's no-op sink (nothing collected).
 """
 
@@ -45,16 +46,16 @@ def main() -> None:
         reg[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.time() - t
 
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     out = {"ingest": round(ingest, 3)}
     for name in HEADLINE:
         if name not in reg:
             continue
-        run(name)
-        out[name] = round(statistics.median(run(name) for _ in range(3)), 3)
+        out[name] = round(statistics.median(run(name) for _ in range(runs)), 3)
     total = round(sum(v for k, v in out.items() if k != "ingest"), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_median_sec", "value": total,
-                      "unit": "sec", "queries": out, "sf": sf, "cpus": int(cpus)}))
+                      "unit": "sec", "queries": out, "sf": sf, "cpus": int(cpus), "runs": runs}))
     spark.stop()
 
 
