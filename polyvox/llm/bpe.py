@@ -1,7 +1,7 @@
 """Operator 8: BPE encoding and decoding through a distinct-word table.
 
 Texts are split into words where they are read. A block of texts becomes one
-row of word numbers (positions) and, per word bucket, the block's distinct
+row of word numbers (positions) and, per word bucket, a row of its distinct
 words. Words meet by bucket, where each distinct word is encoded once; the
 ids go back to their block and are joined to the word numbers by position.
 Decoding joins ids to their pieces. So only distinct words of blocks are
@@ -21,6 +21,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -30,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from polyvox.llm.common import whole_groups
+from polyvox.llm.common import small_parts, whole_groups
 from polyvox.llm.token_counts import byte_alphabet
 
-BLOCK_CHARS = 24 << 20   # characters of text per block (a longer text is a block of its own)
-BUCKETS = 64
+BLOCK_CHARS = 32 << 20   # characters of text per block (a longer text is a block of its own)
+BUCKETS = 256
 MAX_KNOWN_WORDS = 500_000
 _TO_CHAR = {b: c for c, b in byte_alphabet().items()}
 
@@ -110,40 +111,49 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     def rows(items: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*items, strict=True), types, strict=True)], schema=arrow)
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch], codes: bool) -> Iterator[pa.RecordBatch]:
+        """Blocks' word numbers (``codes``) or their distinct words by bucket."""
         w = Words(shared.value)
-        words: list[str] = []
-        ends, ids, chars, mark = [], [], 0, xxhash.xxh3_64()
+        index: dict[str, int] = {}
+        parts: list[np.ndarray] = []
+        ends, ids, chars, total, mark = [], [], 0, 0, xxhash.xxh3_64()
 
         def block() -> Iterator[pa.RecordBatch]:
-            codes, uniq = pd.factorize(np.array(words, dtype=object)) if words else (np.zeros(0, np.int64), [])
-            own = list(uniq)
+            own = list(index)
             where = _bucket(own, buckets)
             order = np.argsort(where, kind="stable")
-            place = np.empty(len(own), dtype=np.int64)
-            place[order] = np.arange(len(own))
             number = mark.intdigest() >> 1
-            data = place[codes].astype(np.uint32) if len(own) else np.zeros(0, np.uint32)
-            planes = np.concatenate([(data >> s & 0xFF).astype(np.uint8) for s in (0, 8, 16, 24)]).tobytes()
-            packed = pa.compress(planes, codec="zstd", asbytes=True)
-            yield rows([(number, 2, number, len(words), None, packed, ids, ends)])
+            if codes:
+                place = np.empty(len(own), dtype=np.uint32)
+                place[order] = np.arange(len(own), dtype=np.uint32)
+                data = place[np.concatenate(parts)] if total else np.zeros(0, np.uint32)
+                planes = np.concatenate([(data >> s & 0xFF).astype(np.uint8) for s in (0, 8, 16, 24)])
+                yield rows([(number, 2, number, total, None, pa.compress(planes, codec="zstd", asbytes=True), ids, ends)])
+                return
             cut = np.searchsorted(where[order], np.arange(buckets + 1))
             for k in range(buckets):
                 part = [own[i] for i in order[cut[k]:cut[k + 1]]]
                 if part:
                     yield rows([(k, 0, number, k, part, None, None, None)])
 
-        for b in batches:
+        for b in small_parts(batches):
+            words: list[str] = []
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words += w.split(t)
                 ids.append(d)
-                ends.append(len(words))
+                ends.append(total + len(words))
                 chars += len(t)
                 mark.update(f"{d}:{len(t)}:")
                 mark.update(t.encode("utf-8", "surrogatepass"))
-                if chars >= block_chars:
-                    yield from block()
-                    words, ends, ids, chars = [], [], [], 0
+            if words:
+                code, uniq = pd.factorize(np.array(words, dtype=object))
+                known = np.array([index.setdefault(u, len(index)) for u in uniq], dtype=np.uint32)
+                if codes:
+                    parts.append(known[code])
+                total += len(words)
+            if chars >= block_chars:
+                yield from block()
+                index, parts, ends, ids, chars, total = {}, [], [], [], 0, 0
         if ids:
             yield from block()
 
@@ -151,22 +161,19 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         w = None
         known: dict[str, bytes] = {}
         for b in batches:
-            kind = b.column(1).to_numpy()
-            if (kind == 2).any():
-                yield b.filter(pa.array(kind == 2))
-            for i in np.flatnonzero(kind == 0):
+            for i in range(b.num_rows):
                 w = w or Words(shared.value)
                 if len(known) > MAX_KNOWN_WORDS:
                     known.clear()
                 got = []
-                for word in b.column(4)[int(i)].as_py():
+                for word in b.column(4)[i].as_py():
                     e = known.get(word)
                     if e is None:
                         e = known[word] = np.array(w.ids(word), dtype=np.uint32).tobytes()
                     got.append(e)
                 lens = np.array([len(e) // 4 for e in got], dtype=np.uint32)
                 payload = np.concatenate([np.array([len(got)], np.uint32), lens, np.frombuffer(b"".join(got), np.uint32)])
-                block, bucket = b.column(2)[int(i)].as_py(), b.column(3)[int(i)].as_py()
+                block, bucket = b.column(2)[i].as_py(), b.column(3)[i].as_py()
                 yield rows([(block, 1, block, bucket, None, pa.compress(payload.tobytes(), codec="zstd", asbytes=True)
                              + len(payload).to_bytes(8, "little"), None, None)])
 
@@ -181,10 +188,13 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             for a, z in zip(*_runs(block), strict=True):
                 yield from _joined(t.slice(a, z - a), piece, digests)
 
-    first = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-             .mapInArrow(split, schema))
-    ids = first.repartition(F.col("kind"), F.col("key")).mapInArrow(encode, schema)
-    return (ids.repartition(F.col("block")).sortWithinPartitions("block", "kind", "bucket").mapInArrow(join, out))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # texts are split twice: once for words, once for word numbers, which then move only once.
+    # A block's name is a digest of its texts, so words can only meet the numbers they belong to.
+    words = base.mapInArrow(partial(split, codes=False), schema)
+    numbers = base.mapInArrow(partial(split, codes=True), schema)
+    ids = words.repartition("key").mapInArrow(encode, schema).unionByName(numbers)
+    return ids.repartition("block").sortWithinPartitions("block", "kind", "bucket").mapInArrow(join, out)
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

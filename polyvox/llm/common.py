@@ -56,7 +56,7 @@ def distinct_texts(docs: DataFrame, extra: Column | None = None) -> DataFrame:
 
 
 def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string/binary Arrow array and its n + 1 offsets, no copies per row."""
+    """UTF-8 bytes of a string/binary Arrow array and its n + 1 offsets (from 0), no copies per row."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
     big = arr.type in (pa.large_string(), pa.large_binary())
@@ -64,7 +64,19 @@ def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     off = off[arr.offset:arr.offset + len(arr) + 1].astype(np.int64)
     data = arr.buffers()[2]
     buf = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return buf, off
+    return buf[off[0]:off[-1]], off - off[0]
+
+
+def small_parts(batches: Iterator[pa.RecordBatch], text: int = -1, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with at most ``limit`` bytes in string column ``text`` (one row at
+    least), so that per-word lists stay small however long the texts of a batch are."""
+    for b in batches:
+        _, off = text_buffer(b.column(text))
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(off, off[at] + limit, side="right")) - 1)
+            yield b.slice(at, end - at)
+            at = end
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str,

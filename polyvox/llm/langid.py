@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polyvox.llm.common import staged
+from polyvox.llm.common import small_parts
 
 ORDER = 4
 BITS = 12                 # bits per character in a packed n-gram
@@ -76,7 +76,7 @@ def ngram_counts(docs: DataFrame, label: Column, text_col: str = "text") -> Data
             return pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(part), pa.string()),
                                                "gram": pa.array(part.index.to_numpy()), "n": pa.array(part.to_numpy())})
 
-        for b in batches:
+        for b in small_parts(batches, limit=16 << 20):
             langs = np.array(b.column(0).to_pylist(), dtype=object)
             texts = b.column(1).to_pylist()
             for lang in np.unique(langs):
@@ -204,7 +204,7 @@ def _scored(docs: DataFrame, models: dict[str, Model], keep: list[str]) -> DataF
         langs = shared.value
         known: dict[str, int] = {}
         table = np.zeros((0, len(langs)))
-        for b in batches:
+        for b in small_parts(batches):
             words: list[str] = []
             ends = [0]
             for t in b.column(len(keep)).to_pylist():

@@ -35,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polyvox.llm.common import distinct_texts, staged, text_buffer, text_id, whole_groups
+from polyvox.llm.common import distinct_texts, small_parts, staged, text_buffer, text_id, whole_groups
 
 LENGTH = 200
 GRAM = 40
 GROUP_ROWS = 20_000      # occurrences of an anchor up to which they are sorted in one task
 _SEGMENT = 1 << 20       # window starts worked at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_ELEMENTS = 4_000_000    # interval members tested at a time
+_ELEMENTS = 500_000     # interval members tested at a time
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,27 +214,41 @@ def _fingerprints(buf: np.ndarray, starts: np.ndarray, length: int) -> list[byte
     return [hashlib.blake2b(data[s:s + length], digest_size=16).digest() for s in starts.tolist()]
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``tid, start, stop``: spans of distinct ``texts(tid, text)`` covered by repeats (they may overlap).
+def repeated_spans(rows: DataFrame, texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``tid, start, stop``: spans of distinct ``texts(tid, text)`` covered by repeats (they may
+    overlap). ``rows(tid, text)`` are the same texts, each any number of times.
 
     Every byte of a ``length``-byte string that starts twice lies in a span, no other byte does.
     """
     if length <= gram:
         raise ValueError("repeats must be longer than the anchor gram")
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch], fold: bool) -> Iterator[pa.RecordBatch]:
+        """Anchors of each text; with ``fold`` each hash once per text, with its number there."""
         hasher = _Hasher()
-        for b in batches:
+        for b in small_parts(batches, limit=8 << 20):
             buf, off = text_buffer(b.column(1))
             pos, h, _, _ = anchors(buf, off, length, gram, hasher)
             pos, first = np.unique(pos, return_index=True)
-            doc = np.searchsorted(off, pos, side="right") - 1
+            h = h[first].view(np.int64)
             # texts without bytes share an offset: the last one there owns the position
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(h[first].view(np.int64)),
-                                              pa.array((pos - off[doc]).astype(np.int32))], ["tid", "h", "pos"])
-
-    found = texts.select("tid", "text").mapInArrow(emit, "tid binary, h long, pos int")
-    counts = staged(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sa-anchors")
+            doc = np.searchsorted(off, pos, side="right") - 1
+            if fold:
+                o = np.lexsort((h, doc))
+                cut = np.flatnonzero((np.diff(doc[o], prepend=-1) != 0) | (np.diff(h[o], prepend=0) != 0))
+                n = np.diff(np.append(cut, len(o)))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc[o][cut])), pa.array(h[o][cut]),
+                                                  pa.array(n.astype(np.int32))], ["tid", "h", "n"])
+            else:
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(h),
+                                                  pa.array((pos - off[doc]).astype(np.int32))], ["tid", "h", "pos"])
+
+    # anchors that two different texts hold, or one text twice; copies count as one text
+    seen = (rows.mapInArrow(partial(emit, fold=True), "tid binary, h long, n int")
+            .select("h", "n", F.xxhash64("tid").alias("t")))
+    counts = staged(seen.groupBy("h").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.min("t").alias("low"), F.max("t").alias("high"))
+                    .filter("most > 1 or low < high").select("h", "n"), "sa-anchors")
+    found = texts.select("tid", "text").mapInArrow(partial(emit, fold=False), "tid binary, h long, pos int")
     here = (found.join(counts, "h").groupBy("tid")
             .agg(F.sort_array(F.collect_list(F.struct("pos", "h", (F.col("n") > group_rows).alias("hot")))).alias("a"))
             .select("tid", "a.pos", "a.h", "a.hot"))
@@ -245,7 +259,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, gro
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _Hasher()
-        for b in batches:
+        for b in small_parts(batches, 1, 8 << 20):
             buf, off = text_buffer(b.column("text"))
             places = b.column("pos")
             n = np.diff(places.offsets.to_numpy())
@@ -281,16 +295,15 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, gro
     places = held.mapInArrow(cut, schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, "h", 30_000):
+        for t in whole_groups(batches, "h", 8_000):
             lb, lo = text_buffer(t.column("left"))
             rb, ro = text_buffer(t.column("right"))
             llen, rlen = np.diff(lo), np.diff(ro)
             n = t.num_rows
             left, right = np.zeros((n, length - gram), np.uint8), np.zeros((n, length), np.uint8)
-            for m, buf, o, size, back in ((left, lb, lo, llen, True), (right, rb, ro, rlen, False)):
-                i = np.repeat(np.arange(n), size)
-                j = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                m[i, (size[i] - 1 - j) if back else j] = buf[o[0]:o[-1]]
+            for i in range(n):
+                left[i, :llen[i]] = lb[lo[i]:lo[i + 1]][::-1]
+                right[i, :rlen[i]] = rb[ro[i]:ro[i + 1]]
             row, l, r, _ = repeats(t.column("h").to_numpy().view(np.uint64), left, llen, right, rlen, length, gram)
             if not len(row):
                 continue
@@ -320,7 +333,7 @@ def _any_hot(counts: DataFrame, group_rows: int) -> bool:
 
 def _kept(batches: Iterator[pa.RecordBatch], length: int, digests: bool) -> Iterator[pa.RecordBatch]:
     """Per text: its removed runs merged and what stays."""
-    for b in batches:
+    for b in small_parts(batches, 1, 8 << 20):
         buf, off = text_buffer(b.column("text"))
         spans, copies = b.column("spans"), b.column("copies").to_numpy()
         so = spans.offsets.to_numpy() if len(spans) else np.zeros(1, np.int32)
@@ -370,7 +383,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     for one; equal rows are copies of each other; other columns are ignored.
     """
     texts = distinct_texts(docs)
-    spans = repeated_spans(texts, length, gram, group_rows)
+    rows = docs.select(text_id().alias("tid"), F.coalesce("text", F.lit("")).alias("text"))
+    spans = repeated_spans(rows, texts, length, gram, group_rows)
     own = spans.groupBy("tid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     schema = ("tid binary, n_bytes long, n_removed long, n_spans long, "
               + ("kept_sha256 string" if digests else "kept binary, runs array<struct<start:long,stop:long>>"))

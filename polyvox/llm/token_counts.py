@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from polyvox.llm.common import small_parts
+
 MAX_KNOWN_WORDS = 300_000
 WORD_START = " "
 
@@ -139,7 +141,7 @@ def token_counts(docs: DataFrame, pieces: list[bytes], id_col: str = "doc_id", t
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = LongestMatch(shared.value)
         known: dict[str, int] = {}
-        for b in batches:
+        for b in small_parts(batches):
             words: list[str] = []
             ends, chars = [0], []
             for t in b.column(1).to_pylist():

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polyvox.llm.common import staged, text_id
+from polyvox.llm.common import small_parts, staged, text_id
 
 DECAY = 0.6
 SPAN = 7                 # characters that a common subsequence may span
@@ -299,7 +299,7 @@ def piece_counts(docs: DataFrame) -> DataFrame:
     """``piece, t, c``: toxic and clean texts of ``docs(text, toxic)`` that hold each piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             toxic = b.column(0).to_numpy(zero_copy_only=False)
             for side in (0, 1):
                 own: list[str] = []
@@ -318,7 +318,7 @@ def text_pieces(docs: DataFrame) -> DataFrame:
     """``tid, piece``: the distinct pieces of each text of ``docs(tid, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             own = [list(set(pieces(t))) for t in b.column(1).to_pylist()]
             row = np.repeat(np.arange(len(own)), [len(o) for o in own])
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array([p for o in own for p in o], pa.string())], ["tid", "piece"])
@@ -382,7 +382,7 @@ def margins(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, classes = shared.value, _Classes()
         known: dict[str, float] = {}
-        for b in batches:
+        for b in small_parts(batches):
             own: list[str] = []
             ends = [0]
             for t in b.column(len(keep)).to_pylist():
