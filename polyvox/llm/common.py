@@ -55,6 +55,13 @@ def distinct_texts(docs: DataFrame, extra: Column | None = None) -> DataFrame:
     return d.groupBy("tid").agg(*aggs)
 
 
+def hash_sample(df: DataFrame, rows: int, total: int, *cols: str) -> DataFrame:
+    """About ``rows`` of ``total`` rows of ``df``: those whose hash of ``cols`` lies lowest.
+    A filter, so nothing is sorted or moved; deterministic for equal data."""
+    share = min(1.0, rows / max(1, total))
+    return df if share >= 1 else df.filter(F.pmod(F.xxhash64(*cols), F.lit(1 << 31)) < int(share * (1 << 31)))
+
+
 def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string/binary Arrow array and its n + 1 offsets (from 0), no copies per row."""
     if isinstance(arr, pa.ChunkedArray):

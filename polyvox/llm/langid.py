@@ -26,13 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polyvox.llm.common import small_parts
+from polyvox.llm.common import hash_sample, small_parts
 
 ORDER = 4
 BITS = 12                 # bits per character in a packed n-gram
 MAX_GRAMS = 300_000       # n-grams kept per language in the broadcast model, by count
 DISCOUNT = 0.75
-CALIBRATION_TEXTS = 4_000  # training texts that the rejection threshold is read off (bounded)
+CALIBRATION_TEXTS = 4_000  # training texts that the rejection threshold is read off (by hash, about)
 REJECT_QUANTILE = 0.995
 MAX_KNOWN_WORDS = 400_000
 _FLUSH = 400_000
@@ -255,9 +255,9 @@ def identify(docs: DataFrame, training: Column, lang_col: str = "lang") -> DataF
         return base.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("cross_entropy"))
     lang_list = F.array(*[F.lit(n) for n in names])
-    # calibration: held-in texts with the smallest hashes, a bounded number
-    some = (base.filter(~F.col("held_out") & F.col("lang").isNotNull())
-            .withColumn("h", F.xxhash64("doc_id", "text")).orderBy("h").limit(CALIBRATION_TEXTS).drop("h"))
+    # calibration: held-in texts with the smallest hashes, about a fixed number
+    seen = base.filter(~F.col("held_out") & F.col("lang").isNotNull())
+    some = hash_sample(seen, CALIBRATION_TEXTS, seen.count(), "doc_id", "text")
     cal = (_scored(some, models, ["lang"]).filter("nll is not null")
            .select("lang", F.element_at("nll", F.array_position(lang_list, F.col("lang")).cast("int")).alias("x")))
     cut = {r[0]: r[1] for r in cal.groupBy("lang").agg(F.percentile("x", REJECT_QUANTILE)).collect()}

@@ -42,7 +42,7 @@ GRAM = 40
 GROUP_ROWS = 20_000      # occurrences of an anchor up to which they are sorted in one task
 _SEGMENT = 1 << 20       # window starts worked at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_ELEMENTS = 500_000     # interval members tested at a time
+_ELEMENTS = 100_000     # interval members tested at a time
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -295,7 +295,7 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, length: int = LENGTH, gram
     places = held.mapInArrow(cut, schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, "h", 8_000):
+        for t in whole_groups(batches, "h", 4_000):
             lb, lo = text_buffer(t.column("left"))
             rb, ro = text_buffer(t.column("right"))
             llen, rlen = np.diff(lo), np.diff(ro)

@@ -39,12 +39,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polyvox.llm.common import small_parts, staged, text_id
+from polyvox.llm.common import hash_sample, small_parts, staged, text_id
 
 DECAY = 0.6
 SPAN = 7                 # characters that a common subsequence may span
 WIDTH = 24               # longest piece; longer words are cut into overlapping parts
-TOXIC_TEXTS = 5_000      # toxic texts that witnesses are chosen from (smallest hashes)
+TOXIC_TEXTS = 5_000      # toxic texts that witnesses are chosen from (by hash, about)
 TEXT_PIECES = 64         # candidate pieces per toxic text, by lift
 TOXIC_PIECES = 800       # witnesses at most
 CLEAN_PIECES = 6_000     # frequent and random clean pieces trained on
@@ -62,7 +62,7 @@ _GAPS = [(a, b) for a, b in product(range(1, SPAN), repeat=2) if a + b < SPAN]
 _STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "¡¿«»“”„‘’…–—"
 MAX_KNOWN = 400_000
 FLOOR = -0.5             # pieces whose margin is surely below are not worked out further
-LABELLED_ROWS = 100_000  # labelled rows that are learnt from (smallest hashes), a broadcast's bound
+LABELLED_ROWS = 100_000  # labelled rows that are learnt from (by hash, about), a broadcast's bound
 
 
 def _char_class(c: str) -> int:
@@ -328,7 +328,7 @@ def text_pieces(docs: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame) -> Model:
     """Fit on ``text, toxic`` rows: document counts of pieces over all of them, witnesses of the
-    toxic ones, the SVM, and Platt scaling on PLATT_TEXTS texts (smallest hashes)."""
+    toxic ones, the SVM, and Platt scaling on about PLATT_TEXTS texts (by hash)."""
     lab = labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
     total = {r[0]: r[1] for r in lab.groupBy("toxic").count().collect()}
     if not total.get(1) or not total.get(0):
@@ -337,8 +337,7 @@ def train(labelled: DataFrame) -> Model:
     df = staged(piece_counts(lab).withColumn("odds", odds), "toxicity-pieces")
     telling = df.filter((F.col("t") >= MIN_TOXIC) & (F.col("odds") >= MIN_ODDS)).select(
         "piece", (F.col("t") - F.col("c") * F.lit(total[1] / total[0])).alias("lift"))
-    few = (lab.filter("toxic = 1").select(text_id().alias("tid"), "text").withColumn("h", F.xxhash64("tid"))
-           .orderBy("h").limit(TOXIC_TEXTS).dropDuplicates(["tid"]))
+    few = hash_sample(lab.filter("toxic = 1"), TOXIC_TEXTS, total[1], "text").select(text_id().alias("tid"), "text").dropDuplicates(["tid"])
     best = F.row_number().over(Window.partitionBy("tid").orderBy(F.desc("lift"), "piece"))
     pairs = text_pieces(few).join(telling, "piece").withColumn("r", best).filter(F.col("r") <= TEXT_PIECES).select("tid", "piece")
     held = pairs.groupBy("tid").agg(F.sort_array(F.collect_list("piece")).alias("own")).collect()
@@ -347,7 +346,7 @@ def train(labelled: DataFrame) -> Model:
     clean = [r[0] for r in common.orderBy(F.desc("c"), "piece").limit(CLEAN_PIECES // 2).select("piece").collect()]
     pool = [r[0] for r in common.orderBy(F.xxhash64("piece")).limit(CLEAN_POOL).select("piece").collect()]
     model = fit(toxic, list(dict.fromkeys([*clean, *pool[:CLEAN_PIECES // 2]])), pool)
-    some = lab.withColumn("h", F.xxhash64("text")).orderBy("h").limit(PLATT_TEXTS).drop("h")
+    some = hash_sample(lab, PLATT_TEXTS, sum(total.values()), "text")
     got = margins(some, model, ["toxic"]).select("toxic", "margin").toPandas()
     model.slope, model.shift = _platt(got["margin"].to_numpy(), got["toxic"].to_numpy())
     return model
