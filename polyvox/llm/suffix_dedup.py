@@ -156,19 +156,22 @@ def intervals(lcp: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def repeats(group: np.ndarray, left: np.ndarray, llen: np.ndarray, right: np.ndarray, rlen: np.ndarray,
-            length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Repeats among suffixes of equal groups.
+def interval_members(group: np.ndarray, left: np.ndarray, llen: np.ndarray, right: np.ndarray, rlen: np.ndarray,
+                     length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
+    """Members of all common-prefix intervals of suffixes of equal groups, some intervals at a time.
 
     ``right`` holds the bytes from each suffix's anchor on, ``left`` those
-    before it in reverse, both zero-padded, with their lengths. Returns arrays
-    (row, left bytes, right bytes, repeat number): every occurrence of every
-    repeat of at least ``length`` bytes that is right- and left-maximal.
+    before it in reverse, both zero-padded, with their lengths. Yields
+    (row, depth, share, outer): members interval by interval, in left order;
+    ``share[i]`` is one more than the left bytes that members i and i + 1 agree
+    on, or 0 where the interval ends or the whole would be under ``length``;
+    ``outer(first, last)`` gives the depth of the smallest interval that
+    holds each range of members. An interval nests in at most ``length -
+    gram`` others, so members are at most that many times the rows.
     """
     n = len(group)
-    none = tuple(np.zeros(0, np.int64) for _ in range(4))
     if n < 2:
-        return none
+        return
     gb = group.astype(">u8").view(np.uint8).reshape(n, 8)
     order, lcp = _sorted_lcp(np.concatenate([gb, right], axis=1), rlen + 8)
     lcp = np.maximum(lcp - 8, 0)
@@ -178,35 +181,59 @@ def repeats(group: np.ndarray, left: np.ndarray, llen: np.ndarray, right: np.nda
     ltable, rtable = _rmq(llcp), _rmq(lcp)
     tree = np.array(intervals(lcp, gram), dtype=np.int64).reshape(-1, 3)
     if not len(tree):
-        return none
+        return
     size = tree[:, 1] - tree[:, 0] + 1
-    part = np.cumsum(size) // _ELEMENTS
-    found, number = [], 0
-    for chosen in np.split(np.arange(len(tree)), np.flatnonzero(np.diff(part)) + 1):
+    for chosen in np.split(np.arange(len(tree)), np.flatnonzero(np.diff(np.cumsum(size) // _ELEMENTS)) + 1):
         sz = size[chosen]
         node = np.repeat(chosen, sz)
         place = tree[node, 0] + np.arange(len(node)) - np.repeat(np.cumsum(sz) - sz, sz)
-        o = np.lexsort((lrank[order[place]], node))
-        place = place[o]
+        place = place[np.lexsort((lrank[order[place]], node))]
         rank, depth = lrank[order[place]], tree[node, 2]
-        # what neighbours in left order share, plus one; 0 parts intervals and what is too short
         share = np.zeros(len(place) - 1, np.int64)
         pair = np.flatnonzero(node[1:] == node[:-1])
         share[pair] = _range_min(ltable, rank[pair], rank[pair + 1])
         share[pair] = np.where(share[pair] + depth[pair] >= length, share[pair] + 1, 0)
-        same = np.array(intervals(share, 1), dtype=np.int64).reshape(-1, 3)
-        if not len(same):
+        if not share.any():
             continue
-        # occurrences that share more to the right belong to an inner interval
-        lo = _range_min(_rmq(place), same[:, 0], same[:, 1] + 1)
-        hi = -_range_min(_rmq(-place), same[:, 0], same[:, 1] + 1)
-        same = same[_range_min(rtable, lo, hi) == depth[same[:, 0]]]
+
+        def outer(first: np.ndarray, last: np.ndarray, place: np.ndarray = place) -> np.ndarray:
+            return _range_min(rtable, _range_min(_rmq(place), first, last + 1), -_range_min(_rmq(-place), first, last + 1))
+
+        yield order[place], depth, share, outer
+
+
+def repeats(*suffixes: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """All maximal repeats among suffixes (see ``interval_members``) with all their occurrences:
+    arrays (row, left bytes, right bytes, repeat number).
+
+    A second stack scan, over the left order inside each interval, yields the
+    groups that agree to the left and part one byte further (left-maximal);
+    those that agree further to the right belong to an inner interval.
+    """
+    found, number = [], 0
+    for row, depth, share, outer in interval_members(*suffixes, length=length, gram=gram):
+        same = np.array(intervals(share, 1), dtype=np.int64).reshape(-1, 3)
+        same = same[outer(same[:, 0], same[:, 1]) == depth[same[:, 0]]]
         sz = same[:, 1] - same[:, 0] + 1
         which = np.repeat(np.arange(len(same)), sz)
         at = same[which, 0] + np.arange(len(which)) - np.repeat(np.cumsum(sz) - sz, sz)
-        found.append((order[place[at]], same[which, 2] - 1, depth[at], number + which))
+        found.append((row[at], same[which, 2] - 1, depth[at], number + which))
         number += len(same)
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else none
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else tuple(np.zeros(0, np.int64) for _ in range(4))
+
+
+def reach(*suffixes: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """Per suffix the longest left and right parts of the repeats it is an occurrence of (0, 0:
+    none). All hold its anchor, so together they cover one span; the innermost left group of a
+    member is the one it forms with a neighbour in left order."""
+    n = len(suffixes[0])
+    left, right = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for row, depth, share, _ in interval_members(*suffixes, length=length, gram=gram):
+        best = np.maximum(np.append(share, 0), np.append(0, share))
+        hit = best > 0
+        np.maximum.at(left, row[hit], best[hit] - 1)
+        np.maximum.at(right, row[hit], depth[hit])
+    return left, right
 
 
 def _fingerprints(buf: np.ndarray, starts: np.ndarray, length: int) -> list[bytes]:
@@ -304,13 +331,7 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, length: int = LENGTH, gram
             for i in range(n):
                 left[i, :llen[i]] = lb[lo[i]:lo[i + 1]][::-1]
                 right[i, :rlen[i]] = rb[ro[i]:ro[i + 1]]
-            row, l, r, _ = repeats(t.column("h").to_numpy().view(np.uint64), left, llen, right, rlen, length, gram)
-            if not len(row):
-                continue
-            # a row's repeats all hold its anchor, so together they cover one span
-            reach_l, reach_r = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            np.maximum.at(reach_l, row, l)
-            np.maximum.at(reach_r, row, r)
+            reach_l, reach_r = reach(t.column("h").to_numpy().view(np.uint64), left, llen, right, rlen, length=length, gram=gram)
             hit = np.flatnonzero(reach_r)
             pos = t.column("pos").to_numpy()[hit].astype(np.int64)
             yield pa.RecordBatch.from_arrays([t.column("tid").combine_chunks().take(pa.array(hit)), pa.array(pos - reach_l[hit]),

@@ -35,6 +35,7 @@ from polyvox.llm.common import shared_folder, staged
 
 RANGE_BYTES = 4 << 20
 ROLL_BYTES = 64 << 20
+MAX_RANGE_TASKS = 20_000
 _CHUNK = 1 << 16
 _GZ = b"\x1f\x8b\x08"
 _PLAIN = b"WARC/1."
@@ -222,6 +223,13 @@ def ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
             .withColumn("end", F.least(F.col("start") + range_bytes, "size")))
 
 
+def _dealt(rows: DataFrame, files: DataFrame, range_bytes: int) -> DataFrame:
+    """Rows of ranges dealt out: they are few and each is much work, so by a fixed number of
+    partitions (about one range each), which isn't coalesced for being small."""
+    total = files.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 0
+    return rows.repartition(int(min(max(total, 1), MAX_RANGE_TASKS)), "file", "start")
+
+
 def chain_entries(files: DataFrame, folder: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``file, start, end, entry``: the offset where the chain from offset 0 first enters each range."""
     spark = files.sparkSession
@@ -236,8 +244,7 @@ def chain_entries(files: DataFrame, folder: str, range_bytes: int = RANGE_BYTES)
                     "file": pa.array([r["file"]] * len(offs), pa.string()), "start": pa.array([r["start"]] * len(offs), pa.int64()),
                     "off": pa.array(offs, pa.int64()), "jump": pa.array(exits, pa.int64())})
 
-    # ranges are few and each is much work: deal them out one by one
-    spread = rng.repartition(F.col("file"), F.col("start"))
+    spread = _dealt(rng, files, range_bytes)
     cand = staged(spread.mapInArrow(emit, "file string, start long, off long, jump long"), "warc-candidates")
     # nodes that matter: offset 0 and offsets that some other range's chain exits to
     exits = cand.filter("jump >= 0").select("file", F.col("jump").alias("off")).distinct()
@@ -339,7 +346,7 @@ def read_archives(files: DataFrame, folder: str, range_bytes: int = RANGE_BYTES)
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, arrow)
 
-    return entries.repartition(F.col("file"), F.col("start")).mapInArrow(walk, schema)
+    return _dealt(entries, files, range_bytes).mapInArrow(walk, schema)
 
 
 def roundtrip(spark: SparkSession, pages: DataFrame, min_revisit_bytes: int = 0, compress: bool = True,
