@@ -36,6 +36,7 @@ COPIES_RATIO = 1.15   # a vector joins lists whose centroid is within this ratio
 MAX_COPIES = 4
 PROBE_RATIO = 1.6     # lists within this distance ratio of the nearest are searched
 MAX_PROBES = 256
+MIN_PROBES = 24         # lists searched however near the first is (a query may be a centroid itself)
 DEGREE = 24
 LONG_LINKS = 8
 BEAM = 64
@@ -195,7 +196,8 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id"
             x = _matrix(b.column(1))
             for a in range(0, len(x), 256):
                 ids, ds = m.search(x[a:a + 256], MAX_PROBES, beam=MAX_PROBES)
-                keep = np.isfinite(ds) & (ds <= probe_ratio * ds[:, :1] + 1e-12) & (ids >= 0)
+                keep = np.isfinite(ds) & (ids >= 0)
+                keep[:, MIN_PROBES:] &= ds[:, MIN_PROBES:] <= probe_ratio * ds[:, :1] + 1e-12
                 row, col = np.nonzero(keep)
                 part = b.slice(a, 256).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row, col]), *part.columns], ["list", "q", "v"])

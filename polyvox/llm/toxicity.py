@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import heapq
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
@@ -48,7 +49,7 @@ TOXIC_TEXTS = 5_000      # toxic texts that witnesses are chosen from (by hash,
 TEXT_PIECES = 64         # candidate pieces per toxic text, by lift
 TOXIC_PIECES = 800       # witnesses at most
 CLEAN_PIECES = 6_000     # frequent and random clean pieces trained on
-CLEAN_POOL = 120_000     # clean pieces that hard ones are picked from
+CLEAN_POOL = 120_000     # clean pieces (by hash, about) that hard ones are picked from
 HARD_PIECES = 3_000
 ROUNDS = 3
 LANDMARKS = 512
@@ -344,7 +345,9 @@ def train(labelled: DataFrame) -> Model:
     toxic = witnesses({bytes(r[0]): r[1] for r in sorted(held, key=lambda r: bytes(r[0]))})
     common = df.filter((F.col("c") > 0) & (F.col("odds") < 2))
     clean = [r[0] for r in common.orderBy(F.desc("c"), "piece").limit(CLEAN_PIECES // 2).select("piece").collect()]
-    pool = [r[0] for r in common.orderBy(F.xxhash64("piece")).limit(CLEAN_POOL).select("piece").collect()]
+    # a filter, not an ordered limit: that would send every task's best rows to the driver
+    pool = [r[0] for r in hash_sample(common, CLEAN_POOL, common.count(), "piece").select("piece").collect()]
+    pool.sort(key=lambda x: (zlib.crc32(x.encode("utf-8", "surrogatepass")), x))
     model = fit(toxic, list(dict.fromkeys([*clean, *pool[:CLEAN_PIECES // 2]])), pool)
     some = hash_sample(lab, PLATT_TEXTS, sum(total.values()), "text")
     got = margins(some, model, ["toxic"]).select("toxic", "margin").toPandas()
