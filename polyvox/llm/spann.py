@@ -32,11 +32,12 @@ SAMPLE = 20_000       # vectors that centroids are fitted on (bounded)
 LIST_SIZE = 128       # mean distinct vectors per posting list aimed at
 MAX_LISTS = 2_000     # at least ten sampled vectors stand for each centroid
 BLOCK_ROWS = 4_096    # rows of a posting list that one block may hold
+SHARD_ROWS = 30_000   # postings that are searched in one task
 COPIES_RATIO = 1.15   # a vector joins lists whose centroid is within this ratio of its nearest
 MAX_COPIES = 4
 PROBE_RATIO = 1.6     # lists within this distance ratio of the nearest are searched
 MAX_PROBES = 256
-MIN_PROBES = 24         # lists searched however near the first is (a query may be a centroid itself)
+MIN_PROBES = 48         # lists searched however near the first is (a query may be a centroid itself)
 DEGREE = 24
 LONG_LINKS = 8
 BEAM = 64
@@ -205,21 +206,38 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id"
     probes = (asked.select("q", "v").mapInArrow(probe, "list long, q long, v array<double>").join(sizes, "list")
               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks"))
 
-    def score(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"q": pd.Series(dtype="int64"), "v": [], "ids": [], "score": pd.Series(dtype="float64")})
-        if left.empty or right.empty:
-            return empty
-        x, ids = np.stack(left["v"].to_numpy()), left["ids"].to_numpy()
-        got = []
-        for q, v in zip(right["q"].to_numpy(), right["v"].to_numpy(), strict=True):
-            d = np.sqrt(((x - v) ** 2).sum(1))
-            # k + 1 entries: the query itself may be the nearest
-            near = np.argpartition(d, k + 1)[:k + 1] if len(d) > k + 1 else np.arange(len(d))
-            near = np.flatnonzero(d <= d[near].max()) if len(d) > k + 1 else near  # all ties of the last
-            got.append(pd.DataFrame({"q": q, "ids": ids[near], "score": d[near]}))
-        return pd.concat(got)[["q", "ids", "score"]] if got else empty
-
-    found = (blocks.groupBy("list", "block").cogroup(probes.groupBy("list", "block"))
+    # blocks are dealt to shards of about SHARD_ROWS postings; a shard answers each query once, for
+    # all of its lists that the query probes, so answers grow with queries and shards, not with lists
+    shards = max(1, -(-posts.count() // SHARD_ROWS))
+    shard = F.pmod(F.xxhash64("list", "block"), F.lit(shards)).alias("shard")
+
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        got: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        if len(left) and len(right):
+            x, ids = np.stack(left["v"].to_numpy()), left["ids"].to_numpy()
+            rows = left.groupby(["list", "block"]).indices
+            asks = right.groupby(["list", "block"]).indices
+            v, q = right["v"].to_numpy(), right["q"].to_numpy()
+            for key, own in rows.items():
+                part = x[own]
+                for i in asks.get(key, ()):
+                    d = np.sqrt(((part - v[i]) ** 2).sum(1))
+                    # k + 1 entries (the query's own may be one of them) and all ties of the last
+                    near = np.flatnonzero(d <= np.partition(d, k)[k]) if len(d) > k + 1 else np.arange(len(d))
+                    got.setdefault(q[i], []).append((own[near], d[near]))
+        out: dict[str, list] = {"q": [], "ids": [], "score": []}
+        for one, parts in got.items():
+            at, d = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            # an entry may lie in several lists of the shard: count copies of the k + 1 by entry
+            _, first = np.unique([ids[a][0] for a in at], return_index=True)
+            at, d = at[first], d[first]
+            keep = np.flatnonzero(d <= np.partition(d, k)[k]) if len(d) > k + 1 else np.arange(len(d))
+            out["q"] += [one] * len(keep)
+            out["ids"] += [ids[a] for a in at[keep]]
+            out["score"] += d[keep].tolist()
+        return pd.DataFrame(out).astype({"q": "int64", "score": "float64"})
+
+    found = (blocks.withColumn("shard", shard).groupBy("shard").cogroup(probes.withColumn("shard", shard).groupBy("shard"))
              .applyInPandas(score, "q long, ids array<long>, score double"))
     # a vector in several lists is found several times
     best = found.groupBy("q", "ids").agg(F.min("score").alias("score"))
