@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from polyvox.functions import argdown as A
-from polyvox.operators import argmap as M
+from polyvox.operators import maprender as M
 from polyvox.operators import scoring as S
 from polyvox.plans.catalog import query
 from polyvox.plans.oracle import VIEWS

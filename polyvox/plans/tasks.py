@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from polyvox import schemas
-from polyvox.operators import argmap as AM
+from polyvox.operators import maprender as AM
 from polyvox.operators import arguments as AR
 from polyvox.operators import cluster as K
 from polyvox.operators import embed as EM

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from polyvox.functions import argdown as A
-from polyvox.operators import argmap as AM
+from polyvox.operators import maprender as AM
 from polyvox.operators.arguments import pending
 from polyvox.plans import tasks
 from polyvox.sources import io
