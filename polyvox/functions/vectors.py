@@ -11,10 +11,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def as_double(a) -> Column:
-    return F.transform(_c(a), lambda x: x.cast("double"))
-
-
 def dot(a, b) -> Column:
     """Sum of element products, accumulated left to right in double."""
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x.cast("double") * y.cast("double")),
@@ -35,7 +31,8 @@ def scale(a, s) -> Column:
 
 
 def normalize(a) -> Column:
-    return scale(a, F.lit(1.0) / norm(a))
+    """Unit vector; NULL for a zero vector (it has no direction)."""
+    return F.when(norm(a) > 0, scale(a, F.try_divide(F.lit(1.0), norm(a))))
 
 
 def sq_dist(a, b) -> Column:

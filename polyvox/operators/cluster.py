@@ -1,16 +1,23 @@
 """Embedding-space topic operators.
 
-Vectors are ``array<float>`` columns. Every step is a join against a small
-per-dataset table (centroids, cluster sums: at most ``MAX_TOPICS`` rows per
-dataset) or a grouped aggregate, so work is O(points x topics); no step
-compares all pairs of points. Joins on ``dataset`` alone are salted, so a
+Vectors are ``array<float>`` columns. Means and sums of vectors are MLlib
+``Summarizer`` aggregates (whole vectors, map-side combine, never one row per
+dimension). Work is O(points x topics); no step compares all pairs of points.
+Tables per topic (centroids, cluster sums) are broadcast only where their
+size has been checked; beyond that they are joined by a salted join, so a
 dataset holding a third of all points still spreads over many tasks.
 """
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,36 +26,27 @@ from polyvox.functions.vectors import cosine, dot, normalize, sq_dist
 from polyvox.operators.skew import per_dataset, salted_join
 from polyvox.session import checkpoint_dir
 
-# With min cluster size max(floor(n/50), 4), a dataset of n >= 200 points has
-# at most 50 clusters; smaller datasets have at most n/4.
-MAX_TOPICS = 50
+# Centroid tables up to this many numbers are sent to every task (64 MB of doubles).
+BROADCAST_NUMBERS = 8_000_000
 
 
 def centroids(assign: DataFrame, vec: str = "embedding", topic: str = "topicId") -> DataFrame:
     """H12 part: mean vector of each non-outlier topic -> (dataset, topic,
-    centroid array<double>, size). Per-dimension means are a partial/final
-    aggregate; the re-assembly collects one dimension list per topic."""
+    centroid array<double>, size)."""
     pts = assign.filter((F.col(topic) >= 0) & F.col(vec).isNotNull())
-    per_dim = (pts.select("dataset", topic, F.posexplode(vec).alias("dim", "x"))
-               .groupBy("dataset", topic, "dim").agg(F.avg("x").alias("x")))
-    sizes = pts.groupBy("dataset", topic).agg(F.count("*").alias("size"))
-    vecs = (per_dim.groupBy("dataset", topic)
-            .agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("__v"))
-            .select("dataset", topic, F.col("__v.x").alias("centroid")))
-    return vecs.join(sizes, ["dataset", topic])
+    return (pts.groupBy("dataset", topic)
+            .agg(Summarizer.mean(array_to_vector(vec)).alias("__m"), F.count("*").alias("size"))
+            .select("dataset", topic, vector_to_array("__m").alias("centroid"), "size"))
 
 
 def centroids_long(assign: DataFrame, vec: str = "embedding", topic: str = "topicId") -> DataFrame:
     """Centroids in long form (dataset, topic, dim, value)."""
-    pts = assign.filter((F.col(topic) >= 0) & F.col(vec).isNotNull())
-    return (pts.select("dataset", topic, F.posexplode(vec).alias("dim", "x"))
-            .groupBy("dataset", topic, "dim").agg(F.avg("x").alias("value")))
+    return centroids(assign, vec, topic).select("dataset", topic, F.posexplode("centroid").alias("dim", "value"))
 
 
 def per_dataset_array(df: DataFrame, name: str, *fields: str) -> DataFrame:
     """One row per dataset holding ``struct(fields...)`` of all its rows,
-    sorted. Used for per-dataset centroid / cluster tables, which have at
-    most MAX_TOPICS rows each."""
+    sorted. Used for per-dataset centroid / cluster tables (one row per topic)."""
     return (df.groupBy("dataset")
             .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name)))
 
@@ -80,7 +78,7 @@ def reassign_by_embedding(assign: DataFrame, cents: DataFrame, vec: str = "embed
 
 def topic_similarity(cents: DataFrame, topic: str = "topicId") -> DataFrame:
     """Cosine similarity of every pair of topic centroids in a dataset
-    (at most MAX_TOPICS^2 pairs per dataset)."""
+    (the result itself is topics squared)."""
     a = cents.select("dataset", F.col(topic).alias("topic_a"), F.col("centroid").alias("__a"))
     b = cents.select("dataset", F.col(topic).alias("topic_b"), F.col("centroid").alias("__b"))
     return (a.join(b, "dataset").filter(F.col("topic_a") != F.col("topic_b"))
@@ -93,15 +91,13 @@ def silhouette(points: DataFrame, vec: str = "embedding", topic: str = "topicId"
     With unit vectors u and cluster sums S_c (n_c members), the mean cosine
     distance from u to cluster c is (n_c - u.S_c)/n_c, and to the other
     members of its own cluster (n_a - u.S_a)/(n_a - 1). Outliers (-1) count
-    as a cluster (survey Q19). Singleton clusters score 0.
+    as a cluster (survey Q19). Singleton clusters score 0; zero vectors take no part.
     Returns (dataset, topic, size, silhouette, overall)."""
     pts = (points.filter(F.col(vec).isNotNull())
-           .select("dataset", "commentId", F.col(topic).alias("__t"), normalize(vec).alias("__u")))
-    per_dim = (pts.select("dataset", "__t", F.posexplode("__u").alias("dim", "x"))
-               .groupBy("dataset", "__t", "dim").agg(F.sum("x").alias("x")))
-    sums = (per_dim.groupBy("dataset", "__t")
-            .agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("__s"))
-            .select("dataset", F.col("__t").alias("c"), F.col("__s.x").alias("S")))
+           .select("dataset", "commentId", F.col(topic).alias("__t"), normalize(vec).alias("__u"))
+           .filter(F.col("__u").isNotNull()))
+    sums = (pts.groupBy("dataset", F.col("__t").alias("c")).agg(Summarizer.sum(array_to_vector("__u")).alias("__s"))
+            .select("dataset", "c", vector_to_array("__s").alias("S")))
     sizes = pts.groupBy("dataset", F.col("__t").alias("c")).agg(F.count("*").alias("n"))
     arr = per_dataset_array(sums.join(sizes, ["dataset", "c"]), "__k", "c", "n", "S")
     t = F.col("__t")
@@ -126,82 +122,129 @@ def _ckpt(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int = 10,
+def _centroid_arrays(cents: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]] | None:
+    """Centroids by dataset as arrays, or None if the table is too large to send to tasks."""
+    rows, dims = cents.agg(F.count("*"), F.max(F.size("__m"))).first()
+    if rows * (dims or 0) > BROADCAST_NUMBERS:
+        return None
+    out: dict[str, list] = {}
+    for r in cents.orderBy("dataset", "__c").collect():
+        out.setdefault(r["dataset"], []).append((r["__c"], r["__m"]))
+    return {d: (np.array([c for c, _ in v]), np.array([m for _, m in v], dtype=np.float64)) for d, v in out.items()}
+
+
+def _nearest(pts: DataFrame, cents: DataFrame) -> DataFrame:
+    """(dataset, commentId, __u, __c, __d2): each unit vector with its nearest centroid (ties:
+    lowest id). Small centroid tables go to the tasks as matrices; others are joined on."""
+    arrays = _centroid_arrays(cents)
+    if arrays is None:
+        arr = per_dataset_array(cents, "__cs", "__c", "__m")
+        best = F.array_min(F.transform("__cs", lambda x: F.struct(
+            sq_dist("__u", x["__m"]).alias("d2"), x["__c"].alias("c"))))
+        return attach(pts, arr).select("dataset", "commentId", "__u", best["c"].alias("__c"), best["d2"].alias("__d2"))
+    shared = pts.sparkSession.sparkContext.broadcast(arrays)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = np.array(b.column(0).to_pylist(), dtype=object)
+            vecs = b.column(2)
+            flat, off = vecs.flatten().to_numpy(zero_copy_only=False), vecs.offsets.to_numpy()
+            x = flat.reshape(len(names), -1) if len(names) and len(flat) else np.zeros((len(names), 0))
+            c, d2 = np.full(len(names), -1, np.int32), np.full(len(names), np.inf)
+            assert len(off) == len(names) + 1
+            for d in set(names):
+                at = np.flatnonzero(names == d)
+                ids, m = shared.value[d]
+                dist = np.maximum((x[at] ** 2).sum(1)[:, None] + (m ** 2).sum(1) - 2 * x[at] @ m.T, 0)
+                c[at], d2[at] = ids[dist.argmin(1)], dist.min(1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(c), pa.array(d2)], ["dataset", "commentId", "__u", "__c", "__d2"])
+
+    return pts.select("dataset", "commentId", "__u").mapInArrow(
+        run, "dataset string, commentId bigint, __u array<double>, __c int, __d2 double")
+
+
+def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int = 20,
                   tol: float = 1e-6, outlier_distance: float | None = None,
-                  k: int | None = None) -> DataFrame:
+                  k: int | None = None, link_distance: float | None = None) -> DataFrame:
     """H3 (re-aimed): density-style topic clusters with outliers, per dataset.
 
-    Lloyd k-means on unit vectors, run for all datasets at once: k per
-    dataset = n / min_cluster_size (<= MAX_TOPICS, or ``k``); seeds are the
-    k points with the smallest hash of their id; each round assigns points
-    to the nearest centroid (salted join on dataset, O(n x k)) and re-averages.
-    Centroids are checkpointed each round; the loop stops when no centroid
-    moves more than ``tol`` (one scalar checked on the driver).
-    Then: points farther than ``outlier_distance`` (cosine distance) from
-    their centroid and clusters under min_cluster_size(n) become -1; clusters
-    are numbered 0.. by size desc, then smallest member id.
-    Returns (dataset, commentId, topicId).
+    Micro-clusters come from Lloyd k-means on unit vectors, for all datasets
+    at once: k per dataset is n / min_cluster_size (or ``k``); seeds are the
+    k points with the smallest hash of their id; each round assigns points to
+    the nearest centroid and re-averages until none moves by more than
+    ``tol``; a warning says if ``max_iter`` rounds were too few. Unit vectors
+    are written once, centroids each round.
+    With ``link_distance``, micro-clusters of min_cluster_size points or more
+    whose centroids are within that cosine distance are one topic
+    (connected components), so topics need not be round.
+    Points farther than ``outlier_distance`` (cosine distance) from their
+    centroid, topics under min_cluster_size(n) and rows without a usable
+    vector (null or zero) become -1; topics are numbered 0.. by size desc,
+    then smallest member id. Returns (dataset, commentId, topicId).
     """
-    pts = (points.filter(F.col(vec).isNotNull())
-           .select("dataset", "commentId", normalize(vec).alias("__u")))
+    rows = points.filter(F.col(vec).isNotNull()).select("dataset", "commentId", normalize(vec).alias("__u"))
+    rows = _ckpt(rows)
+    pts = rows.filter(F.col("__u").isNotNull())
     n = pts.groupBy("dataset").agg(F.count("*").alias("n"))
     kk = n.select("dataset", "n", min_cluster_size("n").alias("__mcs"),
-                  (F.lit(k) if k else F.least(F.greatest(F.floor(F.col("n") / min_cluster_size("n")),
-                                                         F.lit(1)), F.lit(MAX_TOPICS)))
+                  (F.lit(k) if k else F.greatest(F.floor(F.col("n") / min_cluster_size("n")), F.lit(1)))
                   .cast("int").alias("__k"))
+    most = kk.agg(F.max("__k")).first()[0] or 0
     w = Window.partitionBy("dataset").orderBy(F.xxhash64("commentId"), "commentId")
-    seeds = (pts.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= MAX_TOPICS)
-             .join(per_dataset(kk), "dataset").filter(F.col("__r") <= F.col("__k"))
+    # a constant bound lets Spark cut each dataset before the shuffle
+    seeds = (pts.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= most)
+             .join(kk, "dataset").filter(F.col("__r") <= F.col("__k"))
              .select("dataset", (F.col("__r") - 1).cast("int").alias("__c"), F.col("__u").alias("__m")))
     cents = _ckpt(seeds)
-
-    def assign(cs: DataFrame) -> DataFrame:
-        arr = per_dataset_array(cs, "__cs", "__c", "__m")
-        best = F.array_min(F.transform("__cs", lambda x: F.struct(
-            sq_dist("__u", x["__m"]).alias("d2"), x["__c"].alias("c"))))
-        return (attach(pts, arr)
-                .select("dataset", "commentId", "__u", best["c"].alias("__c"),
-                        best["d2"].alias("__d2")))
-
+    settled = False
     for _ in range(max_iter):
-        a = assign(cents)
-        per_dim = (a.select("dataset", "__c", F.posexplode("__u").alias("dim", "x"))
-                   .groupBy("dataset", "__c", "dim").agg(F.avg("x").alias("x")))
-        new = (per_dim.groupBy("dataset", "__c")
-               .agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("__v"))
-               .select("dataset", "__c", F.col("__v.x").alias("__m")))
+        new = (_nearest(pts, cents).groupBy("dataset", "__c").agg(Summarizer.mean(array_to_vector("__u")).alias("__v"))
+               .select("dataset", "__c", vector_to_array("__v").alias("__new")))
         # clusters that lost all members keep their old centroid
-        new = (cents.join(new.withColumnRenamed("__m", "__new"), ["dataset", "__c"], "left")
-               .select("dataset", "__c", F.coalesce("__new", "__m").alias("__m"),
-                       sq_dist("__m", F.coalesce("__new", "__m")).alias("__shift")))
-        new = _ckpt(new)
+        new = _ckpt(cents.join(new, ["dataset", "__c"], "left")
+                    .select("dataset", "__c", F.coalesce("__new", "__m").alias("__m"),
+                            sq_dist("__m", F.coalesce("__new", "__m")).alias("__shift")))
         shift = new.agg(F.max("__shift")).first()[0]
         cents = new.drop("__shift")
         if shift is None or shift <= tol:
+            settled = True
             break
+    if not settled:
+        warnings.warn(f"k-means centroids still moved after {max_iter} rounds (squared shift {shift:.3g})", stacklevel=2)
 
-    a = assign(cents)
+    a = _nearest(pts, cents).drop("__u")
     if outlier_distance is not None:
         # unit vectors: squared L2 = 2 * cosine distance
-        a = a.withColumn("__c", F.when(F.col("__d2") > 2 * outlier_distance, F.lit(-1))
-                         .otherwise(F.col("__c")))
+        a = a.withColumn("__c", F.when(F.col("__d2") > 2 * outlier_distance, F.lit(-1)).otherwise(F.col("__c")))
+    a = _ckpt(a)
+    if link_distance is not None:
+        dense = (a.filter("__c >= 0").groupBy("dataset", "__c").agg(F.count("*").alias("__size"))
+                 .join(kk, "dataset").filter("__size >= __mcs").select("dataset", "__c"))
+        heads = cents.join(dense, ["dataset", "__c"]).select("dataset", F.col("__c").alias("topicId"), F.col("__m").alias("centroid"))
+        sim = topic_similarity(heads).filter(F.col("similarity") >= 1 - link_distance)
+        merged = components(sim.select("dataset", F.col("topic_a").alias("src"), F.col("topic_b").alias("dst")),
+                            heads.select("dataset", F.col("topicId").alias("node")))
+        a = (a.join(merged.withColumnRenamed("node", "__c"), ["dataset", "__c"], "left")
+             .withColumn("__c", F.coalesce("label", "__c")).drop("label"))
     sizes = (a.filter(F.col("__c") >= 0).groupBy("dataset", "__c")
              .agg(F.count("*").alias("__size"), F.min("commentId").alias("__first"))
-             .join(per_dataset(kk.select("dataset", "__mcs")), "dataset")
-             .filter(F.col("__size") >= F.col("__mcs")))
+             .join(kk.select("dataset", "__mcs"), "dataset").filter(F.col("__size") >= F.col("__mcs")))
     order = Window.partitionBy("dataset").orderBy(F.desc("__size"), "__first")
     ids = sizes.select("dataset", "__c", (F.row_number().over(order) - 1).cast("int").alias("topicId"))
+    none = F.lit(-1).alias("topicId")
     return (a.join(ids, ["dataset", "__c"], "left")
-            .select("dataset", "commentId", F.coalesce("topicId", F.lit(-1)).alias("topicId")))
+            .select("dataset", "commentId", F.coalesce("topicId", F.lit(-1)).alias("topicId"))
+            .unionByName(rows.filter(F.col("__u").isNull()).select("dataset", "commentId", none)))
 
 
-def components(edges: DataFrame, nodes: DataFrame, max_iter: int = 50) -> DataFrame:
+def components(edges: DataFrame, nodes: DataFrame, max_iter: int = 200) -> DataFrame:
     """Connected components by min-label propagation.
 
     ``nodes``: (dataset, node); ``edges``: (dataset, src, dst), undirected.
     Each round every node takes the smallest label among itself and its
     neighbours; labels are checkpointed each round and the loop stops when
-    no label changes. Returns (dataset, node, label)."""
+    no label changes; more than ``max_iter`` rounds (a longer path) raise
+    rather than return half-merged components. Returns (dataset, node, label)."""
     e = edges.select("dataset", "src", "dst").unionByName(
         edges.select("dataset", F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     labels = _ckpt(nodes.select("dataset", "node", F.col("node").alias("label")))
@@ -216,8 +259,8 @@ def components(edges: DataFrame, nodes: DataFrame, max_iter: int = 50) -> DataFr
         changed = new.filter("__chg").limit(1).count()
         labels = new.drop("__chg")
         if changed == 0:
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"components did not settle in {max_iter} rounds")
 
 
 def reduce_topics(assign: DataFrame, cents: DataFrame, threshold: float = 0.9,
@@ -261,7 +304,7 @@ HIER_SCHEMA = ("dataset string, Parent_ID int, Parent_Name string, Topics array<
 
 
 def _agglomerate(dist: pd.DataFrame, terms: pd.DataFrame) -> pd.DataFrame:
-    """Average-linkage merge tree of one dataset's topics (T <= MAX_TOPICS)."""
+    """Average-linkage merge tree of one dataset's topics ."""
     ds = dist["dataset"].iloc[0] if len(dist) else terms["dataset"].iloc[0]
     topics = sorted(set(terms["topic"].tolist()))
     if len(topics) < 2:
@@ -311,9 +354,9 @@ def hierarchy(weights: DataFrame, topic: str = "topicId", candidates: int = 30)
 
     Topic distance = 1 - cosine of c-TF-IDF vectors, computed on Spark by a
     self-join of the weights on (dataset, term) — each term row meets only
-    the topics having that term, at most MAX_TOPICS. The T x T table and
+    the topics having that term. The T x T table and
     each topic's ``candidates`` best terms (for node names) are co-grouped
-    per dataset (bounded by MAX_TOPICS^2 and MAX_TOPICS x candidates rows)
+    per dataset (topics squared and topics x candidates rows)
     and merged by average linkage in pandas. New node ids continue from the
     largest topic id; Distance is non-decreasing."""
     w = weights.filter(F.col(topic) >= 0).select("dataset", F.col(topic).alias("t"), "term", "weight")

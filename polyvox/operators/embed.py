@@ -1,7 +1,7 @@
 """Vector features (H1, H2, H18, I21) with MLlib transformers.
 
-The default encoder is hashing term frequency -> IDF -> L2 normaliser: all
-JVM-side MLlib stages, deterministic, no model download. A model encoder
+The default encoder is hashing term frequency, inverse document frequency per
+dataset, and unit length: all JVM-side, deterministic, no model download. A model encoder
 plugs in through ``encode_with`` (``mapInPandas``, Arrow batches, model
 loaded once per Python worker).
 """
@@ -12,8 +12,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
+from pyspark.ml.feature import PCA, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +26,19 @@ def hash_embeddings(docs: DataFrame, text: str = "commentText", dims: int = 1024
                     model: str = "hash-tfidf-1024") -> DataFrame:
     """H1: one unit vector per document (whole text) and the encoder id.
 
-    IDF is fitted on the same documents (one distributed pass of document
-    frequencies per hash bucket)."""
+    Term frequencies are hashed by MLlib; the document frequency of each hash
+    bucket is counted per dataset, so a dataset's vectors don't depend on the
+    other datasets of the job. A text without tokens has a zero vector."""
     tok = docs.select("dataset", "commentId", tokens(text).alias("__toks"))
     tf = HashingTF(inputCol="__toks", outputCol="__tf", numFeatures=dims).transform(tok)
-    idf = IDF(inputCol="__tf", outputCol="__tfidf").fit(tf).transform(tf)
-    unit = Normalizer(inputCol="__tfidf", outputCol="__v", p=2.0).transform(idf)
-    return unit.select("dataset", "commentId",
-                       vector_to_array("__v", "float32").alias("embedding"),
+    # one row per dataset: a dims-long array
+    n, found = F.col("__n"), vector_to_array(F.col("__d"))
+    idf = (tf.groupBy("dataset").agg(F.count("*").alias("__n"), Summarizer.numNonZeros(F.col("__tf")).alias("__d"))
+           .select("dataset", F.transform(found, lambda d: F.ln((n + 1) / (d + 1))).alias("__w")))
+    weighted = (tf.join(per_dataset(idf), "dataset")
+                .withColumn("__x", array_to_vector(F.zip_with(vector_to_array(F.col("__tf")), "__w", lambda x, y: x * y))))
+    unit = Normalizer(inputCol="__x", outputCol="__v", p=2.0).transform(weighted)
+    return unit.select("dataset", "commentId", vector_to_array("__v", "float32").alias("embedding"),
                        F.lit(model).alias("model"))
 
 

@@ -2,9 +2,9 @@
 
 Terms are lower-cased tokens of two or more letters/digits; stop words are
 removed first and bigrams are formed from the remaining neighbours. Stop
-words come from a rule, not a shipped list: a term that appears in at least
-``max_df`` of a dataset's documents is a stop word (like a vectoriser's
-max_df), plus the words of the dataset title (H6) and any user table.
+words are a table (dataset, word): the words of the dataset title (H6) and
+whatever a caller adds. A document-frequency cut (``max_df``) can be asked
+for; by default there is none, so small datasets lose no terms.
 
 c-TF-IDF (class-based TF-IDF with frequent-word damping), per dataset:
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyvox.functions.exprs import bigrams, tokens
+from polyvox.functions.exprs import tokens
 from polyvox.operators.skew import per_dataset, per_topic, salted_join
 
 MAX_DF = 0.5
@@ -50,33 +50,25 @@ def frequent_words(tok_docs: DataFrame, max_df: float = MAX_DF) -> DataFrame:
 
 def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "commentText",
               keys: tuple[str, ...] = ("dataset", "commentId", "topicId"),
-              max_df: float | None = MAX_DF) -> DataFrame:
+              max_df: float | None = None) -> DataFrame:
     """H5: (keys..., term, n) counts of unigrams and bigrams per document.
 
-    Stop words (``stop``: dataset, word) are removed before bigrams are built.
-    The stop table is small per dataset (title words plus terms above the
-    document-frequency cut), so each document's stop list is attached by a
-    join on dataset and applied with ``array_except`` — no per-token join.
+    Stop words are removed before bigrams are built: ``stop`` (dataset, word)
+    and, only if ``max_df`` is given, words of at least that share of a
+    dataset's documents. Words meet the stop table by a join (Spark broadcasts
+    it if it is small); neighbours come from a window over the document, whose
+    partitioning also serves the count, so words are shuffled once.
     """
-    tok = doc_tokens(docs.select(*keys, text), text)
-    stops = []
+    rows = docs.select(*keys, text)
+    kept = rows.select(*keys, F.posexplode(tokens(text)).alias("__pos", "word"))
     if max_df is not None:
-        stops.append(frequent_words(tok, max_df))
+        frequent = frequent_words(doc_tokens(rows, text), max_df)
+        stop = frequent if stop is None else frequent.unionByName(stop.select("dataset", "word"))
     if stop is not None:
-        stops.append(stop.select("dataset", "word"))
-    if stops:
-        s = stops[0]
-        for x in stops[1:]:
-            s = s.unionByName(x)
-        # bounded per dataset: title words plus at most 2/max_df x (mean
-        # distinct tokens per document) frequent words
-        per_ds = s.distinct().groupBy("dataset").agg(F.collect_list("word").alias("__stop"))
-        tok = (tok.join(per_dataset(per_ds), "dataset", "left")
-               .withColumn("toks", F.filter("toks", lambda w: ~F.array_contains(
-                   F.coalesce(F.col("__stop"), F.array().cast("array<string>")), w)))
-               .drop("__stop"))
-    terms = F.concat("toks", bigrams("toks"))
-    return (tok.select(*keys, F.explode(terms).alias("term"))
+        kept = kept.join(stop.select("dataset", "word").distinct(), ["dataset", "word"], "left_anti")
+    after = F.lead("word").over(Window.partitionBy(*keys).orderBy("__pos"))
+    pairs = F.array_compact(F.array(F.col("word"), F.concat("word", F.lit(" "), "__next")))
+    return (kept.withColumn("__next", after).select(*keys, F.explode(pairs).alias("term"))
             .groupBy(*keys, "term").agg(F.count("*").alias("n")))
 
 
@@ -119,7 +111,7 @@ def keyword_lists(top: DataFrame, topic: str = "topicId") -> DataFrame:
 def doc_weights(dterms: DataFrame, idf: DataFrame) -> DataFrame:
     """Per-document c-TF-IDF vector d(w) = sqrt(n(d,w)/tot(d)) * idf(w)."""
     tot = dterms.groupBy("dataset", "commentId").agg(F.sum("n").alias("__tot"))
-    return (dterms.join(tot, ["dataset", "commentId"]).join(idf, ["dataset", "term"])
+    return (salted_join(dterms.join(tot, ["dataset", "commentId"]), idf, ["dataset", "term"], spread_by=["commentId"])
             .withColumn("dweight", F.sqrt(F.col("n") / F.col("__tot")) * F.col("idf"))
             .drop("__tot", "idf"))
 

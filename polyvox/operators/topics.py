@@ -45,8 +45,8 @@ def mmr_keywords(weights: DataFrame, candidates: int = 30, k: int = 10,
     """H9: diversify each topic's keywords by MMR (diversity 0.3).
 
     Each topic's group holds its ``candidates`` best terms (bounded), each
-    with its weight profile over the dataset's topics (at most MAX_TOPICS
-    entries), so the pandas step is small whatever the data size."""
+    with its weight profile over the dataset's topics (one
+    entry per topic), so the pandas step is small whatever the data size."""
     w = Window.partitionBy("dataset", "topicId").orderBy(F.desc("weight"), "term")
     cand = (weights.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= candidates)
             .drop("__r"))
@@ -63,10 +63,12 @@ def mmr_keywords(weights: DataFrame, candidates: int = 30, k: int = 10,
 
 
 def headings(keywords: DataFrame, taboo: DataFrame | None = None,
-             n_heading: int = 2, n_title: int = 5) -> DataFrame:
+             n_heading: int = 2, n_title: int = 5, topics: DataFrame | None = None) -> DataFrame:
     """J6 default + C16: Heading = first ``n_heading`` keywords, Title = first
     ``n_title`` (comma separated), skipping keywords with a word of the
-    dataset title (``taboo``: dataset, word); topic -1 -> "Outliers"."""
+    dataset title (``taboo``: dataset, word); topic -1 -> "Outliers". With
+    ``topics`` (dataset, topicId) every topic gets a row, also the outliers,
+    which have no keywords; a topic whose keywords are all taboo is "Topic n"."""
     kw = keywords
     if taboo is not None:
         bad = (kw.select("dataset", "topicId", "term", F.explode(F.split("term", " ")).alias("word"))
@@ -77,13 +79,16 @@ def headings(keywords: DataFrame, taboo: DataFrame | None = None,
     kw = kw.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= max(n_heading, n_title))
     g = kw.groupBy("dataset", "topicId").agg(
         F.sort_array(F.collect_list(F.struct("__r", "term"))).alias("__k"))
+    if topics is not None:
+        g = topics.select("dataset", "topicId").distinct().join(g, ["dataset", "topicId"], "left")
     out = F.col("topicId") == -1
+    bare = F.concat(F.lit("Topic "), F.col("topicId").cast("string"))
     return g.select(
         "dataset", F.col("topicId").alias("Topic"),
         F.when(out, F.lit("Outliers")).otherwise(
-            F.array_join(F.slice(F.col("__k.term"), 1, n_heading), " ")).alias("Heading"),
+            F.coalesce(F.array_join(F.slice(F.col("__k.term"), 1, n_heading), " "), bare)).alias("Heading"),
         F.when(out, F.lit("Outliers")).otherwise(
-            F.array_join(F.slice(F.col("__k.term"), 1, n_title), ", ")).alias("Title"))
+            F.coalesce(F.array_join(F.slice(F.col("__k.term"), 1, n_title), ", "), bare)).alias("Title"))
 
 
 def topic_info(sizes: DataFrame, keywords: DataFrame, rep_docs: DataFrame,

@@ -14,6 +14,7 @@ from polyvox.plans.oracle import VIEWS
 from polyvox.plans.q_text import model as text_model
 from polyvox.plans.q_text import text_views
 from polyvox.sources.adapters import OUTLIER_LABEL, Fixture
+from polyvox.sources.store import materialize
 
 VIEWS["fx_assign"] = f"""
 SELECT c.dataset, c.commentId, e.embedding,
@@ -89,6 +90,16 @@ def q_reassign_embedding(spark, sf_dir):
     return out.select("dataset", "commentId", "topicId", F.round("similarity", 6).alias("similarity"))
 
 
+def _h12(spark, sf_dir):
+    """(fixture, assignment after H12, its document terms)."""
+    f = fx(spark, sf_dir)
+    a = K.reassign_by_embedding(f.assignment, K.centroids(f.assignment))
+    docs = a.join(f.comments.select("dataset", "commentId", "commentText"), ["dataset", "commentId"])
+    dterms = materialize(spark, sf_dir, "doc_terms_h12", lambda: T.doc_terms(
+        docs, T.title_stop_words(f.summary), max_df=T.MAX_DF), base=False)
+    return f, a, dterms
+
+
 @query("reassign_by_terms", "H13 H14", """
 WITH o AS (SELECT dataset, commentId FROM fx_h12 WHERE topicId = -1),
 s AS (
@@ -103,10 +114,7 @@ SELECT h.dataset, h.commentId,
        CAST(CASE WHEN h.topicId = -1 THEN coalesce(b.t, -1) ELSE h.topicId END AS INTEGER) AS topicId
 FROM fx_h12 h LEFT JOIN b ON h.dataset = b.dataset AND h.commentId = b.commentId""")
 def q_reassign_terms(spark, sf_dir):
-    f = fx(spark, sf_dir)
-    a = K.reassign_by_embedding(f.assignment, K.centroids(f.assignment))
-    docs = a.join(f.comments.select("dataset", "commentId", "commentText"), ["dataset", "commentId"])
-    dterms = T.doc_terms(docs, T.title_stop_words(f.summary))
+    _, a, dterms = _h12(spark, sf_dir)
     weights, idf = T.ctfidf(T.topic_term_counts(dterms))
     out = T.reassign_by_terms(a, T.doc_weights(dterms, idf), weights)
     return out.select("dataset", "commentId", "topicId")
@@ -147,14 +155,26 @@ def q_silhouette(spark, sf_dir):
             .withColumn("overall", F.round("overall", 6)))
 
 
-@query("density_clusters", "H3 (re-aimed: per-dataset k-means + outlier rule)")
+@query("density_clusters", "H3 (k-means micro-clusters linked by distance and size, outlier rule)")
 def q_density_clusters(spark, sf_dir):
     f = fx(spark, sf_dir)
     pts = f.assignment.select("dataset", "commentId", "embedding")
-    return K.kmeans_topics(pts, outlier_distance=0.6)
-
-
-@query("topic_reduction", "H4")
+    return K.kmeans_topics(pts, outlier_distance=0.6, link_distance=0.2)
+
+
+@query("topic_reduction", "H4", f"""
+SELECT * FROM (WITH RECURSIVE e AS (
+  SELECT a.dataset, a.topicId AS x, b.topicId AS y FROM fx_cent a JOIN fx_cent b
+    ON a.dataset = b.dataset AND a.topicId <> b.topicId AND {_cos('a.centroid', 'b.centroid')} >= 0.2),
+r AS (SELECT dataset, topicId AS node, topicId AS label FROM fx_cent
+      UNION SELECT r.dataset, e.y, r.label FROM r JOIN e ON r.dataset = e.dataset AND r.node = e.x),
+c AS (SELECT dataset, node, min(label) AS label FROM r GROUP BY dataset, node),
+n AS (SELECT a.dataset, c.label, count(*) AS n FROM fx_assign a
+      JOIN c ON a.dataset = c.dataset AND a.topicId = c.node GROUP BY a.dataset, c.label),
+i AS (SELECT dataset, label, row_number() OVER (PARTITION BY dataset ORDER BY n DESC, label) - 1 AS id FROM n)
+SELECT a.dataset, a.commentId, CAST(coalesce(i.id, -1) AS INTEGER) AS topicId
+FROM fx_assign a LEFT JOIN c ON a.dataset = c.dataset AND a.topicId = c.node
+LEFT JOIN i ON c.dataset = i.dataset AND c.label = i.label)""")
 def q_topic_reduction(spark, sf_dir):
     a = fx(spark, sf_dir).assignment
     return K.reduce_topics(a, K.centroids(a), threshold=0.2).select("dataset", "commentId", "topicId")
@@ -185,19 +205,37 @@ def q_mmr_keywords(spark, sf_dir):
 @query("topic_headings", "J6 C16 H21", """
 WITH k AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset, topicId ORDER BY weight DESC, term) AS rank
-  FROM fx_src_ctfidf) WHERE rank <= 10)
-SELECT dataset, topicId AS Topic,
-       CASE WHEN topicId = -1 THEN 'Outliers'
-            ELSE string_agg(term, ' ' ORDER BY rank) FILTER (WHERE rank <= 2) END AS Heading,
-       CASE WHEN topicId = -1 THEN 'Outliers'
-            ELSE string_agg(term, ', ' ORDER BY rank) FILTER (WHERE rank <= 5) END AS Title
-FROM k GROUP BY dataset, topicId""")
+  FROM fx_h12_ctfidf) WHERE rank <= 10),
+h AS (SELECT dataset, topicId, string_agg(term, ' ' ORDER BY rank) FILTER (WHERE rank <= 2) AS Heading,
+             string_agg(term, ', ' ORDER BY rank) FILTER (WHERE rank <= 5) AS Title
+      FROM k GROUP BY dataset, topicId)
+SELECT t.dataset, t.topicId AS Topic,
+       CASE WHEN t.topicId = -1 THEN 'Outliers' ELSE coalesce(Heading, 'Topic ' || t.topicId) END AS Heading,
+       CASE WHEN t.topicId = -1 THEN 'Outliers' ELSE coalesce(Title, 'Topic ' || t.topicId) END AS Title
+FROM (SELECT DISTINCT dataset, topicId FROM fx_h12) t
+LEFT JOIN h ON t.dataset = h.dataset AND t.topicId = h.topicId""")
 def q_topic_headings(spark, sf_dir):
-    f, _, weights, _ = text_model(spark, sf_dir)
-    return TP.headings(T.top_terms(weights, 10), T.title_stop_words(f.summary))
+    """Headings of the embedding topics; statements without a vector are the outliers."""
+    f, a, dterms = _h12(spark, sf_dir)
+    weights, _ = T.ctfidf(T.topic_term_counts(dterms))
+    return TP.headings(T.top_terms(weights, 10), T.title_stop_words(f.summary), topics=a)
 
 
-@query("topic_info", "H10 H21 H20 D2")
+@query("topic_info", "H10 H21 H20 D2", """
+WITH k AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset, topicId ORDER BY weight DESC, term) AS rank
+  FROM fx_src_ctfidf) WHERE rank <= 10),
+g AS (SELECT dataset, topicId, string_agg(term, ', ' ORDER BY rank) AS Representation,
+             string_agg(term, ' ' ORDER BY rank) FILTER (WHERE rank <= 2) AS Heading,
+             string_agg(term, ', ' ORDER BY rank) FILTER (WHERE rank <= 5) AS Title
+      FROM k GROUP BY dataset, topicId),
+d AS (SELECT dataset, topicId, least(3, count(DISTINCT commentId)) AS n_docs FROM fx_src_dterms
+      WHERE topicId >= 0 GROUP BY dataset, topicId),
+s AS (SELECT dataset, topicId, count(*) AS n FROM fx_comments WHERE moderated >= 0 GROUP BY dataset, topicId)
+SELECT s.dataset, s.topicId AS Topic, s.n AS Count, g.Representation, CAST(d.n_docs AS INTEGER) AS n_docs,
+       g.Title, g.Heading
+FROM s LEFT JOIN g ON s.dataset = g.dataset AND s.topicId = g.topicId
+LEFT JOIN d ON s.dataset = d.dataset AND s.topicId = d.topicId""")
 def q_topic_info(spark, sf_dir):
     f, dterms, weights, idf = text_model(spark, sf_dir)
     nr = not_rejected(f.comments)

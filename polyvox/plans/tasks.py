@@ -57,11 +57,11 @@ def ingest(spark: SparkSession, ctx: Context) -> None:
 
 
 def moderate(spark: SparkSession, ctx: Context) -> None:
-    """Every config of the grid in one job."""
+    """Every config of the task's grid (or of ``configs``) in one job."""
     comments = _read(spark, ctx, "comments")
-    grid = MO.config_table(spark, ctx.options.get("configs"))
-    res = MO.classify(MO.text_features(comments), grid)
-    io.write_table(res, ctx.data_root, "moderationResults")
+    grid = MO.config_table(spark, ctx.options.get("configs") or MO.task_grid())
+    feats = _ckpt(MO.text_features(comments))  # worked out once, not once per config
+    io.write_table(MO.classify(feats, grid).drop("moderated"), ctx.data_root, "moderationResults")
 
 
 def topic_model(spark: SparkSession, ctx: Context) -> None:
@@ -85,7 +85,7 @@ def topic_model(spark: SparkSession, ctx: Context) -> None:
     weights, idf = T.ctfidf(T.topic_term_counts(dterms))
     kw = T.top_terms(weights, 10)
     rep = T.representative_docs(T.doc_weights(dterms, idf), weights, 3)
-    labels = TP.headings(kw, stop)
+    labels = TP.headings(kw, stop, topics=assign)
     info = TP.topic_info(K.topic_sizes(assign), kw, rep, comments, labels)
     io.write_table(info, ctx.data_root, "topics")
     io.write_table(K.hierarchy(weights), ctx.data_root, "hierarchicalTopics")

@@ -119,9 +119,8 @@ def read_table(spark: SparkSession, data_root: str, table: str, schema: StructTy
 def write_table(df: DataFrame, data_root: str, table: str) -> None:
     """Overwrite only the datasets present in ``df`` (dynamic partition
     overwrite), partitioned by dataset."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy("dataset").parquet(table_path(data_root, table))
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset")
+     .parquet(table_path(data_root, table)))
 
 
 def exists(spark: SparkSession, path: str) -> bool:

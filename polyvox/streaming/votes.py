@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polyvox.session import checkpoint_dir
+from polyvox.sources.io import exists
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -28,27 +29,37 @@ def _prefer_rocksdb(spark: SparkSession) -> None:
         pass
 
 
-def stage_log(log: DataFrame, path: str, ts: str = "ts", chunks: int = 4) -> str:
-    """Write a batch log as ``chunks`` time-ordered file groups under ``path``
-    (simulated arrival order for a file stream). Chunk bounds are
-    ``chunks - 1`` approximate quantiles of ``ts`` (a handful of values)."""
+def stage_log(log: DataFrame, path: str, ts: str = "ts", chunks: int = 4, files: int = 1) -> str:
+    """Write a batch log as ``chunks`` time-ordered groups of exactly ``files`` files
+    under ``path`` (simulated arrival order for a file stream). Chunk bounds are
+    ``chunks - 1`` approximate quantiles of ``ts`` (a handful of values).
+
+    Read it with ``files_per_trigger=files``: a micro-batch is then a whole
+    chunk. Were a chunk spread over several batches, its first file would move
+    the watermark past the rows of its other files, and they would be dropped.
+    Raises if a chunk has too few rows for its files."""
+    spark = log.sparkSession
     epoch = F.unix_micros(F.col(ts).cast("timestamp"))
     qs = log.select(F.percentile_approx(epoch, [i / chunks for i in range(1, chunks)], 10000)
-                    .alias("q")).first()["q"]
-    bounds = [None] + list(qs) + [None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
+                    .alias("q")).first()["q"] if chunks > 1 else []
+    bounds = [None, *sorted(set(qs or [])), None]
+    for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
         cond = F.lit(True)
         if lo is not None:
             cond = cond & (epoch >= lo)
         if hi is not None:
             cond = cond & (epoch < hi)
-        log.filter(cond).write.mode("append").parquet(path)
+        part = f"{path}/chunk={i:04d}"
+        log.filter(cond).repartition(files).write.parquet(part)
+        found = spark.read.parquet(part).select(F.input_file_name()).distinct().count()
+        if found != files:
+            raise ValueError(f"chunk {i} has rows for {found} of {files} files")
     return path
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(path))
+            .parquet(f"{path}/chunk=*"))
 
 
 def latest_vote_stream(log: DataFrame, order: list[str],
@@ -100,8 +111,13 @@ def run_available(stream: DataFrame, name: str, mode: str) -> DataFrame:
          .option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    if last["id"] is None:
-        return spark.createDataFrame([], stream.schema)
+    if last["id"] is None:  # nothing new: earlier batches of a restarted query are the result
+        if not exists(spark, out):
+            return spark.createDataFrame([], stream.schema)
+        done = spark.read.parquet(out)
+        if mode == "complete":
+            done = done.filter(F.col("batch") == done.agg(F.max("batch")).first()[0])
+        return done.drop("batch")
     if mode == "complete":
         return spark.read.parquet(f"{out}/batch={last['id']}")
     return spark.read.parquet(out).drop("batch")
