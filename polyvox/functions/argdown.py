@@ -109,11 +109,6 @@ def template_head() -> str:
     return FRONT_MATTER
 
 
-def markdown_wrap(kind: str = "argdown") -> tuple[str, str]:
-    """(prefix, suffix) around R9 for ``argdown`` or ``argdown-map`` fences."""
-    return f"```{kind}\n", "\n```\n"
-
-
 def pct(x) -> Column:
     """I11 for map bodies: ``{x*100:.1f}`` rounding half-even like Python;
     NULL ratio -> ``n/a``."""

@@ -42,10 +42,6 @@ def argument_budget(n="n") -> Column:
     return F.when(n <= 1, F.lit(0)).otherwise(F.ceil(F.ln(n) * 2)).cast("int")
 
 
-def neighbour_count(n="n") -> Column:
-    """floor(ln n)."""
-    return F.floor(F.ln(_c(n))).cast("int")
-
 
 def min_cluster_size(n="n") -> Column:
     """max(floor(n / 50), 4)."""
@@ -59,10 +55,6 @@ def label_code(label="classification") -> Column:
             .when(x.isNotNull(), -1).cast("int"))
 
 
-def percent_text(x) -> Column:
-    """``{x*100:.1f}%`` with round-half-even like Python's format."""
-    return F.concat(F.format_string("%.1f", F.bround(_c(x) * 100, 1)), F.lit("%"))
-
 
 def first_line(s) -> Column:
     """Text up to the first newline."""

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polyvox.functions.exprs import argument_budget, first_phrase, percent_agree, tokens
-from polyvox.operators.edges import topic_pairs
 from polyvox.operators.skew import per_topic, salted_join
 
 MAX_BUDGET = 64          # ceil(2 ln n) <= 64 for n < 7.9e13 statements per topic
@@ -103,6 +102,37 @@ def correlate(statements: DataFrame, arguments: DataFrame,
                                  smaller.cast("string"), F.lit(" words"))).alias("reasoning"))
 
 
+def argument_prompts(agreeable: DataFrame, summary: DataFrame, context: int = 50) -> DataFrame:
+    """J7 input for a model: one prompt per topic with its budget of areas and its
+    ``context`` most agreeable statements (what fits a model's context; a parameter),
+    best first. Wording ours."""
+    w = Window.partitionBy("dataset", "topicId").orderBy(F.desc("agreeability"), F.desc("agrees"), "commentId")
+    n = agreeable.groupBy("dataset", "topicId").agg(F.count("*").alias("__n"))
+    lines = (agreeable.withColumn("__rk", F.row_number().over(w)).filter(F.col("__rk") <= context)
+             .select("dataset", "topicId", "commentId", "__rk")
+             .join(statement_lines(agreeable), ["dataset", "topicId", "commentId"])
+             .groupBy("dataset", "topicId").agg(F.array_join(F.transform(
+                 F.sort_array(F.collect_list(F.struct("__rk", "line"))), lambda x: x["line"]), "\n").alias("__lines")))
+    title = summary.filter(F.col("key") == "topic").select("dataset", F.col("value").alias("__title"))
+    return (lines.join(per_topic(n), ["dataset", "topicId"]).join(title, "dataset", "left")
+            .select("dataset", "topicId", F.concat(
+                F.lit("Topic: "), F.coalesce("__title", F.lit("")), F.lit("\nName "), argument_budget("__n").cast("string"),
+                F.lit(" areas of concern. For each write:\nAREA:\nPROBLEMS:\nSOLUTIONS:\nARGUMENT: one sentence\nTITLE: three words\n\n"),
+                F.col("__lines")).alias("prompt")))
+
+
+def pair_prompts(statements: DataFrame, arguments: DataFrame) -> DataFrame:
+    """J9 input for a model: one prompt per pair of a topic (see ``score_pairs_with``). Wording ours."""
+    s = statements.select("dataset", "topicId", "commentId", "commentText")
+    a = arguments.select("dataset", "topicId", "argumentId", "argumentTitle", "argumentContent")
+    return (salted_join(s, a, ["dataset", "topicId"], spread_by=["commentId"])
+            .select("dataset", "topicId", "argumentId", "commentId", F.concat(
+                F.lit("ARGUMENT: "), F.col("argumentTitle"), F.lit(". "), F.col("argumentContent"),
+                F.lit("\nCOMMENT: "), F.col("commentText"),
+                F.lit("\nTHOUGHT: how they relate\nRELATIONSHIP: SUPPORT, REFUTE or UNRELATED\nREASON: unless unrelated\n"))
+                .alias("prompt")))
+
+
 def score_pairs_with(pairs: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame],
                      schema: str, partitions: int | None = None) -> DataFrame:
     """M2 for J9: a model-backed pair scorer over Arrow batches. Pairs are
@@ -120,8 +150,3 @@ def pending(todo: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """The part of ``todo`` whose keys are not yet in ``done`` (resume
     after a failure: write results per partition, recompute only the rest)."""
     return todo.join(done.select(*keys).distinct(), keys, "left_anti")
-
-
-def pair_table(statements: DataFrame, arguments: DataFrame) -> DataFrame:
-    """D7 alias for model-backed scoring: (dataset, topicId, commentId, argumentId)."""
-    return topic_pairs(statements, arguments)

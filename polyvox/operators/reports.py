@@ -1,10 +1,9 @@
-"""Dataset reports and table utilities."""
+"""Dataset reports and table utilities."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def dataset_overview(summary: DataFrame, comments: DataFrame, votes: DataFrame) -> DataFrame:
@@ -23,17 +22,19 @@ def dataset_overview(summary: DataFrame, comments: DataFrame, votes: DataFrame)
     return info.join(c, "dataset", "left").join(p, "dataset", "left")
 
 
-def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def profile(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
     """One pass over ``df``: rows, nulls, min, max, distinct per column,
     in long form (column, rows, nulls, min, max, distinct). ``approx`` uses
-    HyperLogLog++ for the distinct count (bounded memory)."""
+    HyperLogLog++ for the distinct count (bounded memory, one pass however many
+    columns; exact distinct counts repeat the rows once per column)."""
     cols = cols or df.columns
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     aggs = [F.count("*").alias("__rows")]
     for c in cols:
         aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
                  F.min(c).cast("string").alias(f"{c}__min"),
                  F.max(c).cast("string").alias(f"{c}__max"),
-                 F.count_distinct(c).alias(f"{c}__distinct")]
+                 distinct(c).alias(f"{c}__distinct")]
     one = df.agg(*aggs)
     stacked = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col("__rows").alias("rows"),
@@ -66,11 +67,6 @@ def rows_from_lists(lists: DataFrame, keys: list[str], titles: str, contents: st
                     F.col("col.t").alias("argumentTitle"), F.col("col.c").alias("argumentContent")))
 
 
-def empty(spark, schema: StructType | str) -> DataFrame:
-    """A15."""
-    return spark.createDataFrame([], schema)
-
-
 def first_rows(df: DataFrame, order: list, n: int = 20) -> DataFrame:
     """first ``n`` rows by ``order`` (a top-k: TakeOrderedAndProject)."""
     return df.orderBy(*order).limit(n)

@@ -19,14 +19,33 @@ def not_rejected(comments: DataFrame) -> DataFrame:
     return comments.filter(F.col("moderated") >= 0)
 
 
-def _quantile(col: str, q: float, method: str):
+def group_quantile(df: DataFrame, keys: list[str], col: str, q: float) -> DataFrame:
+    """Exact linear-interpolated quantile of ``col`` per group -> (keys..., __t).
+
+    Rows are first counted per distinct value (map-side combine), so a group
+    of any size moves only its distinct values; a running count over them
+    finds the two values around position q * (n - 1)."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(F.count("*").alias("__n"))
+    total = counts.groupBy(*keys).agg(F.sum("__n").alias("__all"))
+    run = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__v"))
+    at = F.lit(q) * (F.col("__all") - 1)
+    seen = counts.withColumn("__seen", run).join(total, keys)
+    low = F.min(F.when(F.col("__seen") > F.floor(at), F.col("__v")))
+    high = F.min(F.when(F.col("__seen") > F.ceil(at), F.col("__v")))
+    frac = F.max(at - F.floor(at))
+    return seen.groupBy(*keys).agg((low + (high - low) * frac).alias("__t"))
+
+
+def _thresholds(df: DataFrame, keys: list[str], q: float, method: str) -> DataFrame:
     if method == "linear":
-        return F.percentile(col, q)
+        return group_quantile(df, keys, "agreeability", q)
     if method == "disc":
-        return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {col})")
-    if method == "approx":
-        return F.percentile_approx(col, q, 10000)
-    raise ValueError(method)
+        agg = F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY agreeability)")
+    elif method == "approx":
+        agg = F.percentile_approx("agreeability", q, 10000)
+    else:
+        raise ValueError(method)
+    return df.groupBy(*keys).agg(agg.alias("__t"))
 
 
 def agreeable_comments(comments: DataFrame, quantile: float | None = 0.1,
@@ -35,15 +54,14 @@ def agreeable_comments(comments: DataFrame, quantile: float | None = 0.1,
 
     ``t`` is the ``quantile`` of accepted agreeability (wins when given) or
     the fixed ``threshold``. The quantile is one aggregate row per dataset,
-    joined back (a tiny, dataset-count-sized side). ``method="approx"`` is
-    the bounded-memory choice for very large datasets.
+    joined back (a tiny, dataset-count-sized side).
     """
     acc = accepted(comments)
     if quantile is None and threshold is None:
         return acc
     if quantile is None:
         return acc.filter(F.col("agreeability") >= threshold)
-    th = acc.groupBy("dataset").agg(_quantile("agreeability", quantile, method).alias("__t"))
+    th = _thresholds(acc, ["dataset"], quantile, method)
     return acc.join(per_dataset(th), "dataset").filter(F.col("agreeability") >= F.col("__t")).drop("__t")
 
 
@@ -56,12 +74,33 @@ def topic_comments(comments: DataFrame, quantile: float | None = None,
         return acc.filter(F.col("agreeability") >= threshold)
     if quantile is None:
         return acc
-    th = acc.groupBy("dataset", "topicId").agg(
-        _quantile("agreeability", quantile, method).alias("__t"))
+    th = _thresholds(acc, ["dataset", "topicId"], quantile, method)
     return (acc.join(per_topic(th), ["dataset", "topicId"])
             .filter(F.col("agreeability") >= F.col("__t")).drop("__t"))
 
 
+def of_topic(df: DataFrame, topic_id: int, argument_id: int | None = None, topic: str = "topicId") -> DataFrame:
+    """C7 + C13: rows of one topic, and of one argument of it if given."""
+    cond = F.col(topic) == topic_id
+    return df.filter(cond if argument_id is None else cond & (F.col("argumentId") == argument_id))
+
+
+def exactly_one(keys: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """For each row of ``keys`` its one row of ``table``; a key without a row, or with more
+    than one, raises. All keys are looked up in one join."""
+    n = table.join(keys.select(*on).distinct(), on, "left_semi").groupBy(*on).agg(F.count("*").alias("__n"))
+    found = keys.join(n, on, "left")
+    wrong = F.raise_error(F.concat(F.lit("expected one row, found "), F.coalesce("__n", F.lit(0)).cast("string")))
+    checked = found.filter(F.when(F.coalesce("__n", F.lit(0)) == 1, True).otherwise(wrong.cast("boolean"))).drop("__n")
+    return checked.join(table, on)
+
+
+def topic_range(df: DataFrame, topic: str = "topicId") -> DataFrame:
+    """Smallest and largest topic id per dataset, and the next free id."""
+    return (df.groupBy("dataset").agg(F.min(topic).alias("first"), F.max(topic).alias("last"))
+            .withColumn("next", F.col("last") + 1))
+
+
 def best_first(comments: DataFrame, above: float) -> DataFrame:
     """Accepted statements with agreeability > ``above``, best first
     within each topic. A global range-partitioned sort, not a per-topic

@@ -50,13 +50,3 @@ def opinion_matrix(votes: DataFrame) -> DataFrame:
                     F.col("__cv.commentId").alias("comments"),
                     F.col("__cv.vote").alias("votes"),
                     F.size("__cv").alias("n_votes")))
-
-
-def voter_lean(votes: DataFrame) -> DataFrame:
-    """Per voter: vote count, mean vote (X3 agree tendency)."""
-    return (votes.groupBy("dataset", "voterId")
-            .agg(F.count("*").alias("n_votes"),
-                 F.avg(F.col("vote").cast("double")).alias("mean_vote")))
-
-
-__all__ = ["latest_vote", "comment_tally", "opinion_matrix", "voter_lean", "agreeability"]

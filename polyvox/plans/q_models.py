@@ -110,3 +110,36 @@ def q_parse_model_output(spark, sf_dir):
         first_tokens(first_phrase("text"), 20).alias("phrase"),
         choice(word, ["SUPPORT", "REFUTE", "UNRELATED"]).alias("choice"),
         bounded_int(word, 0, 100).alias("number"))
+
+
+@query("pair_prompts", "J9 (prompt column) D7", """
+WITH p AS (
+  SELECT s.dataset, s.topicId, a.argumentId, s.commentId,
+         'ARGUMENT: ' || a.argumentTitle || '. ' || a.argumentContent || chr(10) || 'COMMENT: ' || s.commentText || chr(10)
+         || 'THOUGHT: how they relate' || chr(10) || 'RELATIONSHIP: SUPPORT, REFUTE or UNRELATED' || chr(10)
+         || 'REASON: unless unrelated' || chr(10) AS prompt
+  FROM fx_agreeable s JOIN fx_arguments a ON s.dataset = a.dataset AND s.topicId = a.topicId)
+SELECT dataset, topicId, argumentId, commentId, length(prompt) AS chars, md5(prompt) AS prompt_md5 FROM p""")
+def q_pair_prompts(spark, sf_dir):
+    f = Fixture(spark, sf_dir)
+    p = AR.pair_prompts(C.agreeable_comments(f.comments), f.arguments)
+    return p.select("dataset", "topicId", "argumentId", "commentId", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))
+
+
+@query("argument_prompts", "J7 J8 (prompt column)", """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY dataset, topicId ORDER BY agreeability DESC, agrees DESC, commentId) AS rk,
+                  count(*) OVER (PARTITION BY dataset, topicId) AS n FROM fx_agreeable),
+p AS (
+  SELECT dataset, topicId,
+         'Topic: Fixture discussion' || chr(10) || 'Name ' || CASE WHEN n <= 1 THEN 0 ELSE CAST(ceil(ln(n) * 2) AS INTEGER) END
+         || ' areas of concern. For each write:' || chr(10) || 'AREA:' || chr(10) || 'PROBLEMS:' || chr(10) || 'SOLUTIONS:' || chr(10)
+         || 'ARGUMENT: one sentence' || chr(10) || 'TITLE: three words' || chr(10) || chr(10)
+         || string_agg(CAST(commentId AS VARCHAR) || '. ' || commentText || ' ('
+            || coalesce(CAST(CAST(floor(agrees * 100 / nullif(agrees + disagrees, 0)) AS INTEGER) AS VARCHAR), 'n/a')
+            || '% voters agree)', chr(10) ORDER BY rk) AS prompt
+  FROM r WHERE rk <= 50 GROUP BY dataset, topicId, n)
+SELECT dataset, topicId, length(prompt) AS chars, md5(prompt) AS prompt_md5 FROM p""")
+def q_argument_prompts(spark, sf_dir):
+    f = Fixture(spark, sf_dir)
+    p = AR.argument_prompts(C.agreeable_comments(f.comments), f.summary)
+    return p.select("dataset", "topicId", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))

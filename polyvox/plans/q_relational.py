@@ -338,3 +338,26 @@ WHERE ns.statements >= 2""")
 def q_weighted_support(spark, sf_dir):
     f = fx(spark, sf_dir)
     return S.weighted_support(f.edges, f.votes, f.comments, min_statements=2)
+
+
+@query("argument_of_topic", "C7 C13", """
+SELECT * FROM fx_arguments WHERE topicId = 1 AND argumentId = 0""")
+def q_argument_of_topic(spark, sf_dir):
+    return C.of_topic(fx(spark, sf_dir).arguments, 1, 0)
+
+
+@query("topic_lookup", "C8", """
+SELECT k.dataset, k.topicId, t.Title, t.Heading
+FROM (SELECT DISTINCT dataset, topicId FROM fx_arguments) k
+JOIN fx_topics t ON k.dataset = t.dataset AND k.topicId = t.Topic""")
+def q_topic_lookup(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    topics = f.topics.withColumnRenamed("Topic", "topicId").select("dataset", "topicId", "Title", "Heading")
+    return C.exactly_one(f.arguments.select("dataset", "topicId").distinct(), topics, ["dataset", "topicId"])
+
+
+@query("topic_id_range", "E16", """
+SELECT dataset, min(topicId) AS first, max(topicId) AS last, max(topicId) + 1 AS next
+FROM fx_arguments GROUP BY dataset""")
+def q_topic_id_range(spark, sf_dir):
+    return C.topic_range(fx(spark, sf_dir).arguments)

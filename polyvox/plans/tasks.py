@@ -20,6 +20,7 @@ from polyvox import schemas
 from polyvox.operators import maprender as AM
 from polyvox.operators import arguments as AR
 from polyvox.operators import cluster as K
+from polyvox.operators import edges as E
 from polyvox.operators import embed as EM
 from polyvox.operators import moderation as MO
 from polyvox.operators import scoring as S
@@ -50,7 +51,7 @@ def _read(spark, ctx, name):
 def ingest(spark: SparkSession, ctx: Context) -> None:
     """Summary + comments (A1, A2, A3, A11) + embeddings (H1) + votes (A4)."""
     io.write_table(io.read_summary(spark, ctx.raw_root, ctx.datasets), ctx.data_root, "summary")
-    comments = io.read_comments(spark, ctx.raw_root, ctx.datasets)
+    comments = _ckpt(io.read_comments(spark, ctx.raw_root, ctx.datasets))
     emb = EM.hash_embeddings(comments).select("dataset", "commentId", "embedding")
     io.write_table(comments.join(emb, ["dataset", "commentId"], "left"), ctx.data_root, "comments")
     io.write_table(io.read_votes(spark, ctx.raw_root, ctx.datasets), ctx.data_root, "votes")
@@ -65,15 +66,18 @@ def moderate(spark: SparkSession, ctx: Context) -> None:
 
 
 def topic_model(spark: SparkSession, ctx: Context) -> None:
-    """H3 -> H12 -> H5-H8, H11 -> H13 -> J6 -> H10, H15, H20."""
+    """H3 -> H4 -> H12 -> H5-H8, H11 -> H13 -> J6 -> H10, H15, H20."""
     comments = _read(spark, ctx, "comments")
     summary = _read(spark, ctx, "summary")
     docs = C.not_rejected(comments)
     # each stage's output is checkpointed in the shared folder: lineage stays
     # short, plans stay small and a lost executor re-reads, not recomputes
     assign = _ckpt(K.kmeans_topics(docs.select("dataset", "commentId", "embedding"),
-                                   outlier_distance=ctx.options.get("outlier_distance")))
+                                   outlier_distance=ctx.options.get("outlier_distance"),
+                                   link_distance=ctx.options.get("link_distance")))
     assign = assign.join(docs.select("dataset", "commentId", "embedding"), ["dataset", "commentId"])
+    # H4: near-equal topics become one before outliers are dealt out
+    assign = _ckpt(K.reduce_topics(assign, K.centroids(assign), ctx.options.get("merge_similarity", 0.9)))
     assign = _ckpt(K.reassign_by_embedding(assign, K.centroids(assign)).drop("similarity", "embedding"))
     text = docs.select("dataset", "commentId", "commentText").join(assign, ["dataset", "commentId"])
     stop = T.title_stop_words(summary)
@@ -93,25 +97,40 @@ def topic_model(spark: SparkSession, ctx: Context) -> None:
                    ctx.data_root, "comments_topics")
 
 
+def _left(spark, ctx: Context, todo, table: str, keys: list[str]):
+    """What a resumed run still has to do, and how it writes (rows are then added, G1)."""
+    if ctx.options.get("resume") and io.exists(spark, io.table_path(ctx.data_root, table)):
+        return AR.pending(todo, io.read_table(spark, ctx.data_root, table), keys), io.append_table
+    return todo, io.write_table
+
+
 def generate(spark: SparkSession, ctx: Context) -> None:
-    """J7 over agreeable statements (C4); J11 skips topics already done."""
+    """J7 over agreeable statements (C4). With ``resume``, topics that have arguments are
+    left as they are and only the others are added (J11)."""
     comments = _read(spark, ctx, "comments_topics")
     summary = _read(spark, ctx, "summary")
     agreeable = C.agreeable_comments(comments.filter(F.col("topicId") >= 0))
     dterms = T.doc_terms(agreeable, T.title_stop_words(summary))
     weights, idf = T.ctfidf(T.topic_term_counts(dterms))
-    args = AR.generate_arguments(agreeable, T.doc_weights(dterms, idf))
+    todo, write = _left(spark, ctx, agreeable, "arguments", ["dataset", "topicId"])
+    args = AR.generate_arguments(todo, T.doc_weights(dterms, idf))
     args = args.withColumn("thoughts", F.split("thoughts", r" \| "))
-    io.write_table(io.cast_to(args, schemas.ARGUMENTS), ctx.data_root, "arguments")
+    write(_ckpt(io.cast_to(args, schemas.ARGUMENTS)), ctx.data_root, "arguments")
 
 
 def correlate(spark: SparkSession, ctx: Context) -> None:
-    """D7 + J9 over agreeable statements x arguments of their topic."""
+    """D7 + J9 over agreeable statements x arguments of their topic. Without a pair nothing
+    is written (C15); with ``resume`` only topics without edges are worked (J11)."""
     comments = _read(spark, ctx, "comments_topics")
     args = _read(spark, ctx, "arguments")
-    edges = AR.correlate(C.agreeable_comments(comments.filter(F.col("topicId") >= 0)), args)
+    agreeable = C.agreeable_comments(comments.filter(F.col("topicId") >= 0))
+    todo, write = _left(spark, ctx, agreeable, "argumentCommentMap", ["dataset", "topicId"])
+    if E.pair_count(todo, args).filter("pairs > 0").isEmpty():
+        log.info("no statement/argument pairs")
+        return
+    edges = AR.correlate(todo, args)
     edges = edges.withColumn("reasoning", F.array_compact(F.array("reasoning"))).drop("score")
-    io.write_table(edges, ctx.data_root, "argumentCommentMap")
+    write(_ckpt(edges), ctx.data_root, "argumentCommentMap")
 
 
 def score(spark: SparkSession, ctx: Context) -> None:

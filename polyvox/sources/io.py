@@ -74,10 +74,11 @@ def preprocess_votes(df: DataFrame, pass_cancels: bool = False) -> DataFrame:
 def read_csv_table(spark: SparkSession, root: str, table: str, raw_schema: StructType,
                    preprocess: Callable[[DataFrame], DataFrame] | None = None,
                    schema: StructType | None = None,
-                   datasets: list[str] | None = None) -> DataFrame:
-    """A2 + M1: CSV with header (quoted fields may hold commas, quotes and
-    newlines) -> ``dataset`` from the path -> user ``preprocess`` -> casts."""
-    df = (spark.read.schema(raw_schema).option("header", True).option("multiLine", True)
+                   datasets: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """A2 + M1: CSV with header (quoted fields may hold commas, quotes and, with
+    ``multi_line``, newlines) -> ``dataset`` from the path -> user ``preprocess``
+    -> casts. Without ``multi_line`` a large file is read by many tasks."""
+    df = (spark.read.schema(raw_schema).option("header", True).option("multiLine", multi_line)
           .option("escape", '"').option("mode", "FAILFAST")
           .csv(_glob(root, table, datasets, "csv")))
     df = _with_dataset(df)
@@ -93,7 +94,7 @@ def read_comments(spark: SparkSession, root: str, datasets: list[str] | None = N
 
 def read_votes(spark: SparkSession, root: str, datasets: list[str] | None = None) -> DataFrame:
     return read_csv_table(spark, root, "votes", schemas.RAW_VOTES, preprocess_votes,
-                          schemas.VOTES, datasets)
+                          schemas.VOTES, datasets, multi_line=False)  # numbers only: no quoted newlines
 
 
 def table_path(data_root: str, table: str) -> str:
@@ -116,11 +117,31 @@ def read_table(spark: SparkSession, data_root: str, table: str, schema: StructTy
     return cast_to(df, schema) if schema is not None else df
 
 
-def write_table(df: DataFrame, data_root: str, table: str) -> None:
-    """Overwrite only the datasets present in ``df`` (dynamic partition
-    overwrite), partitioned by dataset."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset")
-     .parquet(table_path(data_root, table)))
+def write_table(df: DataFrame, data_root: str, table: str, datasets: list[str] | None = None) -> None:
+    """Overwrite the datasets present in ``df`` (dynamic partition overwrite),
+    partitioned by dataset. Of ``datasets`` - what this run worked on - those for
+    which it made no rows lose their old partition too."""
+    path = table_path(data_root, table)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(path))
+    if datasets:
+        spark = df.sparkSession
+        made = {r[0] for r in spark.read.schema(df.schema).parquet(path).select("dataset").distinct().collect()}
+        stale = [d for d in datasets if d in made
+                 and not df.filter(F.col("dataset") == d).limit(1).count()]
+        for d in stale:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/dataset={d}")
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def append_table(df: DataFrame, data_root: str, table: str) -> None:
+    """G1: add rows to a table, by dataset, with exactly the columns and types it has."""
+    path = table_path(data_root, table)
+    if exists(df.sparkSession, path):
+        have = {f.name: f.dataType for f in df.sparkSession.read.parquet(path).schema.fields}
+        new = {f.name: f.dataType for f in df.schema.fields}
+        if have != new:
+            raise ValueError(f"{table}: columns differ: {sorted(set(map(str, have.items())) ^ set(map(str, new.items())))}")
+    df.write.mode("append").partitionBy("dataset").parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -140,9 +161,14 @@ def load_comments(spark: SparkSession, data_root: str, raw_root: str,
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, schema: StructType | None = None,
-              properties: dict | None = None) -> DataFrame:
-    """A database table (``customSchema`` fixes the column types)."""
+              properties: dict | None = None, split: tuple[str, int, int, int] | None = None) -> DataFrame:
+    """A database table (``customSchema`` fixes the column types). ``split``
+    (numeric column, lowest, highest, partitions) reads it by many tasks; without
+    it one task reads all."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", f'"{table}"')
+    if split:
+        for k, v in zip(("partitionColumn", "lowerBound", "upperBound", "numPartitions"), split, strict=True):
+            r = r.option(k, v)
     if schema is not None:
         r = r.option("customSchema", ", ".join(f"{f.name} {f.dataType.simpleString()}"
                                                for f in schema.fields))

@@ -90,13 +90,20 @@ def window_counts(log: DataFrame, ts: str = "ts", size: str = "1 day",
                       "commentId", "agrees", "disagrees", "passes")
 
 
-def run_available(stream: DataFrame, name: str, mode: str) -> DataFrame:
+def tally(latest: DataFrame) -> DataFrame:
+    """L1, second level: agrees and disagrees per comment of the keyed latest votes."""
+    return latest.groupBy("dataset", "commentId").agg(
+        F.count_if(F.col("vote") == 1).alias("agrees"), F.count_if(F.col("vote") == -1).alias("disagrees"))
+
+
+def run_available(stream: DataFrame, name: str, mode: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Run a streaming query over all available input (``availableNow``) into
     an idempotent per-batch parquet sink in the checkpoint folder and return
     the result as a batch DataFrame.
 
     ``complete`` mode: the last batch holds the whole result; ``append``
-    mode: the union of all batches."""
+    mode: the union of all batches; ``update`` mode: a batch holds only the keys
+    that changed, and the last row of each of ``keys`` counts."""
     spark = stream.sparkSession
     _prefer_rocksdb(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/polyvox-streams/{name}"
@@ -114,13 +121,14 @@ def run_available(stream: DataFrame, name: str, mode: str) -> DataFrame:
     if last["id"] is None:  # nothing new: earlier batches of a restarted query are the result
         if not exists(spark, out):
             return spark.createDataFrame([], stream.schema)
-        done = spark.read.parquet(out)
-        if mode == "complete":
-            done = done.filter(F.col("batch") == done.agg(F.max("batch")).first()[0])
-        return done.drop("batch")
+    done = spark.read.parquet(out)
     if mode == "complete":
-        return spark.read.parquet(f"{out}/batch={last['id']}")
-    return spark.read.parquet(out).drop("batch")
+        done = done.filter(F.col("batch") == done.agg(F.max("batch")).first()[0])
+    if mode == "update":
+        rest = [c for c in stream.columns if c not in keys]
+        newest = F.max_by(F.struct(*rest), "batch").alias("__r")
+        return done.groupBy(*keys).agg(newest).select(*keys, "__r.*").select(*stream.columns)
+    return done.drop("batch")
 
 
 def participation(votes_log: DataFrame, ts: str = "ts", size: str = "1 day") -> DataFrame:
