@@ -55,13 +55,14 @@ _SIGNS = {"＠": "@", "﹫": "@", "．": ".", "。": ".", "․": ".", "‐": "-"
           "‒": "-", "–": "-", "－": "-", "＋": "+", " ": " ", " ": " ", " ": " "}
 _WORD_DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:plus|\+)[ -]*)?(?:{_WORD_DIGIT}|[0-9]+)"
-                      rf"(?:[ ,.-]{{1,3}}(?:{_WORD_DIGIT}|[0-9]+|dot|point|punkt|punto))++(?!\w)")
+                      rf"(?:[ ,.()-]{{1,4}}(?:{_WORD_DIGIT}|[0-9]+|dot|point|punkt|punto))++(?!\w)")
 _ONE_DIGIT = re.compile(rf"(?i)(?<!\w)(?:{_WORD_DIGIT})(?!\w)")
 _SPELLED_PART = re.compile(rf"(?i)({_WORD_DIGIT})|(plus|\+)|([0-9]+)|(dot|point|punkt|punto)")
 _BRACKET_AT = re.compile(r"(?i)[ \t]{0,3}[\[({<]\s{0,3}(?:at|arroba|@)\s{0,3}[\])}>][ \t]{0,3}")
 _BRACKET_DOT = re.compile(r"(?i)[ \t]{0,3}[\[({<]\s{0,3}(?:dot|punkt|point|punto|\.)\s{0,3}[\])}>][ \t]{0,3}")
 _SPACED_AT = re.compile(r"(?i)[ \t]{1,3}(?:at|@|arroba)[ \t]{1,3}|[ \t]{1,3}@|@[ \t]{1,3}|_at_|-at-")
-_SPACED_DOT = re.compile(r"(?i)[ \t]{1,3}(?:dot|punkt)[ \t]{1,3}|_dot_|-dot-")
+_SPACED_DOT = re.compile(r"(?i)[ \t]{1,3}(?:dot|punkt|\.)[ \t]{1,3}|_dot_|-dot-")
+_DIGIT_DOT = re.compile(r"(?i)[0-9][ \t]{0,3}(?:[\[({<][ \t]{0,3}\.|[\[({<]?[ \t]{0,3}(?:dot|punkt|punto|point)|[ \t]\.[ \t])")
 _HAS_DOT = re.compile(r"(?i)dot|punkt|punto|point|[\[({<]\s{0,3}\.\s{0,3}[\])}>]")
 _HAS_AT = re.compile(r"(?i)@|\bat\b|arroba|_at_")
 _ODD = re.compile("[" + re.escape("".join(LOOK_ALIKES) + "".join(_HIDDEN) + "".join(_SIGNS))
@@ -194,7 +195,7 @@ def find_disguised(t: str, base: list[Span]) -> list[Span]:
     if len(_ONE_DIGIT.findall(plain.text)) >= 3:
         views.append(spelled_digits(plain))
     marked = "@" in plain.text or _BRACKET_AT.search(plain.text) is not None
-    if _HAS_AT.search(plain.text) and (marked or _HAS_DOT.search(plain.text)):
+    if _HAS_AT.search(plain.text) and (marked or _HAS_DOT.search(plain.text)) or _DIGIT_DOT.search(plain.text):
         views.append(at_and_dot(plain))
     found: list[Span] = []
     for v in views:

@@ -91,6 +91,12 @@ def test_base_spans_equal_plain_patterns():
     ("ip one nine two dot one six eight dot one dot one here", "ip", "one nine two dot one six eight dot one dot one"),
     ("card four one one one one one one one one one one one one one one one end", "card", " ".join(["four"] + ["one"] * 15)),
     ("ip １９２.168.1.1", "ip", "１９２.168.1.1"),
+    ("call +1 (nine eight eight) five five five-two four eight five, ok", "phone", "+1 (nine eight eight) five five five-two four eight five"),
+    ("at 42 dot 144 dot 35 dot 254 since", "ip", "42 dot 144 dot 35 dot 254"),
+    ("host 42[.]144[.]35[.]254 up", "ip", "42[.]144[.]35[.]254"),
+    ("me: bo.42 @ mail8 . example . com!", "email", "bo.42 @ mail8 . example . com"),
+    ("me: bo dot 42 at mail8 dot example dot com ok", "email", "bo dot 42 at mail8 dot example dot com"),
+    ("mе: b​o.42 [аt] mail8 [dot] example [dot] cоm", "email", "b​o.42 [аt] mail8 [dot] example [dot] cоm"),
 ])
 def test_disguised_spans_map_back(text, kind, source):
     base, both = pii.find_spans(text)
