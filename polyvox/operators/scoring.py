@@ -112,12 +112,14 @@ def top_comments(top_args: DataFrame, edges: DataFrame, comments: DataFrame,
 def refute_samples(edges: DataFrame, arguments: DataFrame, comments: DataFrame,
                    topics: DataFrame) -> DataFrame:
     """K4 (C11, D11, E12): one refuting edge per topic, lowest (commentId,
-    argumentId), with argument/topic titles, comment text and tallies."""
+    argumentId), with argument/topic titles, comment text and tallies, and the
+    first element of the edge's ``reasoning`` list where edges have one (I15;
+    NULL for an empty list)."""
     ref = edges.filter(F.col("relationship") == "REFUTE")
+    why = [F.get("reasoning", 0).alias("reasoning")] if "reasoning" in edges.columns else []
     first = (ref.groupBy("dataset", "topicId")
-             .agg(F.min(F.struct("commentId", "argumentId")).alias("__k"))
-             .select("dataset", "topicId", F.col("__k.commentId").alias("commentId"),
-                     F.col("__k.argumentId").alias("argumentId")))
+             .agg(F.min(F.struct("commentId", "argumentId", *why)).alias("__k"))
+             .select("dataset", "topicId", "__k.*"))
     t = topics.select("dataset", F.col("Topic").alias("topicId"),
                       F.col("Title").alias("topicTitle"))
     return (first.join(arguments.select(*ARG_KEYS, "argumentTitle"), ARG_KEYS, "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from polyvox.operators import cluster as K
 from polyvox.operators import embed as EM
 from polyvox.operators import moderation as M
+from polyvox.operators import scoring as S
 from polyvox.operators import text as T
 from polyvox.operators import topics as TP
 from polyvox.streaming import votes as SV
@@ -116,3 +117,17 @@ def test_stream_windows_lose_no_votes(spark, tmp, files):
     last = log.agg(F.max("ts").alias("m")).first()["m"]
     want = SV.window_counts(log).filter(F.col("window_end") <= F.lit(last).cast("timestamp_ntz") - F.expr("INTERVAL 1 HOUR"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count() > 0
+
+
+def test_refute_sample_has_its_first_reason(spark):
+    edges = spark.createDataFrame(
+        [("d", 0, 1, 5, "REFUTE", ["second"]), ("d", 0, 0, 5, "REFUTE", ["first", "more"]), ("d", 1, 0, 7, "REFUTE", []),
+         ("d", 2, 0, 8, "SUPPORT", ["no"])],
+        "dataset string, topicId int, argumentId bigint, commentId bigint, relationship string, reasoning array<string>")
+    args = spark.createDataFrame([("d", 0, 0, "a"), ("d", 0, 1, "b"), ("d", 1, 0, "c")],
+                                 "dataset string, topicId int, argumentId bigint, argumentTitle string")
+    comments = spark.createDataFrame([("d", 5, "x", 1, 2), ("d", 7, "y", 0, 0)],
+                                     "dataset string, commentId bigint, commentText string, agrees int, disagrees int")
+    topics = spark.createDataFrame([("d", 0, "T0"), ("d", 1, "T1")], "dataset string, Topic int, Title string")
+    got = {r["topicId"]: (r["argumentTitle"], r["reasoning"]) for r in S.refute_samples(edges, args, comments, topics).collect()}
+    assert got == {0: ("a", "first"), 1: ("c", None)}
