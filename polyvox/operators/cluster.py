@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from polyvox.functions.exprs import min_cluster_size
 from polyvox.functions.vectors import cosine, dot, normalize, sq_dist
+from polyvox.operators.embed import reduced
 from polyvox.operators.skew import per_dataset, salted_join
 from polyvox.session import checkpoint_dir
 
@@ -91,7 +93,8 @@ def silhouette(points: DataFrame, vec: str = "embedding", topic: str = "topicId"
     With unit vectors u and cluster sums S_c (n_c members), the mean cosine
     distance from u to cluster c is (n_c - u.S_c)/n_c, and to the other
     members of its own cluster (n_a - u.S_a)/(n_a - 1). Outliers (-1) count
-    as a cluster (survey Q19). Singleton clusters score 0; zero vectors take no part.
+    as a cluster (survey Q19). Singleton clusters and points at distance 0 from their own and
+    the next cluster score 0; zero vectors take no part.
     Returns (dataset, topic, size, silhouette, overall)."""
     pts = (points.filter(F.col(vec).isNotNull())
            .select("dataset", "commentId", F.col(topic).alias("__t"), normalize(vec).alias("__u"))
@@ -108,8 +111,9 @@ def silhouette(points: DataFrame, vec: str = "embedding", topic: str = "topicId"
     per_pt = attach(pts, arr).select("dataset", "commentId", t, dists.alias("__ds"))
     own = F.get(F.filter("__ds", lambda x: x["c"] == t), 0)
     b = F.array_min(F.transform(F.filter("__ds", lambda x: x["c"] != t), lambda x: x["d"]))
-    s = per_pt.select("dataset", t, F.when(own["n"] <= 1, F.lit(0.0)).otherwise(
-        (b - own["d"]) / F.greatest(own["d"], b)).alias("__s"))
+    most = F.greatest(own["d"], b)
+    s = per_pt.select("dataset", t, F.when((own["n"] <= 1) | (most == 0), F.lit(0.0)).otherwise(
+        F.try_divide(b - own["d"], most)).alias("__s"))
     per_cluster = (s.groupBy("dataset", F.col("__t").alias(topic))
                    .agg(F.count("*").alias("size"), F.avg("__s").alias("silhouette")))
     overall = s.groupBy("dataset").agg(F.avg("__s").alias("overall"))
@@ -296,6 +300,31 @@ def topic_sizes(assign: DataFrame, topic: str = "topicId") -> DataFrame:
     return sizes.join(stats, "dataset")
 
 
+def sweep(points: DataFrame, settings: list[dict], vec: str = "embedding") -> DataFrame:
+    """One row per dataset and clustering setting with what came out of it.
+
+    A setting holds any of ``kmeans_topics``' k, outlier_distance, link_distance
+    and max_iter, and ``dims``, principal components to reduce vectors to first
+    (fit on all rows given). The driver only walks the list; each run is a
+    distributed job whose assignment is checkpointed. Returns (dataset,
+    setting, params, n_comments, n_topics, n_outliers, largest, silhouette);
+    silhouette is NULL where there is one cluster only."""
+    rows = points.select("dataset", "commentId", F.col(vec).alias("embedding"))
+    runs = []
+    for i, s in enumerate(settings):
+        own = dict(s)
+        dims = own.pop("dims", None)
+        pts = _ckpt(reduced(rows, dims)) if dims else rows
+        a = _ckpt(kmeans_topics(pts, **own))
+        sil = silhouette(a.join(pts, ["dataset", "commentId"])).select("dataset", F.col("overall").alias("silhouette")).distinct()
+        text = ", ".join(f"{k}={v}" for k, v in sorted(s.items()))
+        runs.append(topic_sizes(a).select("dataset", "n_comments", "n_topics", "n_outliers", "largest").distinct()
+                    .join(sil, "dataset", "left")
+                    .select("dataset", F.lit(i).alias("setting"), F.lit(text).alias("params"), "n_comments", "n_topics",
+                            "n_outliers", "largest", "silhouette"))
+    return reduce(DataFrame.unionByName, runs)
+
+
 # ---- H15 hierarchy ---------------------------------------------------------
 
 HIER_SCHEMA = ("dataset string, Parent_ID int, Parent_Name string, Topics array<int>, "
@@ -325,26 +354,25 @@ def _agglomerate(dist: pd.DataFrame, terms: pd.DataFrame) -> pd.DataFrame:
         return "_".join(w for w, _ in top)
 
     clusters = {t: [t] for t in topics}   # node id -> leaf topics
-    active = list(topics)
+    active = list(topics)                 # node ids in order, one per row of D
     next_id = max(topics) + 1
     rows = []
+    np.fill_diagonal(D, np.inf)
+    last = 0.0
     while len(active) > 1:
-        best = None
-        for i in range(len(active)):
-            for j in range(i + 1, len(active)):
-                a, b = active[i], active[j]
-                la, lb = clusters[a], clusters[b]
-                d = float(np.mean([D[idx[x], idx[y]] for x in la for y in lb]))
-                key = (d, min(a, b), max(a, b))
-                if best is None or key < best[0]:
-                    best = (key, a, b)
-        (d, _, _), a, b = best
-        left, right = (a, b) if a < b else (b, a)
-        members = sorted(clusters[a] + clusters[b])
+        i, j = sorted(divmod(int(D.argmin()), len(active)))  # ties: lowest ids
+        left, right = active[i], active[j]
+        last = max(last, float(D[i, j]))  # rounding must not make it fall
+        n_l, n_r = len(clusters[left]), len(clusters[right])
+        # the mean over all leaf pairs is the size-weighted mean of the two rows
+        row = np.delete((n_l * D[i] + n_r * D[j]) / (n_l + n_r), (i, j))
+        D = np.pad(np.delete(np.delete(D, (i, j), 0), (i, j), 1), (0, 1), constant_values=np.inf)
+        D[-1, :-1] = D[:-1, -1] = row
+        members = sorted(clusters[left] + clusters[right])
         clusters[next_id] = members
         rows.append((ds, next_id, name(members), members, left, name(clusters[left]),
-                     right, name(clusters[right]), d))
-        active = [x for x in active if x not in (a, b)] + [next_id]
+                     right, name(clusters[right]), last))
+        active = [x for x in active if x not in (left, right)] + [next_id]
         next_id += 1
     return pd.DataFrame(rows, columns=[c.split()[0] for c in HIER_SCHEMA.split(", ")])
 

@@ -55,6 +55,12 @@ def encode_with(docs: DataFrame, encoder: Callable[[list[str]], np.ndarray],
         run, "dataset string, commentId bigint, embedding array<float>, model string")
 
 
+def reduced(points: DataFrame, k: int, vec: str = "embedding") -> DataFrame:
+    """H2: (dataset, commentId, embedding) with the first ``k`` principal components, unscaled."""
+    p = pca_coords(points, k, vec, scale=False)
+    return p.select("dataset", "commentId", F.array(*[f"pc{i + 1}" for i in range(k)]).alias("embedding"))
+
+
 def pca_coords(points: DataFrame, k: int = 3, vec: str = "embedding",
                scale: bool = True) -> DataFrame:
     """Project vectors on the first ``k`` principal components

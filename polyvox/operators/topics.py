@@ -114,3 +114,33 @@ def replace_columns(df: DataFrame, other: DataFrame, on: list[str], cols: list[s
     """D2 / H20 (join in place): drop ``cols`` from ``df`` and take them from
     ``other`` by a left join on ``on`` (rows without a match get NULL)."""
     return df.drop(*cols).join(other.select(*on, *cols), on, "left")
+
+
+def ancestors(tree: DataFrame, levels: int = 10) -> DataFrame:
+    """(dataset, topicId, ancestors array<int>) from a merge tree.
+
+    Level l of ``levels`` holds the first ceil(l / levels) share of the
+    dataset's merges; entry l is the node that the topic is part of by then
+    (the topic itself, if none), so the last entry is the root."""
+    own = Window.partitionBy("dataset")  # one row per merge; the tree itself is built per dataset
+    at = (tree.withColumn("__rank", F.col("Parent_ID") - F.min("Parent_ID").over(own) + 1).withColumn("__n", F.count("*").over(own))
+          .select("dataset", "Parent_ID", "__rank", "__n", F.explode("Topics").alias("topicId")))
+    path = at.groupBy("dataset", "topicId").agg(F.max("__n").alias("__n"),
+                                                F.collect_list(F.struct("Parent_ID", "__rank")).alias("__path"))
+
+    def node(level):
+        done = F.filter("__path", lambda m: m["__rank"] * levels < F.col("__n") * level + levels)
+        return F.coalesce(F.array_max(F.transform(done, lambda m: m["Parent_ID"])), F.col("topicId")).cast("int")
+    return path.select("dataset", F.col("topicId").cast("int").alias("topicId"),
+                       F.transform(F.sequence(F.lit(1), F.lit(levels)), node).alias("ancestors"))
+
+
+def document_map(assign: DataFrame, coords: DataFrame, tree: DataFrame, labels: DataFrame, levels: int = 10) -> DataFrame:
+    """One row per document with a vector: its coordinates, topic and Heading, and the
+    tree node that it belongs to at each of ``levels`` cuts. Topics outside the tree (outliers,
+    the only topic of a dataset) are their own node throughout."""
+    up = labels.select("dataset", F.col("Topic").alias("topicId"), "Heading").join(
+        ancestors(tree, levels), ["dataset", "topicId"], "full")
+    out = coords.join(assign.select("dataset", "commentId", "topicId"), ["dataset", "commentId"]).join(up, ["dataset", "topicId"], "left")
+    return out.select(*coords.columns, "topicId", F.when(F.col("topicId") == -1, F.lit("Outliers")).otherwise(F.col("Heading")).alias("Heading"),
+                      F.coalesce("ancestors", F.array_repeat("topicId", levels)).alias("ancestors"))

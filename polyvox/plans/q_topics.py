@@ -191,6 +191,21 @@ def q_pca_coords(spark, sf_dir):
     return EM.pca_coords(fx(spark, sf_dir).assignment, k=3)
 
 
+@query("clustering_sweep", "H19")
+def q_clustering_sweep(spark, sf_dir):
+    pts = fx(spark, sf_dir).assignment
+    return K.sweep(pts, [{"outlier_distance": 0.6, "link_distance": 0.2}, {"outlier_distance": 0.6}, {"k": 10, "dims": 8}])
+
+
+@query("document_map", "H22")
+def q_document_map(spark, sf_dir):
+    """Statements with a vector on two principal components, with their source topic and its
+    ancestors in the merge tree."""
+    f, _, weights, _ = text_model(spark, sf_dir)
+    labels = TP.headings(T.top_terms(weights, 10), T.title_stop_words(f.summary))
+    return TP.document_map(not_rejected(f.comments), EM.pca_coords(f.assignment, k=2), K.hierarchy(weights), labels)
+
+
 @query("hash_embeddings", "H1 M3")
 def q_hash_embeddings(spark, sf_dir):
     return EM.hash_embeddings(not_rejected(fx(spark, sf_dir).comments))

@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from polyvox.operators import cluster as K
+from polyvox.operators import topics as TP
 from polyvox.sources.adapters import Fixture
 
 from conftest import SF_SMALL
@@ -67,3 +68,30 @@ def test_reassignment_leaves_no_outlier_with_vector(spark):
     moved = out.join(a.select("dataset", "commentId", F.col("topicId").alias("t0")),
                      ["dataset", "commentId"])
     assert moved.filter((F.col("t0") >= 0) & (F.col("t0") != F.col("topicId"))).count() == 0
+
+
+def test_silhouette_of_equal_vectors_is_zero(spark):
+    df = spark.createDataFrame([("e", i, [1.0, 0.0], i % 2) for i in range(6)],
+                               "dataset string, commentId bigint, embedding array<double>, topicId int")
+    assert {r.silhouette for r in K.silhouette(df).collect()} == {0.0}
+
+
+def test_sweep_has_a_row_per_setting(spark):
+    df = _blobs(spark).select("dataset", "commentId", "embedding")
+    got = {r.setting: r for r in K.sweep(df, [{"k": 3}, {"k": 3, "dims": 2}, {"k": 1}]).collect()}
+    assert sorted(got) == [0, 1, 2] and got[1].params == "dims=2, k=3"
+    assert (got[0].n_topics, got[0].n_outliers, got[0].n_comments) == (3, 0, 180) and got[0].silhouette > 0.9
+    assert got[2].n_topics == 1 and got[2].silhouette is None
+
+
+def test_document_map_follows_the_tree(spark):
+    tree = spark.createDataFrame([("d", 4, [0, 1], 0.1), ("d", 5, [2, 3], 0.2), ("d", 6, [0, 1, 2, 3], 0.9)],
+                                 "dataset string, Parent_ID int, Topics array<int>, Distance double")
+    up = {r.topicId: r.ancestors for r in TP.ancestors(tree, levels=3).collect()}
+    assert up == {0: [4, 4, 6], 1: [4, 4, 6], 2: [2, 5, 6], 3: [3, 5, 6]}
+    assert [r.ancestors for r in TP.ancestors(tree, levels=1).collect()] == [[6]] * 4
+    docs = spark.createDataFrame([("d", 10, 2), ("d", 11, -1), ("x", 12, 0)], "dataset string, commentId bigint, topicId int")
+    at = docs.selectExpr("dataset", "commentId", "0.5 as pc1", "0.25 as pc2")
+    labels = spark.createDataFrame([("d", 2, "two"), ("x", 0, "alone")], "dataset string, Topic int, Heading string")
+    got = {r.commentId: (r.Heading, r.ancestors) for r in TP.document_map(docs, at, tree, labels, levels=3).collect()}
+    assert got == {10: ("two", [2, 5, 6]), 11: ("Outliers", [-1] * 3), 12: ("alone", [0] * 3)}
