@@ -32,7 +32,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 5          # a pair at the threshold is missed with probability (1 - 0.8^5)^32 = 3e-6
 HASHES = BANDS * ROWS
 STEP = 16                    # MinHash values compared between two looks at the posterior
-TOLERANCE = 1e-4
+TOLERANCE = 1e-9             # all looks together drop a pair at the threshold with probability 1.1e-8
 BLOCK_ROWS = 512             # texts per block of a cluster
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}

@@ -1,6 +1,7 @@
 """Text operators against brute force, on awkward rows and on small tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -343,6 +344,17 @@ def test_posterior_pruning_keeps_similar_pairs():
     assert lost <= 40 and all(a <= b for a, b in zip(least, least[1:], strict=False))
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.81, 0.82, 0.85])
+def test_pruning_loses_less_than_the_bands(similarity):
+    step = [math.comb(ngram_join.STEP, k) * similarity ** k * (1 - similarity) ** (ngram_join.STEP - k) for k in range(ngram_join.STEP + 1)]
+    held, lost = np.ones(1), 0.0
+    for least in ngram_join.least_matches():
+        held = np.convolve(held, step)
+        lost += held[:least].sum()
+        held[:least] = 0
+    assert lost <= 1e-7
+
+
 def test_join_awkward(awkward, nothing):
     got = ngram_join.join_classes(awkward)
     assert got.count() == awkward.count()
