@@ -2,15 +2,16 @@
 
 Training counts character n-grams of order ``ORDER`` inside words over all
 training texts: each task folds its words into a bounded count table, and a
-Spark aggregate sums (language, n-gram). From these come, per language, the
-interpolated Kneser-Ney probabilities of all orders, kept as sorted arrays of
-packed n-grams (a hash for characters outside the alphabet) with log
-probability and back-off weight, searched by bisection.
+Spark aggregate sums (language, n-gram). From all of these come, per language, the
+interpolated Kneser-Ney probabilities of all orders. Up to MODEL_GRAMS n-grams
+they are broadcast as sorted arrays of packed n-grams (a hash for characters
+outside the alphabet) with log probability and back-off weight, searched by
+bisection; beyond, they are estimated and kept as tables, which the texts' n-grams join.
 
 A text's score under a language is its mean log probability per character
 (cross-entropy); the lowest cross-entropy wins, ties go to the first name. A
 text is also ``rejected`` if its best cross-entropy is above the calibrated
-quantile of held-in texts of that language.
+quantile of all held-in texts of that language.
 """
 
 from __future__ import annotations
@@ -24,15 +25,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from polyvox.llm.common import hash_sample, small_parts
+from polyvox.llm.common import small_parts, staged, text_id
 
 ORDER = 4
 BITS = 12                 # bits per character in a packed n-gram
-MAX_GRAMS = 300_000       # n-grams kept per language in the broadcast model, by count
+MODEL_GRAMS = 1_200_000   # n-grams of all languages together up to which models are broadcast
 DISCOUNT = 0.75
-CALIBRATION_TEXTS = 4_000  # training texts that the rejection threshold is read off (by hash, about)
 REJECT_QUANTILE = 0.995
 MAX_KNOWN_WORDS = 400_000
 _FLUSH = 400_000
@@ -179,16 +178,96 @@ def _lower(g, order, gs, ps, cs, bs, floor) -> np.ndarray:
     return np.where(gs[-1][i] == q, ps[-1][i], floor)
 
 
-def train(docs: DataFrame, label: Column) -> dict[str, Model]:
-    """One model per language from all rows with a label.
+def train(counts: DataFrame) -> dict[str, Model]:
+    """One model per language from all its n-gram counts, on the driver."""
+    return {lang: kneser_ney(p["gram"].to_numpy(), p["n"].to_numpy()) for lang, p in sorted(counts.toPandas().groupby("lang"))}
 
-    All n-grams of all texts are counted in Spark; the model that scorers get
-    keeps the MAX_GRAMS most frequent per language (ties: smaller n-gram), which bounds it.
-    """
-    top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = (ngram_counts(docs, label).withColumn("r", F.row_number().over(top))
-            .filter(F.col("r") <= MAX_GRAMS).drop("r")).toPandas()
-    return {lang: kneser_ney(p["gram"].to_numpy(), p["n"].to_numpy()) for lang, p in sorted(kept.groupby("lang"))}
+
+def _suffix(gram: Column, order: int) -> Column:
+    return gram.bitwiseAND(F.lit((1 << BITS * order) - 1))
+
+
+def estimate(counts: DataFrame, names: list[str]) -> tuple[list[DataFrame], list[DataFrame], list[float]]:
+    """``kneser_ney`` as tables: per order (from 1) ``gram, logp`` and ``ctx, logw``, arrays with one
+    place per language (null where it hasn't seen the n-gram or context), and each language's floor.
+    A context has at most 2^BITS n-grams and a suffix as many predecessors, so no key is hot."""
+    levels = [counts.select("lang", "gram", F.col("n").cast("double").alias("n"))]
+    for order in range(ORDER - 1, 0, -1):
+        low = levels[-1].select("lang", _suffix(F.col("gram"), order).alias("gram"))
+        levels.append(staged(low.groupBy("lang", "gram").agg(F.count(F.lit(1)).cast("double").alias("n")), "lang-level"))
+    levels.reverse()
+
+    def by_lang(df: DataFrame, key: str, value: str) -> DataFrame:
+        held = df.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lang", F.log(value)))).alias("m"))
+        return held.select(key, F.array(*[F.col("m")[n] for n in names]).alias(f"log{value}"))
+
+    uniform = 1.0 / (1 << BITS)
+    probs, weights, below, floors = [], [], None, []
+    for order, level in enumerate(levels, 1):
+        level = level.withColumn("ctx", F.shiftright("gram", BITS))
+        total = F.sum("n")
+        ctx = staged(level.groupBy("lang", "ctx").agg(total.alias("total"), (DISCOUNT * F.count(F.lit(1)) / total).alias("w")), "lang-contexts")
+        g = level.join(ctx, ["lang", "ctx"])
+        if below is None:
+            first = {r[0]: r[1] for r in ctx.select("lang", "w").collect()}
+            floors = [float(np.log(first[n] * uniform)) for n in names]
+            g = g.withColumn("below", F.lit(uniform))
+        else:
+            g = g.withColumn("low", _suffix(F.col("gram"), order - 1)).join(below, ["lang", "low"])
+        p = F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total") + F.col("w") * F.col("below")
+        g = staged(g.select("lang", "gram", p.alias("p")), "lang-probabilities")
+        below = g.select("lang", F.col("gram").alias("low"), F.col("p").alias("below"))
+        probs.append(by_lang(g, "gram", "p"))
+        weights.append(by_lang(ctx, "ctx", "w"))
+    return probs, weights, floors
+
+
+def _text_grams(docs: DataFrame) -> DataFrame:
+    """``tid, gram, n`` of each distinct text, and a row of gram -1 with its ``letters``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_parts(batches, limit=1 << 20):
+            row, grams, n = [], [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                words = _WORD.findall(t.lower())
+                g, k = np.unique(_grams(*_codes(words)), return_counts=True) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                row.append(np.full(len(g) + 1, i))
+                grams.append(np.append(g, -1))
+                n.append(np.append(k, sum(len(w) + 1 for w in words if any(map(str.isalpha, w)))))
+            if row:
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(row))), pa.array(np.concatenate(grams)),
+                                                  pa.array(np.concatenate(n))], ["tid", "gram", "n"])
+
+    rows = docs.select(text_id().alias("tid"), "text").mapInArrow(run, "tid binary, gram long, n long")
+    return rows.groupBy("tid", "gram").agg(F.max("n").alias("n"))
+
+
+def _scored_by_join(docs: DataFrame, counts: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
+    """``_scored`` for models of any size: the texts' distinct n-grams meet the tables of
+    every order, and their scores are summed per text."""
+    probs, weights, floors = estimate(counts, names)
+    held = staged(_text_grams(docs), "lang-text-grams")
+    df = held.filter("gram >= 0").select("gram").distinct()
+    for order in range(ORDER, 0, -1):
+        own = _suffix(F.col("gram"), order)
+        p = probs[order - 1].select(F.col("gram").alias("k"), F.col("logp").alias(f"p{order}"))
+        df = df.withColumn("k", own).join(p if order > 1 else F.broadcast(p), "k", "left").drop("k")
+        if order > 1:
+            w = weights[order - 1].select(F.col("ctx").alias("k"), F.col("logw").alias(f"w{order}"))
+            df = df.withColumn("k", F.shiftright(own, BITS)).join(w if order > 2 else F.broadcast(w), "k", "left").drop("k")
+    each = []
+    for j, floor in enumerate(floors):
+        x = F.coalesce(F.get("p1", F.lit(j)), F.lit(floor))
+        for order in range(2, ORDER + 1):
+            x = F.coalesce(F.get(f"p{order}", F.lit(j)), F.coalesce(F.get(f"w{order}", F.lit(j)), F.lit(0.0)) + x)
+        each.append(x.alias(f"s{j}"))
+    scores = staged(df.select("gram", *each), "lang-gram-scores")
+    sums = (held.filter("gram >= 0").join(scores, "gram").groupBy("tid")
+            .agg(F.array(*[F.sum(F.col("n") * F.col(f"s{j}")) for j in range(len(names))]).alias("s")))
+    letters = held.filter("gram < 0").select("tid", F.col("n").alias("letters"))
+    per = letters.join(sums, "tid", "left").select(
+        "tid", "letters", F.when(F.col("letters") > 0, F.transform("s", lambda x: -x / F.col("letters"))).alias("nll"))
+    return docs.select(*keep, text_id().alias("tid")).join(per, "tid").select(*keep, "letters", "nll")
 
 
 def _scored(docs: DataFrame, models: dict[str, Model], keep: list[str]) -> DataFrame:
@@ -249,20 +328,22 @@ def identify(docs: DataFrame, training: Column, lang_col: str = "lang") -> DataF
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~F.coalesce(training, F.lit(False))).alias("held_out"),
                        F.col(lang_col).cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    models = train(base, F.when(~F.col("held_out"), F.col("lang")))
-    names = sorted(models)
+    counts = staged(ngram_counts(base, F.when(~F.col("held_out"), F.col("lang"))), "lang-counts")
+    sizes = {r[0]: r[1] for r in counts.groupBy("lang").count().collect()}
+    names = sorted(sizes)
     if not names:
         return base.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("cross_entropy"))
     lang_list = F.array(*[F.lit(n) for n in names])
-    # calibration: held-in texts with the smallest hashes, about a fixed number
-    seen = base.filter(~F.col("held_out") & F.col("lang").isNotNull())
-    some = hash_sample(seen, CALIBRATION_TEXTS, seen.count(), "doc_id", "text")
-    cal = (_scored(some, models, ["lang"]).filter("nll is not null")
-           .select("lang", F.element_at("nll", F.array_position(lang_list, F.col("lang")).cast("int")).alias("x")))
+    keep = ["doc_id", "held_out", "lang"]
+    small = sum(sizes.values()) <= MODEL_GRAMS
+    s = staged(_scored(base, train(counts), keep) if small else _scored_by_join(base, counts, names, keep), "lang-scores")
+    # calibration: all held-in texts of a language, cross-entropies counted at four decimals (rounded up)
+    own = F.element_at("nll", F.array_position(lang_list, F.col("lang")).cast("int"))
+    cal = (s.filter(~F.col("held_out") & F.col("lang").isin(names) & F.col("nll").isNotNull())
+           .select("lang", (F.ceil(own * 10_000) / 10_000).alias("x")))
     cut = {r[0]: r[1] for r in cal.groupBy("lang").agg(F.percentile("x", REJECT_QUANTILE)).collect()}
     limits = F.array(*[F.lit(float(cut.get(n, np.inf))) for n in names])
-    s = _scored(base, models, ["doc_id", "held_out"])
     best = F.array_min("nll")
     at = F.array_position("nll", best).cast("int")
     n = F.least(F.col("letters"), F.lit(50))

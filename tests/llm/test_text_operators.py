@@ -236,6 +236,24 @@ def test_language_held_out(documents, spark, awkward, nothing):
     assert set(none.lang_pred) == {"und"}
 
 
+def test_language_keeps_every_ngram(spark):
+    letters = [chr(c) for c in range(0x400, 0x480) if chr(c).islower()] + [chr(c) for c in range(0x561, 0x587)] + [
+        chr(c) for c in range(0xE0, 0x250) if chr(c).islower()]
+    text = " ".join(a + b + c for a in letters[:60] for b in letters[60:140] for c in letters[140:210])
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    counts = langid.ngram_counts(df, F.lit("x"))
+    assert counts.count() > 600_000
+    assert len(langid.train(counts)["x"].grams[-1]) == counts.count()
+
+
+def test_language_model_of_any_size(spark, documents, awkward, monkeypatch):
+    docs = documents.select("doc_id", "text", "lang").limit(60).unionByName(awkward.select("doc_id", "text", F.lit(None).cast("string").alias("lang")))
+    key = lambda r: (str(r.doc_id), r.held_out, r.lang_pred, r.rejected, round(r.score, 6), round(r.cross_entropy or 0, 6))
+    want = sorted(key(r) for r in langid.identify(docs, queries.crc_mod(4) != 2).collect())
+    monkeypatch.setattr(langid, "MODEL_GRAMS", 0)
+    assert sorted(key(r) for r in langid.identify(docs, queries.crc_mod(4) != 2).collect()) == want
+
+
 # --- 8: BPE ------------------------------------------------------------------
 
 @pytest.mark.parametrize("block", [1, 32 << 20])
