@@ -58,13 +58,25 @@ _SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:plus|\+)[ -]*)?(?:{_WORD_DIGIT}|[0-9]+
                       rf"(?:[ ,.()-]{{1,4}}(?:{_WORD_DIGIT}|[0-9]+|dot|point|punkt|punto))++(?!\w)")
 _ONE_DIGIT = re.compile(rf"(?i)(?<!\w)(?:{_WORD_DIGIT})(?!\w)")
 _SPELLED_PART = re.compile(rf"(?i)({_WORD_DIGIT})|(plus|\+)|([0-9]+)|(dot|point|punkt|punto)")
-_BRACKET_AT = re.compile(r"(?i)[ \t]{0,3}[\[({<]\s{0,3}(?:at|arroba|@)\s{0,3}[\])}>][ \t]{0,3}")
+_BRACKET_AT = re.compile(r"(?i)[ \t]{0,3}[\[({<]\s{0,3}(?:at|arroba|arobase|@)\s{0,3}[\])}>][ \t]{0,3}")
 _BRACKET_DOT = re.compile(r"(?i)[ \t]{0,3}[\[({<]\s{0,3}(?:dot|punkt|point|punto|\.)\s{0,3}[\])}>][ \t]{0,3}")
-_SPACED_AT = re.compile(r"(?i)[ \t]{1,3}(?:at|@|arroba)[ \t]{1,3}|[ \t]{1,3}@|@[ \t]{1,3}|_at_|-at-")
+_SPACED_AT = re.compile(r"(?i)[ \t]{1,3}(?:at|@|arroba|arobase)[ \t]{1,3}|[ \t]{1,3}@|@[ \t]{1,3}|_at_|-at-")
 _SPACED_DOT = re.compile(r"(?i)[ \t]{1,3}(?:dot|punkt|\.)[ \t]{1,3}|_dot_|-dot-")
+_CLEAR_AT = re.compile(r"(?i)[ \t]{1,3}(?:@|arroba|arobase)[ \t]{1,3}|[ \t]{1,3}@|@[ \t]{1,3}|_at_|-at-")
+# "point" and "punto" are ordinary words too: dots only between numbers, in the name before an at, and in
+# the domain after one. "At this point in ..." is English: after a bare "at", "point" needs a known ending.
+_POINT = re.compile(r"(?i)[ \t]{1,3}(?:point|punto)[ \t]{1,3}")
+_LABEL = r"[A-Za-z0-9-]{1,63}"
+_NUMBER_POINT = re.compile(rf"(?<=[0-9]){_POINT.pattern[4:]}(?=[0-9])", re.I)
+_LOCAL_POINT = re.compile(rf"(?<=[A-Za-z0-9_%+-]){_POINT.pattern[4:]}(?=[A-Za-z0-9._%+-]{{1,64}}(?:{_POINT.pattern[4:]}[A-Za-z0-9._%+-]{{1,64}}){{0,8}}@)", re.I)
+_DOMAIN_POINT = re.compile(rf"(?:@{_LABEL}(?:(?:\.|[ \t]{{1,3}}(?:point|punto)[ \t]{{1,3}}){_LABEL})+"
+                           rf"|[ \t]at[ \t]{{1,3}}{_LABEL}(?:(?:\.|[ \t]{{1,3}}punto[ \t]{{1,3}}){_LABEL})+"
+                           rf"|[ \t]at[ \t]{{1,3}}{_LABEL}(?:(?:\.|[ \t]{{1,3}}point[ \t]{{1,3}}){_LABEL})*?"
+                           r"[ \t]{1,3}point[ \t]{1,3}(?:com|org|net|edu|info|eu|fr|ch|ca|lu|de|es|uk)\b)", re.I)
+_TAIL_DOT = re.compile(r"(?i)(?:[ ,.()-]{1,4}(?:dot|point|punkt|punto))+\Z")
 _DIGIT_DOT = re.compile(r"(?i)[0-9][ \t]{0,3}(?:[\[({<][ \t]{0,3}\.|[\[({<]?[ \t]{0,3}(?:dot|punkt|punto|point)|[ \t]\.[ \t])")
 _HAS_DOT = re.compile(r"(?i)dot|punkt|punto|point|[\[({<]\s{0,3}\.\s{0,3}[\])}>]")
-_HAS_AT = re.compile(r"(?i)@|\bat\b|arroba|_at_")
+_HAS_AT = re.compile(r"(?i)@|\bat\b|arroba|arobase|_at_")
 _ODD = re.compile("[" + re.escape("".join(LOOK_ALIKES) + "".join(_HIDDEN) + "".join(_SIGNS))
                   + "！-～\U0001d400-\U0001d7ff①-⑨٠-٩]")
 
@@ -159,22 +171,28 @@ def homoglyphs(m: Mapped) -> Mapped:
 def spelled_digits(m: Mapped) -> Mapped:
     """Runs of at least seven digits of which three are words: one digit string.
 
-    A leading plus stays; "dot"/"point" words become points. Shorter runs stay as they are.
+    A leading plus stays; "dot"/"point" words between digits become points. Shorter runs stay as they are.
     """
     edits = []
     for x in _SPELLED.finditer(m.text):
-        parts = _SPELLED_PART.findall(x[0])
+        tail = _TAIL_DOT.search(x[0])
+        end = x.start() + tail.start() if tail else x.end()  # a dot after the last digit belongs to what follows
+        parts = _SPELLED_PART.findall(m.text[x.start():end])
         words = sum(bool(p[0]) for p in parts)
         new = "".join(DIGIT_WORDS[p[0].lower()] if p[0] else "+" if p[1] else p[2] or "." for p in parts)
         if words >= 3 and sum(c.isdigit() for c in new) >= 4:
-            edits.append((x.start(), x.end(), new))
+            edits.append((x.start(), end, new))
     return m.rewrite(edits)
 
 
 def at_and_dot(m: Mapped) -> Mapped:
     """Bracketed, spaced and underscored at/dot disguises as @ and '.'."""
-    for pattern, new in ((_BRACKET_DOT, "."), (_BRACKET_AT, "@"), (_SPACED_DOT, "."), (_SPACED_AT, "@")):
-        m = m.rewrite([(x.start(), x.end(), new) for x in pattern.finditer(m.text)])
+    for pattern, new in ((_BRACKET_DOT, "."), (_BRACKET_AT, "@"), (_SPACED_DOT, "."), (_CLEAR_AT, "@"), (_NUMBER_POINT, "."),
+                         (_DOMAIN_POINT, None), (_SPACED_AT, "@"), (_LOCAL_POINT, ".")):
+        if new:
+            m = m.rewrite([(x.start(), x.end(), new) for x in pattern.finditer(m.text)])
+        elif _POINT.search(m.text):
+            m = m.rewrite([(y.start(), y.end(), ".") for x in pattern.finditer(m.text) for y in _POINT.finditer(m.text, x.start(), x.end())])
     return m
 
 
@@ -192,11 +210,16 @@ def find_disguised(t: str, base: list[Span]) -> list[Span]:
     if odd:
         plain = homoglyphs(plain)
         views.append(plain)
+    worked = [plain]
     if len(_ONE_DIGIT.findall(plain.text)) >= 3:
-        views.append(spelled_digits(plain))
-    marked = "@" in plain.text or _BRACKET_AT.search(plain.text) is not None
-    if _HAS_AT.search(plain.text) and (marked or _HAS_DOT.search(plain.text)) or _DIGIT_DOT.search(plain.text):
-        views.append(at_and_dot(plain))
+        spelled = spelled_digits(plain)
+        if spelled is not plain:
+            views.append(spelled)
+            worked.append(spelled)
+    for v in worked:
+        marked = "@" in v.text or _BRACKET_AT.search(v.text) is not None
+        if _HAS_AT.search(v.text) and (marked or _HAS_DOT.search(v.text)) or _DIGIT_DOT.search(v.text):
+            views.append(at_and_dot(v))
     found: list[Span] = []
     for v in views:
         if v.text == t:
@@ -219,14 +242,15 @@ def find_disguised(t: str, base: list[Span]) -> list[Span]:
 
 
 def _believable(src: str, mail: str) -> bool:
-    """An address from words needs a real or bracketed at, or a disguised dot, and a
-    top-level name of letters; without one, "x at y. Z" would do."""
+    """An address from words needs a real or bracketed at (with blanks on neither or both
+    sides: "see @name.x" is a mention), or a disguised dot, and a top-level name of letters;
+    without one, "x at y. Z" would do."""
     if not re.fullmatch(r"[A-Za-z]{2,24}", mail.rsplit(".", 1)[-1]):
         return False
     explicit_at = "@" in src or "\uff20" in src or "\ufe6b" in src or _BRACKET_AT.search(src) or re.search(r"(?i)_at_|-at-", src)
-    hidden_dot = _BRACKET_DOT.search(src) or _SPACED_DOT.search(src)
+    hidden_dot = _BRACKET_DOT.search(src) or _SPACED_DOT.search(src) or _POINT.search(src)
     spaced_at = re.search(r"(?i)\s@|@\s", src)
-    if explicit_at and not spaced_at:
+    if explicit_at and (not spaced_at or re.search("[ \\t][@\uff20\ufe6b][ \\t]", src)):
         return True
     return bool(hidden_dot)
 

@@ -106,6 +106,30 @@ def test_disguised_spans_map_back(text, kind, source):
     assert source not in pii.redact(text, both)
 
 
+@pytest.mark.parametrize("kind, source", [
+    ("email", "ana arroba ejemplo punto com"), ("email", "jean arobase exemple point fr"), ("email", "jean at exemple point fr"),
+    ("email", "ann at example dot com"), ("email", "anna at beispiel punkt de"),
+    ("email", "ana punto ruiz [at] correo punto ejemplo punto com"), ("email", "jean point roux @ exemple point fr"),
+    ("ip", "192 punto 168 punto 1 punto 10"), ("ip", "192 point 168 point 1 point 10"),
+    ("ip", "192 dot 168 dot 1 dot 10"), ("ip", "192 punkt 168 punkt 1 punkt 10"),
+    ("email", "john @ example.com"), ("email", "anna @ beispiel.de"), ("email", "ana @ ejemplo.es"), ("email", "jean @ exemple.fr"),
+    ("email", "one two three four at example dot com"), ("email", "eins zwei drei vier at beispiel punkt de"),
+    ("email", "uno dos tres cuatro arroba ejemplo punto com"), ("email", "un deux trois quatre arobase exemple point fr"),
+    ("email", "ann at one two three four dot com"),
+])
+def test_worded_disguises_in_four_languages(kind, source):
+    text = f"-- {source} !"
+    both = pii.find_spans(text)[1]
+    assert (kind, 3, 3 + len(source)) in both
+    assert source not in pii.redact(text, both)
+
+
+@pytest.mark.parametrize("text", ["We met at this point in time, at some point we left.", "hey @ann.lee look", "at 3 point 5 or 2 punto 4",
+                                  "El punto de venta. A ese punto llegamos.", "Le point de vue at noon."])
+def test_ordinary_points_have_no_spans(text):
+    assert pii.find_spans(text)[1] == []
+
+
 @pytest.mark.parametrize("text", ["she was at home. Then we met at noon.", "meet me at the end dot", "one two three go", "", "αβγ δεζ",
                                   "The point at hand. One, two, three and four of seven."])
 def test_clean_text_has_no_spans(text):
