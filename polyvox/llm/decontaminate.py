@@ -42,14 +42,15 @@ def fold(word: Column) -> Column:
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """``window, items, first, n``: distinct windows (folded words) with the items
-    (as strings) that hold them. Items without words have none; repeated items count once."""
+    (as strings) that hold them. Items without words have none; repeated items count once,
+    and all items of null id are one item, null."""
     w = F.transform(words(F.col("text")), fold)
-    b = benchmark.select(F.col("item_id").cast("string").alias("item"), w.alias("w")).filter("size(w) > 0 and item is not null")
+    b = benchmark.select(F.col("item_id").cast("string").alias("item"), w.alias("w")).filter("size(w) > 0")
     n = F.size("w")
     starts = F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1)))
     b = b.select("item", "w", F.explode(starts).alias("at"))
     return (b.select("item", F.slice("w", F.col("at"), F.lit(size)).alias("window"))
-            .groupBy("window").agg(F.collect_set("item").alias("items"))
+            .groupBy("window").agg(F.transform(F.collect_set(F.struct("item")), lambda x: x["item"]).alias("items"))
             .withColumn("n", F.size("window")))
 
 
@@ -111,7 +112,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 
     ``n_hit`` counts words inside any occurrence; a row is contaminated if
     n_hit > 0 and 20 * n_hit >= n_words. Null or empty text: no words, not
-    contaminated. Rows stay one for one: repeated rows get equal results and a
+    contaminated. Items of null id contaminate like others; together they count as one
+    in ``n_items`` and are left out of ``items_sha256``. Rows stay one for one: repeated rows get equal results and a
     null doc_id is a key like any other. Other columns are ignored.
     """
     occ = occurrences(docs, benchmark, size)
@@ -123,8 +125,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
                .withColumn("new", F.greatest(F.col("stop") - F.greatest("start", F.coalesce("seen", F.lit(0))), F.lit(0)))
                .groupBy(*key).agg(F.sum("new").cast("long").alias("n_hit")))
     items = (spans.select(*key, F.explode("items").alias("item")).distinct()
-             .groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("ids"))
-             .select(*key, F.size("ids").cast("long").alias("n_items"), F.array_join("ids", ",").alias("ids")))
+             .groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("ids"), F.count(F.lit(1)).alias("n_items"))
+             .select(*key, "n_items", F.array_join("ids", ",").alias("ids")))
     hits = covered.join(items, (covered["tid"] == items["tid"]) & covered["doc_id"].eqNullSafe(items["doc_id"])).select(
         covered["doc_id"].alias("h_id"), covered["tid"].alias("h_tid"), "n_hit", "n_items", "ids")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_id().alias("tid"),

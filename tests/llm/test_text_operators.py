@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -186,6 +187,21 @@ def test_contamination_equals_brute_force(spark, monkeypatch, broadcast):
     assert kept == sorted(((i, t) for i, t in docs if not brute_contamination(t, items)[-1]), key=str)
 
 
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_items_of_null_id_contaminate(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
+    docs = [(1, "see one two here"), (2, "three four"), (3, "one two three four five six"), (4, "none of it")]
+    items = [(None, "one two"), (None, "five six"), (7, "three four")]
+    got = sorted(tuple(r) for r in decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).drop("tid").collect())
+    con = duckdb.connect()
+    for name, key, data in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", data)
+    assert got == sorted(con.execute(queries.OP5_SQL).fetchall())
+    assert [r[1:4] + r[5:] for r in got] == [(4, 2, 1, True), (2, 2, 1, True), (6, 6, 2, True), (3, 0, 0, False)]
+
+
 def test_contamination_awkward(spark, awkward, nothing):
     bench = spark.createDataFrame([(1, "one two"), (2, None)], "item_id long, text string")
     got = decontaminate.contamination(awkward, bench)
