@@ -103,19 +103,19 @@ def correlate(statements: DataFrame, arguments: DataFrame,
 
 
 def argument_prompts(agreeable: DataFrame, summary: DataFrame, context: int = 50) -> DataFrame:
-    """J7 input for a model: one prompt per topic with its budget of areas and its
-    ``context`` most agreeable statements (what fits a model's context; a parameter),
-    best first. Wording ours."""
+    """J7 input for a model: per topic all its agreeable statements, best first, in prompts
+    of up to ``context`` statements (what fits a model's context; a parameter) numbered by
+    ``part`` from 0; each names the whole topic's budget of areas. Wording ours."""
     w = Window.partitionBy("dataset", "topicId").orderBy(F.desc("agreeability"), F.desc("agrees"), "commentId")
     n = agreeable.groupBy("dataset", "topicId").agg(F.count("*").alias("__n"))
-    lines = (agreeable.withColumn("__rk", F.row_number().over(w)).filter(F.col("__rk") <= context)
-             .select("dataset", "topicId", "commentId", "__rk")
+    lines = (agreeable.withColumn("__rk", F.row_number().over(w))
+             .select("dataset", "topicId", "commentId", "__rk", F.floor((F.col("__rk") - 1) / context).cast("int").alias("part"))
              .join(statement_lines(agreeable), ["dataset", "topicId", "commentId"])
-             .groupBy("dataset", "topicId").agg(F.array_join(F.transform(
+             .groupBy("dataset", "topicId", "part").agg(F.array_join(F.transform(
                  F.sort_array(F.collect_list(F.struct("__rk", "line"))), lambda x: x["line"]), "\n").alias("__lines")))
     title = summary.filter(F.col("key") == "topic").select("dataset", F.col("value").alias("__title"))
     return (lines.join(per_topic(n), ["dataset", "topicId"]).join(title, "dataset", "left")
-            .select("dataset", "topicId", F.concat(
+            .select("dataset", "topicId", "part", F.concat(
                 F.lit("Topic: "), F.coalesce("__title", F.lit("")), F.lit("\nName "), argument_budget("__n").cast("string"),
                 F.lit(" areas of concern. For each write:\nAREA:\nPROBLEMS:\nSOLUTIONS:\nARGUMENT: one sentence\nTITLE: three words\n\n"),
                 F.col("__lines")).alias("prompt")))

@@ -141,5 +141,24 @@ p AS (
 SELECT dataset, topicId, length(prompt) AS chars, md5(prompt) AS prompt_md5 FROM p""")
 def q_argument_prompts(spark, sf_dir):
     f = Fixture(spark, sf_dir)
-    p = AR.argument_prompts(C.agreeable_comments(f.comments), f.summary)
+    p = AR.argument_prompts(C.agreeable_comments(f.comments), f.summary).filter("part = 0")  # as its SQL states it
     return p.select("dataset", "topicId", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))
+
+
+@query("argument_prompt_parts", "J7 J8 (prompt column, all statements)", """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY dataset, topicId ORDER BY agreeability DESC, agrees DESC, commentId) AS rk,
+                  count(*) OVER (PARTITION BY dataset, topicId) AS n FROM fx_agreeable),
+p AS (
+  SELECT dataset, topicId, CAST((rk - 1) // 50 AS INTEGER) AS part,
+         'Topic: Fixture discussion' || chr(10) || 'Name ' || CASE WHEN n <= 1 THEN 0 ELSE CAST(ceil(ln(n) * 2) AS INTEGER) END
+         || ' areas of concern. For each write:' || chr(10) || 'AREA:' || chr(10) || 'PROBLEMS:' || chr(10) || 'SOLUTIONS:' || chr(10)
+         || 'ARGUMENT: one sentence' || chr(10) || 'TITLE: three words' || chr(10) || chr(10)
+         || string_agg(CAST(commentId AS VARCHAR) || '. ' || commentText || ' ('
+            || coalesce(CAST(CAST(floor(agrees * 100 / nullif(agrees + disagrees, 0)) AS INTEGER) AS VARCHAR), 'n/a')
+            || '% voters agree)', chr(10) ORDER BY rk) AS prompt
+  FROM r GROUP BY dataset, topicId, n, (rk - 1) // 50)
+SELECT dataset, topicId, part, length(prompt) AS chars, md5(prompt) AS prompt_md5 FROM p""")
+def q_argument_prompt_parts(spark, sf_dir):
+    f = Fixture(spark, sf_dir)
+    p = AR.argument_prompts(C.agreeable_comments(f.comments), f.summary)
+    return p.select("dataset", "topicId", "part", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))

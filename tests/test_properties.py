@@ -63,3 +63,14 @@ def test_stored_and_derived_fixture_agree(spark):
     derived = Fixture(spark, SF_SMALL, stored=False)
     assert _rows(stored.arguments) == _rows(derived.arguments)
     assert _rows(stored.edges) == _rows(derived.edges)
+
+
+def test_argument_prompts_hold_every_statement(spark):
+    from polyvox.operators import arguments
+    rows = [("d", 1, i, f"text {i}", 200 - i, i, 1.0 - i / 200) for i in range(120)] + [("d", 2, 500, "alone", 0, 0, 0.5)]
+    agreeable = spark.createDataFrame(rows, "dataset string, topicId int, commentId long, commentText string, agrees long, disagrees long, agreeability double")
+    summary = spark.createDataFrame([("d", "topic", "T")], "dataset string, key string, value string")
+    got = arguments.argument_prompts(agreeable, summary).orderBy("topicId", "part").collect()
+    assert [(r.topicId, r.part) for r in got] == [(1, 0), (1, 1), (1, 2), (2, 0)]
+    lines = [x for r in got[:3] for x in r.prompt.split("\n\n", 1)[1].split("\n")]
+    assert [int(x.split(".")[0]) for x in lines] == list(range(120))
