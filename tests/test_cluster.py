@@ -9,7 +9,7 @@ from polyvox.operators import cluster as K
 from polyvox.operators import topics as TP
 from polyvox.sources.adapters import Fixture
 
-from conftest import SF_SMALL
+from polyvox_testdata import SF_SMALL
 
 
 def _blobs(spark, n_per=60, k=3, d=8, seed=1):

@@ -12,7 +12,7 @@ from polyvox.plans import tasks
 from polyvox.sources import io
 from polyvox.sources.adapters import Fixture
 
-from conftest import SF_SMALL
+from polyvox_testdata import SF_SMALL
 
 
 def _write_raw(spark, root, name, comments, votes, title):

@@ -5,7 +5,7 @@ import pytest
 from polyvox.plans.catalog import load_all
 from polyvox.plans.check import compare, duck
 
-from conftest import SF_SMALL
+from polyvox_testdata import SF_SMALL
 
 REG = load_all()
 SQL_QUERIES = sorted(n for n, q in REG.items() if q.sql)

@@ -8,7 +8,7 @@ from polyvox.operators.skew import salted_join
 from polyvox.operators.votes import latest_vote
 from polyvox.sources.adapters import VOTE_ORDER, Fixture
 
-from conftest import SF_SMALL
+from polyvox_testdata import SF_SMALL
 
 
 def _rows(df):
