@@ -15,7 +15,8 @@ edges move, as 128-bit digests of urls; the way back to the pages is a join salt
 pages share.
 
 Defined results. Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path:
-what follows up to ``?``, ``#`` or the end; null or no ``://``: both empty, no rule, allow. Equally long rules: allow
+what follows up to ``?``, ``#`` or the end; null or no ``://``: both empty, no rule
+(a null url has no aliases either and is allowed). Equally long rules: allow
 first, then the longer host. A url's identity ignores its fragment and the case of scheme and host; ``http`` and
 ``https`` differ unless an edge joins them. Links inside comments and scripts don't count, a tag ends at its
 first ``>``; relative links are resolved against the page's url; ``<base>`` is not followed; links to
