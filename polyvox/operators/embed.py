@@ -42,6 +42,24 @@ def hash_embeddings(docs: DataFrame, text: str = "commentText", dims: int = 1024
                        F.lit(model).alias("model"))
 
 
+def signed_embeddings(docs: DataFrame, ngram: int = 1, dims: int = 64, text: str = "commentText") -> DataFrame:
+    """H1, portable form: signed feature hashing of ``ngram`` neighbouring words by MD5, so any engine that
+    has MD5 computes the same vectors: (dataset, commentId, embedding array<double>).
+
+    A run of words goes to component ``first four hex digits mod dims`` and counts +1 or -1 by the fifth.
+    Only (document, component) counts move; a text with fewer words than ``ngram`` has no row."""
+    words = docs.select("dataset", "commentId", tokens(text).alias("__t")).filter(F.size("__t") >= ngram)
+    runs = F.transform(F.sequence(F.lit(1), F.size("__t") - (ngram - 1)), lambda i: F.array_join(F.slice("__t", i, ngram), " "))
+    h = F.md5(F.col("__g").cast("binary"))
+    at = (F.conv(F.substring(h, 1, 4), 16, 10).cast("int") % dims).alias("__at")
+    sign = F.when(F.conv(F.substring(h, 5, 1), 16, 10).cast("int") % 2 == 1, 1).otherwise(-1).alias("__s")
+    counts = (words.select("dataset", "commentId", F.explode(runs).alias("__g")).select("dataset", "commentId", at, sign)
+              .groupBy("dataset", "commentId", "__at").agg(F.sum("__s").cast("double").alias("__x"))
+              .groupBy("dataset", "commentId").agg(F.map_from_entries(F.collect_list(F.struct("__at", "__x"))).alias("__m")))
+    return counts.select("dataset", "commentId", F.transform(
+        F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(0.0))).alias("embedding"))
+
+
 def encode_with(docs: DataFrame, encoder: Callable[[list[str]], np.ndarray],
                 text: str = "commentText", model: str = "custom") -> DataFrame:
     """M3: plug-in encoder over Arrow batches (``encoder(texts) -> (n, d)``)."""

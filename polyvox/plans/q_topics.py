@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from polyvox.operators import cluster as K
 from polyvox.operators import embed as EM
 from polyvox.operators import text as T
+from polyvox.operators import similar as S
 from polyvox.operators import topics as TP
 from polyvox.operators.select import not_rejected
 from polyvox.plans.catalog import query
@@ -155,13 +156,80 @@ def q_silhouette(spark, sf_dir):
             .withColumn("overall", F.round("overall", 6)))
 
 
-@query("density_clusters", "H3 (k-means micro-clusters linked by distance and size, outlier rule)")
-def q_density_clusters(spark, sf_dir):
+@query("linked_micro_clusters", "H3 (k-means micro-clusters linked by distance and size, outlier rule)")
+def q_linked_micro_clusters(spark, sf_dir):
     f = fx(spark, sf_dir)
     pts = f.assignment.select("dataset", "commentId", "embedding")
     return K.kmeans_topics(pts, outlier_distance=0.6, link_distance=0.2)
 
 
+def _signed_views(name: str, ngram: int, dims: int) -> None:
+    """Twin of ``signed_embeddings`` of the not rejected statements, and ``{name}_pairs``, all pairs' cosines."""
+    VIEWS[name] = f"""
+SELECT dataset, commentId, v FROM (
+  SELECT dataset, commentId, list(coalesce(x, 0) ORDER BY i) AS v
+  FROM (SELECT dataset, commentId, i, x FROM (SELECT DISTINCT dataset, commentId FROM {name}_x) CROSS JOIN range({dims}) r(i)
+        LEFT JOIN {name}_x USING (dataset, commentId, i)) GROUP BY dataset, commentId)
+WHERE list_sum(list_transform(v, lambda a: a * a)) > 0"""
+    VIEWS[f"{name}_x"] = f"""
+SELECT dataset, commentId, ('0x' || h[1:4])::INTEGER % {dims} AS i,
+       sum(CASE WHEN ('0x' || h[5:5])::INTEGER % 2 = 1 THEN 1 ELSE -1 END)::DOUBLE AS x
+FROM (SELECT dataset, commentId, md5(array_to_string(t[k:k + {ngram - 1}], ' ')) AS h
+      FROM (SELECT dataset, commentId, t, unnest(range(1, len(t) - {ngram - 2})) AS k
+            FROM (SELECT dataset, commentId, regexp_extract_all(lower(commentText), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t
+                  FROM fx_comments WHERE moderated >= 0) WHERE len(t) >= {ngram}))
+GROUP BY ALL"""
+    VIEWS[f"{name}_unit"] = f"""
+SELECT dataset, commentId, list_transform(v, lambda a: a / sqrt(list_sum(list_transform(v, lambda b: b * b)))) AS u FROM {name}"""
+    VIEWS[f"{name}_pairs"] = f"""
+SELECT a.dataset, a.commentId AS a, b.commentId AS b, list_dot_product(a.u, b.u) AS cos
+FROM {name}_unit a JOIN {name}_unit b ON a.dataset = b.dataset AND a.commentId <> b.commentId"""
+
+
+NEAR = 0.87       # cosine of near-duplicate statements
+RADIUS = 0.13     # cosine distance between neighbours of a dense region
+_signed_views("fx_words2", 2, 128)
+_signed_views("fx_words1", 1, 64)
+
+
+@query("near_duplicate_comments", "X1 (H1)", f"""
+SELECT * FROM (WITH RECURSIVE link AS MATERIALIZED (SELECT dataset, a, b FROM fx_words2_pairs WHERE cos >= {NEAR}),
+reach(dataset, node, label) AS (
+  SELECT dataset, commentId, commentId FROM fx_words2
+  UNION SELECT r.dataset, l.b, r.label FROM reach r JOIN link l ON r.dataset = l.dataset AND r.node = l.a),
+c AS (SELECT dataset, node, min(label) AS classId FROM reach GROUP BY dataset, node)
+SELECT dataset, node AS commentId, classId, count(*) OVER (PARTITION BY dataset, classId) AS class_size FROM c)""")
+def q_near_duplicate_comments(spark, sf_dir):
+    """Near-duplicate classes of the not rejected statements by their word-pair vectors."""
+    docs = not_rejected(fx(spark, sf_dir).comments)
+    return S.near_duplicates(EM.signed_embeddings(docs, ngram=2, dims=128), threshold=NEAR)
+
+
+@query("density_clusters", "H3 (core points)", f"""
+SELECT * FROM (WITH RECURSIVE link AS MATERIALIZED (SELECT dataset, a, b, cos FROM fx_words1_pairs WHERE cos >= {1 - RADIUS}),
+core AS MATERIALIZED (
+  SELECT dataset, a AS node, max(CASE WHEN k = 3 THEN 1 - cos END) AS core
+  FROM (SELECT *, row_number() OVER (PARTITION BY dataset, a ORDER BY cos DESC) AS k FROM link)
+  GROUP BY dataset, a HAVING count(*) >= 3),
+strong AS MATERIALIZED (SELECT l.* FROM link l JOIN core x ON (x.dataset, x.node) = (l.dataset, l.a) JOIN core y ON (y.dataset, y.node) = (l.dataset, l.b)),
+reach(dataset, node, label) AS (
+  SELECT dataset, node, node FROM core
+  UNION SELECT r.dataset, l.b, r.label FROM reach r JOIN strong l ON r.dataset = l.dataset AND r.node = l.a),
+c AS (SELECT dataset, node, min(label) AS label FROM reach GROUP BY dataset, node),
+n AS (SELECT dataset, count(*) AS n FROM fx_words1 GROUP BY dataset),
+s AS (SELECT dataset, label, row_number() OVER (PARTITION BY dataset ORDER BY count(*) DESC, label) - 1 AS id
+      FROM c JOIN n USING (dataset) GROUP BY dataset, label, n.n HAVING count(*) >= greatest(floor(n.n / 50), 4))
+SELECT m.dataset, m.commentId, coalesce(s.id, -1)::INTEGER AS topicId, CASE WHEN core.core IS NOT NULL THEN round(greatest(core.core, 0), 6) END AS core
+FROM (SELECT dataset, commentId FROM fx_comments WHERE moderated >= 0) m
+LEFT JOIN core ON (core.dataset, core.node) = (m.dataset, m.commentId)
+LEFT JOIN c ON (c.dataset, c.node) = (m.dataset, m.commentId) LEFT JOIN s ON (s.dataset, s.label) = (c.dataset, c.label))""")
+def q_density_clusters(spark, sf_dir):
+    """Dense regions of the not rejected statements' word vectors; the rest are outliers."""
+    docs = not_rejected(fx(spark, sf_dir).comments).select("dataset", "commentId", "commentText")
+    pts = docs.select("dataset", "commentId").join(EM.signed_embeddings(docs, ngram=1, dims=64), ["dataset", "commentId"], "left")
+    return S.density_clusters(pts, radius=RADIUS, min_samples=4).withColumn("core", F.round("core", 6))
+
+
 @query("topic_reduction", "H4", f"""
 SELECT * FROM (WITH RECURSIVE e AS (
   SELECT a.dataset, a.topicId AS x, b.topicId AS y FROM fx_cent a JOIN fx_cent b
