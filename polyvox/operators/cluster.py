@@ -13,6 +13,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 
 from polyvox.functions.exprs import min_cluster_size
 from polyvox.functions.vectors import cosine, dot, normalize, sq_dist
+from polyvox.operators.connected import connected
 from polyvox.operators.embed import reduced
 from polyvox.operators.skew import per_dataset, salted_join
-from polyvox.session import checkpoint_dir
+from polyvox.sources.store import staged
 
 # Centroid tables up to this many numbers are sent to every task (64 MB of doubles).
 BROADCAST_NUMBERS = 8_000_000
@@ -122,8 +124,7 @@ def silhouette(points: DataFrame, vec: str = "embedding", topic: str = "topicId"
 
 def _ckpt(df: DataFrame) -> DataFrame:
     """Cut lineage in the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return staged(df, "cluster")
 
 
 def _centroid_arrays(cents: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]] | None:
@@ -167,7 +168,7 @@ def _nearest(pts: DataFrame, cents: DataFrame) -> DataFrame:
         run, "dataset string, commentId bigint, __u array<double>, __c int, __d2 double")
 
 
-def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int = 20,
+def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int | None = None,
                   tol: float = 1e-6, outlier_distance: float | None = None,
                   k: int | None = None, link_distance: float | None = None) -> DataFrame:
     """H3 (re-aimed): density-style topic clusters with outliers, per dataset.
@@ -176,7 +177,7 @@ def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int = 20,
     at once: k per dataset is n / min_cluster_size (or ``k``); seeds are the
     k points with the smallest hash of their id; each round assigns points to
     the nearest centroid and re-averages until none moves by more than
-    ``tol``; a warning says if ``max_iter`` rounds were too few. Unit vectors
+    ``tol``; a caller's ``max_iter`` stops it earlier, with a warning. Unit vectors
     are written once, centroids each round.
     With ``link_distance``, micro-clusters of min_cluster_size points or more
     whose centroids are within that cosine distance are one topic
@@ -201,7 +202,7 @@ def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int = 20,
              .select("dataset", (F.col("__r") - 1).cast("int").alias("__c"), F.col("__u").alias("__m")))
     cents = _ckpt(seeds)
     settled = False
-    for _ in range(max_iter):
+    for _ in count() if max_iter is None else range(max_iter):
         new = (_nearest(pts, cents).groupBy("dataset", "__c").agg(Summarizer.mean(array_to_vector("__u")).alias("__v"))
                .select("dataset", "__c", vector_to_array("__v").alias("__new")))
         # clusters that lost all members keep their old centroid
@@ -241,30 +242,12 @@ def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int = 20,
             .unionByName(rows.filter(F.col("__u").isNull()).select("dataset", "commentId", none)))
 
 
-def components(edges: DataFrame, nodes: DataFrame, max_iter: int = 200) -> DataFrame:
-    """Connected components by min-label propagation.
-
-    ``nodes``: (dataset, node); ``edges``: (dataset, src, dst), undirected.
-    Each round every node takes the smallest label among itself and its
-    neighbours; labels are checkpointed each round and the loop stops when
-    no label changes; more than ``max_iter`` rounds (a longer path) raise
-    rather than return half-merged components. Returns (dataset, node, label)."""
-    e = edges.select("dataset", "src", "dst").unionByName(
-        edges.select("dataset", F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    labels = _ckpt(nodes.select("dataset", "node", F.col("node").alias("label")))
-    for _ in range(max_iter):
-        nb = (e.join(labels.withColumnRenamed("node", "dst").withColumnRenamed("label", "__l"),
-                     ["dataset", "dst"])
-              .groupBy("dataset", F.col("src").alias("node")).agg(F.min("__l").alias("__m")))
-        new = (labels.join(nb, ["dataset", "node"], "left")
-               .select("dataset", "node", F.least("label", F.coalesce("__m", "label")).alias("label"),
-                       (F.coalesce("__m", "label") < F.col("label")).alias("__chg")))
-        new = _ckpt(new)
-        changed = new.filter("__chg").limit(1).count()
-        labels = new.drop("__chg")
-        if changed == 0:
-            return labels
-    raise RuntimeError(f"components did not settle in {max_iter} rounds")
+def components(edges: DataFrame, nodes: DataFrame, max_iter: int = 100) -> DataFrame:
+    """Connected components: ``nodes(dataset, node)`` with the smallest node that
+    ``edges(dataset, src, dst)`` connect them to -> (dataset, node, label)."""
+    found = connected(edges, max_iter)
+    return (nodes.join(found, ["dataset", "node"], "left")
+            .select("dataset", "node", F.coalesce("label", "node").alias("label")))
 
 
 def reduce_topics(assign: DataFrame, cents: DataFrame, threshold: float = 0.9,

@@ -27,7 +27,7 @@ from polyvox.functions.exprs import min_cluster_size
 from polyvox.functions.vectors import dot, normalize
 from polyvox.operators.connected import connected
 from polyvox.operators.skew import per_dataset, salted_join
-from polyvox.session import checkpoint_dir
+from polyvox.sources.store import staged
 
 #: Chance that no band brings together a pair whose cosine is exactly the threshold.
 MISS = 1e-7
@@ -37,11 +37,6 @@ PIVOTS = 3
 ROWS = "dataset string, vid bigint, w bigint, u array<double>"
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def bits_and_bands(n: int, threshold: float) -> tuple[int, int]:
     """Bits of a bucket number and number of bands for ``n`` vectors: of all choices that meet ``MISS``
     the one with the least work, counting a row per band and the rows that unrelated vectors meet."""
@@ -64,7 +59,7 @@ def representatives(points: DataFrame, vec: str) -> tuple[DataFrame, DataFrame]:
     named = usable.select("dataset", "commentId", "u", F.xxhash64("__v").alias("h1"), F.xxhash64(F.lit(1), "__v").alias("h2"))
     reps = (named.groupBy("dataset", "h1", "h2")
             .agg(F.min("commentId").alias("vid"), F.count("*").alias("w"), F.any_value("u").alias("u")))
-    return named.drop("u"), _kept(reps)
+    return named.drop("u"), staged(reps, "vectors")
 
 
 def bucket_rows(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
@@ -88,7 +83,7 @@ def bucket_rows(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFr
     bucket = ["dataset", "band", "key"]
     keyed = reps.select("dataset", "vid", "u").mapInArrow(keys, "dataset string, vid bigint, band int, key bigint")
     shared = keyed.groupBy(*bucket).agg(F.count("*").alias("c")).filter("c > 1")
-    rows = _kept(salted_join(keyed, shared, bucket, ["vid"], hot_rows=64 * block))
+    rows = staged(salted_join(keyed, shared, bucket, ["vid"], hot_rows=64 * block), "buckets")
     whole = rows.filter(F.col("c") <= block).withColumns({"cell": F.lit(0).cast("bigint"), "i": F.lit(0), "j": F.lit(0)})
     vectors = reps.select("dataset", "vid", "w", "u")
     crowded = rows.filter(F.col("c") > block)
@@ -228,7 +223,7 @@ def density_clusters(points: DataFrame, radius: float, min_samples: int = 4, vec
     id. ``core`` is the core distance, null for other points."""
     members, reps = representatives(points, vec)
     rows = bucket_rows(reps, 1 - radius, block)
-    core = _kept(core_distances(reps, rows, radius, min_samples))
+    core = staged(core_distances(reps, rows, radius, min_samples), "core")
     label = connected(similar_links(rows.join(core.select("dataset", "vid"), ["dataset", "vid"], "left_semi"), 1 - radius))
     cored = (reps.select("dataset", "h1", "h2", "vid", "w").join(core, ["dataset", "vid"])
              .join(label.withColumnRenamed("node", "vid"), ["dataset", "vid"], "left")

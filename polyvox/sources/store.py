@@ -10,7 +10,9 @@ durable folder on a cluster) and are remembered per session.
 from __future__ import annotations
 
 import hashlib
+import re
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +55,13 @@ def forget_intermediates(spark: SparkSession | None = None, all_tables: bool = F
         for k in list(_TABLES):
             if all_tables or not _TABLES[k][1]:
                 del _TABLES[k]
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder below the shared checkpoint folder and scan it. Lineage ends there, and
+    unlike ``checkpoint()`` so do the planner's size estimates, which joins in a loop would otherwise
+    multiply round by round until planning takes longer than the work."""
+    root = re.sub(r"^file:/+", "file:///", checkpoint_dir(df.sparkSession).rstrip("/"))
+    path = f"{root}/polyvox-stages/{name}-{uuid.uuid4().hex[:16]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

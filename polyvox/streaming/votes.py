@@ -1,5 +1,9 @@
 """Structured Streaming forms of the vote operators (L1, L2).
 
+* L1, running tally: keyed state holds each voter's latest vote and turns every
+  change of mind into a change record (old vote out, new vote in); a second
+  streaming aggregate sums the records, so a re-vote retracts the vote before.
+
 * L1: latest vote per (comment, voter) as a streaming aggregate. ``max`` of
   (time, tie-break, vote) is order-free, so any micro-batch split gives
   the batch E1 result. State lives in the state store (RocksDB provider when
@@ -11,8 +15,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from polyvox.session import checkpoint_dir
 from polyvox.sources.io import exists
@@ -90,10 +98,71 @@ def window_counts(log: DataFrame, ts: str = "ts", size: str = "1 day",
                       "commentId", "agrees", "disagrees", "passes")
 
 
-def tally(latest: DataFrame) -> DataFrame:
-    """L1, second level: agrees and disagrees per comment of the keyed latest votes."""
-    return latest.groupBy("dataset", "commentId").agg(
-        F.count_if(F.col("vote") == 1).alias("agrees"), F.count_if(F.col("vote") == -1).alias("disagrees"))
+CHANGES = "dataset string, commentId bigint, agrees int, disagrees int"
+
+
+def vote_changes(log: DataFrame, order: list[str]) -> DataFrame:
+    """L1, first level: change records ``(dataset, commentId, agrees, disagrees)`` with -1, 0 or 1.
+
+    State per (dataset, commentId, voterId) is the latest vote so far and its place in ``order`` (the
+    timestamp, then integer tie-breaks). A vote that comes later in the stream but earlier in
+    that order changes nothing, nor does one that repeats the voter's stand; passes don't count."""
+    places = [F.unix_micros(F.col(order[0]).cast("timestamp")).alias("o0"),
+              *[F.col(c).cast("bigint").alias(f"o{i}") for i, c in enumerate(order[1:], 1)]]
+    names = [f"o{i}" for i in range(len(order))]
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        old = state.get if state.exists else None
+        new = max([*(max(b[[*names, "vote"]].itertuples(index=False, name=None)) for b in batches), *([old] if old else [])])
+        if new == old:
+            return
+        state.update(tuple(int(x) for x in new))
+        was = old[-1] if old else 0
+        if new[-1] != was:
+            yield pd.DataFrame({"dataset": [key[0]], "commentId": [key[1]], "agrees": [int(new[-1] == 1) - int(was == 1)],
+                                "disagrees": [int(new[-1] == -1) - int(was == -1)]})
+
+    return (log.filter("vote <> 0").select("dataset", "commentId", "voterId", F.col("vote").cast("int").alias("vote"), *places)
+            .groupBy("dataset", "commentId", "voterId")
+            .applyInPandasWithState(step, CHANGES, ", ".join(f"{c} bigint" for c in names) + ", vote int", "append",
+                                    GroupStateTimeout.NoTimeout))
+
+
+class RunningTally:
+    """L1: agrees and disagrees per comment, kept up to date by two streaming queries.
+
+    The first writes change records to a log of files that only lists files of completed batches, so a
+    repeated batch adds nothing; the second sums them per comment (update mode) into one folder per batch,
+    which a repeated batch overwrites. Both resume from their checkpoints under ``base``."""
+
+    def __init__(self, votes: DataFrame, order: list[str], base: str):
+        self.votes, self.order, self.base = votes, order, base.rstrip("/")
+        self.spark = votes.sparkSession
+
+    def advance(self) -> None:
+        """Take in every vote that has arrived."""
+        _prefer_rocksdb(self.spark)
+        changes = (vote_changes(self.votes, self.order).writeStream.outputMode("append").format("parquet")
+                   .option("path", f"{self.base}/changes").option("checkpointLocation", f"{self.base}/changes-checkpoint")
+                   .trigger(availableNow=True).start())
+        changes.awaitTermination()
+        log = self.spark.readStream.schema(CHANGES).parquet(f"{self.base}/changes")
+        sums = log.groupBy("dataset", "commentId").agg(F.sum("agrees").alias("agrees"), F.sum("disagrees").alias("disagrees"))
+
+        def sink(df: DataFrame, batch_id: int) -> None:
+            df.write.mode("overwrite").parquet(f"{self.base}/tally/batch={batch_id}")
+
+        tally = (sums.writeStream.outputMode("update").foreachBatch(sink)
+                 .option("checkpointLocation", f"{self.base}/tally-checkpoint").trigger(availableNow=True).start())
+        tally.awaitTermination()
+
+    def current(self) -> DataFrame:
+        """The tally as of the last ``advance``: each comment's sums from the last batch that changed them."""
+        schema = "dataset string, commentId bigint, agrees bigint, disagrees bigint, batch bigint"
+        if not exists(self.spark, f"{self.base}/tally"):
+            return self.spark.createDataFrame([], schema).drop("batch")
+        return (self.spark.read.schema(schema).parquet(f"{self.base}/tally").groupBy("dataset", "commentId")
+                .agg(F.max_by(F.struct("agrees", "disagrees"), "batch").alias("r")).select("dataset", "commentId", "r.*"))
 
 
 def run_available(stream: DataFrame, name: str, mode: str, keys: tuple[str, ...] = ()) -> DataFrame:
