@@ -16,7 +16,6 @@ from functools import reduce
 from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -306,90 +305,3 @@ def sweep(points: DataFrame, settings: list[dict], vec: str = "embedding") -> Da
                     .select("dataset", F.lit(i).alias("setting"), F.lit(text).alias("params"), "n_comments", "n_topics",
                             "n_outliers", "largest", "silhouette"))
     return reduce(DataFrame.unionByName, runs)
-
-
-# ---- H15 hierarchy ---------------------------------------------------------
-
-HIER_SCHEMA = ("dataset string, Parent_ID int, Parent_Name string, Topics array<int>, "
-               "Child_Left_ID int, Child_Left_Name string, Child_Right_ID int, "
-               "Child_Right_Name string, Distance double")
-
-
-def _agglomerate(dist: pd.DataFrame, terms: pd.DataFrame) -> pd.DataFrame:
-    """Average-linkage merge tree of one dataset's topics ."""
-    ds = dist["dataset"].iloc[0] if len(dist) else terms["dataset"].iloc[0]
-    topics = sorted(set(terms["topic"].tolist()))
-    if len(topics) < 2:
-        return pd.DataFrame(columns=[c.split()[0] for c in HIER_SCHEMA.split(", ")])
-    idx = {t: i for i, t in enumerate(topics)}
-    D = np.ones((len(topics), len(topics)))
-    np.fill_diagonal(D, 0.0)
-    for a, b, d in dist[["topic_a", "topic_b", "distance"]].itertuples(index=False):
-        D[idx[a], idx[b]] = d
-    weights = {t: dict(zip(g["term"], g["weight"])) for t, g in terms.groupby("topic")}
-
-    def name(members):
-        acc: dict[str, float] = {}
-        for m in members:
-            for w, v in weights.get(m, {}).items():
-                acc[w] = acc.get(w, 0.0) + v
-        top = sorted(acc.items(), key=lambda kv: (-kv[1], kv[0]))[:5]
-        return "_".join(w for w, _ in top)
-
-    clusters = {t: [t] for t in topics}   # node id -> leaf topics
-    active = list(topics)                 # node ids in order, one per row of D
-    next_id = max(topics) + 1
-    rows = []
-    np.fill_diagonal(D, np.inf)
-    last = 0.0
-    while len(active) > 1:
-        i, j = sorted(divmod(int(D.argmin()), len(active)))  # ties: lowest ids
-        left, right = active[i], active[j]
-        last = max(last, float(D[i, j]))  # rounding must not make it fall
-        n_l, n_r = len(clusters[left]), len(clusters[right])
-        # the mean over all leaf pairs is the size-weighted mean of the two rows
-        row = np.delete((n_l * D[i] + n_r * D[j]) / (n_l + n_r), (i, j))
-        D = np.pad(np.delete(np.delete(D, (i, j), 0), (i, j), 1), (0, 1), constant_values=np.inf)
-        D[-1, :-1] = D[:-1, -1] = row
-        members = sorted(clusters[left] + clusters[right])
-        clusters[next_id] = members
-        rows.append((ds, next_id, name(members), members, left, name(clusters[left]),
-                     right, name(clusters[right]), last))
-        active = [x for x in active if x not in (left, right)] + [next_id]
-        next_id += 1
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in HIER_SCHEMA.split(", ")])
-
-
-def hierarchy(weights: DataFrame, topic: str = "topicId", candidates: int = 30) -> DataFrame:
-    """Binary merge tree of each dataset's topics.
-
-    Topic distance = 1 - cosine of c-TF-IDF vectors, computed on Spark by a
-    self-join of the weights on (dataset, term) — each term row meets only
-    the topics having that term. The T x T table and
-    each topic's ``candidates`` best terms (for node names) are co-grouped
-    per dataset (topics squared and topics x candidates rows)
-    and merged by average linkage in pandas. New node ids continue from the
-    largest topic id; Distance is non-decreasing."""
-    w = weights.filter(F.col(topic) >= 0).select("dataset", F.col(topic).alias("t"), "term", "weight")
-    nrm = w.groupBy("dataset", "t").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("__n"))
-    a = w.select(F.col("dataset").alias("__da"), F.col("t").alias("topic_a"),
-                 F.col("term").alias("__ta"), F.col("weight").alias("__wa"))
-    b = w.select(F.col("dataset").alias("__db"), F.col("t").alias("topic_b"),
-                 F.col("term").alias("__tb"), F.col("weight").alias("__wb"))
-    dots = (a.join(b, (F.col("__da") == F.col("__db")) & (F.col("__ta") == F.col("__tb"))
-                   & (F.col("topic_a") < F.col("topic_b")))
-            .groupBy(F.col("__da").alias("dataset"), "topic_a", "topic_b")
-            .agg(F.sum(F.col("__wa") * F.col("__wb")).alias("__dot")))
-    na = nrm.select(F.col("dataset").alias("__dna"), F.col("t").alias("__tna"), F.col("__n").alias("__na"))
-    nb = nrm.select(F.col("dataset").alias("__dnb"), F.col("t").alias("__tnb"), F.col("__n").alias("__nb"))
-    dist = (dots.join(na, (F.col("dataset") == F.col("__dna")) & (F.col("topic_a") == F.col("__tna")))
-            .join(nb, (F.col("dataset") == F.col("__dnb")) & (F.col("topic_b") == F.col("__tnb")))
-            .select("dataset", "topic_a", "topic_b",
-                    (1 - F.col("__dot") / (F.col("__na") * F.col("__nb"))).alias("distance")))
-    dist = dist.unionByName(dist.select("dataset", F.col("topic_b").alias("topic_a"),
-                                        F.col("topic_a").alias("topic_b"), "distance"))
-    rk = Window.partitionBy("dataset", "t").orderBy(F.desc("weight"), "term")
-    top = (w.withColumn("__r", F.row_number().over(rk)).filter(F.col("__r") <= candidates)
-           .select("dataset", F.col("t").alias("topic"), "term", "weight"))
-    return (dist.groupBy("dataset").cogroup(top.groupBy("dataset"))
-            .applyInPandas(_agglomerate, HIER_SCHEMA))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from polyvox.operators import cluster as K
+from polyvox.operators import hierarchy as HI
 from polyvox.operators import embed as EM
 from polyvox.operators import text as T
 from polyvox.operators import similar as S
@@ -251,7 +252,7 @@ def q_topic_reduction(spark, sf_dir):
 @query("topic_hierarchy", "H15")
 def q_topic_hierarchy(spark, sf_dir):
     _, _, weights, _ = text_model(spark, sf_dir)
-    return K.hierarchy(weights)
+    return HI.hierarchy(weights)
 
 
 @query("pca_coords", "H2 H18 I21")
@@ -271,7 +272,7 @@ def q_document_map(spark, sf_dir):
     ancestors in the merge tree."""
     f, _, weights, _ = text_model(spark, sf_dir)
     labels = TP.headings(T.top_terms(weights, 10), T.title_stop_words(f.summary))
-    return TP.document_map(not_rejected(f.comments), EM.pca_coords(f.assignment, k=2), K.hierarchy(weights), labels)
+    return TP.document_map(not_rejected(f.comments), EM.pca_coords(f.assignment, k=2), HI.hierarchy(weights), labels)
 
 
 @query("hash_embeddings", "H1 M3")

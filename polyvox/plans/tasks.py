@@ -20,6 +20,7 @@ from polyvox import schemas
 from polyvox.operators import maprender as AM
 from polyvox.operators import arguments as AR
 from polyvox.operators import cluster as K
+from polyvox.operators import hierarchy as HI
 from polyvox.operators import edges as E
 from polyvox.operators import embed as EM
 from polyvox.operators import moderation as MO
@@ -92,7 +93,7 @@ def topic_model(spark: SparkSession, ctx: Context) -> None:
     labels = TP.headings(kw, stop, topics=assign)
     info = TP.topic_info(K.topic_sizes(assign), kw, rep, comments, labels)
     io.write_table(info, ctx.data_root, "topics")
-    io.write_table(K.hierarchy(weights), ctx.data_root, "hierarchicalTopics")
+    io.write_table(HI.hierarchy(weights), ctx.data_root, "hierarchicalTopics")
     io.write_table(TP.replace_columns(comments, assign, ["dataset", "commentId"], ["topicId"]),
                    ctx.data_root, "comments_topics")
 

@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from polyvox.operators import cluster as K
+from polyvox.operators import hierarchy as HI
 from polyvox.operators import topics as TP
 from polyvox.sources.adapters import Fixture
 
@@ -53,7 +54,7 @@ def test_components(spark):
 def test_hierarchy_is_monotone_tree(spark):
     from polyvox.plans.q_text import model
     _, _, weights, _ = model(spark, SF_SMALL)
-    h = K.hierarchy(weights).orderBy("Parent_ID").collect()
+    h = HI.hierarchy(weights).orderBy("Parent_ID").collect()
     n_topics = weights.select("topicId").distinct().count()
     assert len(h) == n_topics - 1
     d = [r.Distance for r in h]
