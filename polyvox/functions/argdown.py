@@ -74,33 +74,31 @@ def refutes(label) -> Column:
     return F.concat(F.lit("  -> ["), _c(label), F.lit("]\n"))
 
 
+def _node(label, body, tag: str, brackets: str, link: Column | None = None) -> Column:
+    """A map element on lines of its own: bracketed label, emoji, body, tag, then its link if it has one."""
+    parts = [_nl(), F.lit(brackets[0]), _c(label), F.lit(f"{brackets[1]}: {emoji(tag)} "), _c(body), F.lit(f" #{tag}\n")]
+    return F.concat(*parts, *([link] if link is not None else []))
+
+
+def _link(to_label, to_argument) -> Column | None:
+    """R8 towards a statement or an argument (a statement wins), None without a target."""
+    targets = [(to_label, False), (to_argument, True)]
+    return next((supports(t, argument=is_argument) for t, is_argument in targets if t is not None), None)
+
+
 def topic(name, content, supports_label=None, tag: str = "AI") -> Column:
     """R2: ``\\n[name]: emoji content #tag\\n`` [+ R8]."""
-    out = F.concat(_nl(), F.lit("["), _c(name), F.lit(f"]: {emoji(tag)} "), _c(content),
-                   F.lit(f" #{tag}\n"))
-    return out if supports_label is None else F.concat(out, supports(supports_label))
+    return _node(name, content, tag, "[]", _link(supports_label, None))
 
 
 def argument(label, content, supports_label=None, supports_argument=None, tag: str = "AI") -> Column:
     """``\\n<label>: emoji content #tag\\n`` [+ R8]."""
-    out = F.concat(_nl(), F.lit("<"), _c(label), F.lit(f">: {emoji(tag)} "), _c(content),
-                   F.lit(f" #{tag}\n"))
-    if supports_label is not None:
-        return F.concat(out, supports(supports_label))
-    if supports_argument is not None:
-        return F.concat(out, supports(supports_argument, argument=True))
-    return out
+    return _node(label, content, tag, "<>", _link(supports_label, supports_argument))
 
 
 def comment(label, text, supports_label=None, supports_argument=None, tag: str = "Human") -> Column:
     """``\\n[label]: emoji comment #tag\\n`` [+ R8]."""
-    out = F.concat(_nl(), F.lit("["), _c(label), F.lit(f"]: {emoji(tag)} "), _c(text),
-                   F.lit(f" #{tag}\n"))
-    if supports_label is not None:
-        return F.concat(out, supports(supports_label))
-    if supports_argument is not None:
-        return F.concat(out, supports(supports_argument, argument=True))
-    return out
+    return _node(label, text, tag, "[]", _link(supports_label, supports_argument))
 
 
 def template_head() -> str:
@@ -109,6 +107,22 @@ def template_head() -> str:
     return FRONT_MATTER
 
 
+def fence(as_map: bool = False) -> tuple[str, str]:
+    """What stands before and after a document in Markdown; ``as_map`` shows it as a map."""
+    return f"```argdown{'-map' if as_map else ''}\n", "\n```\n"
+
+
+def document(body) -> Column:
+    """A whole document: front matter, body, newline."""
+    return F.concat(F.lit(template_head()), _c(body), _nl())
+
+
+def markdown(body, as_map: bool = False) -> Column:
+    """A whole document in a Markdown block."""
+    opening, closing = fence(as_map)
+    return F.concat(F.lit(opening), document(body), F.lit(closing))
+
+
 def pct(x) -> Column:
     """I11 for map bodies: ``{x*100:.1f}`` rounding half-even like Python;
     NULL ratio -> ``n/a``."""

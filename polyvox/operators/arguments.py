@@ -19,7 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyvox.functions.exprs import argument_budget, first_phrase, percent_agree, tokens
+from polyvox.functions.exprs import argument_budget, first_sentence, percent_agree, tokens
+from polyvox.operators.rank import running
 from polyvox.operators.skew import per_topic, salted_join
 
 MAX_BUDGET = 64          # ceil(2 ln n) <= 64 for n < 7.9e13 statements per topic
@@ -45,7 +46,7 @@ def generate_arguments(agreeable: DataFrame, doc_weights: DataFrame, n_title_ter
     """J7 (extractive default): per topic, the ceil(2 ln n) statements with the
     highest (agreeability, agrees), lowest id on ties, become arguments
     0..K-1. Title = the statement's ``n_title_terms`` best c-TF-IDF terms;
-    content = its first sentence (I18); thoughts = AREA / PROBLEMS strings.
+    content = its first whole sentence; thoughts = AREA / PROBLEMS strings.
 
     The rank window is cut to MAX_BUDGET rows per topic before the shuffle,
     which is exact for any realistic topic size."""
@@ -67,7 +68,7 @@ def generate_arguments(agreeable: DataFrame, doc_weights: DataFrame, n_title_ter
                                            lambda x: x["term"]), " ").alias("__title")))
     out = picked.join(terms, ["dataset", "commentId"], "left")
     title = F.coalesce(F.col("__title"), F.lit(""))
-    content = first_phrase("commentText")
+    content = first_sentence("commentText")
     return out.select(
         "dataset", "topicId", (F.col("__rk") - 1).cast("bigint").alias("argumentId"),
         title.alias("argumentTitle"), content.alias("argumentContent"),
@@ -106,10 +107,10 @@ def argument_prompts(agreeable: DataFrame, summary: DataFrame, context: int = 50
     """J7 input for a model: per topic all its agreeable statements, best first, in prompts
     of up to ``context`` statements (what fits a model's context; a parameter) numbered by
     ``part`` from 0; each names the whole topic's budget of areas. Wording ours."""
-    w = Window.partitionBy("dataset", "topicId").orderBy(F.desc("agreeability"), F.desc("agrees"), "commentId")
     n = agreeable.groupBy("dataset", "topicId").agg(F.count("*").alias("__n"))
-    lines = (agreeable.withColumn("__rk", F.row_number().over(w))
-             .select("dataset", "topicId", "commentId", "__rk", F.floor((F.col("__rk") - 1) / context).cast("int").alias("part"))
+    best = [F.desc("agreeability"), F.desc("agrees"), "commentId"]
+    ranked = running(agreeable.select("dataset", "topicId", "commentId", "agreeability", "agrees"), ["dataset", "topicId"], best, "__rk")
+    lines = (ranked.select("dataset", "topicId", "commentId", "__rk", F.floor((F.col("__rk") - 1) / context).cast("int").alias("part"))
              .join(statement_lines(agreeable), ["dataset", "topicId", "commentId"])
              .groupBy("dataset", "topicId", "part").agg(F.array_join(F.transform(
                  F.sort_array(F.collect_list(F.struct("__rk", "line"))), lambda x: x["line"]), "\n").alias("__lines")))

@@ -118,6 +118,13 @@ def all_map(summary: DataFrame, topics: DataFrame, arguments: DataFrame, edges:
     return res
 
 
+def fenced(lines: DataFrame, as_map: bool = True) -> DataFrame:
+    """A map's rows with those of the Markdown block around them, one before and one after each dataset's."""
+    opening, closing = A.fence(as_map)
+    names = lines.select("dataset").distinct()
+    return lines.unionByName(_row(names, -2, F.lit(opening))).unionByName(_row(names, 100, F.lit(closing)))
+
+
 def write_maps(lines: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write each dataset's map as text under ``path/dataset=<name>/``.
 

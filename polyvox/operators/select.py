@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polyvox.functions.exprs import argument_budget
-from polyvox.operators.skew import per_dataset, per_topic
+from polyvox.operators.rank import running
+from polyvox.operators.skew import per_dataset, per_topic, salted_join
 
 
 def accepted(comments: DataFrame) -> DataFrame:
@@ -23,17 +24,17 @@ def group_quantile(df: DataFrame, keys: list[str], col: str, q: float) -> DataFr
     """Exact linear-interpolated quantile of ``col`` per group -> (keys..., __t).
 
     Rows are first counted per distinct value (map-side combine), so a group
-    of any size moves only its distinct values; a running count over them
-    finds the two values around position q * (n - 1)."""
+    of any size moves only its distinct values; a running count over them,
+    range-partitioned (``rank.running``), finds the two values around position
+    q * (n - 1), so no task sees all values of a large group."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(F.count("*").alias("__n"))
-    total = counts.groupBy(*keys).agg(F.sum("__n").alias("__all"))
-    run = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__v"))
+    seen = running(counts, keys, ["__v"], "__seen", "__n")
     at = F.lit(q) * (F.col("__all") - 1)
-    seen = counts.withColumn("__seen", run).join(total, keys)
-    low = F.min(F.when(F.col("__seen") > F.floor(at), F.col("__v")))
-    high = F.min(F.when(F.col("__seen") > F.ceil(at), F.col("__v")))
-    frac = F.max(at - F.floor(at))
-    return seen.groupBy(*keys).agg((low + (high - low) * frac).alias("__t"))
+    total = seen.groupBy(*keys).agg(F.sum("__n").alias("__all")).withColumns({"__at": at, "__low": F.floor(at), "__high": F.ceil(at)})
+    placed = salted_join(seen, total, keys, ["__v"])
+    low = F.min(F.when(F.col("__seen") > F.col("__low"), F.col("__v")))
+    high = F.min(F.when(F.col("__seen") > F.col("__high"), F.col("__v")))
+    return placed.groupBy(*keys).agg((low + (high - low) * F.max(F.col("__at") - F.col("__low"))).alias("__t"))
 
 
 def _thresholds(df: DataFrame, keys: list[str], q: float, method: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from polyvox.functions.exprs import bounded_int, choice, first_line, first_phrase, first_tokens
+from polyvox.functions.exprs import ABBREVIATED, SENTENCE, bounded_int, choice, first_line, first_phrase, first_tokens
 from polyvox.operators import arguments as AR
 from polyvox.operators import select as C
 from polyvox.operators import text as T
@@ -33,7 +33,12 @@ def q_statement_lines(spark, sf_dir):
     return AR.statement_lines(C.agreeable_comments(Fixture(spark, sf_dir).comments))
 
 
-@query("generate_arguments", "J7 J8 I6 I18 F5", """
+# twin of first_sentence
+_SENTENCE = (f"replace(trim(regexp_replace(regexp_extract(regexp_replace(p.commentText, '{ABBREVIATED}', '\\1' || chr(1), 'g'), "
+             f"'{SENTENCE}', 1), '\\s+$', '')), chr(1), '.')")
+
+
+@query("generate_arguments", "J7 J8 I6 F5", """
 WITH n AS (SELECT dataset, topicId, count(*) AS n FROM fx_agreeable GROUP BY dataset, topicId),
 p AS (
   SELECT x.*, n.n FROM (
@@ -51,11 +56,10 @@ t AS (
   WHERE tr <= 3 GROUP BY dataset, commentId)
 SELECT p.dataset, p.topicId, CAST(p.rk - 1 AS BIGINT) AS argumentId,
        coalesce(t.title, '') AS argumentTitle,
-       string_split_regex(p.commentText, '[\\n.]')[1] AS argumentContent,
-       'AREA: ' || coalesce(t.title, '') || ' | PROBLEMS: '
-       || string_split_regex(p.commentText, '[\\n.]')[1] AS thoughts,
+       {SENT} AS argumentContent,
+       'AREA: ' || coalesce(t.title, '') || ' | PROBLEMS: ' || {SENT} AS thoughts,
        p.commentId AS sourceCommentId
-FROM p LEFT JOIN t ON p.dataset = t.dataset AND p.commentId = t.commentId""")
+FROM p LEFT JOIN t ON p.dataset = t.dataset AND p.commentId = t.commentId""".replace("{SENT}", _SENTENCE))
 def q_generate_arguments(spark, sf_dir):
     f, dterms, _, idf = text_model(spark, sf_dir)
     return AR.generate_arguments(C.agreeable_comments(f.comments), T.doc_weights(dterms, idf))
@@ -126,39 +130,33 @@ def q_pair_prompts(spark, sf_dir):
     return p.select("dataset", "topicId", "argumentId", "commentId", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))
 
 
-@query("argument_prompts", "J7 J8 (prompt column)", """
+def _prompts_sql(context: int) -> str:
+    return f"""
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY dataset, topicId ORDER BY agreeability DESC, agrees DESC, commentId) AS rk,
                   count(*) OVER (PARTITION BY dataset, topicId) AS n FROM fx_agreeable),
 p AS (
-  SELECT dataset, topicId,
+  SELECT dataset, topicId, CAST((rk - 1) // {context} AS INTEGER) AS part,
          'Topic: Fixture discussion' || chr(10) || 'Name ' || CASE WHEN n <= 1 THEN 0 ELSE CAST(ceil(ln(n) * 2) AS INTEGER) END
          || ' areas of concern. For each write:' || chr(10) || 'AREA:' || chr(10) || 'PROBLEMS:' || chr(10) || 'SOLUTIONS:' || chr(10)
          || 'ARGUMENT: one sentence' || chr(10) || 'TITLE: three words' || chr(10) || chr(10)
          || string_agg(CAST(commentId AS VARCHAR) || '. ' || commentText || ' ('
             || coalesce(CAST(CAST(floor(agrees * 100 / nullif(agrees + disagrees, 0)) AS INTEGER) AS VARCHAR), 'n/a')
             || '% voters agree)', chr(10) ORDER BY rk) AS prompt
-  FROM r WHERE rk <= 50 GROUP BY dataset, topicId, n)
-SELECT dataset, topicId, length(prompt) AS chars, md5(prompt) AS prompt_md5 FROM p""")
-def q_argument_prompts(spark, sf_dir):
-    f = Fixture(spark, sf_dir)
-    p = AR.argument_prompts(C.agreeable_comments(f.comments), f.summary).filter("part = 0")  # as its SQL states it
-    return p.select("dataset", "topicId", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))
+  FROM r GROUP BY dataset, topicId, n, (rk - 1) // {context})
+SELECT dataset, topicId, part, length(prompt) AS chars, md5(prompt) AS prompt_md5 FROM p"""
 
 
-@query("argument_prompt_parts", "J7 J8 (prompt column, all statements)", """
-WITH r AS (SELECT *, row_number() OVER (PARTITION BY dataset, topicId ORDER BY agreeability DESC, agrees DESC, commentId) AS rk,
-                  count(*) OVER (PARTITION BY dataset, topicId) AS n FROM fx_agreeable),
-p AS (
-  SELECT dataset, topicId, CAST((rk - 1) // 50 AS INTEGER) AS part,
-         'Topic: Fixture discussion' || chr(10) || 'Name ' || CASE WHEN n <= 1 THEN 0 ELSE CAST(ceil(ln(n) * 2) AS INTEGER) END
-         || ' areas of concern. For each write:' || chr(10) || 'AREA:' || chr(10) || 'PROBLEMS:' || chr(10) || 'SOLUTIONS:' || chr(10)
-         || 'ARGUMENT: one sentence' || chr(10) || 'TITLE: three words' || chr(10) || chr(10)
-         || string_agg(CAST(commentId AS VARCHAR) || '. ' || commentText || ' ('
-            || coalesce(CAST(CAST(floor(agrees * 100 / nullif(agrees + disagrees, 0)) AS INTEGER) AS VARCHAR), 'n/a')
-            || '% voters agree)', chr(10) ORDER BY rk) AS prompt
-  FROM r GROUP BY dataset, topicId, n, (rk - 1) // 50)
-SELECT dataset, topicId, part, length(prompt) AS chars, md5(prompt) AS prompt_md5 FROM p""")
-def q_argument_prompt_parts(spark, sf_dir):
+def _prompts(spark, sf_dir, context: int):
     f = Fixture(spark, sf_dir)
-    p = AR.argument_prompts(C.agreeable_comments(f.comments), f.summary)
+    p = AR.argument_prompts(C.agreeable_comments(f.comments), f.summary, context)
     return p.select("dataset", "topicId", "part", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))
+
+
+@query("argument_prompts", "J7 J8 (prompt column, all statements)", _prompts_sql(50))
+def q_argument_prompts(spark, sf_dir):
+    return _prompts(spark, sf_dir, 50)
+
+
+@query("argument_prompt_parts", "J7 J8 (prompt column for a small context)", _prompts_sql(8))
+def q_argument_prompt_parts(spark, sf_dir):
+    return _prompts(spark, sf_dir, 8)

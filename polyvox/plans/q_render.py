@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from polyvox.functions import argdown as A
 from polyvox.operators import maprender as M
 from polyvox.operators import scoring as S
@@ -47,7 +49,7 @@ FROM (SELECT DISTINCT dataset, topicId FROM fx_ats) i
 LEFT JOIN fx_topics t ON i.dataset = t.dataset AND i.topicId = t.Topic"""
 
 
-@query("argdown_top", "K2 R1 R2 R3 R4 R8 R9 I11 F1 F2 F6", f"""
+_TOP_SQL = f"""
 WITH top AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset, topicId
                  ORDER BY agreeability DESC NULLS LAST, argumentId) AS rank FROM fx_ats)
@@ -83,7 +85,10 @@ SELECT c.dataset, 3 AS section,
        || {_pct('c.agreeability')} || '% agree_) #Human' || chr(10)
        || '  +> <' || c.argumentTitle || '>' || chr(10) AS text
 FROM tc c JOIN cbest b ON c.dataset = b.dataset AND c.topicId = b.topicId
-                      AND c.argumentId = b.argumentId""")
+                      AND c.argumentId = b.argumentId"""
+
+
+@query("argdown_top", "K2 R1 R2 R3 R4 R8 R9 I11 F1 F2 F6", _TOP_SQL)
 def q_argdown_top(spark, sf_dir):
     f = Fixture(spark, sf_dir)
     ats = S.score(f.topics, f.arguments, f.edges, f.votes)
@@ -122,3 +127,24 @@ def q_argdown_all(spark, sf_dir):
     f = Fixture(spark, sf_dir)
     ats = S.score(f.topics, f.arguments, f.edges, f.votes)
     return M.all_map(f.summary, f.topics, f.arguments, f.edges, f.comments, ats)
+
+
+@query("argdown_markdown_map", "R10 K2", _TOP_SQL + f"""
+UNION ALL
+SELECT i.dataset, v.s AS section, {_keys()}, v.text
+FROM fx_info i, (VALUES (-2, '```argdown-map' || chr(10)), (100, chr(10) || '```' || chr(10))) v(s, text)""")
+def q_argdown_markdown_map(spark, sf_dir):
+    return M.fenced(q_argdown_top(spark, sf_dir))
+
+
+@query("argdown_markdown_arguments", "R10 R3 R9", f"""
+SELECT dataset, topicId, argumentId,
+       '```argdown' || chr(10) || {_lit(A.FRONT_MATTER)} || chr(10) || '<' || argumentTitle || '>: {A.AI_EMOJI} ' || argumentContent
+       || ' #AI' || chr(10) || '  +> [' || topicHeading || ']' || chr(10) || chr(10) || chr(10) || '```' || chr(10) AS text
+FROM fx_ats""")
+def q_argdown_markdown_arguments(spark, sf_dir):
+    """Each scored argument as a Markdown document of its own."""
+    f = Fixture(spark, sf_dir)
+    ats = S.score(f.topics, f.arguments, f.edges, f.votes)
+    return ats.select("dataset", "topicId", "argumentId", A.markdown(
+        A.argument(F.col("argumentTitle"), F.col("argumentContent"), F.col("topicHeading"))).alias("text"))

@@ -305,7 +305,18 @@ def q_topic_headings(spark, sf_dir):
     return TP.headings(T.top_terms(weights, 10), T.title_stop_words(f.summary), topics=a)
 
 
-@query("topic_info", "H10 H21 H20 D2", """
+@query("comments_with_topics", "H20 D2", """
+SELECT c.dataset, c.commentId, c.authorId, c.moderated, c.agrees, c.disagrees, h.topicId
+FROM fx_comments c LEFT JOIN fx_h12 h ON c.dataset = h.dataset AND c.commentId = h.commentId""")
+def q_comments_with_topics(spark, sf_dir):
+    """The new topic assignment written back to all statements; rejected ones have none."""
+    f = fx(spark, sf_dir)
+    a = K.reassign_by_embedding(f.assignment, K.centroids(f.assignment))
+    out = TP.replace_columns(f.comments, a, ["dataset", "commentId"], ["topicId"])
+    return out.select("dataset", "commentId", "authorId", "moderated", "agrees", "disagrees", "topicId")
+
+
+@query("topic_info", "H10 H21", """
 WITH k AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset, topicId ORDER BY weight DESC, term) AS rank
   FROM fx_src_ctfidf) WHERE rank <= 10),

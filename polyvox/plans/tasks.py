@@ -1,4 +1,4 @@
-"""Task registry (M4): the reference's seven tasks as Spark jobs.
+"""Task registry (M4): the seven tasks of the pipeline as Spark jobs.
 
 ``run(spark, ["ingest", "moderate", ...], ctx)`` runs the named tasks in
 order for every dataset at once; each task reads the tables the previous
@@ -52,7 +52,7 @@ def _read(spark, ctx, name):
 def ingest(spark: SparkSession, ctx: Context) -> None:
     """Summary + comments (A1, A2, A3, A11) + embeddings (H1) + votes (A4)."""
     io.write_table(io.read_summary(spark, ctx.raw_root, ctx.datasets), ctx.data_root, "summary")
-    comments = _ckpt(io.read_comments(spark, ctx.raw_root, ctx.datasets))
+    comments = _ckpt(io.load_comments(spark, ctx.data_root, ctx.raw_root, ctx.datasets))
     emb = EM.hash_embeddings(comments).select("dataset", "commentId", "embedding")
     io.write_table(comments.join(emb, ["dataset", "commentId"], "left"), ctx.data_root, "comments")
     io.write_table(io.read_votes(spark, ctx.raw_root, ctx.datasets), ctx.data_root, "votes")
@@ -142,7 +142,7 @@ def score(spark: SparkSession, ctx: Context) -> None:
     io.write_table(ats, ctx.data_root, "argumentTopicSupport")
 
 
-def argmap(spark: SparkSession, ctx: Context) -> None:
+def render(spark: SparkSession, ctx: Context) -> None:
     """K2 + K3 written as text (A14), one folder per dataset."""
     summary = _read(spark, ctx, "summary")
     topics = _read(spark, ctx, "topics")
@@ -157,7 +157,7 @@ def argmap(spark: SparkSession, ctx: Context) -> None:
 
 TASKS: dict[str, Callable[[SparkSession, Context], None]] = {
     "ingest": ingest, "moderate": moderate, "topicModel": topic_model, "generate": generate,
-    "correlate": correlate, "score": score, "argmap": argmap,
+    "correlate": correlate, "score": score, "render": render,
 }
 
 

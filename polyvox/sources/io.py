@@ -152,12 +152,28 @@ def exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def raw_datasets(spark: SparkSession, root: str, table: str, datasets: list[str] | None = None) -> list[str]:
+    """Names of the datasets that have a raw file of ``table``; files are listed, not read."""
+    found = (spark.read.format("binaryFile").option("pathGlobFilter", f"{table}.csv")
+             .load(f"{root.rstrip('/')}/*").select(F.regexp_extract("path", _DATASET_FROM_PATH, 1).alias("d")))
+    names = {r["d"] for r in found.distinct().collect()}
+    return sorted(names if not datasets else names & set(datasets))
+
+
 def load_comments(spark: SparkSession, data_root: str, raw_root: str,
                   datasets: list[str] | None = None) -> DataFrame:
-    """Processed comments if written, else the raw CSV."""
+    """A11, dataset by dataset: processed comments where they are written, else the raw CSV. A processed
+    table's columns beyond those of the raw data (vectors, results of later tasks) are left out."""
+    columns = [f.name for f in schemas.COMMENTS.fields]
+    raw, stored = raw_datasets(spark, raw_root, "comments", datasets), None
     if exists(spark, table_path(data_root, "comments")):
-        return read_table(spark, data_root, "comments", schemas.COMMENTS, datasets)
-    return read_comments(spark, raw_root, datasets)
+        stored = read_table(spark, data_root, "comments", schemas.COMMENTS, datasets)
+        done = {r["dataset"] for r in stored.select("dataset").distinct().collect()}  # partition names
+        raw = [d for d in raw if d not in done]
+    if not raw and stored is not None:
+        return stored.select(*[c for c in stored.columns if c in columns])
+    fresh = read_comments(spark, raw_root, raw or datasets)
+    return fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, schema: StructType | None = None,
