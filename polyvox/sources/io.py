@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from polyvox import schemas
 from polyvox.functions.exprs import agreeability_guarded
 from polyvox.operators.votes import latest_vote
+from polyvox.sources import csvscan
 
 _DATASET_FROM_PATH = r"([^/]+)/[^/]+$"
 
@@ -77,11 +78,14 @@ def read_csv_table(spark: SparkSession, root: str, table: str, raw_schema: Struc
                    datasets: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """A2 + M1: CSV with header (quoted fields may hold commas, quotes and, with
     ``multi_line``, newlines) -> ``dataset`` from the path -> user ``preprocess``
-    -> casts. Without ``multi_line`` a large file is read by many tasks."""
-    df = (spark.read.schema(raw_schema).option("header", True).option("multiLine", multi_line)
-          .option("escape", '"').option("mode", "FAILFAST")
-          .csv(_glob(root, table, datasets, "csv")))
-    df = _with_dataset(df)
+    -> casts. Either way many tasks read a large file; with ``multi_line``
+    record borders are found first (``csvscan``)."""
+    paths = _glob(root, table, datasets, "csv")
+    if multi_line:
+        df = (csvscan.read_csv(spark, paths, raw_schema)
+              .withColumn("dataset", F.regexp_extract("path", _DATASET_FROM_PATH, 1)).drop("path"))
+    else:
+        df = _with_dataset(spark.read.schema(raw_schema).option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(paths))
     if preprocess is not None:
         df = df.transform(preprocess)
     return cast_to(df, schema) if schema is not None else df
