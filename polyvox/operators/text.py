@@ -139,8 +139,8 @@ def representative_docs(dw: DataFrame, weights: DataFrame, k: int = 3,
 def reassign_by_terms(assign: DataFrame, dw: DataFrame, weights: DataFrame,
                       topic: str = "topicId") -> DataFrame:
     """Rows still -1 take the topic with the largest sum of
-    d(w) * weight(t, w) over shared terms if it is > 0; else they stay -1.
-    (Simplified from windowed topic distributions: one window = whole text.)
+    d(w) * weight(t, w) over shared terms if it is > 0; else they stay -1. One
+    window, the whole text; ``reassign_by_distributions`` has overlapping ones.
 
     The outliers' terms are joined to every topic having that term on
     (dataset, term); common terms are hot keys, so the join is salted by
@@ -158,3 +158,55 @@ def reassign_by_terms(assign: DataFrame, dw: DataFrame, weights: DataFrame,
             .withColumn(topic, F.when(F.col(topic) == -1, F.coalesce("__best", F.lit(-1)))
                         .otherwise(F.col(topic)).cast("int"))
             .drop("__best"))
+
+
+def kept_words(docs: DataFrame, stop: DataFrame, text: str = "commentText") -> DataFrame:
+    """(dataset, commentId, words): each document's words in order, without stop words."""
+    words = docs.select("dataset", "commentId", F.posexplode(tokens(text)).alias("__pos", "word"))
+    kept = words.join(stop.select("dataset", "word").distinct(), ["dataset", "word"], "left_anti")
+    return (kept.groupBy("dataset", "commentId").agg(F.array_sort(F.collect_list(F.struct("__pos", "word"))).alias("__w"))
+            .select("dataset", "commentId", F.transform("__w", lambda x: x["word"]).alias("words")))
+
+
+def window_terms(words: DataFrame, size: int = 4, stride: int = 1) -> DataFrame:
+    """(dataset, commentId, start, term, n): words and word pairs inside each window of ``size`` neighbouring
+    words, ``stride`` apart; a document of fewer words is one window."""
+    last = F.greatest(F.size("words") - (size - 1), F.lit(1))
+    windows = (words.filter(F.size("words") > 0).withColumn("start", F.explode(F.sequence(F.lit(1), last, F.lit(stride))))
+               .select("dataset", "commentId", "start", F.slice("words", F.col("start"), F.lit(size)).alias("w")))
+    pairs = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))
+    return (windows.select("dataset", "commentId", "start", F.explode(F.concat("w", pairs)).alias("term"))
+            .groupBy("dataset", "commentId", "start", "term").agg(F.count("*").alias("n")))
+
+
+def topic_distributions(docs: DataFrame, stop: DataFrame, weights: DataFrame, idf: DataFrame, size: int = 4, stride: int = 1,
+                        min_similarity: float = 0.1, topic: str = "topicId") -> DataFrame:
+    """(dataset, commentId, topic, score): per document and topic the sum over its windows of the cosine
+    between the window's and the topic's c-TF-IDF vectors, windows under ``min_similarity`` left out.
+
+    A window's rows stay few (``size`` words, their pairs), so its norm and products are sums over small groups;
+    terms of many windows or topics are hot keys and their joins are salted by document."""
+    terms = window_terms(kept_words(docs, stop), size, stride)
+    key = ["dataset", "commentId", "start"]
+    total = terms.groupBy(*key).agg(F.sum("n").alias("__tot"))
+    weighed = (salted_join(terms, idf, ["dataset", "term"], spread_by=["commentId", "start"]).join(total, key)
+               .select(*key, "term", (F.sqrt(F.col("n") / F.col("__tot")) * F.col("idf")).alias("__w")))
+    norm = weighed.groupBy(*key).agg(F.sqrt(F.sum(F.col("__w") ** 2)).alias("__wn"))
+    tnorm = weights.groupBy("dataset", topic).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("__tn"))
+    dots = (salted_join(weighed, weights.select("dataset", topic, "term", "weight"), ["dataset", "term"], spread_by=["commentId", "start"])
+            .groupBy(*key, topic).agg(F.sum(F.col("__w") * F.col("weight")).alias("__dot")))
+    cosine = dots.join(norm, key).join(per_topic(tnorm), ["dataset", topic]).withColumn("__c", F.col("__dot") / (F.col("__wn") * F.col("__tn")))
+    return (cosine.filter(F.col("__c") >= min_similarity)
+            .groupBy("dataset", "commentId", topic).agg(F.sum("__c").alias("score")))
+
+
+def reassign_by_distributions(assign: DataFrame, docs: DataFrame, stop: DataFrame, weights: DataFrame, idf: DataFrame,
+                              size: int = 4, stride: int = 1, min_similarity: float = 0.1, topic: str = "topicId") -> DataFrame:
+    """Rows still -1 take the topic with the largest score of ``topic_distributions`` (equal at 1e-9:
+    the lower id); rows without a window that resembles a topic stay -1."""
+    out = docs.select("dataset", "commentId", "commentText").join(
+        assign.filter(F.col(topic) == -1).select("dataset", "commentId"), ["dataset", "commentId"], "left_semi")
+    best = (topic_distributions(out, stop, weights, idf, size, stride, min_similarity, topic).groupBy("dataset", "commentId")
+            .agg(F.max_by(topic, F.struct(F.round("score", 9), -F.col(topic))).alias("__best")))
+    return (assign.join(best, ["dataset", "commentId"], "left")
+            .withColumn(topic, F.when(F.col(topic) == -1, F.coalesce("__best", F.lit(-1))).otherwise(F.col(topic)).cast("int")).drop("__best"))

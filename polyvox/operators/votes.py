@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +54,55 @@ def opinion_matrix(votes: DataFrame) -> DataFrame:
                     F.col("__cv.commentId").alias("comments"),
                     F.col("__cv.vote").alias("votes"),
                     F.size("__cv").alias("n_votes")))
+
+
+#: Voters and comments to a side of a tile: a tile holds 65,536 votes at most.
+TILE = 256
+
+
+def opinion_tiles(votes: DataFrame, tile: int = TILE) -> DataFrame:
+    """X7, tiled: (dataset, vb, cb, voters, comments, votes), parallel arrays of one tile's votes, sorted.
+
+    Tiles are keyed by blocks of ids (hashed, so that ids with gaps fill them evenly), hence a voter with
+    a third of all votes is spread over all comment blocks and no row grows with the data. A vote
+    is the latest of its voter on its comment."""
+    per_side = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 31))
+    ids = votes.groupBy("dataset").agg(F.approx_count_distinct("voterId").alias("nv"), F.approx_count_distinct("commentId").alias("nc"))
+    sized = votes.join(F.broadcast(ids), "dataset")  # a row per dataset
+    block = lambda c, n: (per_side(c) % F.greatest(F.ceil(F.col(n) * 2 / tile), F.lit(1))).cast("int")
+    return (sized.select("dataset", block("voterId", "nv").alias("vb"), block("commentId", "nc").alias("cb"), "voterId", "commentId", "vote")
+            .groupBy("dataset", "vb", "cb").agg(F.array_sort(F.collect_list(F.struct("voterId", "commentId", "vote"))).alias("t"))
+            .select("dataset", "vb", "cb", F.col("t.voterId").alias("voters"), F.col("t.commentId").alias("comments"), F.col("t.vote").alias("votes")))
+
+
+def voter_agreement(tiles: DataFrame) -> DataFrame:
+    """(dataset, voter_a, voter_b, both, same): for every two voters a < b with a comment in common, on how many
+    comments both voted and on how many of them alike.
+
+    A blocked matrix product: tiles of the same comments meet two by two, their product is taken in the task and
+    partial counts are summed per voter pair."""
+    left = tiles.toDF("dataset", "vb", "cb", "va", "ca", "xa")
+    right = tiles.toDF("dataset", "wb", "cb", "vo", "co", "xo")
+    met = left.join(right, ["dataset", "cb"]).filter("vb <= wb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                va, ia = np.unique(r["va"], return_inverse=True)
+                vo, io = np.unique(r["vo"], return_inverse=True)
+                c, ic = np.unique(np.concatenate([r["ca"], r["co"]]), return_inverse=True)
+                ja, jo = ic[:len(ia)], ic[len(ia):]
+                x, y = np.zeros((len(va), len(c)), np.int32), np.zeros((len(vo), len(c)), np.int32)
+                x[ia, ja], y[io, jo] = r["xa"], r["xo"]
+                both, net = np.abs(x) @ np.abs(y).T, x @ y.T  # net: alike minus unlike
+                i, j = np.nonzero(both)
+                if r["vb"] == r["wb"]:  # a tile with itself: each pair once
+                    i, j = i[va[i] < vo[j]], j[va[i] < vo[j]]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r["dataset"]] * len(i)), pa.array(np.minimum(va[i], vo[j])), pa.array(np.maximum(va[i], vo[j])),
+                         pa.array(both[i, j].astype(np.int64)), pa.array(((both + net) // 2)[i, j].astype(np.int64))],
+                        ["dataset", "voter_a", "voter_b", "both", "same"])
+
+    parts = met.mapInArrow(run, "dataset string, voter_a bigint, voter_b bigint, both bigint, same bigint")
+    return parts.groupBy("dataset", "voter_a", "voter_b").agg(F.sum("both").alias("both"), F.sum("same").alias("same"))

@@ -122,6 +122,35 @@ def q_reassign_terms(spark, sf_dir):
     return out.select("dataset", "commentId", "topicId")
 
 
+@query("reassign_by_windows", "H13 (windows of 4, stride 1)", """
+WITH o AS (SELECT dataset, commentId FROM fx_h12 WHERE topicId = -1),
+k AS (SELECT t.dataset, t.commentId, list_filter(t.toks, lambda w: NOT list_contains(coalesce(s.stop, []), w)) AS w
+      FROM fx_h12_toks t JOIN o USING (dataset, commentId) LEFT JOIN fx_h12_stop s ON t.dataset = s.dataset),
+x AS (SELECT dataset, commentId, s, w[s:s + 3] AS w FROM (
+  SELECT dataset, commentId, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM k WHERE len(w) > 0)),
+n AS (SELECT dataset, commentId, s, term, count(*) AS n FROM (
+  SELECT dataset, commentId, s, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM x)
+  GROUP BY ALL),
+d AS (SELECT n.dataset, n.commentId, n.s, n.term, sqrt(n.n / t.tot) * i.idf AS wt
+      FROM n JOIN (SELECT dataset, commentId, s, sum(n) AS tot FROM n GROUP BY ALL) t USING (dataset, commentId, s)
+      JOIN fx_h12_idf i ON i.dataset = n.dataset AND i.term = n.term),
+c AS (SELECT p.dataset, p.commentId, p.s, p.topicId, dot / (dn * tn) AS cos
+      FROM (SELECT d.dataset, d.commentId, d.s, w.topicId, sum(d.wt * w.weight) AS dot
+            FROM d JOIN fx_h12_ctfidf w ON d.dataset = w.dataset AND d.term = w.term GROUP BY ALL) p
+      JOIN (SELECT dataset, commentId, s, sqrt(sum(wt * wt)) AS dn FROM d GROUP BY ALL) a USING (dataset, commentId, s)
+      JOIN (SELECT dataset, topicId, sqrt(sum(weight * weight)) AS tn FROM fx_h12_ctfidf GROUP BY ALL) b USING (dataset, topicId)),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset, commentId ORDER BY round(s, 9) DESC, t) AS rn
+  FROM (SELECT dataset, commentId, topicId AS t, sum(cos) AS s FROM c WHERE cos >= 0.1 GROUP BY ALL)) WHERE rn = 1)
+SELECT h.dataset, h.commentId, CAST(CASE WHEN h.topicId = -1 THEN coalesce(b.t, -1) ELSE h.topicId END AS INTEGER) AS topicId
+FROM fx_h12 h LEFT JOIN b ON h.dataset = b.dataset AND h.commentId = b.commentId""")
+def q_reassign_windows(spark, sf_dir):
+    f, a, dterms = _h12(spark, sf_dir)
+    weights, idf = T.ctfidf(T.topic_term_counts(dterms))
+    docs = a.select("dataset", "commentId").join(f.comments.select("dataset", "commentId", "commentText"), ["dataset", "commentId"])
+    stop = T.frequent_words(T.doc_tokens(docs), T.MAX_DF).unionByName(T.title_stop_words(f.summary))
+    return T.reassign_by_distributions(a, docs, stop, weights, idf).select("dataset", "commentId", "topicId")
+
+
 @query("topic_similarity", "H16", f"""
 SELECT a.dataset, a.topicId AS topic_a, b.topicId AS topic_b,
        round({_cos('a.centroid', 'b.centroid')}, 6) AS similarity

@@ -84,7 +84,7 @@ def topic_model(spark: SparkSession, ctx: Context) -> None:
     stop = T.title_stop_words(summary)
     dterms = _ckpt(T.doc_terms(text, stop))
     weights, idf = T.ctfidf(T.topic_term_counts(dterms))
-    assign = _ckpt(T.reassign_by_terms(assign, T.doc_weights(dterms, idf), weights))
+    assign = _ckpt(T.reassign_by_distributions(assign, docs, stop, weights, idf))
     # Keywords of the final assignment
     dterms = _ckpt(T.doc_terms(text.drop("topicId").join(assign, ["dataset", "commentId"]), stop))
     weights, idf = T.ctfidf(T.topic_term_counts(dterms))
