@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 from itertools import pairwise
@@ -68,7 +69,8 @@ _CLEAR_AT = re.compile(r"(?i)[ \t]{1,3}(?:@|arroba|arobase)[ \t]{1,3}|[ \t]{1,3}
 _POINT = re.compile(r"(?i)[ \t]{1,3}(?:point|punto)[ \t]{1,3}")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 _NUMBER_POINT = re.compile(rf"(?<=[0-9]){_POINT.pattern[4:]}(?=[0-9])", re.I)
-_LOCAL_POINT = re.compile(rf"(?<=[A-Za-z0-9_%+-]){_POINT.pattern[4:]}(?=[A-Za-z0-9._%+-]{{1,64}}(?:{_POINT.pattern[4:]}[A-Za-z0-9._%+-]{{1,64}}){{0,8}}@)", re.I)
+# the last "point" word before a name's part that ends where it is asked for
+_LOCAL_POINT = re.compile(rf"(?<=[A-Za-z0-9_%+-])({_POINT.pattern[4:]})[A-Za-z0-9._%+-]{{1,64}}\Z", re.I)
 _DOMAIN_POINT = re.compile(rf"(?:@{_LABEL}(?:(?:\.|[ \t]{{1,3}}(?:point|punto)[ \t]{{1,3}}){_LABEL})+"
                            rf"|[ \t]at[ \t]{{1,3}}{_LABEL}(?:(?:\.|[ \t]{{1,3}}punto[ \t]{{1,3}}){_LABEL})+"
                            rf"|[ \t]at[ \t]{{1,3}}{_LABEL}(?:(?:\.|[ \t]{{1,3}}point[ \t]{{1,3}}){_LABEL})*?"
@@ -77,8 +79,10 @@ _TAIL_DOT = re.compile(r"(?i)(?:[ ,.()-]{1,4}(?:dot|point|punkt|punto))+\Z")
 _DIGIT_DOT = re.compile(r"(?i)[0-9][ \t]{0,3}(?:[\[({<][ \t]{0,3}\.|[\[({<]?[ \t]{0,3}(?:dot|punkt|punto|point)|[ \t]\.[ \t])")
 _HAS_DOT = re.compile(r"(?i)dot|punkt|punto|point|[\[({<]\s{0,3}\.\s{0,3}[\])}>]")
 _HAS_AT = re.compile(r"(?i)@|\bat\b|arroba|arobase|_at_")
+# decimal digits of all scripts
+_DECIMALS = "".join(chr(c) for c in range(0x80, sys.maxunicode + 1) if unicodedata.decimal(chr(c), None) is not None)
 _ODD = re.compile("[" + re.escape("".join(LOOK_ALIKES) + "".join(_HIDDEN) + "".join(_SIGNS))
-                  + "！-～\U0001d400-\U0001d7ff①-⑨٠-٩]")
+                  + "！-～\U0001d400-\U0001d7ff①-⑨" + _DECIMALS + "]")
 
 Span = tuple[str, int, int]
 
@@ -169,7 +173,7 @@ def homoglyphs(m: Mapped) -> Mapped:
 
 
 def spelled_digits(m: Mapped) -> Mapped:
-    """Runs of at least seven digits of which three are words: one digit string.
+    """Runs of at least four digits of which three are words: one digit string.
 
     A leading plus stays; "dot"/"point" words between digits become points. Shorter runs stay as they are.
     """
@@ -185,11 +189,30 @@ def spelled_digits(m: Mapped) -> Mapped:
     return m.rewrite(edits)
 
 
+def _local_points(t: str) -> list[tuple[int, int]]:
+    """Spans of the words "point" and "punto" between the parts of a name before an @, however many:
+    from each @ to the left, part by part."""
+    out: list[tuple[int, int]] = []
+    if not _POINT.search(t):
+        return out
+    done = 0
+    for x in re.finditer("@", t):
+        end, own = x.start(), []
+        while m := _LOCAL_POINT.search(t, max(done, end - 80), end):
+            own.append(m.span(1))
+            end = m.start(1)
+        out += own[::-1]
+        done = x.end()
+    return out
+
+
 def at_and_dot(m: Mapped) -> Mapped:
     """Bracketed, spaced and underscored at/dot disguises as @ and '.'."""
     for pattern, new in ((_BRACKET_DOT, "."), (_BRACKET_AT, "@"), (_SPACED_DOT, "."), (_CLEAR_AT, "@"), (_NUMBER_POINT, "."),
-                         (_DOMAIN_POINT, None), (_SPACED_AT, "@"), (_LOCAL_POINT, ".")):
-        if new:
+                         (_DOMAIN_POINT, None), (_SPACED_AT, "@"), (_LOCAL_POINT, "")):
+        if new == "":
+            m = m.rewrite([(x, y, ".") for x, y in _local_points(m.text)])
+        elif new:
             m = m.rewrite([(x.start(), x.end(), new) for x in pattern.finditer(m.text)])
         elif _POINT.search(m.text):
             m = m.rewrite([(y.start(), y.end(), ".") for x in pattern.finditer(m.text) for y in _POINT.finditer(m.text, x.start(), x.end())])

@@ -23,7 +23,8 @@ def crc_mod(n: int) -> F.Column:
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (warc.roundtrip(spark, table(spark, sf_dir, "pages"))
+    damaged = F.raise_error(F.concat(F.lit("damaged payload in "), "file")).cast("boolean")
+    return (warc.roundtrip(spark, table(spark, sf_dir, "pages")).filter(F.coalesce("verified", F.lit(True)) | damaged)
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 

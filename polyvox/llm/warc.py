@@ -39,7 +39,6 @@ MAX_RANGE_TASKS = 20_000
 _CHUNK = 1 << 16
 _GZ = b"\x1f\x8b\x08"
 _PLAIN = b"WARC/1."
-_MAX_HEAD = 1 << 16
 
 RECORD_SCHEMA = ("page_id long, url string, record_type string, refers_to long, "
                  "payload_digest string, payload_bytes long, verified boolean, "
@@ -180,10 +179,23 @@ def _parse_head(block: bytes) -> dict[str, str] | None:
     return out if out.get("content-length", "").isdigit() else None
 
 
+def _head_block(src: _Source, off: int) -> bytes:
+    """Bytes at ``off`` up to a header's end at least, however long the header is; nothing if no record
+    can start here. What is read doubles until it holds the end."""
+    n = _CHUNK
+    while True:
+        block = src.at(off, n)
+        if not block.startswith(_PLAIN):
+            return b""
+        if b"\r\n\r\n" in block or len(block) < n:
+            return block
+        n *= 2
+
+
 def _successor(src: _Source, off: int, gz: bool) -> int:
     """Where the record that would start at ``off`` ends; -1 if none can start there."""
     if not gz:
-        head = _parse_head(src.at(off, _MAX_HEAD))
+        head = _parse_head(_head_block(src, off))
         nxt = off + int(head[""]) + int(head["content-length"]) + 4 if head else -1
         return nxt if nxt <= src.size else -1
     first = b""
@@ -310,16 +322,17 @@ def _read_record(src: _Source, off: int, gz: bool) -> tuple[dict | None, int]:
     found = base64.b32encode(sha.digest()).decode()
     size = int(length[1]) if length else got
     return {"page_id": ident("warc-record-id"), "url": head.get("warc-target-uri") or None, "record_type": kind,
-            "refers_to": ident("warc-refers-to"), "payload_digest": digest, "payload_bytes": size,
+            "refers_to": ident("warc-refers-to"), "payload_digest": digest if kind == "revisit" else found,
+            "payload_bytes": size if kind == "revisit" else got,
             "verified": None if kind == "revisit" else digest == found and size == got, "offset": off}, nxt
 
 
 def read_archives(files: DataFrame, folder: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Every record reachable from its archive's start (RECORD_SCHEMA).
 
-    ``payload_bytes`` and ``payload_digest`` are of the full payload also for
-    revisits (from the stored HTTP header and WARC header); ``verified`` says
-    whether a response's payload has that digest and length (null: revisit).
+    ``payload_bytes`` and ``payload_digest`` of a response are those of the bytes
+    read back, and ``verified`` says whether the stored headers agree with them; a
+    revisit's are from its HTTP header and WARC header (``verified`` is null).
     Bytes after a broken record can't be reached and are left out. Empty
     archives give no rows.
     """
