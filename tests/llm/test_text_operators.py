@@ -258,7 +258,7 @@ def test_kneser_ney_sums_to_one():
     cp, off = langid._codes(words)
     g, n = np.unique(langid._grams(cp, off), return_counts=True)
     model = langid.kneser_ney(g, n)
-    for ctx in (g >> langid.BITS)[:6].tolist() + [(5 << 24) | (6 << 12) | 7]:
+    for ctx in (g >> langid.BITS)[:6].tolist() + [(5 << 2 * langid.BITS) | (6 << langid.BITS) | 7]:
         q = (ctx << langid.BITS) | np.arange(1 << langid.BITS)
         assert np.exp(model.score(q)).sum() == pytest.approx(1.0, abs=1e-6)
 
