@@ -2,33 +2,39 @@
 
 The kernel compares two strings by their common subsequences of three
 characters, each weighted by ``DECAY`` per character it spans (at most
-``SPAN``), so letters put in between or left out cost little. The strings are
-the pieces of a sentence: its words, runs of single characters taken
-together ("l o s e r"), long words in overlapping parts.
-
-Training is on labelled sentences. A clean document's sentences are clean; a
-toxic document has at least one toxic piece, its witness. Witnesses are the
-fewest pieces that explain the toxic documents: pieces much more frequent in
+``SPAN``), so letters, signs or blanks put in between or left out cost little.
+The strings are windows of a sentence: runs of one to ``WORDS`` neighbouring
+words, blanks and short words included, so that insults of several words and
+words broken up by blanks are windows too. Runs of single characters are taken
+together ("l o s e r"), long words are covered by overlapping parts.
+
+Training is on labelled sentences. A clean document's windows are clean; a
+toxic document has at least one toxic window, its witness. Witnesses are the
+fewest windows that explain the toxic documents: windows much more frequent in
 toxic documents (counted over all labelled rows that are learnt from) are
 chosen greedily by how many yet unexplained documents hold them, so what
 copies of one document share by chance is not learnt. Witnesses are also
-trained on with inserted and doubled characters. Clean pieces are frequent,
+trained on with inserted and doubled characters. Clean windows are frequent,
 random and, in further rounds, those the SVM before was least sure about.
 Landmarks are spread over both; Nystroem features (kernel values against the
 landmarks, whitened by the landmarks' own kernel) train a linear SVM. A
-text's margin is that of its most toxic piece, so a long text is not diluted,
+text's margin is that of its most toxic window, so a long text is not diluted,
 and Platt scaling turns margins into scores.
 
 As the kernel is an inner product over spanned character triples, the SVM's
-weight on the landmarks folds into one weight per triple; scoring looks up a
-piece's triples once and needs no landmark loop. The values are the same.
+weight on the landmarks folds into one weight per triple (the same values).
+The sum of a window's triple weights is then a term of where it starts plus
+one of where it ends, both read off running sums over the text, so all
+windows of a text are bounded from above by two additions each; a window whose bound
+exceeds the best margin found so far is worked out exactly, until none is left. The margin
+is the exact one.
 """
 
 from __future__ import annotations
 
 import heapq
+import sys
 import unicodedata
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
@@ -38,18 +44,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from polyvox.llm.common import hash_sample, small_parts, staged, text_id
 
 DECAY = 0.6
 SPAN = 7                 # characters that a common subsequence may span
-WIDTH = 24               # longest piece; longer words are cut into overlapping parts
+WIDTH = 24               # longest window; longer words are cut into overlapping parts
+WORDS = 4                # words of a window at most
 TOXIC_TEXTS = 5_000      # toxic texts that witnesses are chosen from (by hash, about)
-TEXT_PIECES = 64         # candidate pieces per toxic text, by lift
-TOXIC_PIECES = 800       # witnesses at most
-CLEAN_PIECES = 6_000     # frequent and random clean pieces trained on
-CLEAN_POOL = 120_000     # clean pieces (by hash, about) that hard ones are picked from
+CLEAN_PIECES = 6_000     # frequent and random clean windows trained on
+CLEAN_POOL = 120_000     # clean windows (by hash, about) that hard ones are picked from
 HARD_PIECES = 3_000
 ROUNDS = 3
 LANDMARKS = 512
@@ -60,14 +64,14 @@ MIN_ODDS = 8             # times as frequent in toxic as in clean documents
 _CLASSES = 64
 _START, _END = 61, 62
 _GAPS = [(a, b) for a, b in product(range(1, SPAN), repeat=2) if a + b < SPAN]
-_STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "¡¿«»“”„‘’…–—"
-MAX_KNOWN = 400_000
-FLOOR = -0.5             # pieces whose margin is surely below are not worked out further
+_PAD = 8                 # more than a triple reaches
+_SHORT = SPAN - 1        # windows under this are worked out exactly at once
 LABELLED_ROWS = 100_000  # labelled rows that are learnt from (by hash, about), a broadcast's bound
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _char_class(c: str) -> int:
-    """a-z 1-26, digits 27-36, other letters by their number into 37-60. Signs are 0:
+    """a-z 1-26, digits 27-36, other letters by their number into 37-60. Signs and blanks are 0:
     a subsequence passes over them like any gap, but never holds one."""
     if "a" <= c <= "z":
         return ord(c) - 96
@@ -76,50 +80,106 @@ def _char_class(c: str) -> int:
     return 37 + ord(c) % 24 if unicodedata.category(c)[0] == "L" else 0
 
 
-class _Classes(dict):
-    def __missing__(self, c: str) -> int:
-        v = self[c] = _char_class(c)
-        return v
+_TABLES: list[np.ndarray] = []
 
 
-def pieces(text: str) -> list[str]:
-    """The pieces of a text in order, lower-cased: words without outer signs, runs of
-    three or more single characters as one piece, long words in overlapping parts."""
-    out: list[str] = []
-    run: list[str] = []
-    for w in text.lower().split():
-        s = w.strip(_STRIP)
-        if len(s) == 1 and len(w) <= 3:
-            run.append(s)
-            continue
-        if run:
-            if len(run) > 2:
-                out += _parts("".join(run))
-            run = []
-        if len(s) > 2:
-            if len(s) <= WIDTH:
-                out.append(s)
-            else:
-                out += _parts(s)
-    if len(run) > 2:
-        out += _parts("".join(run))
-    return out
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Class of every code point, and which are white space; made once per process."""
+    if not _TABLES:
+        every = [chr(c) for c in range(sys.maxunicode + 1)]
+        _TABLES.append(np.fromiter(map(_char_class, every), np.uint8, len(every)))
+        _TABLES.append(np.fromiter((c.isspace() for c in every), bool, len(every)))
+    return _TABLES[0], _TABLES[1]
 
 
-def _parts(s: str) -> list[str]:
-    if len(s) <= WIDTH:
-        return [s]
-    step = WIDTH // 2
-    return list(dict.fromkeys(s[i:i + WIDTH] for i in range(0, len(s) - step, step)))
+@dataclass
+class Layout:
+    """Texts as one array of character classes with their words' spans."""
+
+    c: np.ndarray        # classes; single blanks between words, _PAD zeros at both ends
+    start: np.ndarray    # of words, outer signs left out
+    end: np.ndarray
+    text: np.ndarray     # each word's text number
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, text number) of every window."""
+        size = self.end - self.start
+        parts = [(self.start[size <= WIDTH], self.end[size <= WIDTH], self.text[size <= WIDTH])]
+        long = np.flatnonzero(size > WIDTH)
+        if len(long):
+            step = WIDTH // 2
+            n = -(-(size[long] - WIDTH) // step) + 1
+            k = np.repeat(long, n)
+            at = self.start[k] + step * (np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n))
+            parts.append((at, np.minimum(at + WIDTH, self.end[k]), self.text[k]))
+        for n in range(1, WORDS):
+            a, b = self.start[:-n], self.end[n:]
+            ok = (self.text[:-n] == self.text[n:]) & (b - a <= WIDTH)
+            parts.append((a[ok], b[ok], self.text[:-n][ok]))
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def layout(texts: list[str]) -> Layout:
+    """Lower-cased texts as classes: white space becomes one blank, blanks inside runs of single characters go."""
+    kind, blank = _tables()
+    cp = np.frombuffer("\n".join(["", *(t.lower().replace("\n", " ") for t in texts), ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    border = cp == 10
+    space = blank[cp]
+    keep = ~space | border
+    keep[1:] |= ~space[:-1]
+    cp, border, space = cp[keep], border[keep], space[keep]
+    c, owner = kind[cp].astype(np.int64), np.cumsum(border) - 1
+    c[border] = 0
+    word = np.cumsum(np.concatenate([[False], space[:-1]]) | border)  # numbers the runs between blanks
+    at = np.flatnonzero(c)
+    if not len(at):
+        none = np.zeros(0, np.int64)
+        return Layout(np.zeros(2 * _PAD, np.int64), none, none, none)
+    first = np.concatenate([[True], word[at][1:] != word[at][:-1]])
+    start, end = at[first], at[np.concatenate([first[1:], [True]])] + 1
+    text = owner[start]
+    single = end - start == 1
+    link = single[:-1] & single[1:] & (text[:-1] == text[1:]) & (start[1:] - end[:-1] <= 3)
+    if link.any():
+        gone = np.zeros(len(c), bool)
+        for d in range(3):
+            x = end[:-1][link] + d
+            gone[x[x < start[1:][link]]] = True
+        moved = np.cumsum(~gone) - 1
+        c = c[~gone]
+        led, left = np.concatenate([[False], link]), np.concatenate([link, [False]])
+        start, end, text = moved[start[~led]], moved[end[~left] - 1] + 1, text[~led]
+    return Layout(np.concatenate([np.zeros(_PAD, np.int64), c, np.zeros(_PAD, np.int64)]), start + _PAD, end + _PAD, text)
+
+
+def pieces(text: str) -> list[bytes]:
+    """The windows of a text as class strings."""
+    own = layout([text])
+    flat = own.c.astype(np.uint8).tobytes()
+    return [flat[i:j] for i, j in zip(*(x.tolist() for x in own.windows()[:2]))]
+
+
+def piece(s: str) -> bytes:
+    """A string as one window (for landmarks and tests)."""
+    own = layout([s])
+    return own.c[own.start[0]:own.end[-1]].astype(np.uint8).tobytes()[:WIDTH]
+
+
+def _cut(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Windows as rows of classes, led and ended by classes of their own: where a
+    subsequence lies at a window's edge it counts as another one than inside."""
+    n = end - start
+    cols = np.arange(WIDTH)
+    m = np.zeros((len(start), WIDTH + 2), np.int64)
+    m[:, 1:-1] = np.where(cols < n[:, None], c[np.minimum(start[:, None] + cols, len(c) - 1)], 0)
+    m[:, 0] = _START
+    m[np.arange(len(n)), n + 1] = _END
+    return m
 
 
-def _matrix(strings: list[str], classes: _Classes) -> np.ndarray:
-    """Character classes of strings, led and ended by classes of their own: where a
-    subsequence lies at a piece's edge it counts as another one than inside."""
-    m = np.zeros((len(strings), WIDTH + 2), np.int64)
-    for i, s in enumerate(strings):
-        m[i, :len(s) + 2] = [_START, *[classes[c] for c in s], _END]
-    return m
+def _matrix(windows: list[bytes]) -> np.ndarray:
+    end = np.cumsum([len(w) for w in windows])
+    return _cut(np.frombuffer(b"".join(windows) + b"\0", np.uint8).astype(np.int64), end - [len(w) for w in windows], end)
 
 
 def _triples(m: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -131,30 +191,27 @@ def _triples(m: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
         yield row, (x[row, col] * _CLASSES + y[row, col]) * _CLASSES + z[row, col], DECAY ** (a + b + 1)
 
 
-def features(strings: list[str], classes: _Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse kernel features (row, triple, value), each row of length one."""
-    m = _matrix(strings, classes)
+def features(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse kernel features (row, triple, value) of a matrix of windows, each row of length one."""
     rows, keys, vals = [], [], []
     for r, t, w in _triples(m):
         rows.append(r)
         keys.append(t)
         vals.append(np.full(len(r), w))
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     r, t, v = np.concatenate(rows), np.concatenate(keys), np.concatenate(vals)
     u, back = np.unique(r * _CLASSES ** 3 + t, return_inverse=True)
     v = np.bincount(back, v)
     r, t = u // _CLASSES ** 3, u % _CLASSES ** 3
-    norm = np.sqrt(np.bincount(r, v * v, minlength=len(strings)))
+    norm = np.sqrt(np.bincount(r, v * v, minlength=len(m)))
     return r, t, v / np.maximum(norm[r], 1e-12)
 
 
 class _Against:
-    """Kernel values of a fixed list of strings against others, one by one."""
+    """Kernel values of a fixed list of windows against others, one by one."""
 
-    def __init__(self, strings: list[str]):
-        self.n = len(strings)
-        self.r, self.t, self.v = features(strings, _Classes())
+    def __init__(self, windows: list[bytes]):
+        self.n = len(windows)
+        self.r, self.t, self.v = features(_matrix(windows))
         self.cut = np.searchsorted(self.r, np.arange(self.n + 1))
         self.dense = np.zeros(_CLASSES ** 3)
 
@@ -169,12 +226,49 @@ class _Against:
         return self.t[s], self.v[s]
 
 
-def kernel(a: list[str], b: list[str]) -> np.ndarray:
-    """Normalised gap-weighted subsequence kernel matrix between two lists of strings."""
+def kernel(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Normalised gap-weighted subsequence kernel matrix between two lists of windows."""
     left, right = _Against(a), _Against(b)
     return np.stack([left.column(*right.own(j)) for j in range(len(b))], axis=1) if b else np.zeros((len(a), 0))
 
 
+def _edges(c: np.ndarray, at: np.ndarray, ends: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+    """Per gap pattern the two other characters of the triple that a window starting (or ending) at ``at`` has
+    with its edge, the triple's number, and its weight."""
+    for a, b in _GAPS:
+        x, y = (c[at - a - b], c[at - b]) if ends else (c[at - 1 + a], c[at - 1 + a + b])
+        yield x, y, (x * _CLASSES + y) * _CLASSES + _END if ends else (_START * _CLASSES + x) * _CLASSES + y, DECAY ** (a + b + 1)
+
+
+def _ends(c: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Terms x, y, x2, y2: x[i] + y[j] is the sum of ``weight`` times DECAY over all triples of the window from
+    start i to end j, x2[i] + y2[j] that of the squared DECAY, for windows of _SHORT or more: triples that
+    start inside it, less those that reach over its end, plus those with its edges."""
+    out = []
+    for at, ends in ((start, False), (end, True)):
+        w, n2 = np.zeros(len(at)), np.zeros(len(at))
+        for x, y, key, d in _edges(c, at, ends):
+            w += weight[key] * d
+            n2 += ((x > 0) & (y > 0)) * d * d
+        out += [w, n2]
+    x, x2, y, y2 = out
+    n, full = len(c), c > 0
+    c = c.astype(np.int32)
+    pair = {a: (c[:-a] * _CLASSES + c[a:]) * _CLASSES for a in range(1, SPAN - 1)}
+    both = {a: full[:-a] & full[a:] for a in range(1, SPAN - 1)}
+    for s in range(2, SPAN):
+        m, g, k = n - s, np.zeros(n - s + 1), np.zeros(n - s + 1, np.int32)
+        for a in range(1, s):
+            g[1:] += weight[pair[a][:m] + c[s:]]
+            k[1:] += both[a][:m] & full[s:]
+        run, have = np.cumsum(g) * DECAY ** (s + 1), np.cumsum(k) * DECAY ** (2 * s + 2)  # of triples that start before each place
+        x -= run[start]
+        y += run[end - s]
+        x2 -= have[start]
+        y2 += have[end - s]
+    return x, y, x2, y2
+
+
 @dataclass
 class Model:
     """Weights of triples (the landmark expansion folded), bias and Platt scaling; fixed size."""
@@ -184,37 +278,69 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
 
-    def margins(self, strings: list[str], classes: _Classes) -> np.ndarray:
-        """SVM margins. A piece's feature norm is at least that of its triples taken as all
-        different, which bounds its margin; where that bound is under FLOOR the bound stands."""
-        out = np.empty(len(strings))
-        for lo in range(0, len(strings), 4096):
-            part = strings[lo:lo + 4096]
-            m = _matrix(part, classes)
-            raw, least = np.zeros(len(part)), np.zeros(len(part))
-            for r, t, w in _triples(m):
-                raw += np.bincount(r, self.weight[t] * w, minlength=len(part))
-                least += np.bincount(r, minlength=len(part)) * w * w
-            bound = self.bias + np.maximum(raw, 0) / np.sqrt(np.maximum(least, 1e-12))
-            some = np.flatnonzero(bound > FLOOR)
-            if len(some):
-                r, t, v = features([part[i] for i in some], classes)
-                bound[some] = self.bias + np.bincount(r, v * self.weight[t], minlength=len(some))
-            out[lo:lo + 4096] = bound
+    def exact(self, m: np.ndarray) -> np.ndarray:
+        """SVM margins of a matrix of windows."""
+        out = np.full(len(m), self.bias)
+        for lo in range(0, len(m), 2048):
+            part = m[lo:lo + 2048]
+            r, t, v = features(part)
+            out[lo:lo + 2048] += np.bincount(r, v * self.weight[t], minlength=len(part))
         return out
 
-
-def _disguised(s: str, rng: np.random.Generator) -> list[str]:
-    """The ways an insult is written around a filter: signs or letters put in, letters doubled."""
-    at = int(rng.integers(1, len(s)))
-    sign = ".*-_x"[int(rng.integers(5))]
-    return [x[:WIDTH] for x in (sign.join(s), s[:at] + sign + s[at:], s[:at] + s[at - 1] + s[at:])]
-
-
-def fit(toxic: list[str], clean: list[str], pool: list[str] = (), landmarks: int = LANDMARKS, seed: int = 5) -> Model:
-    """Linear SVM on Nystroem features of the pieces (dual coordinate descent, classes
-    weighted evenly), with further rounds on the hardest pieces of ``pool``. Without
-    pieces of both classes nothing is toxic."""
+    def margins(self, windows: list[bytes]) -> np.ndarray:
+        return self.exact(_matrix(windows)) if windows else np.zeros(0)
+
+    def text_margins(self, texts: list[str]) -> np.ndarray:
+        """The largest margin over each text's windows; the bias less one for texts without any."""
+        best = np.full(len(texts), self.bias - 1.0)
+        own = layout(texts)
+        if not len(own.start):
+            return best
+        start, end, text = own.windows()
+        size = end - start
+        bound = np.empty(len(start))
+        few = size < _SHORT
+        # short windows repeat often: each distinct one once
+        m = _cut(own.c, start[few], end[few])[:, :_SHORT + 1]
+        key = m @ (np.int64(_CLASSES) ** np.arange(_SHORT, -1, -1))
+        _, first, back = np.unique(key, return_index=True, return_inverse=True)
+        bound[few] = self.exact(m[first])[back] if len(first) else 0
+        np.maximum.at(best, text[few], bound[few])
+        i, ib = np.unique(start[~few], return_inverse=True)
+        j, jb = np.unique(end[~few], return_inverse=True)
+        if not len(i):
+            return best
+        x, y, x2, y2 = _ends(own.c, i, j, self.weight)
+        raw = x[ib] + y[jb]
+        # equal triples add up before they are squared: the norm is at least that of all taken as different
+        least = np.sqrt(np.maximum(x2[ib] + y2[jb], 1e-9))
+        # the margin of sums under 0 is at most the bias
+        high = self.bias + np.maximum(raw, 0) / least + 1e-7
+        start, end, text = start[~few], end[~few], text[~few]
+        left = np.flatnonzero(high > best[text])
+        while len(left):
+            left = left[np.lexsort((-high[left], text[left]))]
+            own_text = text[left]
+            led = np.concatenate([[0], np.flatnonzero(own_text[1:] != own_text[:-1]) + 1])
+            rank = np.arange(len(left)) - np.repeat(led, np.diff(np.append(led, len(left))))
+            now = left[rank < 4]
+            np.maximum.at(best, text[now], self.exact(_cut(own.c, start[now], end[now])))
+            left = left[rank >= 4]
+            left = left[high[left] > best[text[left]]]
+        return best
+
+
+def _disguised(s: bytes, rng: np.random.Generator) -> list[bytes]:
+    """The ways an insult is written around a filter: signs, blanks or letters put in, letters doubled."""
+    at = int(rng.integers(1, max(2, len(s))))
+    sign = b"\0" if rng.integers(5) else bytes([24])  # a sign or blank; the letter x
+    return [x[:WIDTH] for x in (sign.join(s[i:i + 1] for i in range(len(s))), s[:at] + sign + s[at:], s[:at] + s[at - 1:at] + s[at:])]
+
+
+def fit(toxic: list[bytes], clean: list[bytes], pool: list[bytes] = (), landmarks: int = LANDMARKS, seed: int = 5) -> Model:
+    """Linear SVM on Nystroem features of the windows (dual coordinate descent, classes
+    weighted evenly), with further rounds on the hardest windows of ``pool``. Without
+    windows of both classes nothing is toxic."""
     rng = np.random.default_rng(seed)
     if not toxic or not clean:
         return Model(np.zeros(_CLASSES ** 3), -1.0)
@@ -227,32 +353,42 @@ def fit(toxic: list[str], clean: list[str], pool: list[str] = (), landmarks: int
         half = landmarks // 2
         marks = list(dict.fromkeys([*(toxic[i] for i in _spread(toxic, half)), *hard[:half // 2],
                                     *(clean[i] for i in _spread(clean, half - len(hard[:half // 2])))]))
-        val, vec = np.linalg.eigh(kernel(marks, marks))
-        keep = val > 1e-6 * val.max()
-        white = vec[:, keep] / np.sqrt(val[keep])
-        w, bias = _svm(kernel(x, marks) @ white, y, rng)
-        r, t, v = features(marks, _Classes())
-        model = Model(np.bincount(t, v * (white @ w)[r], minlength=_CLASSES ** 3), bias)
+        model = _trained(x, y, marks, rng)
         if len(pool):
-            m = model.margins(list(pool), _Classes())
+            m = model.margins(list(pool))
             hard = [pool[i] for i in np.argsort(-m, kind="stable")[:HARD_PIECES] if pool[i] not in known]
             clean = list(dict.fromkeys([*clean, *hard]))
     return model
 
 
-def witnesses(held: dict[bytes, list[str]], most: int = TOXIC_PIECES, least: int = MIN_TOXIC) -> list[str]:
-    """Greedy cover: pieces by how many texts hold them that no chosen piece explains yet;
+def nystroem(x: list[bytes], marks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Whitened kernel values of ``x`` against the landmarks, and the whitening."""
+    val, vec = np.linalg.eigh(kernel(marks, marks))
+    keep = val > 1e-6 * val.max()
+    white = vec[:, keep] / np.sqrt(val[keep])
+    return kernel(x, marks) @ white, white
+
+
+def _trained(x: list[bytes], y: np.ndarray, marks: list[bytes], rng: np.random.Generator) -> Model:
+    f, white = nystroem(x, marks)
+    w, bias = _svm(f, y, rng)
+    r, t, v = features(_matrix(marks))
+    return Model(np.bincount(t, v * (white @ w)[r], minlength=_CLASSES ** 3), bias)
+
+
+def witnesses(held: dict[bytes, list[bytes]], least: int = MIN_TOXIC) -> list[bytes]:
+    """Greedy cover: windows by how many texts hold them that no chosen piece explains yet;
     then pieces held by texts that at least DIVERSE different pieces of the cover explain
     (copies of one text are all explained by one)."""
-    texts: dict[str, set[bytes]] = {}
+    texts: dict[bytes, set[bytes]] = {}
     for t, own in held.items():
         for p in own:
             texts.setdefault(p, set()).add(t)
     heap = [(-len(v), p) for p, v in texts.items()]
     heapq.heapify(heap)
     open_, out = set(held), []
-    by: dict[bytes, str] = {}
-    while heap and len(out) < most:
+    by: dict[bytes, bytes] = {}
+    while heap:
         n, p = heapq.heappop(heap)
         gain = len(texts[p] & open_)
         if gain < least:
@@ -265,10 +401,10 @@ def witnesses(held: dict[bytes, list[str]], most: int = TOXIC_PIECES, least: int
         open_ -= texts[p]
     rest = sorted((p for p in texts if p not in set(out)), key=lambda p: (-len(texts[p]), p))
     out += [p for p in rest if len({by[t] for t in texts[p] if t in by}) >= DIVERSE]
-    return out[:most]
+    return out
 
 
-def _spread(strings: list[str], n: int) -> list[int]:
+def _spread(strings: list[bytes], n: int) -> list[int]:
     """Landmarks by farthest-first choice under the kernel, from the most frequent on."""
     if len(strings) <= n:
         return list(range(len(strings)))
@@ -296,61 +432,108 @@ def _svm(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, c: float = 4.0,
     return w[:-1], float(w[-1])
 
 
-def piece_counts(docs: DataFrame) -> DataFrame:
-    """``piece, t, c``: toxic and clean texts of ``docs(text, toxic)`` that hold each piece."""
+def _hashes(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit numbers of windows: equal class strings have equal ones."""
+    def powers(base: int) -> np.ndarray:
+        out = np.full(len(c) + 1, base, np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_parts(batches):
-            toxic = b.column(0).to_numpy(zero_copy_only=False)
-            for side in (0, 1):
-                own: list[str] = []
-                for i in np.flatnonzero(toxic == side):
-                    own += set(pieces(b.column(1)[int(i)].as_py()))
-                if own:
-                    n = pd.Series(own, dtype=object).value_counts(sort=False)
-                    yield pa.RecordBatch.from_pydict({"piece": pa.array(list(n.index), pa.string()),
-                                                      "toxic": pa.array([side] * len(n), pa.int32()), "n": pa.array(n.to_numpy())})
+    base = int(_MIX)  # odd, so it has an inverse, which shifts each window to place 0
+    run = np.concatenate([[np.uint64(0)], np.cumsum((c.astype(np.uint64) + np.uint64(7)) * powers(base)[:-1], dtype=np.uint64)])
+    h = (run[end] - run[start]) * powers(pow(base, -1, 1 << 64))[start]
+    h ^= h >> np.uint64(29)
+    return (h * _MIX).view(np.int64)
 
-    return (docs.select(F.col("toxic").cast("int"), "text").mapInArrow(run, "piece string, toxic int, n long")
-            .groupBy("piece").agg(F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("c")))
 
-
-def text_pieces(docs: DataFrame) -> DataFrame:
-    """``tid, piece``: the distinct pieces of each text of ``docs(tid, text)``."""
+def _counted(rows: DataFrame, pick, schema: str) -> DataFrame:
+    """``pick(layout, start, end, text number, hash)`` over each text's distinct windows -> columns of ``schema``."""
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_parts(batches):
-            own = [list(set(pieces(t))) for t in b.column(1).to_pylist()]
-            row = np.repeat(np.arange(len(own)), [len(o) for o in own])
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array([p for o in own for p in o], pa.string())], ["tid", "piece"])
-
-    return docs.select("tid", "text").mapInArrow(run, "tid binary, piece string")
+        for b in small_parts(batches, limit=1 << 20):
+            own = layout(b.column(b.num_columns - 1).to_pylist())
+            if not len(own.start):
+                continue
+            start, end, text = own.windows()
+            h = _hashes(own.c, start, end)
+            order = np.lexsort((h, text))
+            once = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])])
+            at = order[once]
+            for columns in pick(b, own, start[at], end[at], text[at], h[at]):
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _bytes(own: Layout, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    flat = own.c.astype(np.uint8).tobytes()
+    return pa.array([flat[i:j] for i, j in zip(start.tolist(), end.tolist())], pa.binary())
+
+
+def toxic_counts(toxic: DataFrame) -> DataFrame:
+    """``h, t``: toxic texts that hold each window."""
+    def pick(b, own, start, end, text, h):
+        u, n = np.unique(h, return_counts=True)
+        yield [pa.array(u), pa.array(n)]
+    return _counted(toxic.select("text"), pick, "h long, n long").groupBy("h").agg(F.sum("n").alias("t"))
+
+
+def clean_counts(clean: DataFrame, asked, share: float) -> DataFrame:
+    """``h, piece, n``: clean texts that hold each window; of all windows those whose hash is asked for (without
+    ``piece``), and with ``piece`` single words and, by hash, a ``share`` of all windows."""
+    def pick(b, own, start, end, text, h):
+        u, first, n = np.unique(h, return_index=True, return_counts=True)
+        want = asked.value
+        hit = want[np.minimum(np.searchsorted(want, u), len(want) - 1)] == u if len(want) else np.zeros(len(u), bool)
+        yield [pa.array(u[hit]), pa.nulls(int(hit.sum()), pa.binary()), pa.array(n[hit])]
+        i, j = start[first], end[first]
+        blank = np.cumsum(np.concatenate([[0], own.c == 0]))
+        named = (blank[j] == blank[i]) | ((u.view(np.uint64) >> np.uint64(33)) < np.uint64(share * 2 ** 31))
+        yield [pa.array(u[named]), _bytes(own, i[named], j[named]), pa.array(n[named])]
+    got = _counted(clean.select("text"), pick, "h long, piece binary, n long")
+    return got.groupBy("h", "piece").agg(F.sum("n").alias("n"))
+
+
+def telling_windows(texts: DataFrame, telling) -> DataFrame:
+    """``tid, piece``: each text's windows whose hash is among ``telling``."""
+    def pick(b, own, start, end, text, h):
+        want = telling.value
+        hit = want[np.minimum(np.searchsorted(want, h), len(want) - 1)] == h if len(want) else np.zeros(len(h), bool)
+        yield [b.column(0).take(pa.array(text[hit])), _bytes(own, start[hit], end[hit])]
+    return _counted(texts.select("tid", "text"), pick, "tid binary, piece binary")
 
 
 def train(labelled: DataFrame) -> Model:
-    """Fit on ``text, toxic`` rows: document counts of pieces over all of them, witnesses of the
-    toxic ones, the SVM, and Platt scaling on about PLATT_TEXTS texts (by hash)."""
+    """Fit on ``text, toxic`` rows (about LABELLED_ROWS at most, see ``scored``): document counts of windows over all of
+    them, witnesses of the toxic ones, the SVM, and Platt scaling on about PLATT_TEXTS texts (by hash)."""
+    sc = labelled.sparkSession.sparkContext
     lab = labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
-    total = {r[0]: r[1] for r in lab.groupBy("toxic").count().collect()}
+    total = {r[0]: (r[1], r[2] or 0) for r in lab.groupBy("toxic").agg(F.count("*"), F.sum(F.length("text"))).collect()}
     if not total.get(1) or not total.get(0):
         return Model(np.zeros(_CLASSES ** 3), -1.0)
-    odds = (F.col("t") / total[1]) / ((F.col("c") + 0.5) / total[0])
-    df = staged(piece_counts(lab).withColumn("odds", odds), "toxicity-pieces")
-    telling = df.filter((F.col("t") >= MIN_TOXIC) & (F.col("odds") >= MIN_ODDS)).select(
-        "piece", (F.col("t") - F.col("c") * F.lit(total[1] / total[0])).alias("lift"))
-    few = hash_sample(lab.filter("toxic = 1"), TOXIC_TEXTS, total[1], "text").select(text_id().alias("tid"), "text").dropDuplicates(["tid"])
-    best = F.row_number().over(Window.partitionBy("tid").orderBy(F.desc("lift"), "piece"))
-    pairs = text_pieces(few).join(telling, "piece").withColumn("r", best).filter(F.col("r") <= TEXT_PIECES).select("tid", "piece")
-    held = pairs.groupBy("tid").agg(F.sort_array(F.collect_list("piece")).alias("own")).collect()
-    toxic = witnesses({bytes(r[0]): r[1] for r in sorted(held, key=lambda r: bytes(r[0]))})
-    common = df.filter((F.col("c") > 0) & (F.col("odds") < 2))
-    clean = [r[0] for r in common.orderBy(F.desc("c"), "piece").limit(CLEAN_PIECES // 2).select("piece").collect()]
+    nt, nc, letters = total[1][0], total[0][0], total[0][1]
+    toxic = staged(toxic_counts(lab.filter("toxic = 1")).filter(F.col("t") >= MIN_TOXIC), "toxic-windows")
+    # bounded by the labelled rows learnt from
+    asked = sc.broadcast(np.sort(toxic.select("h").toPandas()["h"].to_numpy(np.int64)))
+    share = min(1.0, CLEAN_POOL / max(1.0, letters * WORDS / 6))  # about WORDS windows for each six letters
+    clean = staged(clean_counts(lab.filter("toxic = 0"), asked, share), "clean-windows")
+    odds = (F.col("t") / nt) / ((F.coalesce("n", F.lit(0)) + 0.5) / nc)
+    both = toxic.join(clean.filter("piece is null").select("h", "n"), "h", "left").withColumn("odds", odds)
+    both = staged(both, "window-odds")
+    best = both.filter(F.col("odds") >= MIN_ODDS).select("h").toPandas()["h"].to_numpy(np.int64)
+    few = hash_sample(lab.filter("toxic = 1"), TOXIC_TEXTS, nt, "text").select(text_id().alias("tid"), "text").dropDuplicates(["tid"])
+    held: dict[bytes, list[bytes]] = {}
+    for r in telling_windows(few, sc.broadcast(np.sort(best))).sort("tid", "piece").collect():
+        held.setdefault(bytes(r[0]), []).append(bytes(r[1]))
+    found = witnesses(held)
+    common = clean.filter("piece is not null").join(both.filter("odds >= 2").select("h"), "h", "left_anti")
+    often = [bytes(r[0]) for r in common.orderBy(F.desc("n"), "piece").limit(CLEAN_PIECES // 2).select("piece").collect()]
     # a filter, not an ordered limit: that would send every task's best rows to the driver
-    pool = [r[0] for r in hash_sample(common, CLEAN_POOL, common.count(), "piece").select("piece").collect()]
-    pool.sort(key=lambda x: (zlib.crc32(x.encode("utf-8", "surrogatepass")), x))
-    model = fit(toxic, list(dict.fromkeys([*clean, *pool[:CLEAN_PIECES // 2]])), pool)
-    some = hash_sample(lab, PLATT_TEXTS, sum(total.values()), "text")
-    got = margins(some, model, ["toxic"]).select("toxic", "margin").toPandas()
+    some = hash_sample(common, CLEAN_POOL, common.count(), "piece").select("piece", F.xxhash64("piece").alias("o"))
+    pool = [bytes(r[0]) for r in sorted(some.collect(), key=lambda r: (r[1], bytes(r[0])))]
+    model = fit(found, list(dict.fromkeys([*often, *pool[:CLEAN_PIECES // 2]])), pool)
+    got = margins(hash_sample(lab, PLATT_TEXTS, nt + nc, "text"), model, ["toxic"]).select("toxic", "margin").toPandas()
     model.slope, model.shift = _platt(got["margin"].to_numpy(), got["toxic"].to_numpy())
     return model
 
@@ -376,31 +559,14 @@ def _platt(m: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, floa
 
 
 def margins(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns and ``margin``: that of the most toxic piece of the whole text
-    (texts without pieces get the lowest margin, the bias less one)."""
+    """``keep`` columns and ``margin``: that of the most toxic window of the whole text
+    (texts without a letter or digit get the lowest margin, the bias less one)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (docs.schema[c] for c in keep)) + ", margin double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, classes = shared.value, _Classes()
-        known: dict[str, float] = {}
-        for b in small_parts(batches):
-            own: list[str] = []
-            ends = [0]
-            for t in b.column(len(keep)).to_pylist():
-                own += pieces(t)
-                ends.append(len(own))
-            codes, uniq = pd.factorize(np.array(own, dtype=object)) if own else (np.zeros(0, np.int64), [])
-            if len(known) > MAX_KNOWN:
-                known.clear()
-            fresh = [u for u in uniq if u not in known]
-            known.update(zip(fresh, m.margins(fresh, classes).tolist(), strict=True))
-            per = np.array([known[u] for u in uniq])
-            out = np.full(b.num_rows, m.bias - 1.0)
-            n = np.diff(ends)
-            some = np.flatnonzero(n)
-            if len(some):
-                out[some] = np.maximum.reduceat(per[codes], np.array(ends)[some])
+        for b in small_parts(batches, limit=1 << 20):
+            out = shared.value.text_margins(b.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(out)], [*keep, "margin"])
 
     return docs.select(*keep, "text").mapInArrow(run, ddl)
@@ -410,14 +576,14 @@ def scored(docs: DataFrame, labels: DataFrame, training: Column, keep: list[str]
     """Per row: ``doc_id`` (or the ``keep`` columns), ``held_out, score, predicted``.
 
     ``training``, an expression of doc_id, marks ids whose labels (``labels.toxic``, 0 or 1;
-    others and nulls are ignored, of repeated labels the largest holds) may be learnt from, at
-    most LABELLED_ROWS of them. Null text
+    others and nulls are ignored, of repeated labels the largest holds) may be learnt from, about
+    LABELLED_ROWS of them at most, by hash. Null text
     is empty; texts without words get the lowest score. Rows stay one for one.
     """
     lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & F.coalesce(training, F.lit(False)))
-           .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-           .withColumn("h", F.xxhash64("doc_id")).orderBy("h").limit(LABELLED_ROWS).drop("h"))
+           .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    lab = hash_sample(lab, LABELLED_ROWS, lab.count(), "doc_id")
     base = docs.withColumn("__held", ~F.coalesce(training, F.lit(False)))
     own = base.filter(~F.col("__held")).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = train(own.join(F.broadcast(lab), "doc_id"))

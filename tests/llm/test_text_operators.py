@@ -213,28 +213,81 @@ def test_contamination_awkward(spark, awkward, nothing):
 
 # --- 6: toxicity -------------------------------------------------------------
 
-def test_triple_expansion_equals_landmark_kernel():
-    toxic, clean = ["loser", "clown", "moron"], ["river", "house", "table", "lower", "crown"]
-    model = toxicity.fit(toxic, clean, landmarks=16)
-    strings = ["loser", "l.o.s.e.r", "losser", "house", "river", "moronic"]
-    m = dict(zip(strings, model.margins(strings, toxicity._Classes()), strict=True))
-    assert min(m["loser"], m["l.o.s.e.r"], m["losser"]) > max(m["house"], m["river"])
-    k = toxicity.kernel(["loser", "l.o.s.e.r", "house"], ["loser"])[:, 0]
-    assert k[0] == pytest.approx(1.0) and k[1] > 2 * k[2]
+def windows(*strings):
+    return [toxicity.piece(x) for x in strings]
+
+
+def test_folded_weights_equal_landmark_margins():
+    toxic, clean = windows("loser", "clown", "moron", "go die", "shut up"), windows("river", "house", "table", "lower", "crown", "go home", "up to")
+    strings = windows("loser", "l.o.s.e.r", "losser", "lo ser", "house", "river", "moronic", "shut it up", "a", "anananan")
+    rng = np.random.default_rng(3)
+    y = np.array([1.0] * len(toxic) + [-1.0] * len(clean))
+    marks = toxic[:3] + clean[:5]
+    model = toxicity._trained(toxic + clean, y, marks, np.random.default_rng(3))
+    f, white = toxicity.nystroem(toxic + clean, marks)
+    w, bias = toxicity._svm(f, y, rng)
+    unfolded = toxicity.kernel(strings, marks) @ white @ w + bias
+    assert np.abs(model.margins(strings) - unfolded).max() < 1e-9
+    m = dict(zip(["loser", "dots", "double", "blank", "house", "river"], model.margins(strings)))
+    assert min(m["loser"], m["dots"], m["double"], m["blank"]) > max(m["house"], m["river"])
+    # the kernel itself, subsequence by subsequence
+    def brute(a, b):
+        def phi(x):
+            x, out = [toxicity._START, *x, toxicity._END], {}
+            for i in range(len(x)):
+                for j in range(i + 1, len(x)):
+                    for k in range(j + 1, min(len(x), i + toxicity.SPAN)):
+                        if x[i] and x[j] and x[k]:
+                            out[x[i], x[j], x[k]] = out.get((x[i], x[j], x[k]), 0) + toxicity.DECAY ** (k - i + 1)
+            return out
+        p, q = phi(a), phi(b)
+        dot = lambda u, v: sum(c * v.get(t, 0) for t, c in u.items())
+        return dot(p, q) / math.sqrt(dot(p, p) * dot(q, q))
+    k = toxicity.kernel(strings, marks)
+    assert all(k[i, j] == pytest.approx(brute(a, b)) for i, a in enumerate(strings) for j, b in enumerate(marks))
+
+
+def test_text_margin_is_the_largest_of_all_windows():
+    rng = random.Random(0)
+    words = ["".join(rng.choice("abcdefghijklmnoprstuvwz") for _ in range(rng.randrange(1, 12))) for _ in range(300)]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", "", " ", ",", "!"]) for _ in range(rng.randrange(80))) for _ in range(60)]
+    texts += ["", "...", "a", "é ü l o s e r x" * 3, "x" * 100 + " y", "anananananan ananananan", "\n\n a \t b \n"]
+    w = np.random.default_rng(1).normal(size=(64, 64, 64)) * 0.3
+    w[0] = w[:, 0] = w[:, :, 0] = 0
+    for bias in (-0.8, 0.0):
+        model = toxicity.Model(w.ravel(), bias)
+        want = [max([*model.margins(toxicity.pieces(t)), bias - 1]) for t in texts]
+        assert np.abs(model.text_margins(texts) - want).max() < 1e-9
+        assert np.abs(np.concatenate([model.text_margins([t]) for t in texts]) - want).max() < 1e-9
+
+
+def test_windows_hold_short_words_and_cross_blanks():
+    got = set(toxicity.pieces("Shut up, and go die"))
+    assert set(windows("shut", "up", "go die", "shut up, and", "up, and go")) <= got
+    assert toxicity.piece("id io t") in toxicity.pieces("you are id io t here")
+    assert toxicity.piece("loser") in toxicity.pieces("you l o s e r, no")
+    assert all(len(p) <= toxicity.WIDTH for p in toxicity.pieces("x" * 200 + " a b"))
+    h = lambda t: (lambda own: {bytes(own.c[i:j].astype(np.uint8)): x for i, j, x in zip(*own.windows()[:2], toxicity._hashes(own.c, *own.windows()[:2]))})(
+        toxicity.layout([t]))
+    one, two = h("some words go die here " * 3), h("go die, other some words")
+    assert one[toxicity.piece("go die")] == two[toxicity.piece("go die")] and len(set(one.values())) == len(one)
 
 
 def test_toxicity_learns_and_generalises(spark, nothing):
     rng = random.Random(1)
     syll = ["an", "der", "ti", "on", "re", "sh", "ea", "the", "in", "wh"]
-    insults = ["loser", "idiot", "scumbag", "moron"]
+    insults = ["loser", "idiot", "scumbag", "moron", "shut up", "go die", "kill yourself"]
+    split = {"idiot": "id io t", "scumbag": "scum ba g", "loser": "lo se r"}
     word = lambda: "".join(rng.choice(syll) for _ in range(rng.randint(1, 4)))
-    docs, labels = [], []
-    for i in range(900):
-        w = [word() for _ in range(rng.randint(5, 60))]
+    docs, labels, tricky = [], [], set()
+    for i in range(1500):
+        w = [rng.choice(["shut", "up", "go", "kill", "to"]) if rng.random() < 0.1 else word() for _ in range(rng.randint(5, 60))]
         toxic = i % 4 == 0
         if toxic:
             s = rng.choice(insults)
-            w.insert(rng.randrange(len(w)), s if zlib.crc32(str(i).encode()) % 5 else ".".join(s))
+            held = zlib.crc32(str(i).encode()) % 5 == 0
+            w.insert(rng.randrange(len(w)), (split.get(s, s) if i % 3 else ".".join(s)) if held else s)
+            tricky |= {i} if held and s not in ("idiot", "scumbag", "loser", "moron") or held and s in split and i % 3 else set()
         docs.append((i, " ".join(w)))
         labels.append((i, int(toxic)))
     docs += [(2000, None), (2001, ""), (None, "text"), (2002, "... !"), (0, docs[0][1])]
@@ -243,9 +296,11 @@ def test_toxicity_learns_and_generalises(spark, nothing):
     lab = spark.createDataFrame(labels, "doc_id long, toxic int")
     got = toxicity.scored(d, lab, queries.crc_mod(5) != 0).toPandas()
     assert len(got) == len(docs) and got.score.between(0, 1).all()
-    held = got[got.held_out & got.doc_id.between(0, 899)]
+    held = got[got.held_out & got.doc_id.between(0, 1499)]
     assert (held.held_out == held.doc_id.map(lambda x: zlib.crc32(str(int(x)).encode()) % 5 == 0)).all()
     assert ((held.doc_id % 4 == 0) == (held.predicted == 1)).mean() > 0.97
+    hard = held[held.doc_id.isin(tricky)]  # several words, or one broken up by blanks
+    assert len(hard) > 30 and (hard.predicted == 1).mean() > 0.9
     assert (got[got.doc_id.isin([2000, 2001, 2002])].predicted == 0).all()
     assert toxicity.scored(nothing, lab, queries.crc_mod(5) != 0).count() == 0
     assert (toxicity.scored(d, lab.filter("1 = 0"), queries.crc_mod(5) != 0).toPandas().predicted == 0).all()
