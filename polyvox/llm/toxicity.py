@@ -23,11 +23,10 @@ and Platt scaling turns margins into scores.
 
 As the kernel is an inner product over spanned character triples, the SVM's
 weight on the landmarks folds into one weight per triple (the same values).
-The sum of a window's triple weights is then a term of where it starts plus
-one of where it ends, both read off running sums over the text, so all
-windows of a text are bounded from above by two additions each; a window whose bound
-exceeds the best margin found so far is worked out exactly, until none is left. The margin
-is the exact one.
+A window's subsequences are scaled by the root of the sum of their squared weights, each
+occurrence for itself. So both a window's triple weights and its scale are a
+term of where it starts plus one of where it ends, read off running sums over
+the text, and the exact margins of all its windows cost a few additions each.
 """
 
 from __future__ import annotations
@@ -192,18 +191,18 @@ def _triples(m: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
 
 
 def features(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse kernel features (row, triple, value) of a matrix of windows, each row of length one."""
+    """Sparse kernel features (row, triple, value) of a matrix of windows, scaled by the root of the sum of
+    squared weights of all occurrences (a row without repeated triples has length one)."""
     rows, keys, vals = [], [], []
     for r, t, w in _triples(m):
         rows.append(r)
         keys.append(t)
         vals.append(np.full(len(r), w))
     r, t, v = np.concatenate(rows), np.concatenate(keys), np.concatenate(vals)
+    norm = np.sqrt(np.bincount(r, v * v, minlength=len(m)))
     u, back = np.unique(r * _CLASSES ** 3 + t, return_inverse=True)
-    v = np.bincount(back, v)
     r, t = u // _CLASSES ** 3, u % _CLASSES ** 3
-    norm = np.sqrt(np.bincount(r, v * v, minlength=len(m)))
-    return r, t, v / np.maximum(norm[r], 1e-12)
+    return r, t, np.bincount(back, v) / np.maximum(norm[r], 1e-12)
 
 
 class _Against:
@@ -227,7 +226,7 @@ class _Against:
 
 
 def kernel(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """Normalised gap-weighted subsequence kernel matrix between two lists of windows."""
+    """Scaled gap-weighted subsequence kernel matrix between two lists of windows."""
     left, right = _Against(a), _Against(b)
     return np.stack([left.column(*right.own(j)) for j in range(len(b))], axis=1) if b else np.zeros((len(a), 0))
 
@@ -298,35 +297,18 @@ class Model:
             return best
         start, end, text = own.windows()
         size = end - start
-        bound = np.empty(len(start))
         few = size < _SHORT
         # short windows repeat often: each distinct one once
         m = _cut(own.c, start[few], end[few])[:, :_SHORT + 1]
         key = m @ (np.int64(_CLASSES) ** np.arange(_SHORT, -1, -1))
         _, first, back = np.unique(key, return_index=True, return_inverse=True)
-        bound[few] = self.exact(m[first])[back] if len(first) else 0
-        np.maximum.at(best, text[few], bound[few])
+        if len(first):
+            np.maximum.at(best, text[few], self.exact(m[first])[back])
         i, ib = np.unique(start[~few], return_inverse=True)
         j, jb = np.unique(end[~few], return_inverse=True)
-        if not len(i):
-            return best
-        x, y, x2, y2 = _ends(own.c, i, j, self.weight)
-        raw = x[ib] + y[jb]
-        # equal triples add up before they are squared: the norm is at least that of all taken as different
-        least = np.sqrt(np.maximum(x2[ib] + y2[jb], 1e-9))
-        # the margin of sums under 0 is at most the bias
-        high = self.bias + np.maximum(raw, 0) / least + 1e-7
-        start, end, text = start[~few], end[~few], text[~few]
-        left = np.flatnonzero(high > best[text])
-        while len(left):
-            left = left[np.lexsort((-high[left], text[left]))]
-            own_text = text[left]
-            led = np.concatenate([[0], np.flatnonzero(own_text[1:] != own_text[:-1]) + 1])
-            rank = np.arange(len(left)) - np.repeat(led, np.diff(np.append(led, len(left))))
-            now = left[rank < 4]
-            np.maximum.at(best, text[now], self.exact(_cut(own.c, start[now], end[now])))
-            left = left[rank >= 4]
-            left = left[high[left] > best[text[left]]]
+        if len(i):
+            x, y, x2, y2 = _ends(own.c, i, j, self.weight)
+            np.maximum.at(best, text[~few], self.bias + (x[ib] + y[jb]) / np.sqrt(np.maximum(x2[ib] + y2[jb], 1e-9)))
         return best
 
 

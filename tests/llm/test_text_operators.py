@@ -233,16 +233,16 @@ def test_folded_weights_equal_landmark_margins():
     # the kernel itself, subsequence by subsequence
     def brute(a, b):
         def phi(x):
-            x, out = [toxicity._START, *x, toxicity._END], {}
+            x, out, norm = [toxicity._START, *x, toxicity._END], {}, 0
             for i in range(len(x)):
                 for j in range(i + 1, len(x)):
                     for k in range(j + 1, min(len(x), i + toxicity.SPAN)):
                         if x[i] and x[j] and x[k]:
                             out[x[i], x[j], x[k]] = out.get((x[i], x[j], x[k]), 0) + toxicity.DECAY ** (k - i + 1)
-            return out
-        p, q = phi(a), phi(b)
-        dot = lambda u, v: sum(c * v.get(t, 0) for t, c in u.items())
-        return dot(p, q) / math.sqrt(dot(p, p) * dot(q, q))
+                            norm += toxicity.DECAY ** (2 * (k - i + 1))
+            return out, norm
+        (p, n), (q, m) = phi(a), phi(b)
+        return sum(c * q.get(t, 0) for t, c in p.items()) / math.sqrt(n * m)
     k = toxicity.kernel(strings, marks)
     assert all(k[i, j] == pytest.approx(brute(a, b)) for i, a in enumerate(strings) for j, b in enumerate(marks))
 
