@@ -67,6 +67,7 @@ _PAD = 8                 # more than a triple reaches
 _SHORT = SPAN - 1        # windows under this are worked out exactly at once
 LABELLED_ROWS = 100_000  # labelled rows that are learnt from (by hash, about), a broadcast's bound
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_MARKS = 24              # a set of hashes is sent to tasks as 2^24 marks (2 MB), however many they are
 
 
 def _char_class(c: str) -> int:
@@ -453,6 +454,22 @@ def _bytes(own: Layout, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.array([flat[i:j] for i, j in zip(start.tolist(), end.tolist())], pa.binary())
 
 
+def marks(hashes: DataFrame) -> np.ndarray:
+    """A bit for the lowest _MARKS bits of every ``h``: of fixed size, with some hits by chance, which a join on
+    ``h`` removes."""
+    low = F.pmod("h", F.lit(1 << _MARKS))
+    words = (hashes.select(F.shiftright(low, 5).cast("int").alias("i"), F.expr("shiftleft(1L, cast(pmod(h, 32) as int))").alias("b"))
+             .groupBy("i").agg(F.bit_or("b").alias("b"))).toPandas()
+    out = np.zeros(1 << _MARKS - 5, np.uint32)
+    out[words["i"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def _marked(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    low = h & ((1 << _MARKS) - 1)
+    return (table[low >> 5] >> (low & 31).astype(np.uint32) & 1).astype(bool)
+
+
 def toxic_counts(toxic: DataFrame) -> DataFrame:
     """``h, t``: toxic texts that hold each window."""
     def pick(b, own, start, end, text, h):
@@ -462,12 +479,11 @@ def toxic_counts(toxic: DataFrame) -> DataFrame:
 
 
 def clean_counts(clean: DataFrame, asked, share: float) -> DataFrame:
-    """``h, piece, n``: clean texts that hold each window; of all windows those whose hash is asked for (without
+    """``h, piece, n``: clean texts that hold each window; of all windows those whose hash is marked (without
     ``piece``), and with ``piece`` single words and, by hash, a ``share`` of all windows."""
     def pick(b, own, start, end, text, h):
         u, first, n = np.unique(h, return_index=True, return_counts=True)
-        want = asked.value
-        hit = want[np.minimum(np.searchsorted(want, u), len(want) - 1)] == u if len(want) else np.zeros(len(u), bool)
+        hit = _marked(asked.value, u)
         yield [pa.array(u[hit]), pa.nulls(int(hit.sum()), pa.binary()), pa.array(n[hit])]
         i, j = start[first], end[first]
         blank = np.cumsum(np.concatenate([[0], own.c == 0]))
@@ -477,13 +493,20 @@ def clean_counts(clean: DataFrame, asked, share: float) -> DataFrame:
     return got.groupBy("h", "piece").agg(F.sum("n").alias("n"))
 
 
-def telling_windows(texts: DataFrame, telling) -> DataFrame:
-    """``tid, piece``: each text's windows whose hash is among ``telling``."""
+def telling_windows(texts: DataFrame, telling: DataFrame) -> DataFrame:
+    """``tid, piece``: each text's windows among ``telling(h)`` that MIN_TOXIC texts hold. Of windows that the same
+    texts hold (those of copies, or what always stands around an insult) the shortest stands for all."""
+    table = texts.sparkSession.sparkContext.broadcast(marks(telling))
+
     def pick(b, own, start, end, text, h):
-        want = telling.value
-        hit = want[np.minimum(np.searchsorted(want, h), len(want) - 1)] == h if len(want) else np.zeros(len(h), bool)
-        yield [b.column(0).take(pa.array(text[hit])), _bytes(own, start[hit], end[hit])]
-    return _counted(texts.select("tid", "text"), pick, "tid binary, piece binary")
+        hit = _marked(table.value, h)
+        yield [b.column(0).take(pa.array(text[hit])), pa.array(h[hit]), _bytes(own, start[hit], end[hit])]
+
+    held = staged(_counted(texts.select("tid", "text"), pick, "tid binary, h long, piece binary").join(telling.select("h"), "h", "left_semi"), "held")
+    sets = held.groupBy("piece").agg(F.bit_xor(F.xxhash64("tid")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "tid")).alias("y"), F.count("*").alias("n"))
+    first = (sets.filter(F.col("n") >= MIN_TOXIC).groupBy("x", "y", "n")
+             .agg(F.min(F.struct(F.length("piece").alias("l"), F.col("piece"))).alias("p")).select("p.piece"))
+    return held.join(first, "piece", "left_semi").select("tid", "piece")
 
 
 def train(labelled: DataFrame) -> Model:
@@ -496,17 +519,15 @@ def train(labelled: DataFrame) -> Model:
         return Model(np.zeros(_CLASSES ** 3), -1.0)
     nt, nc, letters = total[1][0], total[0][0], total[0][1]
     toxic = staged(toxic_counts(lab.filter("toxic = 1")).filter(F.col("t") >= MIN_TOXIC), "toxic-windows")
-    # bounded by the labelled rows learnt from
-    asked = sc.broadcast(np.sort(toxic.select("h").toPandas()["h"].to_numpy(np.int64)))
+    asked = sc.broadcast(marks(toxic))
     share = min(1.0, CLEAN_POOL / max(1.0, letters * WORDS / 6))  # about WORDS windows for each six letters
     clean = staged(clean_counts(lab.filter("toxic = 0"), asked, share), "clean-windows")
     odds = (F.col("t") / nt) / ((F.coalesce("n", F.lit(0)) + 0.5) / nc)
     both = toxic.join(clean.filter("piece is null").select("h", "n"), "h", "left").withColumn("odds", odds)
     both = staged(both, "window-odds")
-    best = both.filter(F.col("odds") >= MIN_ODDS).select("h").toPandas()["h"].to_numpy(np.int64)
     few = hash_sample(lab.filter("toxic = 1"), TOXIC_TEXTS, nt, "text").select(text_id().alias("tid"), "text").dropDuplicates(["tid"])
     held: dict[bytes, list[bytes]] = {}
-    for r in telling_windows(few, sc.broadcast(np.sort(best))).sort("tid", "piece").collect():
+    for r in sorted(telling_windows(few, both.filter(F.col("odds") >= MIN_ODDS)).collect(), key=lambda r: (bytes(r[0]), bytes(r[1]))):
         held.setdefault(bytes(r[0]), []).append(bytes(r[1]))
     found = witnesses(held)
     common = clean.filter("piece is not null").join(both.filter("odds >= 2").select("h"), "h", "left_anti")
