@@ -65,6 +65,7 @@ _START, _END = 61, 62
 _GAPS = [(a, b) for a, b in product(range(1, SPAN), repeat=2) if a + b < SPAN]
 _PAD = 8                 # more than a triple reaches
 _SHORT = SPAN - 1        # windows under this are worked out exactly at once
+PART_BYTES = 1 << 16     # of text worked on at once: its arrays stay in a core's cache
 LABELLED_ROWS = 100_000  # labelled rows that are learnt from (by hash, about), a broadcast's bound
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MARKS = 24              # a set of hashes is sent to tasks as 2^24 marks (2 MB), however many they are
@@ -101,22 +102,24 @@ class Layout:
     end: np.ndarray
     text: np.ndarray     # each word's text number
 
+    def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, word number) of the overlapping parts of words longer than WIDTH."""
+        size = self.end - self.start
+        long, step = np.flatnonzero(size > WIDTH), WIDTH // 2
+        n = -(-(size[long] - WIDTH) // step) + 1
+        k = np.repeat(long, n)
+        at = self.start[k] + step * (np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n))
+        return at, np.minimum(at + WIDTH, self.end[k]), k
+
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, text number) of every window."""
-        size = self.end - self.start
-        parts = [(self.start[size <= WIDTH], self.end[size <= WIDTH], self.text[size <= WIDTH])]
-        long = np.flatnonzero(size > WIDTH)
-        if len(long):
-            step = WIDTH // 2
-            n = -(-(size[long] - WIDTH) // step) + 1
-            k = np.repeat(long, n)
-            at = self.start[k] + step * (np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n))
-            parts.append((at, np.minimum(at + WIDTH, self.end[k]), self.text[k]))
-        for n in range(1, WORDS):
-            a, b = self.start[:-n], self.end[n:]
-            ok = (self.text[:-n] == self.text[n:]) & (b - a <= WIDTH)
-            parts.append((a[ok], b[ok], self.text[:-n][ok]))
-        return tuple(np.concatenate(x) for x in zip(*parts))
+        at, to, k = self.parts()
+        found = [(at, to, self.text[k])]
+        for n in range(min(WORDS, len(self.start))):
+            i, j = self.start[:len(self.start) - n], self.end[n:]
+            ok = (self.text[:len(self.start) - n] == self.text[n:]) & (j - i <= WIDTH)
+            found.append((i[ok], j[ok], self.text[n:][ok]))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def layout(texts: list[str]) -> Layout:
@@ -256,12 +259,15 @@ def _ends(c: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray)
     c = c.astype(np.int32)
     pair = {a: (c[:-a] * _CLASSES + c[a:]) * _CLASSES for a in range(1, SPAN - 1)}
     both = {a: full[:-a] & full[a:] for a in range(1, SPAN - 1)}
+    run, have = np.zeros(n), np.zeros(n)
     for s in range(2, SPAN):
-        m, g, k = n - s, np.zeros(n - s + 1), np.zeros(n - s + 1, np.int32)
+        m = n - s
+        g, k = np.zeros(m), np.zeros(m, np.int8)
         for a in range(1, s):
-            g[1:] += weight[pair[a][:m] + c[s:]]
-            k[1:] += both[a][:m] & full[s:]
-        run, have = np.cumsum(g) * DECAY ** (s + 1), np.cumsum(k) * DECAY ** (2 * s + 2)  # of triples that start before each place
+            g += weight.take(pair[a][:m] + c[s:])
+            k += both[a][:m] & full[s:]
+        np.cumsum(g * DECAY ** (s + 1), out=run[1:m + 1])  # of triples that start before each place
+        np.cumsum(k * DECAY ** (2 * s + 2), out=have[1:m + 1])
         x -= run[start]
         y += run[end - s]
         x2 -= have[start]
@@ -292,25 +298,34 @@ class Model:
 
     def text_margins(self, texts: list[str]) -> np.ndarray:
         """The largest margin over each text's windows; the bias less one for texts without any."""
-        best = np.full(len(texts), self.bias - 1.0)
+        out = np.full(len(texts), self.bias - 1.0)
         own = layout(texts)
-        if not len(own.start):
-            return best
-        start, end, text = own.windows()
-        size = end - start
-        few = size < _SHORT
+        n = len(own.start)
+        if not n:
+            return out
+        long = own.parts()
+        x, y, x2, y2 = _ends(own.c, np.concatenate([own.start, long[0]]), np.concatenate([own.end, long[1]]), self.weight)
+        margin = lambda i, j: self.bias + (x[i] + y[j]) / np.sqrt(np.maximum(x2[i] + y2[j], 1e-9))
+        best, few = np.full(n, -np.inf), []  # of the windows that start at each word
+        for more in range(min(WORDS, n)):
+            i, j = slice(0, n - more), slice(more, n)
+            size = own.end[j] - own.start[i]
+            fits = (size <= WIDTH) & (own.text[i] == own.text[j])
+            np.maximum(best[i], np.where(fits & (size >= _SHORT), margin(i, j), -np.inf), out=best[i])
+            k = np.flatnonzero(fits & (size < _SHORT))
+            few.append((k, own.start[k], size[k]))
+        if len(long[0]):
+            np.maximum.at(best, long[2], margin(slice(n, None), slice(n, None)))
         # short windows repeat often: each distinct one once
-        m = _cut(own.c, start[few], end[few])[:, :_SHORT + 1]
-        key = m @ (np.int64(_CLASSES) ** np.arange(_SHORT, -1, -1))
+        word, at, size = (np.concatenate(v) for v in zip(*few))
+        col = np.arange(_SHORT - 1)
+        key = np.where(col < size[:, None], own.c[at[:, None] + col], 0) @ (np.int64(_CLASSES) ** col) * _SHORT + size
         _, first, back = np.unique(key, return_index=True, return_inverse=True)
         if len(first):
-            np.maximum.at(best, text[few], self.exact(m[first])[back])
-        i, ib = np.unique(start[~few], return_inverse=True)
-        j, jb = np.unique(end[~few], return_inverse=True)
-        if len(i):
-            x, y, x2, y2 = _ends(own.c, i, j, self.weight)
-            np.maximum.at(best, text[~few], self.bias + (x[ib] + y[jb]) / np.sqrt(np.maximum(x2[ib] + y2[jb], 1e-9)))
-        return best
+            np.maximum.at(best, word, self.exact(_cut(own.c, at[first], at[first] + size[first])[:, :_SHORT + 1])[back])
+        led = np.concatenate([[0], np.flatnonzero(own.text[1:] != own.text[:-1]) + 1])
+        out[own.text[led]] = np.maximum.reduceat(best, led)
+        return out
 
 
 def _disguised(s: bytes, rng: np.random.Generator) -> list[bytes]:
@@ -568,7 +583,7 @@ def margins(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (docs.schema[c] for c in keep)) + ", margin double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_parts(batches, limit=1 << 20):
+        for b in small_parts(batches, limit=PART_BYTES):
             out = shared.value.text_margins(b.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(out)], [*keep, "margin"])
 
