@@ -11,7 +11,8 @@ together ("l o s e r"), long words are covered by overlapping parts.
 Training is on labelled sentences. A clean document's windows are clean; a
 toxic document has at least one toxic window, its witness. Witnesses are the
 fewest windows that explain the toxic documents: windows much more frequent in
-toxic documents (counted over all labelled rows that are learnt from) are
+toxic documents, beyond what as many windows show by chance (counted over all
+labelled rows that are learnt from), are
 chosen greedily by how many yet unexplained documents hold them, so what
 copies of one document share by chance is not learnt. Witnesses are also
 trained on with inserted and doubled characters. Clean windows are frequent,
@@ -34,7 +35,7 @@ from __future__ import annotations
 import heapq
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import product
 
@@ -52,7 +53,8 @@ WIDTH = 24               # longest window; longer words are cut into overlapping
 WORDS = 4                # words of a window at most
 TOXIC_TEXTS = 5_000      # toxic texts that witnesses are chosen from (by hash, about)
 CLEAN_PIECES = 6_000     # frequent and random clean windows trained on
-CLEAN_POOL = 120_000     # clean windows (by hash, about) that hard ones are picked from
+CLEAN_POOL = 120_000     # clean windows (by hash, about) that random ones are picked from
+CLEAN_TEXTS = 8_000      # clean texts (by hash, about) that hard windows are searched in
 HARD_PIECES = 3_000
 ROUNDS = 3
 LANDMARKS = 512
@@ -214,7 +216,11 @@ class _Against:
 
     def __init__(self, windows: list[bytes]):
         self.n = len(windows)
-        self.r, self.t, self.v = features(_matrix(windows))
+        # chunk by chunk: the sort behind the features needs many times their room
+        got = [(lo, *features(_matrix(windows[lo:lo + 1024]))) for lo in range(0, self.n, 1024)]
+        self.r = np.concatenate([r.astype(np.int32) + lo for lo, r, _, _ in got] or [np.zeros(0, np.int32)])
+        self.t = np.concatenate([t.astype(np.int32) for _, _, t, _ in got] or [np.zeros(0, np.int32)])
+        self.v = np.concatenate([v for *_, v in got] or [np.zeros(0)])
         self.cut = np.searchsorted(self.r, np.arange(self.n + 1))
         self.dense = np.zeros(_CLASSES ** 3)
 
@@ -296,6 +302,29 @@ class Model:
     def margins(self, windows: list[bytes]) -> np.ndarray:
         return self.exact(_matrix(windows)) if windows else np.zeros(0)
 
+    def top_windows(self, texts: list[str], most: int) -> list[tuple[bytes, float]]:
+        """The ``most`` different windows of largest margin of each text, with their margins."""
+        own = layout(texts)
+        if not len(own.start):
+            return []
+        start, end, text = own.windows()
+        i, ib = np.unique(start, return_inverse=True)
+        j, jb = np.unique(end, return_inverse=True)
+        x, y, x2, y2 = _ends(own.c, i, j, self.weight)
+        got = self.bias + (x[ib] + y[jb]) / np.sqrt(np.maximum(x2[ib] + y2[jb], 1e-9))
+        few = np.flatnonzero(end - start < _SHORT)
+        h = _hashes(own.c, start, end)
+        _, first, back = np.unique(h[few], return_index=True, return_inverse=True)
+        if len(first):
+            got[few] = self.exact(_cut(own.c, start[few[first]], end[few[first]]))[back]
+        order = np.lexsort((h, text))
+        order = order[np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])])]
+        order = order[np.lexsort((-got[order], text[order]))]
+        led = np.concatenate([[0], np.flatnonzero(text[order][1:] != text[order][:-1]) + 1])
+        order = order[np.arange(len(order)) - np.repeat(led, np.diff(np.append(led, len(order)))) < most]
+        flat = own.c.astype(np.uint8).tobytes()
+        return [(flat[start[k]:end[k]], float(got[k])) for k in order]
+
     def text_margins(self, texts: list[str]) -> np.ndarray:
         """The largest margin over each text's windows; the bias less one for texts without any."""
         out = np.full(len(texts), self.bias - 1.0)
@@ -335,26 +364,26 @@ def _disguised(s: bytes, rng: np.random.Generator) -> list[bytes]:
     return [x[:WIDTH] for x in (sign.join(s[i:i + 1] for i in range(len(s))), s[:at] + sign + s[at:], s[:at] + s[at - 1:at] + s[at:])]
 
 
-def fit(toxic: list[bytes], clean: list[bytes], pool: list[bytes] = (), landmarks: int = LANDMARKS, seed: int = 5) -> Model:
+def fit(toxic: list[bytes], clean: list[bytes], mine: Callable[[Model], list[bytes]] | None = None, landmarks: int = LANDMARKS,
+        seed: int = 5) -> Model:
     """Linear SVM on Nystroem features of the windows (dual coordinate descent, classes
-    weighted evenly), with further rounds on the hardest windows of ``pool``. Without
-    windows of both classes nothing is toxic."""
+    weighted evenly), with further rounds on what ``mine`` finds hardest under the model
+    so far. Without windows of both classes nothing is toxic."""
     rng = np.random.default_rng(seed)
     if not toxic or not clean:
         return Model(np.zeros(_CLASSES ** 3), -1.0)
     known, hard = set(toxic), []
     more = [d for s in toxic for d in _disguised(s, rng)]
     model = None
-    for _ in range(ROUNDS if len(pool) else 1):
+    for left in reversed(range(ROUNDS if mine else 1)):
         x = [*toxic, *more, *clean]
         y = np.concatenate([np.ones(len(toxic) + len(more)), -np.ones(len(clean))])
         half = landmarks // 2
         marks = list(dict.fromkeys([*(toxic[i] for i in _spread(toxic, half)), *hard[:half // 2],
                                     *(clean[i] for i in _spread(clean, half - len(hard[:half // 2])))]))
         model = _trained(x, y, marks, rng)
-        if len(pool):
-            m = model.margins(list(pool))
-            hard = [pool[i] for i in np.argsort(-m, kind="stable")[:HARD_PIECES] if pool[i] not in known]
+        if left:
+            hard = [w for w in mine(model) if w not in known]
             clean = list(dict.fromkeys([*clean, *hard]))
     return model
 
@@ -524,6 +553,22 @@ def telling_windows(texts: DataFrame, telling: DataFrame) -> DataFrame:
     return held.join(first, "piece", "left_semi").select("tid", "piece")
 
 
+def hardest(clean: DataFrame, model: Model) -> list[bytes]:
+    """The HARD_PIECES windows of clean texts with the largest margins: of each text's three best, so that
+    what fools the model anywhere is found, not only what is frequent."""
+    shared = clean.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_parts(batches, limit=PART_BYTES):
+            top = shared.value.top_windows(b.column(0).to_pylist(), 3)
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.binary()), pa.array([m for _, m in top], pa.float64())], ["piece", "m"])
+
+    found = clean.select("text").mapInArrow(run, "piece binary, m double").groupBy("piece").agg(F.max("m").alias("m"))
+    got = found.orderBy(F.desc("m"), "piece").limit(HARD_PIECES).select("piece").toPandas()["piece"]
+    shared.unpersist()
+    return [bytes(w) for w in got]
+
+
 def train(labelled: DataFrame) -> Model:
     """Fit on ``text, toxic`` rows (about LABELLED_ROWS at most, see ``scored``): document counts of windows over all of
     them, witnesses of the toxic ones, the SVM, and Platt scaling on about PLATT_TEXTS texts (by hash)."""
@@ -539,18 +584,22 @@ def train(labelled: DataFrame) -> Model:
     clean = staged(clean_counts(lab.filter("toxic = 0"), asked, share), "clean-windows")
     odds = (F.col("t") / nt) / ((F.coalesce("n", F.lit(0)) + 0.5) / nc)
     both = toxic.join(clean.filter("piece is null").select("h", "n"), "h", "left").withColumn("odds", odds)
-    both = staged(both, "window-odds")
+    # how surprising a window's counts are if labels fell by chance; of as many windows as there are some surprise by log(windows)
+    share, held_by = nt / (nt + nc), F.col("t") + F.coalesce("n", F.lit(0))
+    clean_part = F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / held_by / (1 - share))).otherwise(0.0)
+    both = staged(both.withColumn("surprise", F.col("t") * F.log(F.col("t") / held_by / share) + clean_part), "window-odds")
+    tells = (F.col("odds") >= MIN_ODDS) & (F.col("surprise") >= float(np.log(max(2, toxic.count()))))
     few = hash_sample(lab.filter("toxic = 1"), TOXIC_TEXTS, nt, "text").select(text_id().alias("tid"), "text").dropDuplicates(["tid"])
     held: dict[bytes, list[bytes]] = {}
-    for r in sorted(telling_windows(few, both.filter(F.col("odds") >= MIN_ODDS)).collect(), key=lambda r: (bytes(r[0]), bytes(r[1]))):
+    for r in sorted(telling_windows(few, both.filter(tells)).collect(), key=lambda r: (bytes(r[0]), bytes(r[1]))):
         held.setdefault(bytes(r[0]), []).append(bytes(r[1]))
     found = witnesses(held)
     common = clean.filter("piece is not null").join(both.filter("odds >= 2").select("h"), "h", "left_anti")
     often = [bytes(r[0]) for r in common.orderBy(F.desc("n"), "piece").limit(CLEAN_PIECES // 2).select("piece").collect()]
     # a filter, not an ordered limit: that would send every task's best rows to the driver
-    some = hash_sample(common, CLEAN_POOL, common.count(), "piece").select("piece", F.xxhash64("piece").alias("o"))
-    pool = [bytes(r[0]) for r in sorted(some.collect(), key=lambda r: (r[1], bytes(r[0])))]
-    model = fit(found, list(dict.fromkeys([*often, *pool[:CLEAN_PIECES // 2]])), pool)
+    some = hash_sample(common, CLEAN_PIECES // 2, common.count(), "piece").select("piece").toPandas()["piece"]
+    texts = staged(hash_sample(lab.filter("toxic = 0"), CLEAN_TEXTS, nc, "text").select("text"), "clean-texts")
+    model = fit(found, list(dict.fromkeys([*often, *sorted(map(bytes, some))])), lambda m: hardest(texts, m))
     got = margins(hash_sample(lab, PLATT_TEXTS, nt + nc, "text"), model, ["toxic"]).select("toxic", "margin").toPandas()
     model.slope, model.shift = _platt(got["margin"].to_numpy(), got["toxic"].to_numpy())
     return model
