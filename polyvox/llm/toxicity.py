@@ -478,7 +478,7 @@ def _counted(rows: DataFrame, pick, schema: str) -> DataFrame:
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_parts(batches, limit=1 << 20):
+        for b in small_parts(batches, limit=4 * PART_BYTES):
             own = layout(b.column(b.num_columns - 1).to_pylist())
             if not len(own.start):
                 continue
@@ -489,6 +489,7 @@ def _counted(rows: DataFrame, pick, schema: str) -> DataFrame:
             at = order[once]
             for columns in pick(b, own, start[at], end[at], text[at], h[at]):
                 yield pa.RecordBatch.from_arrays(columns, names)
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema)
 
