@@ -49,13 +49,27 @@ def _read(spark, ctx, name):
     return io.read_table(spark, ctx.data_root, name, datasets=ctx.datasets)
 
 
+def _write(spark, ctx, df, name, worked=None, add=False):
+    """One commit (A6, G1): replaces what ``worked`` (by default every ingested dataset of the run) had in the
+    table, or adds. ``options["run"]`` names the run; repeating a run leaves its committed tables as they are."""
+    run = f"{ctx.options['run']}-{name}" if ctx.options.get("run") else None
+    if add:
+        return io.append_table(df, ctx.data_root, name, run=run)
+    worked = _read(spark, ctx, "summary").select("dataset").distinct() if worked is None else worked
+    return io.write_table(df, ctx.data_root, name, worked, run)
+
+
+def _raw(spark, ctx, name):
+    return spark.createDataFrame([(d,) for d in io.raw_datasets(spark, ctx.raw_root, name, ctx.datasets)], "dataset string")
+
+
 def ingest(spark: SparkSession, ctx: Context) -> None:
     """Summary + comments (A1, A2, A3, A11) + embeddings (H1) + votes (A4)."""
-    io.write_table(io.read_summary(spark, ctx.raw_root, ctx.datasets), ctx.data_root, "summary")
+    _write(spark, ctx, io.read_summary(spark, ctx.raw_root, ctx.datasets), "summary", _raw(spark, ctx, "summary"))
     comments = _ckpt(io.load_comments(spark, ctx.data_root, ctx.raw_root, ctx.datasets))
     emb = EM.hash_embeddings(comments).select("dataset", "commentId", "embedding")
-    io.write_table(comments.join(emb, ["dataset", "commentId"], "left"), ctx.data_root, "comments")
-    io.write_table(io.read_votes(spark, ctx.raw_root, ctx.datasets), ctx.data_root, "votes")
+    _write(spark, ctx, comments.join(emb, ["dataset", "commentId"], "left"), "comments", _raw(spark, ctx, "comments"))
+    _write(spark, ctx, io.read_votes(spark, ctx.raw_root, ctx.datasets), "votes", _raw(spark, ctx, "votes"))
 
 
 def moderate(spark: SparkSession, ctx: Context) -> None:
@@ -63,7 +77,7 @@ def moderate(spark: SparkSession, ctx: Context) -> None:
     comments = _read(spark, ctx, "comments")
     grid = MO.config_table(spark, ctx.options.get("configs") or MO.task_grid())
     feats = _ckpt(MO.text_features(comments))  # worked out once, not once per config
-    io.write_table(MO.classify(feats, grid).drop("moderated"), ctx.data_root, "moderationResults")
+    _write(spark, ctx, MO.classify(feats, grid).drop("moderated"), "moderationResults")
 
 
 def topic_model(spark: SparkSession, ctx: Context) -> None:
@@ -92,17 +106,16 @@ def topic_model(spark: SparkSession, ctx: Context) -> None:
     rep = T.representative_docs(T.doc_weights(dterms, idf), weights, 3)
     labels = TP.headings(kw, stop, topics=assign)
     info = TP.topic_info(K.topic_sizes(assign), kw, rep, comments, labels)
-    io.write_table(info, ctx.data_root, "topics")
-    io.write_table(HI.hierarchy(weights), ctx.data_root, "hierarchicalTopics")
-    io.write_table(TP.replace_columns(comments, assign, ["dataset", "commentId"], ["topicId"]),
-                   ctx.data_root, "comments_topics")
+    _write(spark, ctx, info, "topics")
+    _write(spark, ctx, HI.hierarchy(weights), "hierarchicalTopics")
+    _write(spark, ctx, TP.replace_columns(comments, assign, ["dataset", "commentId"], ["topicId"]), "comments_topics")
 
 
 def _left(spark, ctx: Context, todo, table: str, keys: list[str]):
-    """What a resumed run still has to do, and how it writes (rows are then added, G1)."""
+    """What a resumed run still has to do, and whether its rows are then added (G1)."""
     if ctx.options.get("resume") and io.exists(spark, io.table_path(ctx.data_root, table)):
-        return AR.pending(todo, io.read_table(spark, ctx.data_root, table), keys), io.append_table
-    return todo, io.write_table
+        return AR.pending(todo, io.read_table(spark, ctx.data_root, table), keys), True
+    return todo, False
 
 
 def generate(spark: SparkSession, ctx: Context) -> None:
@@ -113,10 +126,10 @@ def generate(spark: SparkSession, ctx: Context) -> None:
     agreeable = C.agreeable_comments(comments.filter(F.col("topicId") >= 0))
     dterms = T.doc_terms(agreeable, T.title_stop_words(summary))
     weights, idf = T.ctfidf(T.topic_term_counts(dterms))
-    todo, write = _left(spark, ctx, agreeable, "arguments", ["dataset", "topicId"])
+    todo, add = _left(spark, ctx, agreeable, "arguments", ["dataset", "topicId"])
     args = AR.generate_arguments(todo, T.doc_weights(dterms, idf))
     args = args.withColumn("thoughts", F.split("thoughts", r" \| "))
-    write(_ckpt(io.cast_to(args, schemas.ARGUMENTS)), ctx.data_root, "arguments")
+    _write(spark, ctx, io.cast_to(args, schemas.ARGUMENTS), "arguments", add=add)
 
 
 def correlate(spark: SparkSession, ctx: Context) -> None:
@@ -125,13 +138,13 @@ def correlate(spark: SparkSession, ctx: Context) -> None:
     comments = _read(spark, ctx, "comments_topics")
     args = _read(spark, ctx, "arguments")
     agreeable = C.agreeable_comments(comments.filter(F.col("topicId") >= 0))
-    todo, write = _left(spark, ctx, agreeable, "argumentCommentMap", ["dataset", "topicId"])
+    todo, add = _left(spark, ctx, agreeable, "argumentCommentMap", ["dataset", "topicId"])
     if E.pair_count(todo, args).filter("pairs > 0").isEmpty():
         log.info("no statement/argument pairs")
         return
     edges = AR.correlate(todo, args)
     edges = edges.withColumn("reasoning", F.array_compact(F.array("reasoning"))).drop("score")
-    write(_ckpt(edges), ctx.data_root, "argumentCommentMap")
+    _write(spark, ctx, edges, "argumentCommentMap", add=add)
 
 
 def score(spark: SparkSession, ctx: Context) -> None:
@@ -139,7 +152,7 @@ def score(spark: SparkSession, ctx: Context) -> None:
     topics = _read(spark, ctx, "topics")
     ats = S.score(topics, _read(spark, ctx, "arguments"), _read(spark, ctx, "argumentCommentMap"),
                   _read(spark, ctx, "votes"))
-    io.write_table(ats, ctx.data_root, "argumentTopicSupport")
+    _write(spark, ctx, ats, "argumentTopicSupport")
 
 
 def render(spark: SparkSession, ctx: Context) -> None:

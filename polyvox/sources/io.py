@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from polyvox import schemas
 from polyvox.functions.exprs import agreeability_guarded
 from polyvox.operators.votes import latest_vote
-from polyvox.sources import csvscan
+from polyvox.sources import commits, csvscan
 
 _DATASET_FROM_PATH = r"([^/]+)/[^/]+$"
 
@@ -113,42 +113,43 @@ def db_table_name(dataset: str, table: str) -> str:
 
 def read_table(spark: SparkSession, data_root: str, table: str, schema: StructType | None = None,
                datasets: list[str] | None = None) -> DataFrame:
-    """A5: parquet table, optionally cast to ``schema``; ``datasets`` prunes
-    partitions."""
-    df = spark.read.parquet(table_path(data_root, table))
+    """A5: a table as its commit records state it (``commits``), or a plain parquet folder where it has
+    none; optionally cast to ``schema``; ``datasets`` prunes partitions."""
+    path = table_path(data_root, table)
+    df = commits.read(spark, path)
+    if df is None:
+        if commits.begun(spark, path):
+            raise FileNotFoundError(f"{path}: no write was committed")
+        df = spark.read.parquet(path)
     if datasets:
         df = df.filter(F.col("dataset").isin(datasets))
     return cast_to(df, schema) if schema is not None else df
 
 
-def write_table(df: DataFrame, data_root: str, table: str, datasets: list[str] | None = None) -> None:
-    """Overwrite the datasets present in ``df`` (dynamic partition overwrite),
-    partitioned by dataset. Of ``datasets`` - what this run worked on - those for
-    which it made no rows lose their old partition too."""
-    path = table_path(data_root, table)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(path))
-    if datasets:
-        spark = df.sparkSession
-        made = {r[0] for r in spark.read.schema(df.schema).parquet(path).select("dataset").distinct().collect()}
-        stale = [d for d in datasets if d in made
-                 and not df.filter(F.col("dataset") == d).limit(1).count()]
-        for d in stale:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/dataset={d}")
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def write_table(df: DataFrame, data_root: str, table: str, worked: DataFrame | None = None, run: str | None = None) -> None:
+    """Replace the datasets present in ``df`` and those listed in ``worked`` (what this run worked on:
+    without rows they become empty). Visible whole, by one commit record, or not at all."""
+    commits.write(df, table_path(data_root, table), True, worked, run)
 
 
-def append_table(df: DataFrame, data_root: str, table: str) -> None:
-    """G1: add rows to a table, by dataset, with exactly the columns and types it has."""
-    path = table_path(data_root, table)
-    if exists(df.sparkSession, path):
-        have = {f.name: f.dataType for f in df.sparkSession.read.parquet(path).schema.fields}
+def append_table(df: DataFrame, data_root: str, table: str, worked: DataFrame | None = None, run: str | None = None) -> None:
+    """G1: add rows to a table, by dataset, with exactly the columns and types it has. A failed append leaves
+    nothing behind and the same ``run`` appends once, however often it is repeated."""
+    spark, path = df.sparkSession, table_path(data_root, table)
+    if exists(spark, path):
+        have = {f.name: f.dataType for f in read_table(spark, data_root, table).schema.fields}
         new = {f.name: f.dataType for f in df.schema.fields}
         if have != new:
             raise ValueError(f"{table}: columns differ: {sorted(set(map(str, have.items())) ^ set(map(str, new.items())))}")
-    df.write.mode("append").partitionBy("dataset").parquet(path)
+        if commits.records(spark, path) is None:
+            raise ValueError(f"{table}: a plain parquet folder without commit records; write_table it first")
+    commits.write(df, path, False, worked, run)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether folder ``path`` holds a table: commit records, or plain parquet files."""
+    if commits.begun(spark, path):
+        return commits.records(spark, path) is not None
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
         return True
