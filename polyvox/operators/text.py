@@ -12,20 +12,24 @@ c-TF-IDF (class-based TF-IDF with frequent-word damping), per dataset:
     A       floor(mean_t tot(t))              f(w)   = sum_t n(t,w)
     weight  sqrt(n(t,w) / tot(t)) * ln(1 + A / f(w))
 
-All steps are grouped aggregates with map-side combine; the only per-row
-work is tokenising, which is a built-in regex.
+Terms of a document are made and counted inside its row (a built-in regex and
+array functions); all other steps are grouped aggregates with map-side combine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyvox.functions.exprs import tokens
+from polyvox.functions.exprs import bigrams, tokens
 from polyvox.operators.skew import per_dataset, per_topic, salted_join
+from polyvox.sources.store import staged
 
 MAX_DF = 0.5
 
+# Stop words of all datasets together up to this number are sent to every task (about 30 MB).
+BROADCAST_WORDS = 1_000_000
+
 
 def title_stop_words(summary: DataFrame) -> DataFrame:
     """H6: words of each dataset's title, split on non-word characters."""
@@ -48,28 +52,64 @@ def frequent_words(tok_docs: DataFrame, max_df: float = MAX_DF) -> DataFrame:
             .filter(F.col("__df") >= F.col("__n") * max_df).select("dataset", "word"))
 
 
+def stop_lists(stop: DataFrame) -> tuple[DataFrame, bool]:
+    """One row per dataset with its stop words as an array, and whether all of them are few enough to be sent
+    to every task (``BROADCAST_WORDS``, counted on the written table)."""
+    words = staged(stop.select("dataset", "word").distinct(), "stop-words")
+    small = words.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
+    return words.groupBy("dataset").agg(F.collect_set("word").alias("__stop")), small
+
+
+def without_stop_words(tok_docs: DataFrame, stop: DataFrame | None) -> DataFrame:
+    """``toks`` without stop words, in place: documents don't move. A dataset has at most (mean distinct words
+    of a document) / ``max_df`` frequent words and those of its title. A document's own stop words are found by
+    hashing; its words are then compared with these few."""
+    if stop is None:
+        return tok_docs
+    lists, small = stop_lists(stop)
+    if small:
+        met = tok_docs.join(F.broadcast(lists), "dataset", "left")
+    else:
+        met = salted_join(tok_docs, lists, ["dataset"], spread_by=["commentId"], how="left")
+    own = F.array_intersect("toks", F.coalesce("__stop", F.array().cast("array<string>")))
+    # bound by a one-element transform: as a column it would be put into the filter and worked out for every word
+    kept = F.transform(F.array(own), lambda o: F.filter("toks", lambda x: ~F.array_contains(o, x)))[0]
+    return met.withColumn("toks", kept).drop("__stop")
+
+
+def counted(terms: Column) -> Column:
+    """array<struct<term, n>> of an array of strings: sorted, then run lengths between starts of equal terms."""
+    s = F.array_sort(terms)
+
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        first = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
+        return F.transform(F.array(first), lambda f: F.zip_with(
+            f, F.concat(F.slice(f, F.lit(2), F.size(f)), F.array(n + 1)),
+            lambda i, j: F.struct(F.get(s, i - 1).alias("term"), (j - i).cast("bigint").alias("n"))))[0]
+    # one-element transforms bind the sorted array and the starts, so that each is worked out once
+    return F.when(F.size(terms) > 0, F.transform(F.array(s), runs)[0])
+
+
 def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "commentText",
               keys: tuple[str, ...] = ("dataset", "commentId", "topicId"),
               max_df: float | None = None) -> DataFrame:
-    """H5: (keys..., term, n) counts of unigrams and bigrams per document.
+    """H5: (keys..., term, n, total) counts of unigrams and bigrams per document; ``total`` is
+    the document's number of terms.
 
-    Stop words are removed before bigrams are built: ``stop`` (dataset, word)
-    and, only if ``max_df`` is given, words of at least that share of a
-    dataset's documents. Words meet the stop table by a join (Spark broadcasts
-    it if it is small); neighbours come from a window over the document, whose
-    partitioning also serves the count, so words are shuffled once.
+    ``docs`` has one row per document. Stop words are removed before bigrams are built:
+    ``stop`` (dataset, word) and, only if ``max_df`` is given, words of at least that share
+    of a dataset's documents. Words, bigrams and counts are made inside the document's row:
+    only the counts of ``frequent_words`` are shuffled, and no word with its document.
     """
-    rows = docs.select(*keys, text)
-    kept = rows.select(*keys, F.posexplode(tokens(text)).alias("__pos", "word"))
+    rows = docs.select(*keys, tokens(text).alias("toks"))
     if max_df is not None:
-        frequent = frequent_words(doc_tokens(rows, text), max_df)
+        frequent = frequent_words(rows, max_df)
         stop = frequent if stop is None else frequent.unionByName(stop.select("dataset", "word"))
-    if stop is not None:
-        kept = kept.join(stop.select("dataset", "word").distinct(), ["dataset", "word"], "left_anti")
-    after = F.lead("word").over(Window.partitionBy(*keys).orderBy("__pos"))
-    pairs = F.array_compact(F.array(F.col("word"), F.concat("word", F.lit(" "), "__next")))
-    return (kept.withColumn("__next", after).select(*keys, F.explode(pairs).alias("term"))
-            .groupBy(*keys, "term").agg(F.count("*").alias("n")))
+    kept = without_stop_words(rows, stop)
+    return (kept.select(*keys, F.concat("toks", bigrams("toks")).alias("__t"))
+            .select(*keys, F.size("__t").cast("bigint").alias("total"), F.explode(counted(F.col("__t"))).alias("c"))
+            .select(*keys, "c.term", "c.n", "total"))
 
 
 def topic_term_counts(dterms: DataFrame, topic: str = "topicId") -> DataFrame:
@@ -109,25 +149,26 @@ def keyword_lists(top: DataFrame, topic: str = "topicId") -> DataFrame:
 
 
 def doc_weights(dterms: DataFrame, idf: DataFrame) -> DataFrame:
-    """Per-document c-TF-IDF vector d(w) = sqrt(n(d,w)/tot(d)) * idf(w)."""
-    tot = dterms.groupBy("dataset", "commentId").agg(F.sum("n").alias("__tot"))
-    return (salted_join(dterms.join(tot, ["dataset", "commentId"]), idf, ["dataset", "term"], spread_by=["commentId"])
-            .withColumn("dweight", F.sqrt(F.col("n") / F.col("__tot")) * F.col("idf"))
-            .drop("__tot", "idf"))
+    """Per-document c-TF-IDF vector d(w) = sqrt(n(d,w)/total(d)) * idf(w)."""
+    return (salted_join(dterms, idf, ["dataset", "term"], spread_by=["commentId"])
+            .withColumn("dweight", F.sqrt(F.col("n") / F.col("total")) * F.col("idf")).drop("total", "idf"))
 
 
-def representative_docs(dw: DataFrame, weights: DataFrame, k: int = 3,
+def representative_docs(dterms: DataFrame, weights: DataFrame, idf: DataFrame, k: int = 3,
                         topic: str = "topicId") -> DataFrame:
     """The ``k`` documents of each topic closest (cosine) to the topic's
-    c-TF-IDF vector; ties by commentId."""
-    dnorm = dw.groupBy("dataset", "commentId").agg(
-        F.sqrt(F.sum(F.col("dweight") ** 2)).alias("__dn"))
+    c-TF-IDF vector; ties by commentId.
+
+    Every term of a topic's document is a term of the topic, so one join brings both weights;
+    the product and the norm of a document are sums of one aggregate. A common term of a large
+    topic is a hot key, so the join is salted by document."""
+    model = weights.select("dataset", topic, "term", "weight").join(idf, ["dataset", "term"])
     tnorm = weights.groupBy("dataset", topic).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("__tn"))
-    dot = (dw.filter(F.col(topic) >= 0)
-           .join(weights, ["dataset", topic, "term"])
-           .groupBy("dataset", topic, "commentId")
-           .agg(F.sum(F.col("dweight") * F.col("weight")).alias("__dot")))
-    scored = (dot.join(dnorm, ["dataset", "commentId"]).join(per_topic(tnorm), ["dataset", topic])
+    d = F.sqrt(F.col("n") / F.col("total")) * F.col("idf")
+    scored = (salted_join(dterms.filter(F.col(topic) >= 0), model, ["dataset", topic, "term"], spread_by=["commentId"])
+              .groupBy("dataset", topic, "commentId")
+              .agg(F.sum(d * F.col("weight")).alias("__dot"), F.sqrt(F.sum(d * d)).alias("__dn"))
+              .join(per_topic(tnorm), ["dataset", topic])
               .withColumn("score", F.col("__dot") / (F.col("__dn") * F.col("__tn"))))
     # exact copies score equal up to summation order; compare at 1e-9 so the
     # id tie-break decides
@@ -161,11 +202,10 @@ def reassign_by_terms(assign: DataFrame, dw: DataFrame, weights: DataFrame,
 
 
 def kept_words(docs: DataFrame, stop: DataFrame, text: str = "commentText") -> DataFrame:
-    """(dataset, commentId, words): each document's words in order, without stop words."""
-    words = docs.select("dataset", "commentId", F.posexplode(tokens(text)).alias("__pos", "word"))
-    kept = words.join(stop.select("dataset", "word").distinct(), ["dataset", "word"], "left_anti")
-    return (kept.groupBy("dataset", "commentId").agg(F.array_sort(F.collect_list(F.struct("__pos", "word"))).alias("__w"))
-            .select("dataset", "commentId", F.transform("__w", lambda x: x["word"]).alias("words")))
+    """(dataset, commentId, words): each document's words in order, without stop words; documents
+    without any are left out."""
+    rows = docs.select("dataset", "commentId", tokens(text).alias("toks"))
+    return without_stop_words(rows, stop).filter(F.size("toks") > 0).withColumnRenamed("toks", "words")
 
 
 def window_terms(words: DataFrame, size: int = 4, stride: int = 1) -> DataFrame:

@@ -121,4 +121,4 @@ SELECT dataset, topicId, commentId, rank, round(score, 6) AS score FROM (
   FROM s) WHERE rank <= 3""")
 def q_representative_docs(spark, sf_dir):
     _, dterms, weights, idf = model(spark, sf_dir)
-    return T.representative_docs(T.doc_weights(dterms, idf), weights, 3)
+    return T.representative_docs(dterms, weights, idf, 3)

@@ -365,7 +365,7 @@ def q_topic_info(spark, sf_dir):
     nr = not_rejected(f.comments)
     sizes = K.topic_sizes(nr.select("dataset", "commentId", "topicId"))
     kw = T.top_terms(weights, 10)
-    rep = T.representative_docs(T.doc_weights(dterms, idf), weights, 3)
+    rep = T.representative_docs(dterms, weights, idf, 3)
     labels = TP.headings(kw, T.title_stop_words(f.summary))
     info = TP.topic_info(sizes, kw, rep, f.comments, labels)
     return info.select("dataset", "Topic", "Count", F.array_join("Representation", ", ")

@@ -103,7 +103,7 @@ def topic_model(spark: SparkSession, ctx: Context) -> None:
     dterms = _ckpt(T.doc_terms(text.drop("topicId").join(assign, ["dataset", "commentId"]), stop))
     weights, idf = T.ctfidf(T.topic_term_counts(dterms))
     kw = T.top_terms(weights, 10)
-    rep = T.representative_docs(T.doc_weights(dterms, idf), weights, 3)
+    rep = T.representative_docs(dterms, weights, idf, 3)
     labels = TP.headings(kw, stop, topics=assign)
     info = TP.topic_info(K.topic_sizes(assign), kw, rep, comments, labels)
     _write(spark, ctx, info, "topics")

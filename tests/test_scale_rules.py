@@ -85,6 +85,26 @@ def test_small_datasets_keep_their_terms(spark):
     assert T.doc_terms(docs, max_df=0.6).filter("term = 'new'").count() == 0
 
 
+def test_terms_of_odd_documents(spark, monkeypatch):
+    """Null, empty, one-word, repeating and stop-only texts; the two ways to the stop words agree."""
+    texts = {1: None, 2: "", 3: "alone", 4: "go go go go", 5: "the of the", 6: "the road of the road", 7: "a b c"}
+    docs = spark.createDataFrame([(d, i, 0, t) for d in ("d", "e") for i, t in texts.items()],
+                                 "dataset string, commentId bigint, topicId int, commentText string")
+    stop = spark.createDataFrame([("d", "the"), ("d", "of"), ("d", "of")], "dataset string, word string")
+
+    def terms(docs):
+        return sorted((r["dataset"], r["commentId"], r["term"], r["n"], r["total"]) for r in T.doc_terms(docs, stop).collect())
+    got = terms(docs)
+    assert [x for x in got if x[0] == "d"] == [
+        ("d", 3, "alone", 1, 1), ("d", 4, "go", 4, 7), ("d", 4, "go go", 3, 7), ("d", 6, "road", 2, 3), ("d", 6, "road road", 1, 3)]
+    assert ("e", 5, "the", 2, 5) in got and ("e", 5, "of the", 1, 5) in got and ("e", 6, "the road", 2, 9) in got
+    monkeypatch.setattr(T, "BROADCAST_WORDS", 1)
+    assert terms(docs) == got
+    assert terms(docs.filter("false")) == []
+    words = {(r["dataset"], r["commentId"]): r["words"] for r in T.kept_words(docs, stop).collect()}
+    assert words["d", 6] == ["road", "road"] and ("d", 5) not in words and words["e", 5] == ["the", "of", "the"]
+
+
 def test_outliers_and_taboo_topics_have_headings(spark):
     kw = spark.createDataFrame([("d", 0, "road", 1), ("d", 0, "bridge", 2), ("d", 1, "town", 1)],
                                "dataset string, topicId int, term string, rank int")
