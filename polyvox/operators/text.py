@@ -12,8 +12,8 @@ c-TF-IDF (class-based TF-IDF with frequent-word damping), per dataset:
     A       floor(mean_t tot(t))              f(w)   = sum_t n(t,w)
     weight  sqrt(n(t,w) / tot(t)) * ln(1 + A / f(w))
 
-Terms of a document are made and counted inside its row (a built-in regex and
-array functions); all other steps are grouped aggregates with map-side combine.
+Terms of a document are made inside its row (a built-in regex and array
+functions); all other steps are grouped aggregates with map-side combine.
 """
 
 from __future__ import annotations
@@ -77,20 +77,6 @@ def without_stop_words(tok_docs: DataFrame, stop: DataFrame | None) -> DataFrame
     return met.withColumn("toks", kept).drop("__stop")
 
 
-def counted(terms: Column) -> Column:
-    """array<struct<term, n>> of an array of strings: sorted, then run lengths between starts of equal terms."""
-    s = F.array_sort(terms)
-
-    def runs(s: Column) -> Column:
-        n = F.size(s)
-        first = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
-        return F.transform(F.array(first), lambda f: F.zip_with(
-            f, F.concat(F.slice(f, F.lit(2), F.size(f)), F.array(n + 1)),
-            lambda i, j: F.struct(F.get(s, i - 1).alias("term"), (j - i).cast("bigint").alias("n"))))[0]
-    # one-element transforms bind the sorted array and the starts, so that each is worked out once
-    return F.when(F.size(terms) > 0, F.transform(F.array(s), runs)[0])
-
-
 def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "commentText",
               keys: tuple[str, ...] = ("dataset", "commentId", "topicId"),
               max_df: float | None = None) -> DataFrame:
@@ -99,17 +85,18 @@ def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "comme
 
     ``docs`` has one row per document. Stop words are removed before bigrams are built:
     ``stop`` (dataset, word) and, only if ``max_df`` is given, words of at least that share
-    of a dataset's documents. Words, bigrams and counts are made inside the document's row:
-    only the counts of ``frequent_words`` are shuffled, and no word with its document.
+    of a dataset's documents. Words and pairs are made inside the document's row, which no
+    window or join moves; one shuffle takes the counts, summed before it.
     """
     rows = docs.select(*keys, tokens(text).alias("toks"))
     if max_df is not None:
         frequent = frequent_words(rows, max_df)
         stop = frequent if stop is None else frequent.unionByName(stop.select("dataset", "word"))
     kept = without_stop_words(rows, stop)
+    # ``total`` follows from the document; as a grouping key it rides along with the counts
     return (kept.select(*keys, F.concat("toks", bigrams("toks")).alias("__t"))
-            .select(*keys, F.size("__t").cast("bigint").alias("total"), F.explode(counted(F.col("__t"))).alias("c"))
-            .select(*keys, "c.term", "c.n", "total"))
+            .select(*keys, F.size("__t").cast("bigint").alias("total"), F.explode("__t").alias("term"))
+            .groupBy(*keys, "total", "term").agg(F.count("*").alias("n")).select(*keys, "term", "n", "total"))
 
 
 def topic_term_counts(dterms: DataFrame, topic: str = "topicId") -> DataFrame:
