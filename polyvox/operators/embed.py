@@ -9,9 +9,11 @@ loaded once per Python worker).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -47,17 +49,25 @@ def signed_embeddings(docs: DataFrame, ngram: int = 1, dims: int = 64, text: str
     has MD5 computes the same vectors: (dataset, commentId, embedding array<double>).
 
     A run of words goes to component ``first four hex digits mod dims`` and counts +1 or -1 by the fifth.
-    Only (document, component) counts move; a text with fewer words than ``ngram`` has no row."""
-    words = docs.select("dataset", "commentId", tokens(text).alias("__t")).filter(F.size("__t") >= ngram)
-    runs = F.transform(F.sequence(F.lit(1), F.size("__t") - (ngram - 1)), lambda i: F.array_join(F.slice("__t", i, ngram), " "))
-    h = F.md5(F.col("__g").cast("binary"))
-    at = (F.conv(F.substring(h, 1, 4), 16, 10).cast("int") % dims).alias("__at")
-    sign = F.when(F.conv(F.substring(h, 5, 1), 16, 10).cast("int") % 2 == 1, 1).otherwise(-1).alias("__s")
-    counts = (words.select("dataset", "commentId", F.explode(runs).alias("__g")).select("dataset", "commentId", at, sign)
-              .groupBy("dataset", "commentId", "__at").agg(F.sum("__s").cast("double").alias("__x"))
-              .groupBy("dataset", "commentId").agg(F.map_from_entries(F.collect_list(F.struct("__at", "__x"))).alias("__m")))
-    return counts.select("dataset", "commentId", F.transform(
-        F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(0.0))).alias("embedding"))
+    Words are hashed and counted inside their row; what moves is one vector per row, rows of one id are
+    summed. A text with fewer words than ``ngram`` has no row."""
+    words = docs.select("dataset", F.col("commentId").cast("bigint").alias("commentId"), tokens(text).alias("__t")).filter(F.size("__t") >= ngram)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                b = whole.slice(lo, 256)
+                x = np.zeros((b.num_rows, dims))
+                for i, t in enumerate(b.column(2).to_pylist()):
+                    runs = t if ngram == 1 else map(" ".join, zip(*[t[k:] for k in range(ngram)]))
+                    h = np.frombuffer(b"".join([md5(r.encode()).digest()[:3] for r in runs]), np.uint8).reshape(-1, 3).astype(np.int64)
+                    np.add.at(x[i], (h[:, 0] * 256 + h[:, 1]) % dims, np.where(h[:, 2] >> 4 & 1, 1.0, -1.0))
+                rows = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, dims, dtype=np.int32)), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), rows], ["dataset", "commentId", "__x"])
+
+    counts = words.mapInArrow(hashed, "dataset string, commentId bigint, __x array<double>")
+    return (counts.groupBy("dataset", "commentId").agg(Summarizer.sum(array_to_vector("__x")).alias("__s"))
+            .select("dataset", "commentId", vector_to_array("__s").alias("embedding")))
 
 
 def encode_with(docs: DataFrame, encoder: Callable[[list[str]], np.ndarray],

@@ -3,13 +3,15 @@
 Equal vectors are one representative with a weight. Representatives fall into buckets by the
 signs of random projections, in as many bands as it takes to meet each pair at the cosine
 threshold with probability 1 - ``MISS`` (the number of bits follows from the number of rows, so buckets
-of unrelated vectors stay small). Only representatives that share a bucket are compared,
-exactly, inside the tasks; what leaves a task is linear in its rows: a star per local group of
-similar vectors, or each vector's few nearest.
-
-A bucket of any size is handled whole. One over ``BLOCK`` members is cut into rings of equal angle
-around three of its members; by the triangle inequality similar vectors lie in the same or in
-neighbouring rings, so overlapping rings lose no pair. Cells still over ``BLOCK`` members are cut
+of unrelated vectors stay small). A band moves a representative's id and its sketch, ``SKETCH`` more signs
+packed into words, not its vector. In a bucket, members whose sketches differ in few enough signs are joined
+into sets; a pair at the threshold is parted with probability ``MISS`` at most. Only members of sets get their
+vectors and are compared, exactly, inside the tasks; what leaves a task is linear in its rows: a star
+per local group of similar vectors, or each vector's few nearest.
+
+A bucket of any size is handled whole. A set over ``BLOCK`` members, or a bucket over ``HELD`` times that, is cut
+into rings of equal angle around three of its members; by the triangle inequality similar vectors lie in the
+same or in neighbouring rings, so overlapping rings lose no pair. Cells still over ``BLOCK`` members are cut
 into blocks, and each two blocks meet in one task.
 """
 
@@ -33,6 +35,11 @@ from polyvox.sources.store import staged
 MISS = 1e-7
 #: Members that are compared at once; larger buckets are cut.
 BLOCK = 1024
+#: Signs of a sketch; buckets of up to this many blocks have their sketches compared at once.
+SKETCH = 256
+HELD = 8
+#: So many sketch comparisons cost as much as a row of a band.
+ROW_COST = 300
 PIVOTS = 3
 ROWS = "dataset string, vid bigint, w bigint, u array<double>"
 
@@ -45,7 +52,18 @@ def bits_and_bands(n: int, threshold: float) -> tuple[int, int]:
     def bands(bits: int) -> int:
         together = agree ** bits
         return 1 if together >= 1 else math.ceil(math.log(MISS) / math.log1p(-together))
-    return min(((b, bands(b)) for b in range(4, 61)), key=lambda x: x[1] * (1 + n / 2 ** x[0]))
+    return min(((b, bands(b)) for b in range(4, 61)), key=lambda x: x[1] * (1 + n / 2 ** x[0] / ROW_COST))
+
+
+def most_signs(threshold: float) -> int:
+    """The number of a sketch's signs in which a pair at the cosine ``threshold`` differs but for ``MISS``."""
+    p = math.acos(min(1.0, threshold)) / math.pi + 1e-6
+    rest = 1.0
+    for k in range(SKETCH):
+        rest -= math.exp(math.lgamma(SKETCH + 1) - math.lgamma(k + 1) - math.lgamma(SKETCH - k + 1) + k * math.log(p) + (SKETCH - k) * math.log1p(-p))
+        if rest <= MISS:
+            return k
+    return SKETCH
 
 
 def representatives(points: DataFrame, vec: str) -> tuple[DataFrame, DataFrame]:
@@ -74,27 +92,88 @@ def bucket_rows(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFr
         power = 1 << np.arange(bits, dtype=np.int64)
         for b in batches:
             x = np.asarray(b.column(2).flatten()).reshape(b.num_rows, -1)
+            signs = x @ np.random.default_rng(23).standard_normal((x.shape[1], SKETCH)) > 0
+            words = np.packbits(signs, axis=1).view(np.int64)
+            sketch = [pa.array(words[:, k]) for k in range(SKETCH // 64)]
             for band in range(bands):
                 planes = np.random.default_rng([17, band]).standard_normal((x.shape[1], bits))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(np.full(b.num_rows, band, np.int32)), pa.array((x @ planes > 0) @ power)],
-                    ["dataset", "vid", "band", "key"])
+                    [b.column(0), b.column(1), pa.array(np.full(b.num_rows, band, np.int32)), pa.array((x @ planes > 0) @ power), *sketch],
+                    ["dataset", "vid", "band", "key", *names])
 
-    bucket = ["dataset", "band", "key"]
-    keyed = reps.select("dataset", "vid", "u").mapInArrow(keys, "dataset string, vid bigint, band int, key bigint")
-    shared = keyed.groupBy(*bucket).agg(F.count("*").alias("c")).filter("c > 1")
-    rows = staged(salted_join(keyed, shared, bucket, ["vid"], hot_rows=64 * block), "buckets")
+    names = [f"s{k}" for k in range(SKETCH // 64)]
+    keyed = reps.select("dataset", "vid", "u").mapInArrow(
+        keys, "dataset string, vid bigint, band int, key bigint, " + ", ".join(f"{k} bigint" for k in names))
+    rows = staged(_sets(keyed.select("dataset", "vid", F.xxhash64("dataset", "band", "key").alias("g"), *names), threshold, block), "buckets")
     whole = rows.filter(F.col("c") <= block).withColumns({"cell": F.lit(0).cast("bigint"), "i": F.lit(0), "j": F.lit(0)})
-    vectors = reps.select("dataset", "vid", "w", "u")
+    # written vectors are far smaller than in memory, so their table must not be taken for one to broadcast
+    vectors = reps.select("dataset", "vid", "w", "u").hint("merge")
     crowded = rows.filter(F.col("c") > block)
     if crowded.limit(1).count():  # nothing to cut otherwise
-        whole = whole.unionByName(_cut(crowded.join(vectors.drop("w"), ["dataset", "vid"]), bucket, threshold, block))
-    return (whole.select("dataset", "vid", F.xxhash64(*bucket, "cell", "i", "j").alias("g"))
-            .join(vectors, ["dataset", "vid"]))
+        whole = whole.unionByName(_cut(crowded.join(vectors.drop("w").hint("merge"), ["dataset", "vid"]), ["dataset", "set"], threshold, block))
+    met = staged(whole.select("dataset", "vid", F.xxhash64("set", "cell", "i", "j").alias("g")), "groups")
+    return met.join(vectors, ["dataset", "vid"])
+
+
+def _sets(keyed: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(dataset, vid, set, c): members of each bucket ``g`` by the set that sketches in ``most_signs`` reach connect,
+    with the set's size; members without another are left out. A bucket over ``HELD`` blocks is one set."""
+    most, held_most = most_signs(threshold), HELD * block
+
+    def split(t: pa.Table) -> pa.RecordBatch | None:
+        vid = t.column("vid").to_numpy()
+        s = [t.column(f"s{k}").to_numpy().view(np.uint64) for k in range(SKETCH // 64)]
+        n = len(vid)
+        near = np.zeros((n, (n + 7) // 8), np.uint8)
+        for lo in range(0, n, 128):
+            apart = sum(np.bitwise_count(w[lo:lo + 128, None] ^ w[None]).astype(np.uint16) for w in s)
+            near[lo:lo + 128] = np.packbits(apart <= most, axis=1)
+        label = np.where(np.bitwise_count(near).sum(1) > 1, -1, np.arange(n))
+        for i in np.flatnonzero(label < 0):
+            if label[i] < 0:
+                front = np.array([i])
+                while len(front):  # all that the set's newest members reach
+                    label[front] = i
+                    reached = np.unpackbits(np.bitwise_or.reduce(near[front], axis=0), count=n).astype(bool)
+                    front = np.flatnonzero(reached & (label < 0))
+        size = np.bincount(label, minlength=n)[label]
+        low = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(low, label, vid)
+        keep = np.flatnonzero(size > 1)
+        if not len(keep):
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(a) for a in (t.column("dataset").to_numpy(zero_copy_only=False)[keep], vid[keep],
+                                                                 t.column("g").to_numpy()[keep], low[label][keep], size[keep])], out)
+
+    def passed(b: pa.RecordBatch) -> pa.RecordBatch:
+        same = np.full(b.num_rows, np.iinfo(np.int64).min)
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(same), pa.array(np.full(b.num_rows, held_most + 1))], out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, at = [], 0, None
+        for b in batches:
+            g = b.column("g").to_numpy()
+            cuts = [0, *(np.flatnonzero(g[1:] != g[:-1]) + 1).tolist(), len(g)] if len(g) else [0]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if g[lo] != at:
+                    if 1 < n <= held_most and (done := split(pa.Table.from_batches(held))) is not None:
+                        yield done
+                    held, n, at = [], 0, g[lo]
+                held.append(b.slice(lo, hi - lo))
+                n += hi - lo
+                if n > held_most:  # from here on the bucket's rows go on as they come
+                    yield from map(passed, held)
+                    held = []
+        if 1 < n <= held_most and (done := split(pa.Table.from_batches(held))) is not None:
+            yield done
+
+    out = ["dataset", "vid", "g", "low", "c"]
+    sets = keyed.repartition("g").sortWithinPartitions("g").mapInArrow(run, "dataset string, vid bigint, g bigint, low bigint, c bigint")
+    return sets.select("dataset", "vid", F.xxhash64("g", "low").alias("set"), "c")
 
 
 def _cut(rows: DataFrame, bucket: list[str], threshold: float, block: int) -> DataFrame:
-    """Members of crowded buckets by ring cell and pair of blocks."""
+    """Members of crowded sets (columns ``bucket``) by ring cell and pair of blocks."""
     pivots = rows.groupBy(*bucket).agg(*[
         F.min(F.struct(F.xxhash64("vid", F.lit(p)).alias("h"), F.col("u"))).alias(f"p{p}") for p in range(PIVOTS)])
     width = math.acos(min(1.0, threshold)) * (1 + 1e-9) + 1e-9  # wider than any similar pair's angle, rounding included
@@ -109,7 +188,7 @@ def _cut(rows: DataFrame, bucket: list[str], threshold: float, block: int) -> Da
     mine = F.pmod(F.xxhash64("vid", F.lit(29)), F.col("m")).cast("int")
     other = F.explode(F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda j: (F.col("m") == 1) | (j != mine)))
     return (out.select("*", mine.alias("a"), other.alias("b"))
-            .select("dataset", "vid", "band", "key", "c", "cell", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")))
+            .select(*bucket, "vid", "c", "cell", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")))
 
 
 def per_group(rows: DataFrame, compare: Callable, schema: str) -> DataFrame:
