@@ -12,16 +12,22 @@ c-TF-IDF (class-based TF-IDF with frequent-word damping), per dataset:
     A       floor(mean_t tot(t))              f(w)   = sum_t n(t,w)
     weight  sqrt(n(t,w) / tot(t)) * ln(1 + A / f(w))
 
-Terms of a document are made and counted inside its row (a built-in regex and
-array functions); all other steps are grouped aggregates with map-side combine.
+Words are found inside the row (a built-in regex and array functions), paired and counted by Arrow
+where they are read; all other steps are grouped aggregates, joins and one window per term.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from polyvox.functions.exprs import bigrams, tokens
+from polyvox.functions.exprs import tokens
 from polyvox.operators.skew import per_dataset, per_topic, salted_join
 from polyvox.sources.store import staged
 
@@ -77,18 +83,41 @@ def without_stop_words(tok_docs: DataFrame, stop: DataFrame | None) -> DataFrame
     return met.withColumn("toks", kept).drop("__stop")
 
 
-def counted(terms: Column) -> Column:
-    """array<struct<term, n>> of an array of strings: sorted, then run lengths between starts of equal terms."""
-    s = F.array_sort(terms)
+#: Words of documents that are paired and counted at once in a task.
+COUNTED_WORDS = 200_000
+
+
+def counted(kept: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys..., term, n, total) from rows of ``keys`` and ``toks``: unigrams and pairs of neighbours of each row,
+    paired and counted by Arrow for many rows at a time. Documents don't move."""
+
+    def block(b: pa.RecordBatch) -> pa.RecordBatch:
+        t = pa.Table.from_batches([b])
+        toks = t.column("toks").combine_chunks()
+        size = pc.fill_null(pc.list_value_length(toks), 0).to_numpy()
+        flat, row = toks.flatten(), np.repeat(np.arange(t.num_rows), size)
+        first = np.flatnonzero(row[1:] == row[:-1])
+        pairs = pc.binary_join_element_wise(flat.take(pa.array(first)), flat.take(pa.array(first + 1)), " ")
+        terms = pa.table({"row": np.concatenate([row, row[first]]), "term": pa.chunked_array([flat, pairs], pa.string())})
+        got = terms.group_by(["row", "term"]).aggregate([([], "count_all")]).combine_chunks()
+        at = got.column("row").to_numpy()
+        total = size + np.maximum(size - 1, 0)
+        own = [t.column(k).take(pa.array(at)).combine_chunks() for k in keys]
+        return pa.RecordBatch.from_arrays([*own, got.column("term").combine_chunks(), got.column("count_all").combine_chunks(),
+                                           pa.array(total[at].astype(np.int64))], [*keys, "term", "n", "total"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size = pc.fill_null(pc.list_value_length(b.column(len(keys))), 0).to_numpy()
+            part = np.cumsum(size) // COUNTED_WORDS
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), b.num_rows] if b.num_rows else []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                yield block(b.slice(lo, hi - lo))
 
-    def runs(s: Column) -> Column:
-        n = F.size(s)
-        first = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
-        return F.transform(F.array(first), lambda f: F.zip_with(
-            f, F.concat(F.slice(f, F.lit(2), F.size(f)), F.array(n + 1)),
-            lambda i, j: F.struct(F.get(s, i - 1).alias("term"), (j - i).cast("bigint").alias("n"))))[0]
-    # one-element transforms bind the sorted array and the starts, so that each is worked out once
-    return F.when(F.size(terms) > 0, F.transform(F.array(s), runs)[0])
+    rows = kept.select(*keys, "toks")
+    schema = StructType([*[rows.schema[k] for k in keys], StructField("term", StringType()), StructField("n", LongType()),
+                         StructField("total", LongType())])
+    return rows.mapInArrow(run, schema)
 
 
 def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "commentText",
@@ -107,14 +136,13 @@ def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "comme
         frequent = frequent_words(rows, max_df)
         stop = frequent if stop is None else frequent.unionByName(stop.select("dataset", "word"))
     kept = without_stop_words(rows, stop)
-    return (kept.select(*keys, F.concat("toks", bigrams("toks")).alias("__t"))
-            .select(*keys, F.size("__t").cast("bigint").alias("total"), F.explode(counted(F.col("__t"))).alias("c"))
-            .select(*keys, "c.term", "c.n", "total"))
+    return counted(kept, keys)
 
 
 def topic_term_counts(dterms: DataFrame, topic: str = "topicId") -> DataFrame:
-    """n(t, w) over documents of real topics (outliers, -1, excluded)."""
-    return (dterms.filter(F.col(topic) >= 0)
+    """n(t, w) over documents of real topics (outliers, -1, excluded). Rows are dealt by (dataset, term), so
+    what is next summed per term (``ctfidf``) stays in place; a term has a row per document at most."""
+    return (dterms.filter(F.col(topic) >= 0).select("dataset", topic, "term", "n").repartition("dataset", "term")
             .groupBy("dataset", topic, "term").agg(F.sum("n").alias("n")))
 
 
@@ -128,9 +156,11 @@ def ctfidf(tterms: DataFrame, topic: str = "topicId") -> tuple[DataFrame, DataFr
     f = tterms.groupBy("dataset", "term").agg(F.sum("n").alias("__f"))
     idf = (f.join(per_dataset(avg), "dataset")
            .select("dataset", "term", F.ln(1 + F.col("__A") / F.col("__f")).alias("idf")))
-    w = (tterms.join(per_topic(tot), ["dataset", topic]).join(idf, ["dataset", "term"])
+    # a term's sum over topics beside its rows (one per topic), so that the long table joins no other long one
+    found = F.sum("n").over(Window.partitionBy("dataset", "term")).alias("__f")
+    w = (tterms.select("dataset", topic, "term", "n", found).join(per_topic(tot), ["dataset", topic]).join(per_dataset(avg), "dataset")
          .select("dataset", topic, "term",
-                 (F.sqrt(F.col("n") / F.col("__tot")) * F.col("idf")).alias("weight")))
+                 (F.sqrt(F.col("n") / F.col("__tot")) * F.ln(1 + F.col("__A") / F.col("__f"))).alias("weight")))
     return w, idf
 
 
@@ -150,7 +180,8 @@ def keyword_lists(top: DataFrame, topic: str = "topicId") -> DataFrame:
 
 def doc_weights(dterms: DataFrame, idf: DataFrame) -> DataFrame:
     """Per-document c-TF-IDF vector d(w) = sqrt(n(d,w)/total(d)) * idf(w)."""
-    return (salted_join(dterms, idf, ["dataset", "term"], spread_by=["commentId"])
+    # no count of hot terms, which would move all rows once more: a term meets one row, so a frequent one only streams
+    return (dterms.join(idf, ["dataset", "term"])
             .withColumn("dweight", F.sqrt(F.col("n") / F.col("total")) * F.col("idf")).drop("total", "idf"))
 
 
@@ -160,12 +191,12 @@ def representative_docs(dterms: DataFrame, weights: DataFrame, idf: DataFrame, k
     c-TF-IDF vector; ties by commentId.
 
     Every term of a topic's document is a term of the topic, so one join brings both weights;
-    the product and the norm of a document are sums of one aggregate. A common term of a large
-    topic is a hot key, so the join is salted by document."""
+    the product and the norm of a document are sums of one aggregate. A (topic, term) has one row in the
+    model and at most the topic's documents on the other side, which stream past it."""
     model = weights.select("dataset", topic, "term", "weight").join(idf, ["dataset", "term"])
     tnorm = weights.groupBy("dataset", topic).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("__tn"))
     d = F.sqrt(F.col("n") / F.col("total")) * F.col("idf")
-    scored = (salted_join(dterms.filter(F.col(topic) >= 0), model, ["dataset", topic, "term"], spread_by=["commentId"])
+    scored = (dterms.filter(F.col(topic) >= 0).join(model, ["dataset", topic, "term"])
               .groupBy("dataset", topic, "commentId")
               .agg(F.sum(d * F.col("weight")).alias("__dot"), F.sqrt(F.sum(d * d)).alias("__dn"))
               .join(per_topic(tnorm), ["dataset", topic])
