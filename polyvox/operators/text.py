@@ -128,7 +128,7 @@ def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "comme
 
     ``docs`` has one row per document. Stop words are removed before bigrams are built:
     ``stop`` (dataset, word) and, only if ``max_df`` is given, words of at least that share
-    of a dataset's documents. Words, bigrams and counts are made inside the document's row:
+    of a dataset's documents. Words are found inside the document's row, pairs and counts made where it is read:
     only the counts of ``frequent_words`` are shuffled, and no word with its document.
     """
     rows = docs.select(*keys, tokens(text).alias("toks"))
