@@ -29,6 +29,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from polyvox.functions.exprs import tokens
 from polyvox.operators.skew import per_dataset, per_topic, salted_join
+from polyvox.operators.termblocks import counted_blocks, scored, term_model, whole_text_scores, window_scores, word_blocks
 from polyvox.sources.store import staged
 
 MAX_DF = 0.5
@@ -208,24 +209,19 @@ def representative_docs(dterms: DataFrame, weights: DataFrame, idf: DataFrame, k
             .select("dataset", topic, "commentId", "rank", F.round("score", 6).alias("score")))
 
 
-def reassign_by_terms(assign: DataFrame, dw: DataFrame, weights: DataFrame,
+def reassign_by_terms(assign: DataFrame, dterms: DataFrame, weights: DataFrame, idf: DataFrame,
                       topic: str = "topicId") -> DataFrame:
     """Rows still -1 take the topic with the largest sum of
-    d(w) * weight(t, w) over shared terms if it is > 0; else they stay -1. One
+    d(w) * weight(t, w) over shared terms if it is > 0 (d(w) as in ``doc_weights``); else they stay -1. One
     window, the whole text; ``reassign_by_distributions`` has overlapping ones.
 
-    The outliers' terms are joined to every topic having that term on
-    (dataset, term); common terms are hot keys, so the join is salted by
-    document."""
-    out = assign.filter(F.col(topic) == -1).select("dataset", "commentId")
-    d = dw.join(out, ["dataset", "commentId"], "left_semi").select("dataset", "commentId", "term", "dweight")
-    wt = weights.select("dataset", "term", F.col(topic).alias("__t"), "weight")
-    j = salted_join(d, wt, ["dataset", "term"], spread_by=["commentId"])
-    best = (j.groupBy("dataset", "commentId", "__t")
-            .agg(F.sum(F.col("dweight") * F.col("weight")).alias("__s"))
-            .filter(F.col("__s") > 0)
-            .groupBy("dataset", "commentId")
-            .agg(F.max_by("__t", F.struct(F.col("__s"), -F.col("__t"))).alias("__best")))
+    ``dterms`` holds the terms of ``assign``'s rows under their topic. The outliers' terms meet the topics by blocks
+    of documents (``termblocks``), so no row is made per document, term and topic."""
+    out = assign.filter(F.col(topic) == -1).select("dataset", "commentId").distinct()
+    sums = scored(counted_blocks(dterms.filter(F.col(topic) == -1)), term_model(weights, idf, topic), whole_text_scores, "__t")
+    best = (sums.filter("score > 0").groupBy("dataset", "commentId")
+            .agg(F.max_by("__t", F.struct(F.col("score"), -F.col("__t"))).alias("__best"))
+            .join(out, ["dataset", "commentId"], "left_semi"))
     return (assign.join(best, ["dataset", "commentId"], "left")
             .withColumn(topic, F.when(F.col(topic) == -1, F.coalesce("__best", F.lit(-1)))
                         .otherwise(F.col(topic)).cast("int"))
@@ -239,36 +235,15 @@ def kept_words(docs: DataFrame, stop: DataFrame, text: str = "commentText") -> D
     return without_stop_words(rows, stop).filter(F.size("toks") > 0).withColumnRenamed("toks", "words")
 
 
-def window_terms(words: DataFrame, size: int = 4, stride: int = 1) -> DataFrame:
-    """(dataset, commentId, start, term, n): words and word pairs inside each window of ``size`` neighbouring
-    words, ``stride`` apart; a document of fewer words is one window."""
-    last = F.greatest(F.size("words") - (size - 1), F.lit(1))
-    windows = (words.filter(F.size("words") > 0).withColumn("start", F.explode(F.sequence(F.lit(1), last, F.lit(stride))))
-               .select("dataset", "commentId", "start", F.slice("words", F.col("start"), F.lit(size)).alias("w")))
-    pairs = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))
-    return (windows.select("dataset", "commentId", "start", F.explode(F.concat("w", pairs)).alias("term"))
-            .groupBy("dataset", "commentId", "start", "term").agg(F.count("*").alias("n")))
-
-
 def topic_distributions(docs: DataFrame, stop: DataFrame, weights: DataFrame, idf: DataFrame, size: int = 4, stride: int = 1,
                         min_similarity: float = 0.1, topic: str = "topicId") -> DataFrame:
     """(dataset, commentId, topic, score): per document and topic the sum over its windows of the cosine
     between the window's and the topic's c-TF-IDF vectors, windows under ``min_similarity`` left out.
 
-    A window's rows stay few (``size`` words, their pairs), so its norm and products are sums over small groups;
-    terms of many windows or topics are hot keys and their joins are salted by document."""
-    terms = window_terms(kept_words(docs, stop), size, stride)
-    key = ["dataset", "commentId", "start"]
-    total = terms.groupBy(*key).agg(F.sum("n").alias("__tot"))
-    weighed = (salted_join(terms, idf, ["dataset", "term"], spread_by=["commentId", "start"]).join(total, key)
-               .select(*key, "term", (F.sqrt(F.col("n") / F.col("__tot")) * F.col("idf")).alias("__w")))
-    norm = weighed.groupBy(*key).agg(F.sqrt(F.sum(F.col("__w") ** 2)).alias("__wn"))
-    tnorm = weights.groupBy("dataset", topic).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("__tn"))
-    dots = (salted_join(weighed, weights.select("dataset", topic, "term", "weight"), ["dataset", "term"], spread_by=["commentId", "start"])
-            .groupBy(*key, topic).agg(F.sum(F.col("__w") * F.col("weight")).alias("__dot")))
-    cosine = dots.join(norm, key).join(per_topic(tnorm), ["dataset", topic]).withColumn("__c", F.col("__dot") / (F.col("__wn") * F.col("__tn")))
-    return (cosine.filter(F.col("__c") >= min_similarity)
-            .groupBy("dataset", "commentId", topic).agg(F.sum("__c").alias("score")))
+    Windows are formed, weighed and multiplied in their block of documents (``termblocks``); only a block's distinct
+    terms meet the model, never a window's."""
+    blocks = word_blocks(kept_words(docs, stop))
+    return scored(blocks, term_model(weights, idf, topic, unit=True), window_scores(size, stride, min_similarity), topic)
 
 
 def reassign_by_distributions(assign: DataFrame, docs: DataFrame, stop: DataFrame, weights: DataFrame, idf: DataFrame,

@@ -118,7 +118,7 @@ FROM fx_h12 h LEFT JOIN b ON h.dataset = b.dataset AND h.commentId = b.commentId
 def q_reassign_terms(spark, sf_dir):
     _, a, dterms = _h12(spark, sf_dir)
     weights, idf = T.ctfidf(T.topic_term_counts(dterms))
-    out = T.reassign_by_terms(a, T.doc_weights(dterms, idf), weights)
+    out = T.reassign_by_terms(a, dterms, weights, idf)
     return out.select("dataset", "commentId", "topicId")
 
 
