@@ -132,7 +132,7 @@ def _centroid_arrays(cents: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray
     if rows * (dims or 0) > BROADCAST_NUMBERS:
         return None
     out: dict[str, list] = {}
-    for r in cents.orderBy("dataset", "__c").collect():
+    for r in sorted(cents.collect(), key=lambda r: (r["dataset"], r["__c"])):
         out.setdefault(r["dataset"], []).append((r["__c"], r["__m"]))
     return {d: (np.array([c for c, _ in v]), np.array([m for _, m in v], dtype=np.float64)) for d, v in out.items()}
 
@@ -150,23 +150,57 @@ def _nearest(pts: DataFrame, cents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names = np.array(b.column(0).to_pylist(), dtype=object)
-            vecs = b.column(2)
-            flat, off = vecs.flatten().to_numpy(zero_copy_only=False), vecs.offsets.to_numpy()
-            x = flat.reshape(len(names), -1) if len(names) and len(flat) else np.zeros((len(names), 0))
-            c, d2 = np.full(len(names), -1, np.int32), np.full(len(names), np.inf)
-            assert len(off) == len(names) + 1
-            for d in set(names):
-                at = np.flatnonzero(names == d)
-                ids, m = shared.value[d]
-                dist = np.maximum((x[at] ** 2).sum(1)[:, None] + (m ** 2).sum(1) - 2 * x[at] @ m.T, 0)
-                c[at], d2[at] = ids[dist.argmin(1)], dist.min(1)
+            c, d2 = np.full(b.num_rows, -1, np.int32), np.full(b.num_rows, np.inf)
+            for _, at, _, own, dist in _compared(b, shared.value):
+                c[at], d2[at] = own, dist
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(c), pa.array(d2)], ["dataset", "commentId", "__u", "__c", "__d2"])
 
     return pts.select("dataset", "commentId", "__u").mapInArrow(
         run, "dataset string, commentId bigint, __u array<double>, __c int, __d2 double")
 
 
+def _compared(b: pa.RecordBatch, arrays: dict) -> Iterator[tuple]:
+    """Per dataset of a batch (dataset, ..., __u): its name, rows, vectors, nearest centroids (ties: lowest id) and squared distances."""
+    d = b.column(0).dictionary_encode()
+    code, names = d.indices.to_numpy(), d.dictionary.to_pylist()
+    vecs = b.column(b.num_columns - 1)
+    flat = vecs.flatten().to_numpy(zero_copy_only=False)
+    x = flat.reshape(b.num_rows, -1) if b.num_rows and len(flat) else np.zeros((b.num_rows, 0))
+    for i, name in enumerate(names):
+        at = np.flatnonzero(code == i)
+        ids, m = arrays[name]
+        own = x[at]
+        dist = np.maximum((own ** 2).sum(1)[:, None] + (m ** 2).sum(1) - 2 * own @ m.T, 0)
+        near = dist.argmin(1)
+        yield name, at, own, ids[near], dist[np.arange(len(at)), near]
+
+
+def _means(pts: DataFrame, arrays: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(dataset, __c, __n, __v): sum and number of the vectors nearest to each centroid that has any. A task returns
+    one sum per centroid, so no vector leaves it."""
+    shared = pts.sparkSession.sparkContext.broadcast(arrays)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            for name, _, x, own, _ in _compared(b, shared.value):
+                ids, m = shared.value[name]
+                total, n = sums.setdefault(name, (np.zeros(m.shape), np.zeros(len(ids), np.int64)))
+                where = np.searchsorted(ids, own)
+                order = np.argsort(where, kind="stable")
+                cut = np.flatnonzero(np.diff(where[order], prepend=-1))
+                total[where[order][cut]] += np.add.reduceat(x[order], cut, axis=0)
+                n += np.bincount(where, minlength=len(ids))
+        for name, (total, n) in sums.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(shared.value[name][0][at], pa.int32()), pa.array(n[at]),
+                                              pa.array(list(total[at]), pa.list_(pa.float64()))], ["dataset", "__c", "__n", "__s"])
+
+    parts = pts.select("dataset", "__u").mapInArrow(run, "dataset string, __c int, __n bigint, __s array<double>")
+    return (parts.groupBy("dataset", "__c").agg(Summarizer.sum(array_to_vector("__s")).alias("__v"), F.sum("__n").alias("__n"))
+            .select("dataset", "__c", "__n", vector_to_array("__v").alias("__v")))
+
+
 def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int | None = None,
                   tol: float = 1e-6, outlier_distance: float | None = None,
                   k: int | None = None, link_distance: float | None = None) -> DataFrame:
@@ -186,6 +220,12 @@ def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int | Non
     vector (null or zero) become -1; topics are numbered 0.. by size desc,
     then smallest member id. Returns (dataset, commentId, topicId).
     """
+    return _topics(_rounds(points, vec, max_iter, tol, k), outlier_distance, link_distance)
+
+
+def _rounds(points: DataFrame, vec: str = "embedding", max_iter: int | None = None, tol: float = 1e-6,
+            k: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The Lloyd rounds of ``kmeans_topics``: (unit vectors, each dataset's numbers, final centroids, each vector's centroid)."""
     rows = points.filter(F.col(vec).isNotNull()).select("dataset", "commentId", normalize(vec).alias("__u"))
     rows = _ckpt(rows)
     pts = rows.filter(F.col("__u").isNotNull())
@@ -200,27 +240,43 @@ def kmeans_topics(points: DataFrame, vec: str = "embedding", max_iter: int | Non
              .join(kk, "dataset").filter(F.col("__r") <= F.col("__k"))
              .select("dataset", (F.col("__r") - 1).cast("int").alias("__c"), F.col("__u").alias("__m")))
     cents = _ckpt(seeds)
+    arrays = _centroid_arrays(cents)  # their number and length stay the same
     settled = False
     for _ in count() if max_iter is None else range(max_iter):
-        new = (_nearest(pts, cents).groupBy("dataset", "__c").agg(Summarizer.mean(array_to_vector("__u")).alias("__v"))
-               .select("dataset", "__c", vector_to_array("__v").alias("__new")))
         # clusters that lost all members keep their old centroid
-        new = _ckpt(cents.join(new, ["dataset", "__c"], "left")
-                    .select("dataset", "__c", F.coalesce("__new", "__m").alias("__m"),
-                            sq_dist("__m", F.coalesce("__new", "__m")).alias("__shift")))
-        shift = new.agg(F.max("__shift")).first()[0]
-        cents = new.drop("__shift")
+        if arrays is None:
+            new = (_nearest(pts, cents).groupBy("dataset", "__c").agg(Summarizer.mean(array_to_vector("__u")).alias("__v"))
+                   .select("dataset", "__c", vector_to_array("__v").alias("__new")))
+            new = _ckpt(cents.join(new, ["dataset", "__c"], "left")
+                        .select("dataset", "__c", F.coalesce("__new", "__m").alias("__m"),
+                                sq_dist("__m", F.coalesce("__new", "__m")).alias("__shift")))
+            shift = new.agg(F.max("__shift")).first()[0]
+            cents = new.drop("__shift")
+        else:
+            moved = {d: (ids, m.copy()) for d, (ids, m) in arrays.items()}
+            for r in _means(pts, arrays).collect():
+                ids, m = moved[r["dataset"]]
+                m[np.searchsorted(ids, r["__c"])] = np.array(r["__v"]) / r["__n"]
+            shift = max((float(((m - arrays[d][1]) ** 2).sum(1).max()) for d, (_, m) in moved.items()), default=None)
+            arrays = moved
         if shift is None or shift <= tol:
             settled = True
             break
+    if arrays:
+        rows_of = [(d, int(c), v.tolist()) for d, (ids, m) in arrays.items() for c, v in zip(ids, m, strict=True)]
+        cents = _ckpt(pts.sparkSession.createDataFrame(rows_of, "dataset string, __c int, __m array<double>"))
     if not settled:
-        warnings.warn(f"k-means centroids still moved after {max_iter} rounds (squared shift {shift:.3g})", stacklevel=2)
+        warnings.warn(f"k-means centroids still moved after {max_iter} rounds (squared shift {shift:.3g})", stacklevel=3)
+
+    return rows, kk, cents, _ckpt(_nearest(pts, cents).drop("__u"))
+
 
-    a = _nearest(pts, cents).drop("__u")
+def _topics(found: tuple[DataFrame, DataFrame, DataFrame, DataFrame], outlier_distance: float | None, link_distance: float | None) -> DataFrame:
+    """The topics of ``kmeans_topics`` from its rounds: outliers, linked micro-clusters, numbers."""
+    rows, kk, cents, a = found
     if outlier_distance is not None:
         # unit vectors: squared L2 = 2 * cosine distance
         a = a.withColumn("__c", F.when(F.col("__d2") > 2 * outlier_distance, F.lit(-1)).otherwise(F.col("__c")))
-    a = _ckpt(a)
     if link_distance is not None:
         dense = (a.filter("__c >= 0").groupBy("dataset", "__c").agg(F.count("*").alias("__size"))
                  .join(kk, "dataset").filter("__size >= __mcs").select("dataset", "__c"))
@@ -290,14 +346,21 @@ def sweep(points: DataFrame, settings: list[dict], vec: str = "embedding") -> Da
     (fit on all rows given). The driver only walks the list; each run is a
     distributed job whose assignment is checkpointed. Returns (dataset,
     setting, params, n_comments, n_topics, n_outliers, largest, silhouette);
-    silhouette is NULL where there is one cluster only."""
+    silhouette is NULL where there is one cluster only. Settings that differ in distances only
+    share their rounds."""
     rows = points.select("dataset", "commentId", F.col(vec).alias("embedding"))
-    runs = []
+    runs, vectors, rounds = [], {None: rows}, {}
     for i, s in enumerate(settings):
         own = dict(s)
-        dims = own.pop("dims", None)
-        pts = _ckpt(reduced(rows, dims)) if dims else rows
-        a = _ckpt(kmeans_topics(pts, **own))
+        dims = own.pop("dims", None) or None
+        if dims not in vectors:
+            vectors[dims] = _ckpt(reduced(rows, dims))
+        pts = vectors[dims]
+        distances = own.pop("outlier_distance", None), own.pop("link_distance", None)
+        same = dims, *sorted(own.items())
+        if same not in rounds:
+            rounds[same] = _rounds(pts, **own)
+        a = _ckpt(_topics(rounds[same], *distances))
         sil = silhouette(a.join(pts, ["dataset", "commentId"])).select("dataset", F.col("overall").alias("silhouette")).distinct()
         text = ", ".join(f"{k}={v}" for k, v in sorted(s.items()))
         runs.append(topic_sizes(a).select("dataset", "n_comments", "n_topics", "n_outliers", "largest").distinct()
