@@ -35,6 +35,7 @@ from polyvox.llm.common import small_parts, whole_groups
 from polyvox.llm.token_counts import byte_alphabet
 
 BLOCK_CHARS = 32 << 20   # characters of text per block (a longer text is a block of its own)
+ID_BLOCK_CHARS = 8 << 20  # the same where ids and texts are returned, which take a task several times the memory of digests
 BUCKETS = 256            # word buckets at least
 BUCKET_CHARS = 1 << 30   # one more bucket for each so many characters of text: an encoding task's share stays the same
 MAX_KNOWN_WORDS = 500_000
@@ -92,7 +93,7 @@ def _bucket(words: list[str], buckets: int) -> np.ndarray:
 
 
 def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                  digests: bool = False, buckets: int | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+                  digests: bool = False, buckets: int | None = None, block_chars: int | None = None) -> DataFrame:
     """Per row: ``doc_id, n_tokens`` and ``ids, decoded``, or with ``digests`` their
     SHA-256 values ``ids_sha256`` (decimal ids joined by a space), ``decoded_sha256``.
 
@@ -101,6 +102,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     tokenizer file is read by the driver and broadcast (bounded by the file).
     """
     spark = docs.sparkSession
+    block_chars = block_chars or (BLOCK_CHARS if digests else ID_BLOCK_CHARS)
     if buckets is None:
         buckets = max(BUCKETS, (docs.agg(F.sum(F.length(text_col))).first()[0] or 0) // BUCKET_CHARS)
     with open(tokenizer_path, encoding="utf-8") as f:

@@ -92,3 +92,20 @@ def test_a_block_is_written_once_with_its_distinct_terms(spark):
     assert len(blocks) == 1 and len(set(blocks[0]["terms"])) == len(blocks[0]["terms"]) < len(blocks[0]["codes"]) / 2
     assert T.topic_distributions(
         df.filter("1 = 0"), spark.createDataFrame([], "dataset string, word string"), *T.ctfidf(T.topic_term_counts(T.doc_terms(df)))).count() == 0
+
+
+def test_bpe_blocks_of_ids_are_smaller_than_those_of_digests(spark, monkeypatch):
+    """Pipeline: ids of a block are held as lists, so its blocks are smaller; the results don't depend on blocks."""
+    import hashlib
+
+    from polyvox.llm import bpe
+    from polyvox.llm.queries import BPE_TOKENIZER, TOKENIZERS
+    assert bpe.ID_BLOCK_CHARS * 4 <= bpe.BLOCK_CHARS
+    monkeypatch.setattr(bpe, "ID_BLOCK_CHARS", 40)
+    docs = spark.createDataFrame([(1, "One and two, and one."), (2, None), (2, "Äther <|x|> 12"), (None, "and " * 50), (4, "")], "doc_id bigint, text string").coalesce(1)
+    path = f"{TOKENIZERS}/{BPE_TOKENIZER}"
+    ids = bpe.encode_decode(docs, path, buckets=3).collect()
+    digests = bpe.encode_decode(docs, path, buckets=3, digests=True).collect()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r["doc_id"], r["n_tokens"], sha(" ".join(map(str, r["ids"]))), sha(r["decoded"])) for r in ids), key=key) == sorted(map(tuple, digests), key=key)
