@@ -139,24 +139,61 @@ def weighted_support(edges: DataFrame, votes: DataFrame, comments: DataFrame,
       on the argument's statements,
     * kept only with at least ``min_statements`` supporting statements (X5).
     """
-    lean = (votes.groupBy("dataset", "voterId")
-            .agg(F.avg(F.col("vote").cast("double")).alias("mean_vote"),
-                 F.count("*").alias("n_votes")))
-    sv = support_votes(edges, votes)
+    sums = _vote_sums(edges, votes)
     c = comments.select("dataset", "commentId", "agreeability")
-    x = sv.join(c, ["dataset", "commentId"], "left").join(lean, ["dataset", "voterId"], "left")
-    per_voter = (x.groupBy(*ARG_KEYS, "voterId")
-                 .agg(F.sum(F.col("vote") * F.col("agreeability")).alias("w"),
-                      F.sum(F.col("vote") - F.col("mean_vote")).alias("cen"),
-                      F.sum(F.col("vote") / F.col("n_votes")).alias("sh"),
-                      (F.max("vote") - F.min("vote") == 2).alias("conflicted")))
-    per_arg = (per_voter.groupBy(*ARG_KEYS)
-               .agg(F.round(F.sum("w"), 6).alias("weighted"),
-                    F.round(F.sum("cen"), 6).alias("centered"),
-                    F.round(F.sum("sh"), 6).alias("share"),
-                    F.round(F.count_if("conflicted") / F.count("*"), 6).alias("conflicted_share"),
-                    F.count("*").alias("voters")))
+    per_arg = (supporting(edges).select(*ARG_KEYS, "commentId")
+               .join(sums.join(c, ["dataset", "commentId"], "left"), ["dataset", "commentId"])
+               .groupBy(*ARG_KEYS)
+               .agg(F.round(F.sum(F.col("__net") * F.col("agreeability")), 6).alias("weighted"),
+                    F.round(F.sum("__cen"), 6).alias("centered"),
+                    F.round(F.sum("__sh"), 6).alias("share")))
     n_stmt = (supporting(edges).groupBy(*ARG_KEYS)
               .agg(F.count_distinct("commentId").alias("statements")))
-    return (per_arg.join(n_stmt, ARG_KEYS)
-            .filter(F.col("statements") >= min_statements))
+    return (per_arg.join(_argument_voters(edges, votes), ARG_KEYS).join(n_stmt, ARG_KEYS)
+            .filter(F.col("statements") >= min_statements)
+            .select(*ARG_KEYS, "weighted", "centered", "share", "conflicted_share", "voters", "statements"))
+
+
+def _vote_sums(edges: DataFrame, votes: DataFrame) -> DataFrame:
+    """(dataset, commentId, __net, __cen, __sh) of every voted comment that supports an argument: the sums of its
+    votes, of votes less their voter's mean, and of votes over their voter's number of votes.
+
+    X2-X4 are sums over votes, so a comment's sums are made once, however many arguments it supports."""
+    lean = (votes.groupBy("dataset", "voterId")
+            .agg(F.avg(F.col("vote").cast("double")).alias("mean_vote"),
+                 F.count("*").alias("n_votes")))
+    found = supporting(edges).select("dataset", "commentId").distinct()
+    v = votes.filter(F.col("vote") != 0).select("dataset", "commentId", "voterId", "vote")
+    return (salted_join(v, found, ["dataset", "commentId"], spread_by=["voterId"])
+            .join(lean, ["dataset", "voterId"], "left").groupBy("dataset", "commentId")
+            .agg(F.sum("vote").alias("__net"), F.sum(F.col("vote") - F.col("mean_vote")).alias("__cen"),
+                 F.sum(F.col("vote") / F.col("n_votes")).alias("__sh")))
+
+
+#: Arguments of a topic whose bits share a number (the sign bit is left alone).
+ARGUMENT_BITS = 63
+
+
+def _argument_voters(edges: DataFrame, votes: DataFrame) -> DataFrame:
+    """(dataset, topicId, argumentId, voters, conflicted_share): voters on an argument's statements, and the share of
+    them with votes of both signs.
+
+    A comment's arguments are the bits of one number per topic and ``ARGUMENT_BITS`` argument ids, so a vote moves once
+    per topic instead of once per argument, and a voter's state is two numbers, for agreement and disagreement."""
+    bit = F.pmod("argumentId", F.lit(ARGUMENT_BITS)).cast("int")
+    e = supporting(edges).filter(F.col("argumentId").isNotNull()).select(
+        "dataset", "commentId", "topicId", F.floor(F.col("argumentId") / ARGUMENT_BITS).alias("__block"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("__bit"))
+    masks = e.groupBy("dataset", "commentId", "topicId", "__block").agg(F.bit_or("__bit").alias("__mask"))
+    v = votes.filter(F.col("vote") != 0).select("dataset", "commentId", "voterId", "vote")
+    of = lambda cond: F.bit_or(F.when(cond, F.col("__mask")).otherwise(F.lit(0).cast("bigint")))
+    per_voter = (salted_join(v, masks, ["dataset", "commentId"], spread_by=["voterId"])
+                 .groupBy("dataset", "topicId", "__block", "voterId")
+                 .agg(of(F.col("vote") > 0).alias("__up"), of(F.col("vote") < 0).alias("__down")))
+    has = lambda mask, i: F.call_function("shiftright", mask, i).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    bits = F.sequence(F.lit(0), F.lit(ARGUMENT_BITS - 1))
+    on = per_voter.select("dataset", "topicId", "__block", "__up", "__down", F.explode(
+        F.filter(bits, lambda i: has(F.col("__up").bitwiseOR(F.col("__down")), i))).alias("__i"))
+    return (on.groupBy("dataset", "topicId", (F.col("__block") * ARGUMENT_BITS + F.col("__i")).alias("argumentId"))
+            .agg(F.count("*").alias("voters"),
+                 F.round(F.count_if(has(F.col("__up").bitwiseAND(F.col("__down")), F.col("__i"))) / F.count("*"), 6).alias("conflicted_share")))
