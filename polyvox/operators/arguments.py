@@ -42,6 +42,18 @@ def statement_lines(agreeable: DataFrame) -> DataFrame:
                  F.lit(" ("), pct, F.lit("% voters agree)")).alias("line"))
 
 
+def argument_sources(agreeable: DataFrame) -> DataFrame:
+    """(dataset, topicId, commentId, commentText, __rk, __n): the statements that ``generate_arguments`` writes from."""
+    n = agreeable.groupBy("dataset", "topicId").agg(F.count("*").alias("__n"))
+    w = Window.partitionBy("dataset", "topicId").orderBy(
+        F.desc("agreeability"), F.desc("agrees"), "commentId")
+    return (agreeable.select("dataset", "topicId", "commentId", "commentText",
+                             F.row_number().over(w).alias("__rk"))
+            .filter(F.col("__rk") <= MAX_BUDGET)
+            .join(per_topic(n), ["dataset", "topicId"])
+            .filter(F.col("__rk") <= argument_budget("__n")))
+
+
 def generate_arguments(agreeable: DataFrame, doc_weights: DataFrame, n_title_terms: int = 3) -> DataFrame:
     """J7 (extractive default): per topic, the ceil(2 ln n) statements with the
     highest (agreeability, agrees), lowest id on ties, become arguments
@@ -50,14 +62,7 @@ def generate_arguments(agreeable: DataFrame, doc_weights: DataFrame, n_title_ter
 
     The rank window is cut to MAX_BUDGET rows per topic before the shuffle,
     which is exact for any realistic topic size."""
-    n = agreeable.groupBy("dataset", "topicId").agg(F.count("*").alias("__n"))
-    w = Window.partitionBy("dataset", "topicId").orderBy(
-        F.desc("agreeability"), F.desc("agrees"), "commentId")
-    picked = (agreeable.select("dataset", "topicId", "commentId", "commentText",
-                               F.row_number().over(w).alias("__rk"))
-              .filter(F.col("__rk") <= MAX_BUDGET)
-              .join(per_topic(n), ["dataset", "topicId"])
-              .filter(F.col("__rk") <= argument_budget("__n")))
+    picked = argument_sources(agreeable)
     tw = Window.partitionBy("dataset", "commentId").orderBy(
         F.desc(F.round("dweight", 9)), "term")
     terms = (doc_weights.join(picked.select("dataset", "commentId"), ["dataset", "commentId"],

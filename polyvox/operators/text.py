@@ -147,12 +147,18 @@ def topic_term_counts(dterms: DataFrame, topic: str = "topicId") -> DataFrame:
             .groupBy("dataset", topic, "term").agg(F.sum("n").alias("n")))
 
 
-def ctfidf(tterms: DataFrame, topic: str = "topicId") -> tuple[DataFrame, DataFrame]:
+def topic_totals(dterms: DataFrame, topic: str = "topicId") -> DataFrame:
+    """tot(t): (dataset, topic, __tot), summed where the terms are read."""
+    return dterms.filter(F.col(topic) >= 0).groupBy("dataset", topic).agg(F.sum("n").alias("__tot"))
+
+
+def ctfidf(tterms: DataFrame, topic: str = "topicId", totals: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """H7: returns (weights(dataset, topic, term, weight), idf(dataset, term, idf)).
 
     ``idf`` is kept separate so documents can be weighted with the same model
-    (H11, H13)."""
-    tot = tterms.groupBy("dataset", topic).agg(F.sum("n").alias("__tot"))
+    (H11, H13). With ``totals`` (``topic_totals`` of all terms) ``tterms`` may hold the counts of some terms only, whose
+    weights are those of the whole model."""
+    tot = tterms.groupBy("dataset", topic).agg(F.sum("n").alias("__tot")) if totals is None else totals
     avg = tot.groupBy("dataset").agg(F.floor(F.avg("__tot")).alias("__A"))
     f = tterms.groupBy("dataset", "term").agg(F.sum("n").alias("__f"))
     idf = (f.join(per_dataset(avg), "dataset")
@@ -186,6 +192,21 @@ def doc_weights(dterms: DataFrame, idf: DataFrame) -> DataFrame:
             .withColumn("dweight", F.sqrt(F.col("n") / F.col("total")) * F.col("idf")).drop("total", "idf"))
 
 
+def doc_weights_of(dterms: DataFrame, docs: DataFrame, topic: str = "topicId") -> DataFrame:
+    """``doc_weights`` of the documents in ``docs`` (dataset, commentId) under the model of all documents.
+
+    The model is asked only for these documents' terms, so the terms of the others are read, not shuffled. What is
+    sent to every task is counted first (``BROADCAST_WORDS``)."""
+    def few(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS else df
+
+    ids = staged(docs.select("dataset", "commentId").distinct(), "weighed-docs")
+    own = staged(dterms.join(few(ids), ["dataset", "commentId"], "left_semi"), "weighed-terms")
+    terms = staged(own.select("dataset", "term").distinct(), "terms-asked")
+    asked = dterms.join(few(terms), ["dataset", "term"], "left_semi")
+    return doc_weights(own, ctfidf(topic_term_counts(asked, topic), topic, topic_totals(dterms, topic))[1])
+
+
 def representative_docs(dterms: DataFrame, weights: DataFrame, idf: DataFrame, k: int = 3,
                         topic: str = "topicId") -> DataFrame:
     """The ``k`` documents of each topic closest (cosine) to the topic's

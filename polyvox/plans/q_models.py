@@ -61,8 +61,9 @@ SELECT p.dataset, p.topicId, CAST(p.rk - 1 AS BIGINT) AS argumentId,
        p.commentId AS sourceCommentId
 FROM p LEFT JOIN t ON p.dataset = t.dataset AND p.commentId = t.commentId""".replace("{SENT}", _SENTENCE))
 def q_generate_arguments(spark, sf_dir):
-    f, dterms, _, idf = text_model(spark, sf_dir)
-    return AR.generate_arguments(C.agreeable_comments(f.comments), T.doc_weights(dterms, idf))
+    f, dterms, _, _ = text_model(spark, sf_dir)
+    agreeable = C.agreeable_comments(f.comments)
+    return AR.generate_arguments(agreeable, T.doc_weights_of(dterms, AR.argument_sources(agreeable)))
 
 
 @query("correlate_pairs", "J9 J10 D7 E8", f"""

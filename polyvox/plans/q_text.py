@@ -78,7 +78,7 @@ def model(spark, sf_dir):
     # the vectoriser output is written once and read by every later step
     dterms = materialize(spark, sf_dir, "doc_terms_src", lambda: T.doc_terms(
         not_rejected(f.comments), T.title_stop_words(f.summary), max_df=T.MAX_DF), base=False)
-    weights, idf = T.ctfidf(T.topic_term_counts(dterms))
+    weights, idf = T.ctfidf(T.topic_term_counts(dterms), totals=T.topic_totals(dterms))
     return f, dterms, weights, idf
 
 
