@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from polyvox.functions.exprs import argument_budget, first_sentence, percent_agree, tokens
 from polyvox.operators.rank import running
-from polyvox.operators.skew import per_topic, salted_join
+from polyvox.operators.skew import per_topic, topic_join
 
 MAX_BUDGET = 64          # ceil(2 ln n) <= 64 for n < 7.9e13 statements per topic
 SUPPORT_OVERLAP = 0.6    # overlap coefficient at or above which a pair is related
@@ -93,7 +93,7 @@ def correlate(statements: DataFrame, arguments: DataFrame,
                           F.array_distinct(tokens("commentText")).alias("__ws"))
     a = arguments.select("dataset", "topicId", "argumentId",
                          F.array_distinct(tokens("argumentContent")).alias("__wa"))
-    pairs = salted_join(s, a, ["dataset", "topicId"], spread_by=["commentId"])
+    pairs = topic_join(s, a)
     neg = F.array(*[F.lit(x) for x in NEGATIONS])
     inter = F.size(F.array_intersect("__ws", "__wa"))
     smaller = F.least(F.size("__ws"), F.size("__wa"))
@@ -131,7 +131,7 @@ def pair_prompts(statements: DataFrame, arguments: DataFrame) -> DataFrame:
     """J9 input for a model: one prompt per pair of a topic (see ``score_pairs_with``). Wording ours."""
     s = statements.select("dataset", "topicId", "commentId", "commentText")
     a = arguments.select("dataset", "topicId", "argumentId", "argumentTitle", "argumentContent")
-    return (salted_join(s, a, ["dataset", "topicId"], spread_by=["commentId"])
+    return (topic_join(s, a)
             .select("dataset", "topicId", "argumentId", "commentId", F.concat(
                 F.lit("ARGUMENT: "), F.col("argumentTitle"), F.lit(". "), F.col("argumentContent"),
                 F.lit("\nCOMMENT: "), F.col("commentText"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polyvox.operators.skew import salted_join
+from polyvox.operators.skew import topic_join
 
 
 def related(edges: DataFrame) -> DataFrame:
@@ -17,11 +17,11 @@ def topic_pairs(statements: DataFrame, arguments: DataFrame) -> DataFrame:
     """Every statement with every argument of its topic.
 
     An equi-join on (dataset, topicId). A topic holding a large share of the
-    statements is split by statement hash (``salted_join``), the arguments of
+    statements is split by statement hash (``topic_join``), the arguments of
     that topic being copied to each split."""
     s = statements.select("dataset", "topicId", "commentId")
     a = arguments.select("dataset", "topicId", "argumentId")
-    return salted_join(s, a, ["dataset", "topicId"], spread_by=["commentId"])
+    return topic_join(s, a)
 
 
 def pair_count(statements: DataFrame, arguments: DataFrame) -> DataFrame:

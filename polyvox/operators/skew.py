@@ -25,7 +25,7 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows (at most rows/hot_rows of them)."""
     return (df.groupBy(*keys).count()
             .filter(F.col("count") > hot_rows)
-            .select(*keys, F.lit(True).alias(_HOT)))
+            .select(*keys, F.col("count").alias(_HOT)))
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
@@ -38,31 +38,45 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str],
                 spread_by: list[str], how: str = "inner",
-                hot_rows: int | None = None, buckets: int | None = None) -> DataFrame:
+                hot_rows: int | None = None, buckets: int | None = None,
+                bucket_rows: int | None = None) -> DataFrame:
     """``big.join(small, keys, how)`` with hot keys of ``big`` split.
 
     ``spread_by``: columns of ``big`` hashed to pick a salt for hot rows
     (e.g. the voter id), so rows of one hot key land in ``buckets``
     partitions. ``how`` is ``inner`` or ``left`` (rows of ``big`` kept).
     Defaults come from ``polyvox.skew.hotRows`` / ``polyvox.skew.buckets``.
+    With ``bucket_rows`` a key has one bucket per so many rows of ``big`` instead: for
+    joins of few keys whose rows each make many, where no number of buckets fits all sizes.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot_rows = hot_rows or _conf_int(big, "polyvox.skew.hotRows", DEFAULT_HOT_ROWS)
+    hot_rows = bucket_rows or hot_rows or _conf_int(big, "polyvox.skew.hotRows", DEFAULT_HOT_ROWS)
     buckets = buckets or _conf_int(big, "polyvox.skew.buckets", DEFAULT_BUCKETS)
     hot = F.broadcast(hot_keys(big, keys, hot_rows))
-    is_hot = F.coalesce(F.col(_HOT), F.lit(False))
+    is_hot = F.col(_HOT).isNotNull()
+    n = F.ceil(F.col(_HOT) / bucket_rows).cast("int") if bucket_rows else F.lit(buckets)
     b = (big.join(hot, keys, "left")
-         .withColumn(_SALT, F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(buckets)))
+         .withColumn(_SALT, F.when(is_hot, F.pmod(F.xxhash64(*spread_by), n))
                      .otherwise(F.lit(0)).cast("int"))
          .drop(_HOT))
     s = (small.join(hot, keys, "left")
-         .withColumn(_SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1)))
+         .withColumn(_SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), n - 1))
                                       .otherwise(F.array(F.lit(0)))))
          .drop(_HOT))
     return b.join(s, keys + [_SALT], how).drop(_SALT)
 
 
+#: Statements of a topic that meet its arguments in one bucket.
+TOPIC_BUCKET = 2_000
+
+
+def topic_join(statements: DataFrame, arguments: DataFrame) -> DataFrame:
+    """Every statement with every argument of its topic. A statement makes a row per argument, and topics are few, so a
+    topic's statements are spread over a bucket per ``TOPIC_BUCKET`` of them; its arguments (about ``2 ln n``) are copied to each."""
+    return salted_join(statements, arguments, ["dataset", "topicId"], spread_by=["commentId"], bucket_rows=TOPIC_BUCKET)
+
+
 def per_dataset(df: DataFrame) -> DataFrame:
     """Broadcast a table with one small row per dataset (a threshold, a count,
     a stop-word list). Its size is #datasets x row size, independent of the

@@ -34,3 +34,22 @@ def test_titles_are_the_best_terms_of_the_statement(spark):
     assert {r["commentId"] for r in sources.collect()} == {11, 9, 7, 5, 10, 8, 6, 4}  # ceil(2 ln 6) = 4 of each topic
     made = lambda w: sorted(map(tuple, AR.generate_arguments(docs, w).collect()))
     assert made(T.doc_weights_of(dterms, sources)) == made(T.doc_weights(dterms, idf)) and len(made(T.doc_weights(dterms, idf))) == 8
+
+
+def test_statements_of_one_topic_are_spread(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    s = spark.range(9001).selectExpr("'a' AS dataset", "IF(id < 9000, 1, 2) AS topicId", "id AS commentId", "concat('text ', id) AS commentText")
+    s = s.union(spark.sql("SELECT 'a', NULL, 9001L, 'none'"))
+    a = spark.createDataFrame([("a", 1, 0, "t", "one"), ("a", 1, 1, "u", "two"), ("a", 2, 0, "v", "three"), ("a", None, 0, "w", "four")],
+                              "dataset string, topicId int, argumentId bigint, argumentTitle string, argumentContent string")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = AR.pair_prompts(s, a).selectExpr("topicId", "argumentId", "commentId", "prompt", "spark_partition_id() AS part").collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sorted(tuple(r)[:3] for r in got) == sorted([(1, k, i) for i in range(9000) for k in (0, 1)] + [(2, 0, 9000)])
+    assert all(f"\nCOMMENT: text {r['commentId']}\n" in r["prompt"] for r in got)
+    assert len({r["part"] for r in got if r["topicId"] == 1}) > 1
