@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from polyvox.functions.exprs import tokens
+from polyvox.operators import packed as P
 from polyvox.operators.skew import per_dataset, per_topic, salted_join
-from polyvox.operators.termblocks import counted_blocks, scored, term_model, whole_text_scores, window_scores, word_blocks
+from polyvox.operators.termblocks import counted_blocks, own_topic_scores, scores, term_model, whole_text_scores, window_scores, word_blocks
 from polyvox.sources.store import staged
 
 MAX_DF = 0.5
@@ -121,9 +122,22 @@ def counted(kept: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+DOC_KEYS = ("dataset", "commentId", "topicId")
+
+
+def doc_words(docs: DataFrame, stop: DataFrame | None = None, text: str = "commentText",
+              keys: tuple[str, ...] = DOC_KEYS, max_df: float | None = None) -> DataFrame:
+    """(keys..., toks): each document's words in order, without stop words. What ``doc_terms`` counts; as its pairs
+    are neighbours, the words alone say all and are a small part of the terms' size when written."""
+    rows = docs.select(*keys, tokens(text).alias("toks"))
+    if max_df is not None:
+        frequent = frequent_words(rows, max_df)
+        stop = frequent if stop is None else frequent.unionByName(stop.select("dataset", "word"))
+    return without_stop_words(rows, stop)
+
+
 def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "commentText",
-              keys: tuple[str, ...] = ("dataset", "commentId", "topicId"),
-              max_df: float | None = None) -> DataFrame:
+              keys: tuple[str, ...] = DOC_KEYS, max_df: float | None = None) -> DataFrame:
     """H5: (keys..., term, n, total) counts of unigrams and bigrams per document; ``total`` is
     the document's number of terms.
 
@@ -132,23 +146,29 @@ def doc_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "comme
     of a dataset's documents. Words are found inside the document's row, pairs and counts made where it is read:
     only the counts of ``frequent_words`` are shuffled, and no word with its document.
     """
-    rows = docs.select(*keys, tokens(text).alias("toks"))
-    if max_df is not None:
-        frequent = frequent_words(rows, max_df)
-        stop = frequent if stop is None else frequent.unionByName(stop.select("dataset", "word"))
-    kept = without_stop_words(rows, stop)
-    return counted(kept, keys)
+    return counted(doc_words(docs, stop, text, keys, max_df), keys)
+
 
+def topic_term_counts(dterms: DataFrame, topic: str = "topicId", sums: bool = False) -> DataFrame:
+    """n(t, w) over documents of real topics (outliers, -1, excluded).
 
-def topic_term_counts(dterms: DataFrame, topic: str = "topicId") -> DataFrame:
-    """n(t, w) over documents of real topics (outliers, -1, excluded). Rows are dealt by (dataset, term), so
-    what is next summed per term (``ctfidf``) stays in place; a term has a row per document at most."""
+    From ``doc_words`` terms are counted by topic where the words are read and move packed (``packed``); with ``sums``
+    each row then also has its term's count in all topics (``term_total``), and one row per term is marked (``term_first``),
+    so that ``ctfidf`` moves nothing more. Rows of ``doc_terms`` are dealt by (dataset, term); a term has a row per
+    document at most."""
+    if "toks" in dterms.columns:
+        n = P.buckets(dterms.sparkSession)
+        return P.summed_counts(P.packed_counts(dterms.filter(F.col(topic) >= 0), topic, n), dterms.schema, topic, sums)
     return (dterms.filter(F.col(topic) >= 0).select("dataset", topic, "term", "n").repartition("dataset", "term")
             .groupBy("dataset", topic, "term").agg(F.sum("n").alias("n")))
 
 
 def topic_totals(dterms: DataFrame, topic: str = "topicId") -> DataFrame:
-    """tot(t): (dataset, topic, __tot), summed where the terms are read."""
+    """tot(t): (dataset, topic, __tot), summed where the terms (or ``doc_words``) are read."""
+    if "toks" in dterms.columns:
+        n = F.size("toks")
+        own = dterms.filter((F.col(topic) >= 0) & (n > 0)).select("dataset", topic, (2 * n - 1).cast("bigint").alias("n"))
+        return own.groupBy("dataset", topic).agg(F.sum("n").alias("__tot"))
     return dterms.filter(F.col(topic) >= 0).groupBy("dataset", topic).agg(F.sum("n").alias("__tot"))
 
 
@@ -160,11 +180,15 @@ def ctfidf(tterms: DataFrame, topic: str = "topicId", totals: DataFrame | None =
     weights are those of the whole model."""
     tot = tterms.groupBy("dataset", topic).agg(F.sum("n").alias("__tot")) if totals is None else totals
     avg = tot.groupBy("dataset").agg(F.floor(F.avg("__tot")).alias("__A"))
-    f = tterms.groupBy("dataset", "term").agg(F.sum("n").alias("__f"))
+    summed = "term_total" in tterms.columns  # counted with their sums: nothing moves
+    if summed:
+        f = tterms.filter("term_first").select("dataset", "term", F.col("term_total").alias("__f"))
+    else:
+        f = tterms.groupBy("dataset", "term").agg(F.sum("n").alias("__f"))
     idf = (f.join(per_dataset(avg), "dataset")
            .select("dataset", "term", F.ln(1 + F.col("__A") / F.col("__f")).alias("idf")))
     # a term's sum over topics beside its rows (one per topic), so that the long table joins no other long one
-    found = F.sum("n").over(Window.partitionBy("dataset", "term")).alias("__f")
+    found = F.col("term_total").alias("__f") if summed else F.sum("n").over(Window.partitionBy("dataset", "term")).alias("__f")
     w = (tterms.select("dataset", topic, "term", "n", found).join(per_topic(tot), ["dataset", topic]).join(per_dataset(avg), "dataset")
          .select("dataset", topic, "term",
                  (F.sqrt(F.col("n") / F.col("__tot")) * F.ln(1 + F.col("__A") / F.col("__f"))).alias("weight")))
@@ -212,15 +236,14 @@ def representative_docs(dterms: DataFrame, weights: DataFrame, idf: DataFrame, k
     """The ``k`` documents of each topic closest (cosine) to the topic's
     c-TF-IDF vector; ties by commentId.
 
-    Every term of a topic's document is a term of the topic, so one join brings both weights;
-    the product and the norm of a document are sums of one aggregate. A (topic, term) has one row in the
-    model and at most the topic's documents on the other side, which stream past it."""
-    model = weights.select("dataset", topic, "term", "weight").join(idf, ["dataset", "term"])
+    Documents stay in blocks, whose distinct terms ask for their weights (``termblocks``); a document's product with
+    its own topic and its norm are summed in its block. ``dterms`` are ``doc_terms`` or ``doc_words``."""
     tnorm = weights.groupBy("dataset", topic).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("__tn"))
-    d = F.sqrt(F.col("n") / F.col("total")) * F.col("idf")
-    scored = (dterms.filter(F.col(topic) >= 0).join(model, ["dataset", topic, "term"])
-              .groupBy("dataset", topic, "commentId")
-              .agg(F.sum(d * F.col("weight")).alias("__dot"), F.sqrt(F.sum(d * d)).alias("__dn"))
+    kind = {c: dterms.schema[c].dataType for c in ("commentId", topic)}
+    blocks = counted_blocks(dterms.filter(F.col(topic) >= 0), topic)
+    scored = (scores(blocks, term_model(weights, idf, topic), own_topic_scores, topic, squares=True)
+              .select("dataset", F.col(topic).cast(kind[topic]).alias(topic), F.col("commentId").cast(kind["commentId"]).alias("commentId"),
+                      F.col("score").alias("__dot"), F.sqrt("square").alias("__dn"))
               .join(per_topic(tnorm), ["dataset", topic])
               .withColumn("score", F.col("__dot") / (F.col("__dn") * F.col("__tn"))))
     # exact copies score equal up to summation order; compare at 1e-9 so the
@@ -236,10 +259,10 @@ def reassign_by_terms(assign: DataFrame, dterms: DataFrame, weights: DataFrame,
     d(w) * weight(t, w) over shared terms if it is > 0 (d(w) as in ``doc_weights``); else they stay -1. One
     window, the whole text; ``reassign_by_distributions`` has overlapping ones.
 
-    ``dterms`` holds the terms of ``assign``'s rows under their topic. The outliers' terms meet the topics by blocks
+    ``dterms`` holds the terms (or ``doc_words``) of ``assign``'s rows under their topic. The outliers' terms meet the topics by blocks
     of documents (``termblocks``), so no row is made per document, term and topic."""
     out = assign.filter(F.col(topic) == -1).select("dataset", "commentId").distinct()
-    sums = scored(counted_blocks(dterms.filter(F.col(topic) == -1)), term_model(weights, idf, topic), whole_text_scores, "__t")
+    sums = scores(counted_blocks(dterms.filter((F.col(topic) == -1) & F.col("commentId").isNotNull())), term_model(weights, idf, topic), whole_text_scores, "__t")
     best = (sums.filter("score > 0").groupBy("dataset", "commentId")
             .agg(F.max_by("__t", F.struct(F.col("score"), -F.col("__t"))).alias("__best"))
             .join(out, ["dataset", "commentId"], "left_semi"))
@@ -264,7 +287,7 @@ def topic_distributions(docs: DataFrame, stop: DataFrame, weights: DataFrame, id
     Windows are formed, weighed and multiplied in their block of documents (``termblocks``); only a block's distinct
     terms meet the model, never a window's."""
     blocks = word_blocks(kept_words(docs, stop))
-    return scored(blocks, term_model(weights, idf, topic, unit=True), window_scores(size, stride, min_similarity), topic)
+    return scores(blocks, term_model(weights, idf, topic, unit=True), window_scores(size, stride, min_similarity), topic)
 
 
 def reassign_by_distributions(assign: DataFrame, docs: DataFrame, stop: DataFrame, weights: DataFrame, idf: DataFrame,

@@ -10,7 +10,7 @@ from polyvox.operators import select as C
 from polyvox.operators import text as T
 from polyvox.plans.catalog import query
 from polyvox.plans.oracle import VIEWS
-from polyvox.plans.q_text import model as text_model
+from polyvox.plans.q_text import doc_terms
 from polyvox.sources.adapters import Fixture
 from polyvox.sources.tables import table
 
@@ -61,7 +61,7 @@ SELECT p.dataset, p.topicId, CAST(p.rk - 1 AS BIGINT) AS argumentId,
        p.commentId AS sourceCommentId
 FROM p LEFT JOIN t ON p.dataset = t.dataset AND p.commentId = t.commentId""".replace("{SENT}", _SENTENCE))
 def q_generate_arguments(spark, sf_dir):
-    f, dterms, _, _ = text_model(spark, sf_dir)
+    f, dterms = doc_terms(spark, sf_dir)
     agreeable = C.agreeable_comments(f.comments)
     return AR.generate_arguments(agreeable, T.doc_weights_of(dterms, AR.argument_sources(agreeable)))
 

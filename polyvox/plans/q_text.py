@@ -9,7 +9,7 @@ from polyvox.operators.select import not_rejected
 from polyvox.plans.catalog import query
 from polyvox.plans.oracle import VIEWS
 from polyvox.sources.adapters import Fixture
-from polyvox.sources.store import materialize
+from polyvox.sources.store import materialize, staged
 
 _TOKS = r"regexp_extract_all(lower(commentText), '[\p{L}\p{N}_]{2,}')"
 
@@ -71,21 +71,29 @@ JOIN fx_{p}_idf i ON d.dataset = i.dataset AND d.term = i.term"""
 text_views("src", "SELECT dataset, commentId, topicId, commentText FROM fx_comments WHERE moderated >= 0")
 
 
-def model(spark, sf_dir):
-    """Doc terms, c-TF-IDF weights and idf over the not-rejected statements,
-    grouped by their topic."""
+def model(spark, sf_dir, reused=False):
+    """Documents' words, c-TF-IDF weights and idf over the not-rejected statements,
+    grouped by their topic. With ``reused`` (several steps read weights or idf) the counts are written."""
     f = Fixture(spark, sf_dir)
-    # the vectoriser output is written once and read by every later step
-    dterms = materialize(spark, sf_dir, "doc_terms_src", lambda: T.doc_terms(
+    # the vectoriser's words are written once and counted by every later step: terms take ten times their size
+    words = materialize(spark, sf_dir, "doc_words_src", lambda: T.doc_words(
+        not_rejected(f.comments), T.title_stop_words(f.summary), max_df=T.MAX_DF), base=False)
+    counts = T.topic_term_counts(words, sums=True)
+    weights, idf = T.ctfidf(staged(counts, "term-counts") if reused else counts, totals=staged(T.topic_totals(words), "totals"))
+    return f, words, weights, idf
+
+
+def doc_terms(spark, sf_dir):
+    """Terms of the not-rejected statements' documents, written once."""
+    f = Fixture(spark, sf_dir)
+    return f, materialize(spark, sf_dir, "doc_terms_src", lambda: T.doc_terms(
         not_rejected(f.comments), T.title_stop_words(f.summary), max_df=T.MAX_DF), base=False)
-    weights, idf = T.ctfidf(T.topic_term_counts(dterms), totals=T.topic_totals(dterms))
-    return f, dterms, weights, idf
 
 
 @query("topic_terms", "H5 H6", "SELECT * FROM fx_src_tterms")
 def q_topic_terms(spark, sf_dir):
-    _, dterms, _, _ = model(spark, sf_dir)
-    return T.topic_term_counts(dterms).withColumn("n", F.col("n").cast("bigint"))
+    _, words, _, _ = model(spark, sf_dir)
+    return T.topic_term_counts(words).withColumn("n", F.col("n").cast("bigint"))
 
 
 @query("ctfidf", "H7", """
@@ -120,5 +128,5 @@ SELECT dataset, topicId, commentId, rank, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset, topicId ORDER BY round(score, 9) DESC, commentId) AS rank
   FROM s) WHERE rank <= 3""")
 def q_representative_docs(spark, sf_dir):
-    _, dterms, weights, idf = model(spark, sf_dir)
-    return T.representative_docs(dterms, weights, idf, 3)
+    _, words, weights, idf = model(spark, sf_dir, reused=True)
+    return T.representative_docs(words, weights, idf, 3)

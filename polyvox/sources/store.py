@@ -38,7 +38,7 @@ def materialize(spark: SparkSession, scope: str, name: str, build, base: bool =
         hit = _TABLES.get(k)
     if hit is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/polyvox-tables/{_key(spark, scope)}/{name}"
-        w = build().write.mode("overwrite")
+        w = build().write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -57,11 +57,13 @@ def forget_intermediates(spark: SparkSession | None = None, all_tables: bool = F
                 del _TABLES[k]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, per_file: int | None = None) -> DataFrame:
     """Write ``df`` to a new folder below the shared checkpoint folder and scan it. Lineage ends there, and
     unlike ``checkpoint()`` so do the planner's size estimates, which joins in a loop would otherwise
-    multiply round by round until planning takes longer than the work."""
+    multiply round by round until planning takes longer than the work. ``per_file`` bounds a file's rows where
+    a row is so large that a reader's batch of them must stay small."""
     root = re.sub(r"^file:/+", "file:///", checkpoint_dir(df.sparkSession).rstrip("/"))
     path = f"{root}/polyvox-stages/{name}-{uuid.uuid4().hex[:16]}"
-    df.write.parquet(path)
+    w = df.write.option("compression", "zstd")
+    (w.option("maxRecordsPerFile", per_file) if per_file else w).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
