@@ -89,3 +89,12 @@ def per_topic(df: DataFrame) -> DataFrame:
     """A table with one small row per (dataset, topic). Topic counts come from the
     data, so Spark decides by its size whether it is broadcast."""
     return df
+
+
+#: Rows up to this number are sent to every task (words: about 30 MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """Broadcast a written table if it has at most ``BROADCAST_ROWS`` rows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

@@ -16,7 +16,7 @@ from polyvox.plans.oracle import VIEWS
 from polyvox.plans.q_text import model as text_model
 from polyvox.plans.q_text import text_views
 from polyvox.sources.adapters import OUTLIER_LABEL, Fixture
-from polyvox.sources.store import materialize
+from polyvox.sources.store import materialize, staged
 
 VIEWS["fx_assign"] = f"""
 SELECT c.dataset, c.commentId, e.embedding,
@@ -93,13 +93,14 @@ def q_reassign_embedding(spark, sf_dir):
 
 
 def _h12(spark, sf_dir):
-    """(fixture, assignment after H12, its document terms)."""
+    """(fixture, assignment after H12, its documents' words, the written counts of their terms, idf and weights)."""
     f = fx(spark, sf_dir)
     a = K.reassign_by_embedding(f.assignment, K.centroids(f.assignment))
     docs = a.join(f.comments.select("dataset", "commentId", "commentText"), ["dataset", "commentId"])
-    dterms = materialize(spark, sf_dir, "doc_terms_h12", lambda: T.doc_terms(
+    words = materialize(spark, sf_dir, "doc_words_h12", lambda: T.doc_words(
         docs, T.title_stop_words(f.summary), max_df=T.MAX_DF), base=False)
-    return f, a, dterms
+    weights, idf = T.ctfidf(staged(T.topic_term_counts(words, sums=True), "term-counts"), totals=staged(T.topic_totals(words), "totals"))
+    return f, a, words, weights, idf
 
 
 @query("reassign_by_terms", "H13 H14", """
@@ -116,9 +117,8 @@ SELECT h.dataset, h.commentId,
        CAST(CASE WHEN h.topicId = -1 THEN coalesce(b.t, -1) ELSE h.topicId END AS INTEGER) AS topicId
 FROM fx_h12 h LEFT JOIN b ON h.dataset = b.dataset AND h.commentId = b.commentId""")
 def q_reassign_terms(spark, sf_dir):
-    _, a, dterms = _h12(spark, sf_dir)
-    weights, idf = T.ctfidf(T.topic_term_counts(dterms))
-    out = T.reassign_by_terms(a, dterms, weights, idf)
+    _, a, words, weights, idf = _h12(spark, sf_dir)
+    out = T.reassign_by_terms(a, words, weights, idf)
     return out.select("dataset", "commentId", "topicId")
 
 
@@ -144,8 +144,7 @@ b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset, commentI
 SELECT h.dataset, h.commentId, CAST(CASE WHEN h.topicId = -1 THEN coalesce(b.t, -1) ELSE h.topicId END AS INTEGER) AS topicId
 FROM fx_h12 h LEFT JOIN b ON h.dataset = b.dataset AND h.commentId = b.commentId""")
 def q_reassign_windows(spark, sf_dir):
-    f, a, dterms = _h12(spark, sf_dir)
-    weights, idf = T.ctfidf(T.topic_term_counts(dterms))
+    f, a, _, weights, idf = _h12(spark, sf_dir)
     docs = a.select("dataset", "commentId").join(f.comments.select("dataset", "commentId", "commentText"), ["dataset", "commentId"])
     stop = T.frequent_words(T.doc_tokens(docs), T.MAX_DF).unionByName(T.title_stop_words(f.summary))
     return T.reassign_by_distributions(a, docs, stop, weights, idf).select("dataset", "commentId", "topicId")
@@ -299,7 +298,7 @@ def q_clustering_sweep(spark, sf_dir):
 def q_document_map(spark, sf_dir):
     """Statements with a vector on two principal components, with their source topic and its
     ancestors in the merge tree."""
-    f, _, weights, _ = text_model(spark, sf_dir)
+    f, _, weights, _ = text_model(spark, sf_dir, reused=True)
     labels = TP.headings(T.top_terms(weights, 10), T.title_stop_words(f.summary))
     return TP.document_map(not_rejected(f.comments), EM.pca_coords(f.assignment, k=2), HI.hierarchy(weights), labels)
 
@@ -311,7 +310,7 @@ def q_hash_embeddings(spark, sf_dir):
 
 @query("mmr_keywords", "H9")
 def q_mmr_keywords(spark, sf_dir):
-    _, _, weights, _ = text_model(spark, sf_dir)
+    _, _, weights, _ = text_model(spark, sf_dir, reused=True)
     return TP.mmr_keywords(weights)
 
 
@@ -329,8 +328,7 @@ FROM (SELECT DISTINCT dataset, topicId FROM fx_h12) t
 LEFT JOIN h ON t.dataset = h.dataset AND t.topicId = h.topicId""")
 def q_topic_headings(spark, sf_dir):
     """Headings of the embedding topics; statements without a vector are the outliers."""
-    f, a, dterms = _h12(spark, sf_dir)
-    weights, _ = T.ctfidf(T.topic_term_counts(dterms))
+    f, a, _, weights, _ = _h12(spark, sf_dir)
     return TP.headings(T.top_terms(weights, 10), T.title_stop_words(f.summary), topics=a)
 
 
@@ -361,11 +359,11 @@ SELECT s.dataset, s.topicId AS Topic, s.n AS Count, g.Representation, CAST(d.n_d
 FROM s LEFT JOIN g ON s.dataset = g.dataset AND s.topicId = g.topicId
 LEFT JOIN d ON s.dataset = d.dataset AND s.topicId = d.topicId""")
 def q_topic_info(spark, sf_dir):
-    f, dterms, weights, idf = text_model(spark, sf_dir)
+    f, words, weights, idf = text_model(spark, sf_dir, reused=True)
     nr = not_rejected(f.comments)
     sizes = K.topic_sizes(nr.select("dataset", "commentId", "topicId"))
     kw = T.top_terms(weights, 10)
-    rep = T.representative_docs(dterms, weights, idf, 3)
+    rep = T.representative_docs(words, weights, idf, 3)
     labels = TP.headings(kw, T.title_stop_words(f.summary))
     info = TP.topic_info(sizes, kw, rep, f.comments, labels)
     return info.select("dataset", "Topic", "Count", F.array_join("Representation", ", ")
