@@ -12,6 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from polyvox.operators.skew import few
+from polyvox.sources.store import staged
+
 MMR_SCHEMA = "dataset string, topicId int, rank int, term string"
 
 
@@ -48,9 +51,11 @@ def mmr_keywords(weights: DataFrame, candidates: int = 30, k: int = 10,
     with its weight profile over the dataset's topics (one
     entry per topic), so the pandas step is small whatever the data size."""
     w = Window.partitionBy("dataset", "topicId").orderBy(F.desc("weight"), "term")
-    cand = (weights.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= candidates)
-            .drop("__r"))
-    prof = (weights.join(cand.select("dataset", "term").distinct(), ["dataset", "term"])
+    cand = staged(weights.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= candidates)
+                  .drop("__r"), "candidates")
+    # at most topics x candidates terms; unless they are very many the weights are read past them, not moved
+    asked = few(staged(cand.select("dataset", "term").distinct(), "terms-asked"))
+    prof = (weights.join(asked, ["dataset", "term"])
             .groupBy("dataset", "term")
             .agg(F.map_from_entries(F.collect_list(F.struct("topicId", "weight"))).alias("profile")))
     g = cand.join(prof, ["dataset", "term"])
