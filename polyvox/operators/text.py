@@ -29,7 +29,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from polyvox.functions.exprs import tokens
 from polyvox.operators import packed as P
-from polyvox.operators.skew import per_dataset, per_topic, salted_join
+from polyvox.operators.skew import few, per_dataset, per_topic, salted_join
 from polyvox.operators.termblocks import counted_blocks, own_topic_scores, scores, term_model, whole_text_scores, window_scores, word_blocks
 from polyvox.sources.store import staged
 
@@ -220,10 +220,7 @@ def doc_weights_of(dterms: DataFrame, docs: DataFrame, topic: str = "topicId") -
     """``doc_weights`` of the documents in ``docs`` (dataset, commentId) under the model of all documents.
 
     The model is asked only for these documents' terms, so the terms of the others are read, not shuffled. What is
-    sent to every task is counted first (``BROADCAST_WORDS``)."""
-    def few(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if df.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS else df
-
+    sent to every task is counted first (``skew.few``)."""
     ids = staged(docs.select("dataset", "commentId").distinct(), "weighed-docs")
     own = staged(dterms.join(few(ids), ["dataset", "commentId"], "left_semi"), "weighed-terms")
     terms = staged(own.select("dataset", "term").distinct(), "terms-asked")
@@ -272,14 +269,14 @@ def reassign_by_terms(assign: DataFrame, dterms: DataFrame, weights: DataFrame,
             .drop("__best"))
 
 
-def kept_words(docs: DataFrame, stop: DataFrame, text: str = "commentText") -> DataFrame:
+def kept_words(docs: DataFrame, stop: DataFrame | None, text: str = "commentText") -> DataFrame:
     """(dataset, commentId, words): each document's words in order, without stop words; documents
-    without any are left out."""
-    rows = docs.select("dataset", "commentId", tokens(text).alias("toks"))
+    without any are left out. ``docs`` hold texts or, as ``doc_words``, words."""
+    rows = docs.select("dataset", "commentId", "toks" if "toks" in docs.columns else tokens(text).alias("toks"))
     return without_stop_words(rows, stop).filter(F.size("toks") > 0).withColumnRenamed("toks", "words")
 
 
-def topic_distributions(docs: DataFrame, stop: DataFrame, weights: DataFrame, idf: DataFrame, size: int = 4, stride: int = 1,
+def topic_distributions(docs: DataFrame, stop: DataFrame | None, weights: DataFrame, idf: DataFrame, size: int = 4, stride: int = 1,
                         min_similarity: float = 0.1, topic: str = "topicId") -> DataFrame:
     """(dataset, commentId, topic, score): per document and topic the sum over its windows of the cosine
     between the window's and the topic's c-TF-IDF vectors, windows under ``min_similarity`` left out.
@@ -290,12 +287,12 @@ def topic_distributions(docs: DataFrame, stop: DataFrame, weights: DataFrame, id
     return scores(blocks, term_model(weights, idf, topic, unit=True), window_scores(size, stride, min_similarity), topic)
 
 
-def reassign_by_distributions(assign: DataFrame, docs: DataFrame, stop: DataFrame, weights: DataFrame, idf: DataFrame,
+def reassign_by_distributions(assign: DataFrame, docs: DataFrame, stop: DataFrame | None, weights: DataFrame, idf: DataFrame,
                               size: int = 4, stride: int = 1, min_similarity: float = 0.1, topic: str = "topicId") -> DataFrame:
     """Rows still -1 take the topic with the largest score of ``topic_distributions`` (equal at 1e-9:
-    the lower id); rows without a window that resembles a topic stay -1."""
-    out = docs.select("dataset", "commentId", "commentText").join(
-        assign.filter(F.col(topic) == -1).select("dataset", "commentId"), ["dataset", "commentId"], "left_semi")
+    the lower id); rows without a window that resembles a topic stay -1. ``docs`` hold texts or ``doc_words``."""
+    left = staged(assign.filter(F.col(topic) == -1).select("dataset", "commentId"), "outliers")
+    out = docs.select("dataset", "commentId", "toks" if "toks" in docs.columns else "commentText").join(few(left), ["dataset", "commentId"], "left_semi")
     best = (topic_distributions(out, stop, weights, idf, size, stride, min_similarity, topic).groupBy("dataset", "commentId")
             .agg(F.max_by(topic, F.struct(F.round("score", 9), -F.col(topic))).alias("__best")))
     return (assign.join(best, ["dataset", "commentId"], "left")

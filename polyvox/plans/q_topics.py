@@ -11,6 +11,7 @@ from polyvox.operators import text as T
 from polyvox.operators import similar as S
 from polyvox.operators import topics as TP
 from polyvox.operators.select import not_rejected
+from polyvox.operators.skew import few
 from polyvox.plans.catalog import query
 from polyvox.plans.oracle import VIEWS
 from polyvox.plans.q_text import model as text_model
@@ -95,8 +96,9 @@ def q_reassign_embedding(spark, sf_dir):
 def _h12(spark, sf_dir):
     """(fixture, assignment after H12, its documents' words, the written counts of their terms, idf and weights)."""
     f = fx(spark, sf_dir)
-    a = K.reassign_by_embedding(f.assignment, K.centroids(f.assignment))
-    docs = a.join(f.comments.select("dataset", "commentId", "commentText"), ["dataset", "commentId"])
+    a = K.reassign_by_embedding(f.assignment, K.centroids(f.assignment)).select("dataset", "commentId", "topicId")
+    a = staged(a, "assigned")  # a few bytes a document; unless they are very many texts don't move to them
+    docs = few(a).join(f.comments.select("dataset", "commentId", "commentText"), ["dataset", "commentId"])
     words = materialize(spark, sf_dir, "doc_words_h12", lambda: T.doc_words(
         docs, T.title_stop_words(f.summary), max_df=T.MAX_DF), base=False)
     weights, idf = T.ctfidf(staged(T.topic_term_counts(words, sums=True), "term-counts"), totals=staged(T.topic_totals(words), "totals"))
@@ -144,10 +146,8 @@ b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset, commentI
 SELECT h.dataset, h.commentId, CAST(CASE WHEN h.topicId = -1 THEN coalesce(b.t, -1) ELSE h.topicId END AS INTEGER) AS topicId
 FROM fx_h12 h LEFT JOIN b ON h.dataset = b.dataset AND h.commentId = b.commentId""")
 def q_reassign_windows(spark, sf_dir):
-    f, a, _, weights, idf = _h12(spark, sf_dir)
-    docs = a.select("dataset", "commentId").join(f.comments.select("dataset", "commentId", "commentText"), ["dataset", "commentId"])
-    stop = T.frequent_words(T.doc_tokens(docs), T.MAX_DF).unionByName(T.title_stop_words(f.summary))
-    return T.reassign_by_distributions(a, docs, stop, weights, idf).select("dataset", "commentId", "topicId")
+    _, a, words, weights, idf = _h12(spark, sf_dir)
+    return T.reassign_by_distributions(a, words, None, weights, idf).select("dataset", "commentId", "topicId")
 
 
 @query("topic_similarity", "H16", f"""
