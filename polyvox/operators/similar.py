@@ -13,12 +13,17 @@ A bucket of any size is handled whole. A set over ``BLOCK`` members, or a bucket
 into rings of equal angle around three of its members; by the triangle inequality similar vectors lie in the
 same or in neighbouring rings, so overlapping rings lose no pair. Cells still over ``BLOCK`` members are cut
 into blocks, and each two blocks meet in one task.
+
+Where many vectors lie near many others, bands bring the same pairs together again and again, each time with copies
+of their vectors. Density clusters count that beforehand (``all_pairs_cost_less``); then all vectors are cut into
+blocks, each two blocks meet once in one task (``squares``), and a vector is moved once per block, packed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +33,7 @@ from pyspark.sql import functions as F
 from polyvox.functions.exprs import min_cluster_size
 from polyvox.functions.vectors import dot, normalize
 from polyvox.operators.connected import connected
+from polyvox.operators.packed import dump, load
 from polyvox.operators.skew import per_dataset, salted_join
 from polyvox.sources.store import staged
 
@@ -69,15 +75,16 @@ def most_signs(threshold: float) -> int:
 def representatives(points: DataFrame, vec: str) -> tuple[DataFrame, DataFrame]:
     """(members, reps): ``members(dataset, commentId, h1, h2)`` names each usable vector (not null, not
     zero, finite), ``reps(dataset, vid, w, u, h1, h2)`` has one row per distinct vector: smallest
-    statement id, number of statements, unit vector."""
+    statement id, number of statements, unit vector (and ``v``, the vector as it is)."""
     usable = (points.select("dataset", F.col("commentId").cast("bigint").alias("commentId"), F.col(vec).alias("__v"))
               .filter(F.coalesce(F.forall("__v", lambda x: F.coalesce(x - x == 0, F.lit(False))), F.lit(False)))
-              .withColumn("u", normalize("__v")).filter("u is not null"))
+              .filter(normalize("__v").isNotNull()))
     # 128 bits of two differently seeded hashes name a vector
-    named = usable.select("dataset", "commentId", "u", F.xxhash64("__v").alias("h1"), F.xxhash64(F.lit(1), "__v").alias("h2"))
+    named = staged(usable.select("dataset", "commentId", "__v", F.xxhash64("__v").alias("h1"), F.xxhash64(F.lit(1), "__v").alias("h2")), "named")
     reps = (named.groupBy("dataset", "h1", "h2")
-            .agg(F.min("commentId").alias("vid"), F.count("*").alias("w"), F.any_value("u").alias("u")))
-    return named.drop("u"), staged(reps, "vectors")
+            .agg(F.min("commentId").alias("vid"), F.count("*").alias("w"), F.any_value("__v").alias("__v"))
+            .select("dataset", "h1", "h2", "vid", "w", normalize("__v").alias("u"), F.col("__v").cast("array<double>").alias("v")))
+    return named.drop("__v"), staged(reps, "vectors")
 
 
 def bucket_rows(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
@@ -291,6 +298,229 @@ def core_distances(reps: DataFrame, rows: DataFrame, radius: float, min_samples:
             .filter("core is not null"))
 
 
+#: Vectors to a side of a square of pairs, and vectors of either side that are compared at once.
+SIDE = 32_768
+ROWS_AT_ONCE, COLUMNS_AT_ONCE = 1024, 4096
+
+
+def all_pairs_cost_less(reps: DataFrame, threshold: float) -> bool:
+    """Whether comparing all pairs once is less work than the bands, by the sizes of two bands' buckets."""
+    n = reps.count()
+    bits, bands = bits_and_bands(n, threshold)
+    if n / 2 <= bands * ROW_COST:
+        return True
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        power = 1 << np.arange(bits, dtype=np.int64)
+        for b in batches:
+            x = np.asarray(b.column(1).flatten()).reshape(b.num_rows, -1)
+            for band in range(2):
+                planes = np.random.default_rng([17, band]).standard_normal((x.shape[1], bits))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.full(b.num_rows, band, np.int32)), pa.array((x @ planes > 0) @ power)], ["dataset", "band", "key"])
+
+    sizes = reps.select("dataset", "u").mapInArrow(keys, "dataset string, band int, key bigint").groupBy("dataset", "band", "key").count()
+    met = sizes.agg(F.sum(F.col("count").cast("double") ** 2)).first()[0] / (2 * n)
+    return n / 2 <= bands * (ROW_COST + met)
+
+
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (of each node its set's smallest) after the sets with labels ``a`` and ``b`` are joined."""
+    up = np.arange(len(label))
+    while len(a):
+        lo, hi = np.minimum(a, b), np.maximum(a, b)
+        np.minimum.at(up, hi, lo)
+        while not (up[up] == up).all():
+            up = up[up]
+        a, b = up[lo], up[hi]
+        apart = a != b
+        a, b = a[apart], b[apart]
+    return up[label]
+
+
+def _linked(x: np.ndarray, y: np.ndarray, label: np.ndarray, at: int, threshold: float) -> np.ndarray:
+    """``label`` of the nodes of both sides (``y``'s from ``at``) after all pairs of cosine >= ``threshold`` are joined."""
+    for lo in range(0, len(x), ROWS_AT_ONCE):
+        for c in range(0, len(y), COLUMNS_AT_ONCE):
+            one, two = label[lo:min(lo + ROWS_AT_ONCE, len(x))], label[at + c:at + min(c + COLUMNS_AT_ONCE, len(y))]
+            if one.min() == one.max() == two.min() == two.max():
+                continue  # all joined
+            i, j = np.nonzero((x[lo:lo + ROWS_AT_ONCE] @ y[c:c + COLUMNS_AT_ONCE].T >= threshold) & (one[:, None] != two))
+            if len(i):
+                label = _unite(label, one[i], two[j])
+    return label
+
+
+class Block:
+    """Vectors of a dataset's block: ids (ascending), numbers of statements, unit vectors, and labels of linked sets."""
+
+    def __init__(self, data: bytes, size: int, whole: bool):
+        (vid, w, x, shape, label), raw = load(size, data)
+        self.vid, self.w, self.label = vid, w, label
+        x = np.frombuffer(raw, np.int16 if whole else np.float64).reshape(shape).astype(np.float64)
+        self.u = x * (1 / np.sqrt(np.einsum("ij,ij->i", x, x)))[:, None]
+
+    @staticmethod
+    def packed(vid: np.ndarray, w: np.ndarray, x: np.ndarray, threshold: float | None) -> tuple[int, bytes, bool]:
+        whole = bool((np.abs(x) < 2**15).all() and (x == np.rint(x)).all())  # counts of hashed words are small whole numbers
+        label = np.arange(len(vid))
+        if threshold is not None:
+            u = x * (1 / np.sqrt(np.einsum("ij,ij->i", x, x)))[:, None]
+            label = _linked(u, u, label, 0, threshold)
+        raw = x.astype(np.int16 if whole else np.float64).tobytes()
+        return *dump([vid, w, np.zeros(0, np.int64), np.array(x.shape), label], raw), whole
+
+
+def vector_blocks(reps: DataFrame, side: int, threshold: float | None = None) -> DataFrame:
+    """(dataset, block, m, size, data, whole): each dataset's vectors in ``m`` blocks of about ``side``, written once; with
+    ``threshold`` a block also says which of its vectors are linked."""
+    sizes = reps.groupBy("dataset").agg(F.ceil(F.count("*") / F.lit(side)).cast("int").alias("m"))
+    rows = (reps.join(per_dataset(sizes), "dataset").select("dataset", F.pmod(F.xxhash64("vid", F.lit(31)), F.col("m")).cast("int").alias("block"), "m", "vid", "w", "v")
+            .repartition("dataset", "block").sortWithinPartitions("dataset", "block", "vid"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held)
+            vid = t.column("vid").to_numpy()
+            size, data, whole = Block.packed(vid, t.column("w").to_numpy(), t.column("v").combine_chunks().flatten().to_numpy().reshape(len(vid), -1), threshold)
+            one = lambda x, kind: pa.array([x], kind)
+            return pa.RecordBatch.from_arrays([one(at[0], pa.string()), one(at[1], pa.int32()), one(t.column("m")[0].as_py(), pa.int32()), one(size, pa.int32()),
+                                               one(data, pa.binary()), one(whole, pa.bool_())], ["dataset", "block", "m", "size", "data", "whole"])
+
+        held, at = [], None
+        for b in batches:
+            names, blocks = b.column(0).to_pylist(), b.column(1).to_numpy()
+            cuts = [0, *(i for i in range(1, b.num_rows) if blocks[i] != blocks[i - 1] or names[i] != names[i - 1]), b.num_rows] if b.num_rows else [0]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if held and (names[lo], blocks[lo]) != at:
+                    yield flush()
+                    held = []
+                at = (names[lo], blocks[lo])
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield flush()
+
+    return staged(rows.mapInArrow(run, "dataset string, block int, m int, size int, data binary, whole boolean"), "vector-blocks", 1)
+
+
+def squares(blocks: DataFrame, compare: Callable[[str, int, Block, int, Block | None], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``compare(dataset, i, block i, j, block j)`` for every two blocks i < j of a dataset and (block j is None) for each alone; a square
+    of pairs is one task's, which holds two blocks."""
+    many = blocks.select("dataset", "m").distinct().agg(F.sum(F.col("m").cast("bigint") * (F.col("m") + 1) / 2)).first()[0]
+    other = F.explode(F.sequence(F.lit(0), F.col("m") - 1))
+    met = (blocks.select("dataset", "block", "size", "data", "whole", other.alias("other"))
+           .select("dataset", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "size", "whole", "data")
+           .repartition(max(1, min(int(many or 1), 4096)), "dataset", "i", "j").sortWithinPartitions("dataset", "i", "j", "block"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            for k in range(b.num_rows):
+                dataset, i, j, block, size, whole = (b.column(c)[k].as_py() for c in range(6))
+                own = Block(b.column(6)[k].as_py(), size, whole)
+                if i == j:
+                    yield from compare(dataset, i, own, j, None)
+                elif block == i:
+                    last = (dataset, i, j, own)
+                elif last and last[:3] == (dataset, i, j):  # a block without vectors has no row
+                    yield from compare(dataset, i, last[3], j, own)
+                    last = None
+
+    return met.mapInArrow(run, schema)
+
+
+class Nearest:
+    """Of each vector the cosines of its ``k`` nearest so far (descending, over ``floor``) and their numbers of statements."""
+
+    def __init__(self, n: int, k: int, floor: float):
+        self.s, self.w, self.k = np.full((n, k), floor), np.zeros((n, k), np.int64), k
+
+    def see(self, lo: int, s: np.ndarray, w: np.ndarray) -> None:
+        """Cosines ``s`` of the vectors from ``lo`` with others of ``w`` statements."""
+        k, own = self.k, slice(lo, lo + len(s))
+        hit = s > self.s[own, -1:]
+        n = np.count_nonzero(hit)
+        if not n:
+            return
+        if n > 32 * len(s) and s.shape[1] > k:
+            at = np.argpartition(s, -k, axis=1)[:, -k:]
+            row, new, weight = np.arange(len(s)), np.take_along_axis(s, at, 1), w[at]
+        else:
+            r, c = np.nonzero(hit)
+            value = s[r, c]
+            order = np.lexsort((-value, r))
+            r, c, value = r[order], c[order], value[order]
+            first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+            row = r[first]
+            rank = np.arange(len(r)) - np.repeat(first, np.diff(first, append=len(r)))
+            best = rank < k
+            place = np.repeat(np.arange(len(first)), np.diff(first, append=len(r)))[best]
+            new, weight = np.full((len(first), k), -2.0), np.zeros((len(first), k), np.int64)
+            new[place, rank[best]], weight[place, rank[best]] = value[best], w[c[best]]
+        both, of = np.concatenate([self.s[own][row], new], axis=1), np.concatenate([self.w[own][row], weight], axis=1)
+        order = np.argsort(-both, axis=1, kind="stable")[:, :k]
+        self.s[lo + row], self.w[lo + row] = np.take_along_axis(both, order, 1), np.take_along_axis(of, order, 1)
+
+
+def core_by_squares(reps: DataFrame, radius: float, min_samples: int, side: int) -> DataFrame:
+    """``core_distances`` from all pairs. A square passes on its vectors' few nearest, packed by block."""
+    schema = "dataset string, block int, size int, data binary"
+    floor = 1 - radius - 1e-9
+
+    def nearest(dataset: str, i: int, x: Block, j: int, y: Block | None) -> Iterator[pa.RecordBatch]:
+        other = y or x
+        sides = [Nearest(len(b.vid), min_samples, floor) for b in ([x, y] if y else [x])]
+        for lo in range(0, len(x.vid), ROWS_AT_ONCE):
+            for c in range(0, len(other.vid), COLUMNS_AT_ONCE):
+                s = x.u[lo:lo + ROWS_AT_ONCE] @ other.u[c:c + COLUMNS_AT_ONCE].T
+                if y is None:  # not a vector with itself
+                    same = np.arange(max(lo, c), min(lo + s.shape[0], c + s.shape[1]))
+                    s[same - lo, same - c] = -2
+                sides[0].see(lo, s, other.w[c:c + COLUMNS_AT_ONCE])
+                if y:
+                    sides[1].see(c, s.T, x.w[lo:lo + ROWS_AT_ONCE])
+        for block, b, near in zip((i, j), (x, y), sides):
+            keep = (near.w > 0) & (1 - near.s <= radius)
+            r, k = np.nonzero(keep)
+            own = [b.vid, b.w] if y is None else [r[:0], r[:0]]
+            size, data = dump([*own, r, np.maximum(1 - near.s[r, k], 0), near.w[r, k]])
+            yield pa.RecordBatch.from_arrays([pa.array([dataset], pa.string()), pa.array([block], pa.int32()), pa.array([size], pa.int32()),
+                                              pa.array([data], pa.binary())], ["dataset", "block", "size", "data"])
+
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(b.column(k).to_pylist() for k in range(4))))
+        for (dataset, _), own in groupby(rows, key=lambda r: r[:2]):
+            vid, w, row, d, n = (np.concatenate(c) for c in zip(*(load(size, data)[0] for _, _, size, data in own)))
+            order = np.lexsort((d, row))
+            row, d, n = row[order], d[order], n[order]
+            total = np.cumsum(n)
+            first = np.searchsorted(row, row)
+            reached = w[row] + total - (total[first] - n[first]) >= min_samples if len(row) else np.zeros(0, bool)
+            core = np.where(w >= min_samples, 0.0, np.nan)
+            hit, at = np.unique(row[reached], return_index=True)
+            hit, at = hit[w[hit] < min_samples], np.flatnonzero(reached)[at][w[hit] < min_samples]
+            core[hit] = d[at]
+            known = np.flatnonzero(~np.isnan(core))
+            yield pa.RecordBatch.from_arrays([pa.array([dataset] * len(known), pa.string()), pa.array(vid[known]), pa.array(core[known])], ["dataset", "vid", "core"])
+
+    found = squares(vector_blocks(reps, side), nearest, schema)
+    return (found.repartition("dataset", "block").sortWithinPartitions("dataset", "block")
+            .mapInArrow(cores, "dataset string, vid bigint, core double"))
+
+
+def links_by_squares(reps: DataFrame, threshold: float, side: int) -> DataFrame:
+    """``similar_links`` from all pairs: a star per linked set of a block, and a link for each two sets of two blocks that meet."""
+    blocks = vector_blocks(reps, side, threshold)
+
+    def links(dataset: str, i: int, x: Block, j: int, y: Block | None) -> Iterator[pa.RecordBatch]:
+        vid = x.vid if y is None else np.concatenate([x.vid, y.vid])
+        old = x.label if y is None else np.concatenate([x.label, len(x.vid) + y.label])
+        label = old if y is None else _linked(x.u, y.u, old, len(x.vid), threshold)
+        at = np.flatnonzero(label != np.arange(len(vid)) if y is None else (old == np.arange(len(vid))) & (label != old))
+        yield pa.RecordBatch.from_arrays([pa.array([dataset] * len(at), pa.string()), pa.array(vid[at]), pa.array(vid[label[at]])], ["dataset", "src", "dst"])
+
+    return squares(blocks, links, "dataset string, src bigint, dst bigint")
+
+
 def density_clusters(points: DataFrame, radius: float, min_samples: int = 4, vec: str = "embedding",
                      min_size: int | None = None, block: int = BLOCK) -> DataFrame:
     """H3: density clusters with outliers, per dataset: (dataset, commentId, topicId, core).
@@ -301,9 +531,18 @@ def density_clusters(points: DataFrame, radius: float, min_samples: int = 4, vec
     rows without a usable vector are -1. Topics are numbered 0.. by size desc, then smallest
     id. ``core`` is the core distance, null for other points."""
     members, reps = representatives(points, vec)
-    rows = bucket_rows(reps, 1 - radius, block)
-    core = staged(core_distances(reps, rows, radius, min_samples), "core")
-    label = connected(similar_links(rows.join(core.select("dataset", "vid"), ["dataset", "vid"], "left_semi"), 1 - radius))
+    if all_pairs_cost_less(reps, 1 - radius):
+        n, short, long = reps.agg(F.count("*"), F.min(F.size("u")), F.max(F.size("u"))).first()
+        if short != long:
+            raise ValueError(f"vectors have {short} to {long} components")
+        side = min(SIDE, max(block, -(-n // 8)))  # some tasks also for few vectors
+        core = staged(core_by_squares(reps, radius, min_samples, side), "core")
+        links = links_by_squares(reps.join(core.select("dataset", "vid"), ["dataset", "vid"], "left_semi"), 1 - radius, side)
+    else:
+        rows = bucket_rows(reps, 1 - radius, block)
+        core = staged(core_distances(reps, rows, radius, min_samples), "core")
+        links = similar_links(rows.join(core.select("dataset", "vid"), ["dataset", "vid"], "left_semi"), 1 - radius)
+    label = connected(links)
     cored = (reps.select("dataset", "h1", "h2", "vid", "w").join(core, ["dataset", "vid"])
              .join(label.withColumnRenamed("node", "vid"), ["dataset", "vid"], "left")
              .select("dataset", "h1", "h2", "w", "core", F.coalesce("label", "vid").alias("label")))
