@@ -44,7 +44,8 @@ def term_model(weights: DataFrame, idf: DataFrame, topic: str = "topicId", unit:
     w = weights.select("dataset", F.col(topic).alias("__t"), "term", "weight")
     if unit:
         norm = w.groupBy("dataset", "__t").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("__tn"))
-        w = w.join(per_topic(norm), ["dataset", "__t"]).withColumn("weight", F.col("weight") / F.col("__tn"))
+        # written, so that its size is known beforehand and the weights don't move to it
+        w = w.join(per_topic(staged(norm, "lengths")), ["dataset", "__t"]).withColumn("weight", F.col("weight") / F.col("__tn"))
     n = P.buckets(weights.sparkSession)
     return P.packed_values(w, "weight", "__t", n, 0).unionByName(P.packed_values(idf, "idf", None, n, 1))
 
